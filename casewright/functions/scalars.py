@@ -209,14 +209,14 @@ def parse_thresholds(text: str | Iterable[float]) -> list[float]:
 
 
 def parse_windows(text: str | Sequence[str]) -> list[tuple[str, int | None]]:
-    """``"365,1095,all"`` → ordered distinct (label, days) pairs; ``all`` has no day bound."""
+    """``"365,1095,all"`` → ordered distinct (label, days) pairs; ``all`` becomes the unbounded ``any_prior``."""
     raw = text.split(",") if isinstance(text, str) else list(text)
     out: dict[str, int | None] = {}
     for item in (str(v).strip().lower() for v in raw):
         if not item:
             continue
         if item == "all":
-            out.setdefault("all", None)
+            out.setdefault("any_prior", None)
             continue
         days = int(item.removesuffix("d"))
         if days <= 0:

@@ -12,3 +12,20 @@ def long_counts(df: DataFrame, metrics: Mapping[str, Column], name: str = "metri
     wide = df.agg(*[v.cast("long").alias(k) for k, v in metrics.items()])
     pairs = F.array(*[F.struct(F.lit(k).alias(name), F.coalesce(F.col(f"`{k}`"), F.lit(0)).alias(value)) for k in metrics])
     return wide.select(F.inline(pairs))
+
+
+# Count columns that are suppressed, and the largest suppressed count.
+SUPPRESSED_COLUMNS = ("n", "count", "n_rows", "cases", "controls", "n_cases", "n_controls", "missing_n", "observed_n")
+SUPPRESSION_LIMIT = 20
+
+
+def suppress_small_counts(df: DataFrame) -> DataFrame:
+    """Counts of 1..20 become ``<=20``; zero and larger counts stay, as text."""
+    hidden = f"<={SUPPRESSION_LIMIT}"
+
+    def masked(c: str) -> Column:
+        return F.when(F.col(c).try_cast("double").between(1, SUPPRESSION_LIMIT), hidden).otherwise(
+            F.col(c).cast("string")
+        )
+
+    return df.select(*[masked(c).alias(c) if c.lower() in SUPPRESSED_COLUMNS else F.col(c) for c in df.columns])

@@ -123,3 +123,37 @@ def benjamini_hochberg(
     q = suffix_min(ranked, F.least(adjusted, F.lit(1.0)), out, groups).drop("_rank", "_n")
     nulls = df.filter(F.col(p).isNull()).withColumn(out, F.lit(None).cast("double"))
     return q.unionByName(nulls.select(*q.columns))
+
+
+def exact_quantiles(
+    df: DataFrame, value: str, probs: dict[str, float], groups: Sequence[str] = (), weight: Column | None = None
+) -> DataFrame:
+    """Exact linear-interpolation quantiles per group for values with unbounded distinct counts.
+
+    Values are counted first, then placed by a global running count, so no task holds a whole group.
+    """
+    counted = (
+        df.filter(F.col(value).isNotNull())
+        .groupBy(*groups, value)
+        .agg((F.sum(weight) if weight is not None else F.count(F.lit(1))).alias("_n"))
+    )
+    cum = global_cumsum(counted, [F.col(value)], {"_cum": F.col("_n")}, groups)
+    totals = counted.groupBy(*groups).agg(F.sum("_n").alias("_total"))
+    if groups:
+        on = [F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}")) for g in groups]
+        placed = cum.alias("l").join(totals.alias("r"), on).select("l.*", "r._total")
+    else:
+        placed = cum.crossJoin(F.broadcast(totals))  # one row
+    at = lambda k: F.min(F.when(F.col("_cum") > k, F.col(value)))
+    aggs = []
+    for i, p in enumerate(probs.values()):
+        h = (F.col("_total") - 1) * F.lit(float(p))
+        aggs += [at(F.floor(h)).alias(f"_lo{i}"), at(F.ceil(h)).alias(f"_hi{i}"), F.max(h - F.floor(h)).alias(f"_f{i}")]
+    found = placed.groupBy(*groups).agg(*aggs)
+    return found.select(
+        *groups,
+        *[
+            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(name)
+            for i, name in enumerate(probs)
+        ],
+    )

@@ -1,6 +1,6 @@
 """All registered queries, grouped by subject."""
 
-from casewright.plans import cohort_queries  # noqa: F401
+from casewright.plans import cohort_queries, incident_queries  # noqa: F401
 from casewright.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
