@@ -42,18 +42,19 @@ def any_date_in(dates: Column, anchor: Column, start: int | None, end: int | Non
 
 def anchored_flags(
     rows: DataFrame,
-    events: DataFrame,
+    events: DataFrame | None,
     names: Sequence[str],
     peri_start: int = PERI_START,
     peri_end: int = PERI_END,
 ) -> DataFrame:
     """Ever, remote-pre, near-pre, pre, peri and post flags of each cofactor against the row's index date.
 
-    Rows may repeat a person with different index dates; each row is judged by its own anchor.
+    Rows may repeat a person with different index dates; each row is judged by its own anchor. With
+    ``events=None`` the rows already carry the date arrays.
     """
     if not names:
         return rows
-    joined = rows.join(event_date_arrays(events, names), "person_id", "left")
+    joined = rows if events is None else rows.join(event_date_arrays(events, names), "person_id", "left")
     windows = {
         "remote_preindex": (None, REMOTE_CUTOFF - 1),
         "near_preindex": (REMOTE_CUTOFF, peri_start - 1),

@@ -1,0 +1,516 @@
+"""Carrier tests and per-unit logistic regression.
+
+A *unit* is whatever is tested: a variant, a gene, a (mask, gene). Exposures arrive sparse, one row per
+(unit, person) with a non-zero value; everybody else in the sample is unexposed, so no dense join is made.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from casewright.functions.distributions import chi2_from_p, fisher_p, normal_two_sided, two_sided_p
+from casewright.functions.scalars import lenient_double, neg_log10
+from casewright.operators.ranking import benjamini_hochberg, exact_quantiles, global_rank
+from casewright.session import BROADCAST_LIMIT_BYTES, cut_lineage
+
+MAX_ITERATIONS = 25
+TOLERANCE = 1e-6
+BLOCK_PEOPLE = 50_000
+
+
+def comparison_samples(sample: DataFrame, ancestry_col: str = "ancestry_pred") -> DataFrame:
+    """Long (comparison, person, outcome, …): broad and definite cases against eligible controls, and one set
+    per ancestry that holds both outcome classes."""
+    control = F.coalesce(F.col("eligible_control").cast("int"), F.lit(0)) == 1
+    broad, definite = F.col("broad_case") == 1, F.col("definite_case") == 1
+    sets = F.array_compact(
+        F.array(
+            F.when(broad | control, F.lit("broad")),
+            F.when(definite | control, F.lit("definite")),
+            F.when(
+                (broad | control) & (F.trim(ancestry_col) != ""),
+                F.concat(F.lit("ancestry_"), F.lower(ancestry_col)),
+            ),
+        )
+    )
+    long = sample.withColumn("comparison", F.explode(sets)).withColumn(
+        "outcome", F.when(F.col("comparison") == "definite", definite.cast("int")).otherwise(broad.cast("int"))
+    )
+    usable = (
+        long.groupBy("comparison")
+        .agg(F.count_distinct("outcome").alias("_k"))
+        .filter((F.col("_k") == 2) | ~F.col("comparison").startswith("ancestry_"))
+    )
+    return long.join(usable.select("comparison"), "comparison", "left_semi")
+
+
+def apply_exposure_model(exposures: DataFrame, panel: DataFrame) -> DataFrame:
+    """Recode dosage by the panel's model: ``hom_alt_vs_rest`` counts only dosage ≥ 2, as 1."""
+    hom = F.coalesce(F.col("exact_test_model") == "hom_alt_vs_rest", F.lit(False))
+    return (
+        exposures.join(panel.select("variant_id", "exact_test_model").dropDuplicates(["variant_id"]), "variant_id")
+        .withColumn("dosage", F.when(hom, (F.col("dosage") >= 2).cast("double")).otherwise(F.col("dosage").cast("double")))
+        .drop("exact_test_model")
+    )
+
+
+def carrier_tests(
+    exposures: DataFrame,
+    sample: DataFrame,
+    units: Sequence[str],
+    comparison: Sequence[str] = (),
+    outcome: str = "outcome",
+    threshold: float = 1.0,
+    panel: DataFrame | None = None,
+) -> DataFrame:
+    """2×2 carrier counts, sample odds ratio and two-sided Fisher p per (comparison, unit).
+
+    Non-carriers are totals minus carriers. ``panel`` keeps units without any carrier.
+    """
+    people = sample.select(*comparison, F.col("person_id").cast("string").alias("person_id"), F.col(outcome).alias("_y")).filter(
+        F.col("_y").isNotNull()
+    )
+    totals = people.groupBy(*comparison).agg(
+        F.count_if(F.col("_y") == 1).alias("n_cases"), F.count_if(F.col("_y") == 0).alias("n_controls")
+    )
+    carriers = (
+        exposures.filter(F.col("dosage") >= threshold)
+        .withColumn("person_id", F.col("person_id").cast("string"))
+        .groupBy(*units, "person_id")
+        .agg(F.lit(1).alias("_one"))
+        .join(people, "person_id")
+        .groupBy(*comparison, *units)
+        .agg(
+            F.count_if(F.col("_y") == 1).alias("case_carriers"), F.count_if(F.col("_y") == 0).alias("control_carriers")
+        )
+    )
+    tested = (panel if panel is not None else exposures).select(*units).distinct()
+    # totals holds one row per comparison set
+    grid = tested.crossJoin(F.broadcast(totals))
+    out = grid.join(carriers, [*comparison, *units], "left").na.fill(0, ["case_carriers", "control_carriers"])
+    return with_fisher(
+        out.withColumns(
+            {
+                "case_noncarriers": F.col("n_cases") - F.col("case_carriers"),
+                "control_noncarriers": F.col("n_controls") - F.col("control_carriers"),
+            }
+        )
+    )
+
+
+def with_fisher(counts: DataFrame) -> DataFrame:
+    a, b = F.col("case_carriers"), F.col("case_noncarriers")
+    c, d = F.col("control_carriers"), F.col("control_noncarriers")
+    ratio = lambda n, t: F.when(t > 0, n / F.nullif(t, F.lit(0)))
+    odds = F.when(b * c > 0, (a * d) / F.nullif(b * c, F.lit(0))).when(a * d > 0, F.lit(float("inf")))
+    return counts.withColumns(
+        {
+            "case_carrier_fraction": ratio(a, F.col("n_cases")),
+            "control_carrier_fraction": ratio(c, F.col("n_controls")),
+            "fisher_odds_ratio": odds,
+            "fisher_p": fisher_p(a, b, c, d),
+        }
+    )
+
+
+# Regression --------------------------------------------------------------------------------------
+
+RESULT_FIELDS = "beta double, se double, regression_p double, n_samples long"
+
+
+def _solve(gram: np.ndarray, rhs: np.ndarray) -> np.ndarray | None:
+    try:
+        step = np.linalg.solve(gram, rhs)
+    except np.linalg.LinAlgError:
+        return None
+    return step if np.all(np.isfinite(step)) else None
+
+
+def newton_logistic(x: np.ndarray, y: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Coefficients and Fisher information, or None when the fit is separated, singular or not converged."""
+    beta = start.copy()
+    for _ in range(MAX_ITERATIONS):
+        p = 1.0 / (1.0 + np.exp(-np.clip(x @ beta, -40, 40)))
+        w = p * (1 - p)
+        info = x.T @ (x * w[:, None])
+        step = _solve(info, x.T @ (y - p))
+        if step is None:
+            return None
+        beta = beta + step
+        if np.abs(step).max() < TOLERANCE:
+            return (beta, info) if np.linalg.cond(info) < 1e12 else None
+    return None
+
+
+def wald(beta: np.ndarray, info: np.ndarray, at: int) -> tuple[float, float, float]:
+    covariance = np.linalg.inv(info)
+    se = math.sqrt(max(covariance[at, at], 0.0))
+    p = float(normal_two_sided(np.array([beta[at] / se]))[0]) if se > 0 else math.nan
+    return float(beta[at]), se, p
+
+
+def design_frame(sample: DataFrame, covariates: Sequence[str], outcome: str, comparison: str | None = None) -> DataFrame:
+    """Complete cases with numeric outcome and covariates; one row per (comparison set, person)."""
+    cols = {c: lenient_double(c) for c in (outcome, *covariates)}
+    label = F.col(comparison) if comparison else F.lit("all")
+    return (
+        sample.select(
+            label.alias("_set"), F.col("person_id").cast("string").alias("person_id"), *[v.alias(c) for c, v in cols.items()]
+        )
+        .dropna()
+        .groupBy("_set", "person_id")
+        .agg(*[F.min(c).alias(c) for c in cols])
+    )
+
+
+def logistic_per_unit(
+    exposures: DataFrame,
+    sample: DataFrame,
+    units: Sequence[str],
+    covariates: Sequence[str],
+    outcome: str = "outcome",
+    fill: str | None = None,
+    panel: DataFrame | None = None,
+    comparison: str | None = None,
+    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+) -> DataFrame:
+    """Wald logistic regression of the outcome on exposure + covariates for each unit.
+
+    Absent covariates are skipped. People without an exposure row count as 0, or as the unit's ``fill`` value
+    (mean imputation for dense calls). A result is NULL when n ≤ parameters, one class only, or no convergence.
+    With ``comparison`` the sample holds several comparison sets and every unit is fitted in each.
+
+    Design matrices inside ``broadcast_limit`` are broadcast and each unit is fitted in one pass. A larger
+    cohort is cut into blocks of people and every Newton step is a grouped sum over blocks.
+    """
+    covariates = [c for c in covariates if c in sample.columns]
+    design = cut_lineage(design_frame(sample, covariates, outcome, comparison))
+    sizes = design.groupBy("_set").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(outcome).alias("k")).collect()
+    keys = (panel if panel is not None else exposures).select(*units).distinct()
+    if sum(r["n"] for r in sizes) * (len(covariates) + 2) * 8 <= broadcast_limit:
+        out = _fit_broadcast(exposures, design, keys, units, covariates, outcome, fill)
+    else:
+        out = None
+        for row in sizes:
+            one = design.filter(F.col("_set") == row["_set"]).drop("_set")
+            if row["n"] <= len(covariates) + 2 or row["k"] < 2:
+                null = F.lit(None).cast("double")
+                part = keys.select(
+                    *units, null.alias("beta"), null.alias("se"), null.alias("regression_p"),
+                    F.lit(row["n"]).cast("long").alias("n_samples"),
+                )
+            else:
+                part = _fit_blocked(exposures, one, keys, units, covariates, outcome, fill)
+            part = part.withColumn("_set", F.lit(row["_set"]))
+            out = part if out is None else out.unionByName(part)
+    out = out.withColumn("odds_ratio", F.exp("beta")).withColumn("covariates", F.lit(";".join(covariates)))
+    return out.withColumnRenamed("_set", comparison) if comparison else out.drop("_set")
+
+
+def _unit_struct(units: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*units))
+
+
+def _fit_broadcast(exposures, design, keys, units, covariates, outcome, fill) -> DataFrame:
+    spark = design.sparkSession
+    # the caller has checked rows × columns of all sets against the broadcast limit
+    collected = design.toPandas().sort_values(["_set", "person_id"], ignore_index=True)
+    designs, indexes = {}, []
+    for label, frame in collected.groupby("_set"):
+        y = frame[outcome].to_numpy(float)
+        base = np.column_stack([np.ones(len(frame)), *[frame[c].to_numpy(float) for c in covariates]])
+        usable = len(y) > base.shape[1] + 1 and len(np.unique(y)) == 2
+        null_fit = newton_logistic(base, y, np.zeros(base.shape[1])) if usable else None
+        start = np.append(null_fit[0] if null_fit else np.zeros(base.shape[1]), 0.0)
+        designs[label] = (base, y, start, usable)
+        indexes.append(
+            pd.DataFrame({"_set": label, "person_id": frame["person_id"], "_i": np.arange(len(frame), dtype="int64")})
+        )
+    shared = spark.sparkContext.broadcast(designs)
+    index = spark.createDataFrame(pd.concat(indexes))
+    sets = spark.createDataFrame([(label,) for label in designs], "_set string")
+    value = F.coalesce(lenient_double("dosage"), F.lit(0.0))
+    # at most one entry per (unit, person) of the size-checked cohort
+    packed = (
+        exposures.select(*units, F.col("person_id").cast("string").alias("person_id"), value.alias("_x"), *([fill] if fill else []))
+        .groupBy(*units, "person_id")
+        .agg(F.max("_x").alias("_x"), (F.max(fill) if fill else F.lit(0.0)).alias("_fill"))
+        .join(index, "person_id")
+        .groupBy("_set", *units)
+        .agg(F.collect_list("_i").alias("_is"), F.collect_list("_x").alias("_xs"), F.max("_fill").alias("_fill"))
+    )
+    grid = keys.crossJoin(F.broadcast(sets))  # one row per comparison set
+    on = [F.col(f"k.{u}").eqNullSafe(F.col(f"e.{u}")) for u in ["_set", *units]]
+    rows = grid.alias("k").join(packed.alias("e"), on, "left").select(
+        "k._set", *[f"k.{u}" for u in units], "_is", "_xs", F.coalesce("_fill", F.lit(0.0)).alias("_fill")
+    )
+    schema = T.StructType(
+        [rows.schema[u] for u in ["_set", *units]] + T._parse_datatype_string(RESULT_FIELDS).fields
+    )
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        full = {k: (np.column_stack([b, np.zeros(len(y))]), y, s, ok) for k, (b, y, s, ok) in shared.value.items()}
+        for pdf in batches:
+            out = []
+            for label, idx, xs, fill_value in zip(pdf["_set"], pdf["_is"], pdf["_xs"], pdf["_fill"], strict=True):
+                x, y, start, usable = full[label]
+                at = x.shape[1] - 1
+                x[:, at] = fill_value
+                if idx is not None and len(idx):
+                    x[np.asarray(idx, dtype=int), at] = xs
+                fitted = newton_logistic(x, y, start) if usable and np.ptp(x[:, at]) > 0 else None
+                out.append((*wald(*fitted, at), len(y)) if fitted else (None, None, None, len(y)))
+            result = pdf[["_set", *units]].copy()
+            result[["beta", "se", "regression_p", "n_samples"]] = pd.DataFrame(out, index=result.index, dtype=float)
+            result["n_samples"] = result["n_samples"].astype("int64")
+            yield result
+
+    fitted = rows.mapInPandas(fit, schema)
+    return fitted.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("beta", "se", "regression_p")})
+
+
+def _fit_blocked(exposures, design, keys, units, covariates, outcome, fill) -> DataFrame:
+    """Newton steps as grouped sums: (unit chunk × block of people) tasks emit gradient and information."""
+    k = len(covariates) + 2
+    ranked = global_rank(design, [F.col("person_id")], "_i")
+    blocks = F.floor((F.col("_i") - 1) / BLOCK_PEOPLE)
+    placed = cut_lineage(
+        ranked.select(
+            "person_id", blocks.alias("_block"), ((F.col("_i") - 1) % BLOCK_PEOPLE).alias("_pos"),
+            F.col(outcome).alias("_y"), F.array(F.lit(1.0), *[F.col(c) for c in covariates]).alias("_row"),
+        )
+    )
+    keyed = keys.withColumn("_unit", _unit_struct(units))
+    n_chunks = max(1, math.ceil(keyed.count() / 256))
+    chunk = F.pmod(F.xxhash64("_unit"), F.lit(n_chunks))
+    value = F.coalesce(lenient_double("dosage"), F.lit(0.0))
+    entries = cut_lineage(
+        exposures.select(_unit_struct(units).alias("_unit"), F.col("person_id").cast("string").alias("person_id"), value.alias("_x"))
+        .join(placed.select("person_id", "_block", "_pos"), "person_id")
+        .groupBy("_unit", "_block", "_pos")
+        .agg(F.max("_x").alias("_x"))
+        .groupBy("_unit", "_block")  # at most BLOCK_PEOPLE entries
+        .agg(F.collect_list("_pos").alias("_is"), F.collect_list("_x").alias("_xs"))
+    )
+    fills = (
+        exposures.groupBy(_unit_struct(units).alias("_unit")).agg(F.max(fill).alias("_fill"))
+        if fill
+        else keyed.select("_unit", F.lit(0.0).alias("_fill"))
+    )
+    n_blocks = math.ceil(placed.count() / BLOCK_PEOPLE)
+    design_blocks = placed.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1)))).select(
+        F.col("_chunk").cast("long").alias("_chunk"), "_block", "_pos", "_y", "_row"
+    )
+    grad = [f"g{i}" for i in range(k)]
+    hess = [f"h{i}_{j}" for i in range(k) for j in range(i, k)]
+    schema = "_unit string, " + ", ".join(f"{c} double" for c in [*grad, *hess])
+
+    def partial(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        right = right.sort_values("_pos")
+        base = np.vstack(right["_row"].to_numpy())
+        y = right["_y"].to_numpy(float)
+        x = np.column_stack([base, np.zeros(len(y))])
+        upper = np.triu_indices(k)
+        rows = []
+        for unit, beta, idx, xs, fill_value in zip(
+            left["_unit"], left["_beta"], left["_is"], left["_xs"], left["_fill"], strict=True
+        ):
+            x[:, -1] = fill_value
+            if idx is not None and len(idx):
+                x[np.asarray(idx, dtype=int), -1] = xs
+            p = 1.0 / (1.0 + np.exp(-np.clip(x @ np.asarray(beta), -40, 40)))
+            info = x.T @ (x * (p * (1 - p))[:, None])
+            rows.append((unit, *(x.T @ (y - p)), *info[upper]))
+        return pd.DataFrame(rows, columns=["_unit", *grad, *hess])
+
+    state_schema = "_unit string, _beta array<double>, _se double, _done boolean, _ok boolean"
+
+    def advance(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        upper = np.triu_indices(k)
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                info = np.zeros((k, k))
+                info[upper] = [getattr(row, h) for h in hess]
+                info = info + np.triu(info, 1).T
+                step = _solve(info, np.array([getattr(row, g) for g in grad]))
+                if step is None:
+                    out.append((row.beta, math.nan, True, False))
+                    continue
+                beta = np.asarray(row.beta) + step
+                done = bool(np.abs(step).max() < TOLERANCE)
+                ok = done and np.linalg.cond(info) < 1e12
+                out.append((beta, math.sqrt(max(np.linalg.inv(info)[-1, -1], 0)) if ok else math.nan, done, ok))
+            frame = pd.DataFrame(out, columns=["_beta", "_se", "_done", "_ok"])
+            frame.insert(0, "_unit", pdf["unit"].to_numpy())
+            yield frame
+
+    zero = F.array(*[F.lit(0.0)] * k)
+    state = cut_lineage(
+        keyed.select("_unit").select(
+            "_unit", zero.alias("_beta"), F.lit(None).cast("double").alias("_se"), F.lit(False).alias("_done"),
+            F.lit(False).alias("_ok"),
+        )
+    )
+    for _ in range(MAX_ITERATIONS):
+        open_units = state.filter(~F.col("_done"))
+        if open_units.isEmpty():
+            break
+        work = (
+            open_units.select("_unit", "_beta", chunk.alias("_chunk"))
+            .join(fills, "_unit", "left")
+            # every unit sums over every block of people
+            .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
+            .join(entries, ["_unit", "_block"], "left")
+            .na.fill(0.0, ["_fill"])
+        )
+        sums = (
+            work.groupBy("_chunk", "_block")
+            .cogroup(design_blocks.groupBy("_chunk", "_block"))
+            .applyInPandas(lambda a, b: partial(a, b), schema)
+            .groupBy("_unit")
+            .agg(*[F.sum(c).alias(c) for c in [*grad, *hess]])
+        )
+        stepped = sums.join(open_units.select("_unit", "_beta"), "_unit").select(
+            F.col("_unit").alias("unit"), F.col("_beta").alias("beta"), *grad, *hess
+        )
+        state = cut_lineage(state.filter("_done").unionByName(stepped.mapInPandas(advance, state_schema)))
+    n = placed.count()
+    beta = F.when(F.col("_ok"), F.get("_beta", F.lit(k - 1)))
+    fitted = state.select(
+        "_unit", beta.alias("beta"), F.when(F.col("_ok"), F.col("_se")).alias("se"), F.lit(n).cast("long").alias("n_samples")
+    )
+    return (
+        keyed.join(fitted, "_unit")
+        .withColumn("regression_p", two_sided_p(F.col("beta") / F.col("se")))
+        .select(*units, "beta", "se", "regression_p", "n_samples")
+    )
+
+
+def stable_covariates(sample: DataFrame, covariates: Sequence[str], outcome: str = "outcome") -> tuple[list[str], list[str]]:
+    """(kept, dropped): constant columns go, and 0/1 columns whose 1 lacks cases or controls."""
+    present = [c for c in covariates if c in sample.columns]
+    aggs = []
+    for c in present:
+        v = lenient_double(c)
+        aggs += [
+            F.min(v).alias(f"lo_{c}"),
+            F.max(v).alias(f"hi_{c}"),
+            F.bool_and(v.isNull() | v.isin(0.0, 1.0)).alias(f"bin_{c}"),
+            F.count_if((v == 1) & (F.col(outcome) == 0)).alias(f"c0_{c}"),
+            F.count_if((v == 1) & (F.col(outcome) == 1)).alias(f"c1_{c}"),
+        ]
+    row = sample.agg(*aggs).first() if aggs else None
+    kept = [
+        c
+        for c in present
+        if row[f"lo_{c}"] is not None
+        and row[f"lo_{c}"] != row[f"hi_{c}"]
+        and not (row[f"bin_{c}"] and (row[f"c0_{c}"] == 0 or row[f"c1_{c}"] == 0))
+    ]
+    return kept, [c for c in present if c not in kept]
+
+
+def genomic_control(results: DataFrame, p: str = "regression_p") -> DataFrame:
+    """λ = median χ²₁ / 0.4549364 over 0 < p ≤ 1; the median is taken after the transform."""
+    valid = results.filter((F.col(p) > 0) & (F.col(p) <= 1)).select(chi2_from_p(F.col(p)).alias("_chi2"))
+    return exact_quantiles(valid, "_chi2", {"_median": 0.5}).select(
+        (F.col("_median") / F.lit(0.4549364)).alias("lambda_gc")
+    )
+
+
+def gwas_postprocess(results: DataFrame, annotation: DataFrame | None = None) -> DataFrame:
+    """FDR over all variants, −log10 p, de-duplicated annotation join with a suffix on clashing names."""
+    out = benjamini_hochberg(results, "regression_p", "fdr_q", ["variant_id"]).withColumn(
+        "minus_log10_p", neg_log10("regression_p")
+    )
+    if annotation is None:
+        return out
+    extra = annotation.dropDuplicates(["variant_id"])
+    renamed = {c: f"{c}_annotation" for c in extra.columns if c != "variant_id" and c in out.columns}
+    return out.join(extra.withColumnsRenamed(renamed), "variant_id", "left")
+
+
+def preview(results: DataFrame, n: int = 100_000) -> DataFrame:
+    """The ``n`` smallest defined p-values; 0 skips the preview."""
+    return results.filter(F.col("regression_p").isNotNull()).orderBy("regression_p", "variant_id").limit(n)
+
+
+def burden_exposures(genotypes: DataFrame, masks: Sequence[str], mask_columns: dict[str, str], genes: Sequence[str] | None = None) -> DataFrame:
+    """(mask, gene, person) → highest dosage, with the variants of each mask; all masks from one scan."""
+    rows = genotypes if genes is None else genotypes.filter(F.col("gene").isin(*genes))
+    names = F.array_compact(
+        F.array(*[F.when(F.col(mask_columns.get(m, "mask_primary")), F.lit(m)) for m in masks])
+    )
+    return rows.withColumn("mask", F.explode(names))
+
+
+def gene_burden(
+    masked: DataFrame, sample: DataFrame, covariates: Sequence[str], outcome: str = "outcome"
+) -> DataFrame:
+    """Carrier test and regression per (mask, gene), FDR over all rows."""
+    units = ["mask", "gene"]
+    kept = masked.join(sample.select("person_id").distinct(), "person_id", "left_semi")
+    exposures = kept.groupBy(*units, "person_id").agg(
+        F.max(F.coalesce(lenient_double("dosage"), F.lit(0.0))).alias("dosage")
+    )
+    n_variants = kept.groupBy(*units).agg(F.count_distinct("variant_id").alias("n_variants_in_mask"))
+    tests = carrier_tests(exposures, sample, units, outcome=outcome)
+    fits = logistic_per_unit(exposures, sample, units, covariates, outcome)
+    joined = n_variants.join(tests, units).join(fits, units)
+    return benjamini_hochberg(joined, "regression_p", "fdr_q", units)
+
+
+def panel_association(
+    exposures: DataFrame,
+    samples: DataFrame,
+    units: Sequence[str],
+    covariates: Sequence[str],
+    panel: DataFrame | None = None,
+    threshold: float = 1.0,
+) -> DataFrame:
+    """Carrier tests and regressions of every unit in every comparison set, FDR within each set."""
+    tests = carrier_tests(exposures, samples, units, ["comparison"], threshold=threshold, panel=panel)
+    keys = panel if panel is not None else exposures
+    fits = logistic_per_unit(exposures, samples, units, covariates, panel=keys, comparison="comparison")
+    joined = tests.join(fits, ["comparison", *units])
+    out = benjamini_hochberg(joined, "fisher_p", "fdr_q", units, ["comparison"])
+    return benjamini_hochberg(out, "regression_p", "regression_fdr_q", units, ["comparison"])
+
+
+def qq_points(results: DataFrame, p: str = "regression_p", key: str = "variant_id") -> DataFrame:
+    """Expected and observed −log10 p by global rank."""
+    valid = results.filter((F.col(p) > 0) & (F.col(p) <= 1)).select(key, p)
+    n = valid.agg(F.count(F.lit(1)).alias("_n"))
+    return (
+        global_rank(valid, [F.col(p), F.col(key)], "rank")
+        .crossJoin(F.broadcast(n))  # one row
+        .select(
+            key,
+            "rank",
+            neg_log10(p).alias("observed"),
+            (-F.log10(F.col("rank") / (F.col("_n") + 1))).alias("expected"),
+        )
+    )
+
+
+def chromosome_rank(c: Column) -> Column:
+    text = F.upper(F.regexp_replace(c, "^chr", ""))
+    return F.coalesce(F.when(text == "X", 23).when(text == "Y", 24), text.try_cast("int"), F.lit(99))
+
+
+def manhattan_points(results: DataFrame, p: str = "regression_p") -> DataFrame:
+    """Genome-wide x coordinate: position plus, for each earlier chromosome, its largest position + 1 Mb."""
+    valid = results.filter((F.col(p) > 0) & (F.col(p) <= 1)).withColumn("_chr", chromosome_rank(F.col("chromosome")))
+    ends = valid.groupBy("_chr").agg(F.max("position").alias("_end"))
+    # one row per chromosome, so this single ordered window stays tiny
+    w = Window.orderBy("_chr").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ends.select("_chr", F.coalesce(F.sum(F.col("_end") + 1_000_000).over(w), F.lit(0)).alias("_off"))
+    return valid.join(F.broadcast(offsets), "_chr").select(
+        "variant_id", "chromosome", "position", (F.col("position") + F.col("_off")).alias("x"), neg_log10(p).alias("y")
+    )

@@ -146,9 +146,8 @@ def tier_hits(conditions: DataFrame, measurements: DataFrame, rule: TierRule) ->
     )
 
 
-def attach_hits(base: DataFrame, hits: DataFrame, rule: TierRule, prefix: str) -> DataFrame:
+def _hit_columns(rule: TierRule, prefix: str) -> dict[str, Column]:
     cond, meas = F.col(f"{prefix}_condition_date"), F.col(f"{prefix}_measurement_date")
-    renamed = hits.select("person_id", *[F.col(c).alias(f"{prefix}_{c}") for c in hits.columns if c != "person_id"])
     hit = F.lit(True)
     if rule.require_condition:
         hit = hit & cond.isNotNull()
@@ -156,14 +155,17 @@ def attach_hits(base: DataFrame, hits: DataFrame, rule: TierRule, prefix: str) -
         hit = hit & meas.isNotNull()
     if not rule.require_condition and not rule.require_measurement:
         hit = cond.isNotNull() | meas.isNotNull()
-    return base.join(renamed, "person_id", "left").withColumns(
-        {
-            f"{prefix}_has_condition": cond.isNotNull(),
-            f"{prefix}_has_measurement": meas.isNotNull(),
-            f"{prefix}_rule_hit": hit,
-            f"{prefix}_index_date": F.coalesce(cond, meas),
-        }
-    )
+    return {
+        f"{prefix}_has_condition": cond.isNotNull(),
+        f"{prefix}_has_measurement": meas.isNotNull(),
+        f"{prefix}_rule_hit": hit,
+        f"{prefix}_index_date": F.coalesce(cond, meas),
+    }
+
+
+def attach_hits(base: DataFrame, hits: DataFrame, rule: TierRule, prefix: str) -> DataFrame:
+    renamed = hits.select("person_id", *[F.col(c).alias(f"{prefix}_{c}") for c in hits.columns if c != "person_id"])
+    return base.join(renamed, "person_id", "left").withColumns(_hit_columns(rule, prefix))
 
 
 def cofactor_events(conditions: DataFrame, rules: PhenotypeRules) -> DataFrame:
@@ -242,6 +244,55 @@ def finalize_tiers(df: DataFrame, rules: PhenotypeRules) -> DataFrame:
     )
 
 
+def condition_rollup(conditions: DataFrame, rules: PhenotypeRules) -> DataFrame:
+    """Everything the cohort needs from conditions, in one scan and one row per person.
+
+    Records are first reduced to (person, day) with a rule bit mask, so the per-person step sees at most the
+    days of a lifetime however many records a person has.
+    """
+    source = record_source(conditions)
+    tests = {
+        "broad": concept_matches(rules.broad.condition_ids, rules.broad.condition_terms),
+        "definite": concept_matches(rules.definite.condition_ids, rules.definite.condition_terms),
+        "excluded": concept_matches(rules.control_exclusion_ids, ()),
+        **{r.name: rule_matches(r) for r in rules.cofactors},
+    }
+    bit = {name: 1 << i for i, name in enumerate(tests)}
+    mask = F.lit(0)
+    for name, test in tests.items():
+        mask = mask.bitwiseOR(F.when(test, F.lit(bit[name])).otherwise(F.lit(0)))
+    counted = F.col("event_date").isNotNull()
+    if source.startswith("icd"):
+        counted = counted & _is_icd()
+    daily = conditions.groupBy("person_id", F.col("event_date").alias("_d")).agg(
+        F.bool_or(counted).alias("_den"), F.bit_or(mask).alias("_m")
+    )
+    on_day = lambda name: F.when(F.col("_m").bitwiseAND(F.lit(bit[name])) != 0, F.col("_d"))
+    return daily.groupBy("person_id").agg(
+        F.count_if("_den").alias("condition_dates"),
+        F.lit(source).alias("condition_record_source"),
+        F.min(on_day("broad")).alias("_first_broad"),
+        F.min(on_day("definite")).alias("_first_definite"),
+        F.bool_or(F.col("_m").bitwiseAND(F.lit(bit["excluded"])) != 0).alias("control_excluded"),
+        *[F.sort_array(F.collect_list(on_day(n))).alias(f"_dates_{n}") for n in rules.cofactor_names],
+    )
+
+
+def _definite_labs(days: DataFrame, first: DataFrame, rule: TierRule) -> DataFrame:
+    """High readings of the definite rule, overall and inside the window of the first definite condition."""
+    inside = within_days(F.col("event_date"), F.col("_first_definite"), rule.window_start_days, rule.window_end_days)
+    return (
+        days.join(first, "person_id", "left")
+        .groupBy("person_id")
+        .agg(
+            F.min("event_date").alias("high_measurement_date"),
+            F.max("value").alias("high_measurement_value"),
+            F.min(F.when(inside, F.col("event_date"))).alias("measurement_date"),
+            F.max(F.when(inside, F.col("value"))).alias("measurement_value"),
+        )
+    )
+
+
 def build_cohort(
     person: DataFrame,
     periods: DataFrame,
@@ -252,37 +303,39 @@ def build_cohort(
     clinical_flags: DataFrame | None = None,
 ) -> DataFrame:
     """The whole tiered cohort with time-anchored cofactor flags, one row per person."""
-    base = baseline_frame(person, observation_windows(periods))
-    base = base.join(denominator_counts(conditions).drop("eligible_denominator"), "person_id", "left")
-    if ancestry is not None:
-        base = base.join(ancestry, "person_id", "left")
-    events = cofactor_events(conditions, rules)
-    ever = cofactor_ever(events, rules)
-    if clinical_flags is not None:
-        ever = merge_ever_flags(clinical_flags, ever, rules.cofactor_names)
-    base = base.join(ever, "person_id", "left")
-    base = attach_hits(base, tier_hits(conditions, measurements, rules.broad), rules.broad, "broad")
-    base = attach_hits(base, tier_hits(conditions, measurements, rules.definite), rules.definite, "definite")
-    high = tier_hits(conditions, measurements, rules.high_measurement)
-    base = base.join(
-        high.select(
-            "person_id",
-            F.col("measurement_date").alias("high_measurement_date"),
-            F.col("measurement_value").alias("high_measurement_value"),
-        ),
-        "person_id",
-        "left",
-    )
-    excluded = (
-        conditions.filter(concept_matches(rules.control_exclusion_ids, ()))
-        .select("person_id")
-        .distinct()
-        .withColumn("control_excluded", F.lit(True))
+    names = rules.cofactor_names
+    roll = condition_rollup(conditions, rules)
+    labs = _definite_labs(
+        measurement_days(measurements, rules.definite), roll.select("person_id", "_first_definite"), rules.definite
     )
-    base = base.join(excluded, "person_id", "left").withColumn(
+    base = baseline_frame(person, observation_windows(periods)).join(roll, "person_id", "left")
+    base = base.join(labs, "person_id", "left").withColumn(
         "control_excluded", F.coalesce("control_excluded", F.lit(False))
     )
-    return anchored_flags(finalize_tiers(base, rules), events, rules.cofactor_names)
+    if ancestry is not None:
+        base = base.join(ancestry, "person_id", "left")
+    if clinical_flags is not None:
+        base = base.join(clinical_flags, "person_id", "left")
+    base = _attach_rule(base, rules.broad, "broad", conditions, measurements, roll)
+    base = _attach_rule(base, rules.definite, "definite", conditions, measurements, roll)
+    base = base.drop("_first_broad", "_first_definite", "measurement_date", "measurement_value")
+    return anchored_flags(finalize_tiers(base, rules), None, names)
+
+
+def _attach_rule(base, rule, prefix, conditions, measurements, roll) -> DataFrame:
+    """Use the columns already on ``base`` where the rule allows; otherwise join the rule's own hits."""
+    first = F.col(f"_first_{prefix}")
+    none_d, none_v = F.lit(None).cast("date"), F.lit(None).cast("double")
+    if rule.require_condition and not rule.require_measurement:
+        cols = (first, none_d, none_v)
+    elif prefix == "definite" and rule.require_condition and rule.require_measurement:
+        hit = F.col("measurement_date").isNotNull()
+        cols = (F.when(hit, first), F.col("measurement_date"), F.when(hit, F.col("measurement_value")))
+    else:
+        return attach_hits(base, tier_hits(conditions, measurements, rule), rule, prefix)
+    names = ("condition_date", "measurement_date", "measurement_value")
+    base = base.withColumns({f"{prefix}_{n}": c for n, c in zip(names, cols, strict=True)})
+    return base.withColumns(_hit_columns(rule, prefix))
 
 
 def cohort_qc(cohort: DataFrame) -> DataFrame:

@@ -72,32 +72,52 @@ def global_rank(
     return ranked if keep_segments else ranked.drop(_PART, _LOCAL)
 
 
-def _scan_window(groups: Sequence[str], reverse: bool):
-    order = F.col(_LOCAL).desc() if reverse else F.col(_LOCAL).asc()
-    return Window.partitionBy(*groups, _PART).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+_SCANS = {"sum": F.sum, "max": F.max}
 
 
-def global_cumsum(
-    df: DataFrame, order: Sequence[Column], sums: dict[str, Column], groups: Sequence[str] = ()
+def global_scan(
+    df: DataFrame,
+    order: Sequence[Column],
+    scans: dict[str, tuple[Column, str]],
+    groups: Sequence[str] = (),
+    exclusive: bool = False,
 ) -> DataFrame:
-    """Inclusive running sums over the global (or per-group) order."""
-    tmp = {f"_x{i}": v for i, v in enumerate(sums.values())}
+    """Running ``sum`` or ``max`` over the global (or per-group) order; ``exclusive`` leaves the row itself out."""
+    tmp = {f"_x{i}": v for i, (v, _) in enumerate(scans.values())}
     ordered = _ordered(df.withColumns(tmp), [*[F.col(g) for g in groups], *order])
     out = ordered
-    w = _scan_window(groups, False)
-    for i, name in enumerate(sums):
-        offsets = _segment_offsets(ordered, groups, F.sum(f"_x{i}"), False, F.sum)
+    w = (
+        Window.partitionBy(*groups, _PART)
+        .orderBy(_LOCAL)
+        .rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    )
+    for i, (name, (_, kind)) in enumerate(scans.items()):
+        fn = _SCANS[kind]
+        offsets = _segment_offsets(ordered, groups, fn(f"_x{i}"), False, fn)
         out = _attach(out, offsets, groups)
-        out = out.withColumn(name, F.sum(f"_x{i}").over(w) + F.coalesce(F.col(_OFF), F.lit(0))).drop(_OFF)
+        local = fn(f"_x{i}").over(w)
+        zero = F.lit(0)
+        merged = (
+            F.coalesce(local, zero) + F.coalesce(F.col(_OFF), zero) if kind == "sum" else F.greatest(local, F.col(_OFF))
+        )
+        out = out.withColumn(name, merged).drop(_OFF)
     return out.drop(_PART, _LOCAL, *tmp)
 
 
+def global_cumsum(
+    df: DataFrame, order: Sequence[Column], sums: dict[str, Column], groups: Sequence[str] = ()
+) -> DataFrame:
+    """Inclusive running sums over the global (or per-group) order."""
+    return global_scan(df, order, {k: (v, "sum") for k, v in sums.items()}, groups)
+
+
 def suffix_min(ranked: DataFrame, value: Column, out: str, groups: Sequence[str] = ()) -> DataFrame:
     """Minimum of ``value`` over this row and all later rows; input comes from ``global_rank(keep_segments=True)``."""
     valued = ranked.withColumn("_x", value)
     offsets = _segment_offsets(valued, groups, F.min("_x"), True, F.min)
     joined = _attach(valued, offsets, groups)
-    return joined.withColumn(out, F.least(F.min("_x").over(_scan_window(groups, True)), F.col(_OFF))).drop(
+    w = Window.partitionBy(*groups, _PART).orderBy(F.desc(_LOCAL)).rowsBetween(Window.unboundedPreceding, 0)
+    return joined.withColumn(out, F.least(F.min("_x").over(w), F.col(_OFF))).drop(
         "_x", _OFF, _PART, _LOCAL
     )
 

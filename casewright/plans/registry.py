@@ -40,7 +40,7 @@ def query(name: str, sql: str | None = None, decimals: int = 6):
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = f"WITH {LENS_SQL.strip()}\n{sql.strip()}" if not sql.lstrip().startswith("WITH") else sql
+            ORACLES[name] = f"WITH RECURSIVE {LENS_SQL.strip()}\n{sql.strip()}" if not sql.lstrip().startswith("WITH") else sql
         return fn
 
     return register

@@ -143,7 +143,7 @@ class Lens:
                 (1 + F.col("_part") % 22).cast("string").alias("chromosome"),
                 ((F.col("_part") + 1) * 10000).alias("position"),
                 "dosage",
-                "ft",
+                F.when(F.col("ft") == "O", "PASS").otherwise("FAIL").alias("ft"),
             )
         )
 
@@ -159,6 +159,12 @@ class Lens:
             ((key % 100) / 100.0).alias("revel"),
             (F.col("p_size") / 25000.0).alias("max_af"),
             F.col("p_name").alias("clinvar_significance"),
+            F.array(
+                F.substring(F.lit("ACGT"), (key % 4 + 1).cast("int"), F.lit(1)),
+                F.when(key % 10 == 7, "AT").otherwise(
+                    F.substring(F.lit("ACGT"), ((key + 1) % 4 + 1).cast("int"), F.lit(1))
+                ),
+            ).alias("alleles"),
         )
 
 
@@ -197,14 +203,14 @@ obs AS (
 genotype AS (
   SELECT CAST(o_custkey AS VARCHAR) AS person_id, 'v' || CAST(l_partkey AS VARCHAR) AS variant_id,
     CAST(1 + l_partkey % 22 AS VARCHAR) AS chromosome, (l_partkey + 1) * 10000 AS position,
-    LEAST(2, COUNT(*)) AS dosage, MAX(l_linestatus) AS ft
+    LEAST(2, COUNT(*)) AS dosage, CASE WHEN MAX(l_linestatus) = 'O' THEN 'PASS' ELSE 'FAIL' END AS ft
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey
 ),
 annotation AS (
   SELECT 'v' || CAST(p_partkey AS VARCHAR) AS variant_id, CAST(1 + p_partkey % 22 AS VARCHAR) AS chromosome,
     (p_partkey + 1) * 10000 AS position, p_brand AS gene, p_type AS consequence,
     CAST(p_partkey % 100 AS DOUBLE) / 100.0::DOUBLE AS revel, CAST(p_size AS DOUBLE) / 25000.0::DOUBLE AS max_af,
-    p_name AS clinvar_significance
+    p_name AS clinvar_significance, p_partkey % 10 <> 7 AS biallelic
   FROM part
 )
 """
