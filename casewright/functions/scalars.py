@@ -193,7 +193,7 @@ def parameter_hash(parameters: object) -> str:
 
 
 def threshold_label(value: float) -> str:
-    return "p" + f"{value:g}".replace(".", "_")
+    return "p" + f"{value:g}".replace(".", "_").replace("+", "")
 
 
 def threshold_from_label(label: str) -> float:
@@ -203,8 +203,8 @@ def threshold_from_label(label: str) -> float:
 def parse_thresholds(text: str | Iterable[float]) -> list[float]:
     raw = text.split(",") if isinstance(text, str) else list(text)
     values = [float(v) for v in raw if str(v).strip()]
-    if not values or any(not 0 < v <= 1 for v in values):
-        raise ValueError("thresholds must lie in (0, 1]")
+    if not values or any(not 0 <= v <= 1 for v in values):
+        raise ValueError("thresholds must lie in [0, 1]")
     return sorted(set(values))
 
 
