@@ -139,12 +139,14 @@ def _with_effects(m: DataFrame, by: Sequence[str]) -> DataFrame:
     )
     is_cont = F.col("kind") == "continuous"
     log_or = F.log("effect")
-    binary_p = F.when(
-        F.col("_none") | (F.col("n1") == 0) | (F.col("n0") == 0), F.lit(None).cast("double")
-    ).when(
-        F.col("_small"),
-        fisher_p(F.col("k1"), F.col("n1") - F.col("k1"), F.col("k0"), F.col("n0") - F.col("k0")),
-    ).otherwise(two_sided_p(F.sqrt("_chi2")))
+    # the exact test is evaluated only where it is used: other lines pass NULL counts
+    exact = ~is_cont & F.col("_small")
+    cells = (F.col("k1"), F.col("n1") - F.col("k1"), F.col("k0"), F.col("n0") - F.col("k0"))
+    binary_p = (
+        F.when(F.col("_none") | (F.col("n1") == 0) | (F.col("n0") == 0), F.lit(None).cast("double"))
+        .when(F.col("_small"), fisher_p(*[F.when(exact, c) for c in cells]))
+        .otherwise(two_sided_p(F.sqrt("_chi2")))
+    )
     return m.select(
         *by, "kind", "variable", "level",
         F.col("n1").cast("long").alias("n1"), F.col("n0").cast("long").alias("n0"),

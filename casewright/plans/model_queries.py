@@ -628,13 +628,12 @@ cells AS (SELECT bin AS id, g.*, cases AS a, controls AS b, rc AS c, rk AS d FRO
     + fisher_sql("cells")
     + """, o AS (SELECT cells.*, p, ((cases + 0.5) * (d + 0.5)) / CAST((controls + 0.5) * (c + 0.5) AS DOUBLE) AS odds,
   sqrt(1 / CAST(cases + 0.5 AS DOUBLE) + 1 / CAST(controls + 0.5 AS DOUBLE) + 1 / CAST(c + 0.5 AS DOUBLE) + 1 / CAST(d + 0.5 AS DOUBLE)) AS se FROM cells JOIN fish USING (id))
-SELECT bin, n, cases, controls, ROUND(CAST(cases AS DOUBLE) / n, 6) AS prevalence, score_min, score_median, score_max, ROUND(odds, 5) AS odds_ratio_vs_lowest,
+SELECT bin, n, cases, controls, ROUND(CAST(cases AS DOUBLE) / n, 5) AS prevalence, score_min, score_median, score_max, ROUND(odds, 5) AS odds_ratio_vs_lowest,
   ROUND(exp(ln(odds) - 1.96 * se), 5) AS or_ci_low, ROUND(exp(ln(odds) + 1.96 * se), 5) AS or_ci_high, ROUND(p, 5) AS fisher_p_vs_lowest FROM o""",
     decimals=5,
 )
 def deciles(lens: Lens) -> DataFrame:
-    out = metrics.decile_table(risk_scores(lens))
-    return out.withColumn("prevalence", F.round("prevalence", 6)).select(
+    return metrics.decile_table(risk_scores(lens)).select(
         "bin", "n", "cases", "controls", "prevalence", "score_min", "score_median", "score_max", "odds_ratio_vs_lowest",
         "or_ci_low", "or_ci_high", "fisher_p_vs_lowest",
     )

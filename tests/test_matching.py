@@ -17,7 +17,7 @@ SCHEMA = (
 DAY0 = dt.date(2020, 1, 1)
 
 
-def people(seed, n=120, tight=False):
+def people(seed, n=60, tight=False):
     rnd = random.Random(seed)
     rows = []
     for i in range(n):
