@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from casewright.functions.distributions import chi2_from_p, fisher_p, normal_two_sided, two_sided_p
 from casewright.functions.scalars import lenient_double, neg_log10
 from casewright.operators.ranking import benjamini_hochberg, exact_quantiles, global_rank
-from casewright.session import BROADCAST_LIMIT_BYTES, cut_lineage
+from casewright.session import BROADCAST_LIMIT_BYTES, cut_lineage, cut_union
 
 MAX_ITERATIONS = 25
 TOLERANCE = 1e-6
@@ -379,7 +379,7 @@ def _fit_blocked(exposures, design, keys, units, covariates, outcome, fill) -> D
         stepped = sums.join(open_units.select("_unit", "_beta"), "_unit").select(
             F.col("_unit").alias("unit"), F.col("_beta").alias("beta"), *grad, *hess
         )
-        state = cut_lineage(state.filter("_done").unionByName(stepped.mapInPandas(advance, state_schema)))
+        state = cut_union(state.filter("_done"), stepped.mapInPandas(advance, state_schema))
     n = placed.count()
     beta = F.when(F.col("_ok"), F.get("_beta", F.lit(k - 1)))
     fitted = state.select(

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casewright.functions.scalars import age_at, lenient_date, lenient_double, observation_midpoint, truthy
 from casewright.rules import MatchRules
-from casewright.session import cut_lineage
+from casewright.session import cut_lineage, cut_union
 
 STRATUM_LIMIT = 100_000  # people of one stratum matched inside one task
 CHUNK_LIMIT = 20_000  # controls, and cases, of one chunk
@@ -309,11 +309,10 @@ def _rounds(cases: DataFrame, controls: DataFrame, rules: MatchRules, chunk: int
             held = active.groupBy("control_id").agg(F.min("case_order").alias("held_by"))
             fresh = cut_lineage(listed(short, held))
             refilled = fresh.groupBy("case_id").agg((F.count(F.lit(1)) >= list_len).alias("more"))
-            edges = cut_lineage(edges.join(short, "case_id", "left_anti").unionByName(fresh))
-            full = cut_lineage(
-                full.join(short, "case_id", "left_anti").unionByName(
-                    short.select("case_id").join(refilled, "case_id", "left").na.fill(False, ["more"])
-                )
+            edges = cut_union(edges.join(short, "case_id", "left_anti"), fresh)
+            full = cut_union(
+                full.join(short, "case_id", "left_anti"),
+                short.select("case_id").join(refilled, "case_id", "left").na.fill(False, ["more"]),
             )
             continue
         if not (rules.require_complete and rules.minimum_controls > 1):
@@ -330,7 +329,7 @@ def _rounds(cases: DataFrame, controls: DataFrame, rules: MatchRules, chunk: int
         if failing.isEmpty():
             break
         gone = failing.select("case_id")
-        dropped = cut_lineage(gone if dropped is None else dropped.unionByName(gone))
+        dropped = gone if dropped is None else cut_union(dropped, gone)
         later = cases.join(failing.select("stratum", "cut"), "stratum").filter(F.col("case_order") > F.col("cut")).drop("cut")
         later = cut_lineage(later.join(dropped, "case_id", "left_anti"))
         settled = edges.join(dropped, "case_id", "left_anti").join(later, "case_id", "left_anti")
@@ -338,11 +337,10 @@ def _rounds(cases: DataFrame, controls: DataFrame, rules: MatchRules, chunk: int
         held = active.groupBy("control_id").agg(F.min("case_order").alias("held_by"))
         fresh = cut_lineage(listed(later, held))
         refilled = fresh.groupBy("case_id").agg((F.count(F.lit(1)) >= list_len).alias("more"))
-        edges = cut_lineage(settled.unionByName(fresh))
-        full = cut_lineage(
-            full.join(later, "case_id", "left_anti").unionByName(
-                later.select("case_id").join(refilled, "case_id", "left").na.fill(False, ["more"])
-            )
+        edges = cut_union(settled, fresh)
+        full = cut_union(
+            full.join(later, "case_id", "left_anti"),
+            later.select("case_id").join(refilled, "case_id", "left").na.fill(False, ["more"]),
         )
     final = edges.withColumn("match_rank", F.row_number().over(preference)).filter(F.col("match_rank") <= k)
     return final.select("case_id", "control_id", "match_rank", "age_at_case_index")

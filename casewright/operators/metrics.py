@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casewright.functions.distributions import fisher_p, two_sided_p
 from casewright.operators.ranking import exact_quantiles, global_rank, global_scan
-from casewright.session import cut_lineage
+from casewright.session import cut_lineage, cut_union
 
 
 def _same(left: str, right: str, groups: Sequence[str]) -> Column | list[Column]:
@@ -277,7 +277,7 @@ def two_parameter_logistic(data: DataFrame, x: str, groups: Sequence[str] = (),
             F.sqrt(F.col("h11") / d).alias("se0"), F.sqrt(F.col("h00") / d).alias("se1"),
             F.coalesce(small | ~good, F.lit(True)).alias("done"), F.coalesce(small & good, F.lit(False)).alias("ok"),
         )
-        state = cut_lineage(state.filter("done").unionByName(moved))
+        state = cut_union(state.filter("done"), moved)
     keep = lambda c: F.when(F.col("ok"), F.col(c))
     return state.select(
         *groups, "n_samples", keep("b0").alias("intercept"), keep("b1").alias("beta"), keep("se1").alias("se")

@@ -13,7 +13,7 @@ from casewright.operators.metrics import discrimination, effect_per_sd
 from casewright.operators.predicates import require_columns
 from casewright.operators.ranking import global_rank
 from casewright.operators.skew import salted_lookup
-from casewright.session import cut_lineage
+from casewright.session import cut_lineage, cut_union
 
 
 def valid_weights(gwas: DataFrame) -> DataFrame:
@@ -172,8 +172,8 @@ def ld_select(
             .select(F.col("_b.lead").alias("lead"), "variant_id", F.col("_b.r2").alias("r2"))
         )
         kept = leads.select(F.col("variant_id").alias("lead"), "variant_id", F.lit(1.0).alias("r2"))
-        step = cut_lineage(kept.unionByName(dropped))
-        chosen = step if chosen is None else cut_lineage(chosen.unionByName(step))
+        step = cut_union(kept, dropped)
+        chosen = step if chosen is None else cut_union(chosen, step)
         open_ = cut_lineage(open_.join(step.select("variant_id"), "variant_id", "left_anti"))
     else:
         raise RuntimeError("LD rounds did not settle")

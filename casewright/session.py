@@ -1,9 +1,10 @@
-"""Session helpers: a local session for tests and the lineage-cut used by iterative operators."""
+"""Session helpers: a local session for tests and the lineage cut used by iterative operators."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,23 +27,36 @@ def local_session(app: str = "casewright", cpus: str = "*", shuffle_partitions:
     )
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables: the cluster's ``spark.checkpoint.dir``; a temporary one in local mode."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
-        sc.setCheckpointDir(shared)
-        return
-    if not sc.master.startswith("local"):
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-casewright-"))
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="run-casewright-")
+    return _LOCAL_FOLDERS[app]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder, so a lost executor never restarts a loop."""
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and read it back, so a lost executor never restarts a loop.
+
+    A written table is used rather than ``checkpoint()``: a checkpointed frame keeps the constraints of its
+    plan, which multiply in a loop until planning stalls, and a table also brings true sizes for join choices.
+    """
+    spark = df.sparkSession
+    path = f"{_shared_folder(spark)}/casewright-{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_union(left: DataFrame, right: DataFrame) -> DataFrame:
+    return cut_lineage(left.unionByName(right))
 
 
 def parallelism(spark: SparkSession) -> int:
