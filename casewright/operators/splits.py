@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from casewright.functions.scalars import category_or_missing, hash_hex, normalised_category
 from casewright.operators.predicates import select_available
 from casewright.operators.ranking import global_rank
+from casewright.session import cut_lineage
 
 
 def _test_count(n: Column, train_fraction: float) -> Column:
@@ -48,7 +49,8 @@ def stratified_splits(
 ) -> DataFrame:
     """Cases and controls are split separately, each in hash order of the person id."""
     hashed = people.withColumn("_hash", hash_hex("person_id"))
-    slim = hashed.select("person_id", outcome, "_hash").filter(F.col(outcome).isin(0, 1))
+    # read three times below: totals, rank and offsets
+    slim = cut_lineage(hashed.select("person_id", outcome, "_hash").filter(F.col(outcome).isin(0, 1)))
     totals = slim.groupBy(outcome).agg(F.count(F.lit(1)).alias("_total"))
     ranked = global_rank(slim, [F.col("_hash"), F.col("person_id")], "_rank", groups=[outcome]).join(
         F.broadcast(totals), outcome  # two rows

@@ -27,9 +27,6 @@ from casewright.rules import IncidentRules, MatchRules, PhenotypeRules
 from casewright.session import cut_lineage
 from casewright.sources.tables import write_manifest, write_table
 
-CLINICAL_FLAGS = ("sepsis", "renal_injury", "crush_injury")
-
-
 def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], folder: str, config: dict) -> dict[str, str]:
     paths = {name: write_table(df, f"{folder}/{name}.parquet") for name, df in tables.items()}
     counts = {name: spark.read.parquet(path).count() for name, path in paths.items()}
@@ -46,7 +43,8 @@ def case_control(
     pool = built if universe is None else samples.restrict_to_ids(built, universe)
     names = rules.cofactor_names
     flags = [c for n in names for c in (n, *[f"{p}_{n}" for p in anchors.ANCHORED_PREFIXES])]
-    pairs = matching.match_case_controls(pool, match).drop(*flags)
+    # the matched rows are judged again, now against the inherited index dates
+    pairs = matching.match_case_controls(pool, match).drop(*[c for c in flags if c not in names])
     events = cohort.cofactor_events(conditions, rules)
     matched = cut_lineage(splits.eligibility_flags(splits.group_splits(anchors.anchored_flags(pairs, events, names))))
     role = F.when(F.col("analysis_case") == 1, "matched_cases").otherwise("matched_controls")

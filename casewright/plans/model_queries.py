@@ -291,7 +291,7 @@ def table1_formatted(lens: Lens) -> DataFrame:
 
 @query("incident_table1")
 def incident_table1(lens: Lens) -> DataFrame:
-    people = incident_cohort(lens).filter("case_control_eligible = 1")
+    people = cut_lineage(incident_cohort(lens).filter("case_control_eligible = 1"))
     rows = splits.stratified_splits(people)
     return describe.format_two_group(
         describe.two_group_table(
@@ -716,7 +716,7 @@ def clinical_cv(lens: Lens) -> DataFrame:
 
 @query("incident_model_metrics")
 def incident_model(lens: Lens) -> DataFrame:
-    people = incident_cohort(lens).filter("case_control_eligible = 1")
+    people = cut_lineage(incident_cohort(lens).filter("case_control_eligible = 1"))
     rows = splits.stratified_splits(people).withColumns(
         {"model_sex_category": F.col("sex_category"), "model_ancestry_pred": F.lower("ancestry_pred")}
     )
