@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from casewright.functions.distributions import chi2_from_p, fisher_p, normal_two_sided, two_sided_p
 from casewright.functions.scalars import lenient_double, neg_log10
 from casewright.operators.ranking import benjamini_hochberg, exact_quantiles, global_rank
+from casewright.operators.skew import salted_lookup
 from casewright.session import BROADCAST_LIMIT_BYTES, cut_lineage, cut_union
 
 MAX_ITERATIONS = 25
@@ -78,12 +79,14 @@ def carrier_tests(
     totals = people.groupBy(*comparison).agg(
         F.count_if(F.col("_y") == 1).alias("n_cases"), F.count_if(F.col("_y") == 0).alias("n_controls")
     )
-    carriers = (
+    carrying = (
         exposures.filter(F.col("dosage") >= threshold)
-        .withColumn("person_id", F.col("person_id").cast("string"))
-        .groupBy(*units, "person_id")
-        .agg(F.lit(1).alias("_one"))
-        .join(people, "person_id")
+        .select(*units, F.col("person_id").cast("string").alias("person_id"))
+        .distinct()
+    )
+    carriers = (
+        # salted: one person may carry a large share of all units
+        salted_lookup(carrying, people, "person_id", units[-1])
         .groupBy(*comparison, *units)
         .agg(
             F.count_if(F.col("_y") == 1).alias("case_carriers"), F.count_if(F.col("_y") == 0).alias("control_carriers")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from casewright.functions.distributions import hwe_p
 from casewright.functions.scalars import interval_text, lenient_double, variant_key
 from casewright.operators.ranking import global_scan
+from casewright.operators.skew import salted_lookup
 
 BASES = ("A", "C", "G", "T")
 PASS_FILTERS = ("", ".", "PASS")
@@ -85,8 +86,8 @@ def variant_stats(
         }.items()
     }
     agg = (
-        genotypes.select("variant_id", "person_id", "n_alt")
-        .join(people, "person_id")
+        # salted: one sample may hold a large share of the calls
+        salted_lookup(genotypes.select("variant_id", "person_id", "n_alt"), people, "person_id", "variant_id")
         .groupBy("variant_id")
         .agg(
             F.sum("n_alt").alias("ac"),

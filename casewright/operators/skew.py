@@ -10,8 +10,8 @@ SALTS = 16
 def salted_lookup(fact: DataFrame, lookup: DataFrame, key: str, salt_by: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
     """``fact ⋈ lookup`` on ``key`` with the fact side spread over ``salts`` tasks per key.
 
-    ``lookup`` has one row per key, so repeating it ``salts`` times is small next to the fact table. AQE
-    still splits whatever remains uneven, or broadcasts the lookup when it measures it as small.
+    ``lookup`` has one row (or a few) per key, so repeating it ``salts`` times is small next to the fact
+    table. AQE still splits whatever remains uneven, or broadcasts the lookup when it measures it as small.
     """
     left = fact.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
     right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from casewright.operators import anchors, cohort, describe, genotypes, matching, metrics, models, samples, scores, splits
+from casewright.operators.ranking import global_rank
 from casewright.plans.cohort_queries import COFACTOR_SQL, TIER_SQL, _anchored_sql, tiered
 from casewright.plans.genotype_queries import SAMPLE_SQL, called, fisher_sql, sample
 from casewright.plans.incident_queries import INCIDENT_SQL, cohort as incident_cohort
@@ -500,11 +501,12 @@ v AS (SELECT pq.lead, pq.variant_id, CAST(nn.n - COALESCE(a.m, 0) - COALESCE(b.m
 SELECT lead, variant_id, CASE WHEN (n * sxx - sx * sx) * (n * syy - sy * sy) > 0 THEN ROUND((n * xy - sx * sy) * (n * xy - sx * sy) / ((n * sxx - sx * sx) * (n * syy - sy * sy)), 6) END AS r2 FROM v""",
 )
 def adjacent_r2(lens: Lens) -> DataFrame:
-    from pyspark.sql import Window
-
     people = sample(lens)
-    nxt = F.lead("variant_id").over(Window.partitionBy("chromosome").orderBy("position"))
-    pairs = lens.annotation.select(F.col("variant_id").alias("lead"), nxt.alias("variant_id")).filter("variant_id is not null")
+    placed = cut_lineage(
+        global_rank(lens.annotation.select("variant_id", "chromosome", "position"), [F.col("position"), F.col("variant_id")], "k", ["chromosome"])
+    )
+    before = placed.select("chromosome", (F.col("k") + 1).alias("k"), F.col("variant_id").alias("lead"))
+    pairs = placed.join(before, ["chromosome", "k"]).select("lead", "variant_id")
     calls = called(lens).join(people.select("person_id"), "person_id", "left_semi")
     return scores.pair_r2(pairs, calls, people.count())
 
