@@ -22,7 +22,7 @@ START, END = "<|im_start|>", "<|im_end|>"
 
 
 def escaped(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), r"<(\\*)\|", r"<$1\\\\|")
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"<(\\*)\|", r"<$1\\|")
 
 
 def unescaped(text: Column) -> Column:

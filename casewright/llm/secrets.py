@@ -101,9 +101,12 @@ def findings(versions: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
 
 def listed(found: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """All spans as ``kind:start:end``, by start, then kind in the rules' order, comma-joined."""
-    tagged = [F.transform(found[r.name], lambda s, k=k: F.struct(s["start"].alias("start"), F.lit(k).alias("k"), s["end"].alias("end"))) for k, r in enumerate(rules)]
+
+    def tagged(k: int) -> Column:
+        return F.transform(found[rules[k].name], lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("k"), s["end"].alias("end")))
+
     names = F.array(*(F.lit(r.name) for r in rules))
-    return F.array_join(F.transform(F.array_sort(F.concat(*tagged)), lambda s: F.concat_ws(":", names[s["k"]], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return F.array_join(F.transform(F.array_sort(F.concat(*map(tagged, range(len(rules))))), lambda s: F.concat_ws(":", names[s["k"]], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
 def redacted(text: Column, found: Column, mark: str = "[SECRET]", rules: tuple[Rule, ...] = RULES) -> Column:
