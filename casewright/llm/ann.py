@@ -30,7 +30,7 @@ from casewright.llm.shared import by_rows, cut_lineage
 CODES = 16
 FIT_ROWS = 8192
 #: Share of all entries that a query's cells must hold. Recall is measured in tests/llm.
-SHARE = 0.65
+SHARE = 0.7
 UNIT = 2048
 BLOCK = 512
 

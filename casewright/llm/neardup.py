@@ -222,12 +222,12 @@ def _unsettled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
 def _strangers(first: int, end: int):
     """In each (bucket, block of askers, block of others): every asker's strangers among its nearest ``first`` to ``end``.
 
-    A row without ids says that a stranger lies beyond.
+    ``more`` says that a stranger lies beyond.
     """
     least = math.ceil(LEAST_SHARE * COORDINATES)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        out: set[tuple] = set()
+        out: set[tuple[int, int, bool]] = set()
         for _, rows in group.sort_values(["bucket", "i", "t", "node"]).groupby(["bucket", "i", "t"], sort=False):
             sig, node, comp = np.array(rows["signature"].tolist()), rows["node"].to_numpy(), rows["comp"].to_numpy()
             for i in np.flatnonzero(rows["asking"].to_numpy()):
@@ -235,10 +235,10 @@ def _strangers(first: int, end: int):
                 near = np.flatnonzero((share >= least) & (node != node[i]))
                 near = near[np.lexsort((node[near], -share[near]))]
                 strange = comp[near] != comp[i]
-                out.update((int(min(node[i], node[j])), int(max(node[i], node[j]))) for j in near[first:end][strange[first:end]])
+                out.update((int(min(node[i], node[j])), int(max(node[i], node[j])), False) for j in near[first:end][strange[first:end]])
                 if strange[end:].any():
-                    out.add((None, None))
-        return pd.DataFrame(list(out), columns=["a", "b"]).astype("Int64")
+                    out.add((0, 0, True))
+        return pd.DataFrame({n: np.array([x[k] for x in out], dtype=t) for k, (n, t) in enumerate((("a", "i8"), ("b", "i8"), ("more", "?")))})
 
     return run
 
@@ -256,7 +256,7 @@ def _asked(mixed: DataFrame, signed: DataFrame, first: int, end: int) -> DataFra
     rows = ask.unionByName(told).join(signed.select("node", "signature"), "node")
     shards = max(1, -(-mixed.count() // 1024))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("bucket", "i", "t"), F.lit(shards)))
-    return rows.groupBy("shard").applyInPandas(_strangers(first, end), "a bigint, b bigint")
+    return rows.groupBy("shard").applyInPandas(_strangers(first, end), "a bigint, b bigint, more boolean")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -298,7 +298,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
             asked = cut_lineage(_asked(mixed, signed, first, first + width).distinct())
             if asked.isEmpty():
                 break
-            led = asked.where("a is not null")
+            led = asked.where("NOT more").select("a", "b")
     whole = signed.select("node", "doc_id").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = cut_lineage(whole.groupBy("comp").agg(F.min("doc_id").alias("class_id")))
     both = links.select(F.col("a").alias("node"), F.col("b").alias("to")).unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("to"))).distinct()
@@ -312,6 +312,6 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
 def kept(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each class, the one whose id names the class; of rows equal in id and text, one."""
     found = classes(docs, doc_id, text, threshold).where("doc_id = class_id")
-    chosen = cut_lineage(found.groupBy("class_id").agg(F.min("body").alias("_body")).select(F.col("class_id").alias("_id"), "_body"))
-    keyed = docs.withColumn("_id", F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63)))).withColumn("_body", F.xxhash64(F.col(text)))
-    return keyed.join(chosen, ["_id", "_body"]).dropDuplicates(["_id", "_body"]).select(*docs.columns)
+    chosen = cut_lineage(found.groupBy("class_id").agg(F.min("body").alias("body")).withColumnRenamed("class_id", "id"))
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63))).alias("id"), F.xxhash64(F.col(text)).alias("body"))
+    return keyed.join(chosen, ["id", "body"]).dropDuplicates(["id", "body"]).select("row.*")

@@ -83,20 +83,21 @@ def scan(versions: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULE
     return cut_lineage(found.select("blob_id", "f.rule", "f.rule_version", "f.spans"))
 
 
-def findings(versions: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """``versions`` with a column ``_found`` (one struct field of spans for each rule), and the ledger's new rows.
+def findings(versions: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None, carry: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(row, found)`` for each row of ``versions``, and the ledger's new rows.
 
-    Most blobs have no finding: only blobs with one are joined to the paths, the others get empty lists.
+    ``row`` is a struct of the ``carry`` columns (None: all), ``found`` one of each rule's spans. Most blobs have no
+    finding: only blobs with one are joined to the paths, the others get empty lists.
     """
     new = scan(versions, text, rules, ledger)
     known = new if ledger is None else new.unionByName(ledger.select(new.columns))
     current = " OR ".join(f"(rule = '{r.name}' AND rule_version = {r.version})" for r in rules)
     lists = [F.first(F.when(F.col("rule") == r.name, F.col("spans")), ignorenulls=True).alias(r.name) for r in rules]
     by_blob = cut_lineage(known.where(current).where(F.size("spans") > 0).groupBy("blob_id").agg(*lists))
-    by_blob = by_blob.select(F.col("blob_id").alias("_blob"), F.struct(*(F.coalesce(F.col(r.name), F.array().cast(SPANS)).alias(r.name) for r in rules)).alias("_found"))
+    by_blob = by_blob.select("blob_id", F.struct(*(F.coalesce(F.col(r.name), F.array().cast(SPANS)).alias(r.name) for r in rules)).alias("found"))
     none = F.struct(*(F.array().cast(SPANS).alias(r.name) for r in rules))
-    joined = versions.withColumn("_blob", blob_id(F.col(text))).join(by_blob, "_blob", "left").drop("_blob")
-    return joined.withColumn("_found", F.coalesce("_found", none)), new
+    rows = versions.select(F.struct(*(carry or versions.columns)).alias("row"), blob_id(F.col(text)).alias("blob_id"))
+    return rows.join(by_blob, "blob_id", "left").select("row", F.coalesce("found", none).alias("found")), new
 
 
 def listed(found: Column, rules: tuple[Rule, ...] = RULES) -> Column:

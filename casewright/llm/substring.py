@@ -21,7 +21,7 @@ and a stretch is all that a document streams past a shard.
 
 Defined results: a null text has no words; words are runs of anything but space and U+0009 to U+000D, unchanged;
 documents shorter than the window lose nothing; equal rows are separate places, so each of them loses its repeated
-windows; a null id is kept; an empty table gives an empty result; other columns pass through untouched.
+windows; a null id is kept; an empty table gives an empty result; other columns pass through untouched, in a struct.
 """
 
 from __future__ import annotations
@@ -316,15 +316,16 @@ def repeated_windows(docs: DataFrame, doc: str, text: str = "text", window: int
 
 
 def clean(docs: DataFrame, doc: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``docs`` with ``_words`` (their number), ``_removed`` and ``_kept`` (the kept words joined by one space)."""
-    spans = repeated_windows(docs, doc, text, window, gram).select(F.col("doc").alias("_doc"), F.col("body").alias("_body"), F.col("spans").alias("_spans"))
-    joined = docs.join(spans, F.col(doc).eqNullSafe(F.col("_doc")) & (F.xxhash64(F.col(text)) == F.col("_body")), "left").drop("_doc", "_body")
+    """``(row, words, removed, kept)``: each row of ``docs`` as a struct, its number of words, how many were removed, and the kept words joined by one space."""
+    spans = repeated_windows(docs, doc, text, window, gram)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc).cast("bigint").alias("doc"), F.xxhash64(F.col(text)).alias("body"))
+    joined = rows.alias("r").join(spans.alias("s"), F.col("r.doc").eqNullSafe(F.col("s.doc")) & (F.col("r.body") == F.col("s.body")), "left")
     # native, so the other columns need not pass through Python
-    inner = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
-    whole = joined.withColumn("_all", F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x20\x09-\x0D]+", -1)))
-    return whole.select(*docs.columns, F.size("_all").cast("bigint").alias("_words"), _kept(F.col("_all"), F.col("_spans")).alias("_kept_words")).select(
-        *docs.columns, "_words", (F.col("_words") - F.size("_kept_words")).alias("_removed"), F.array_join("_kept_words", " ").alias("_kept")
-    )
+    inner = F.btrim(F.coalesce(F.col("row")[text], F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    words = F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x20\x09-\x0D]+", -1))
+    whole = joined.select("row", "spans", words.alias("all"))
+    whole = whole.select("row", F.size("all").cast("bigint").alias("words"), _kept(F.col("all"), F.col("spans")).alias("left"))
+    return whole.select("row", "words", (F.col("words") - F.size("left")).alias("removed"), F.array_join("left", " ").alias("kept"))
 
 
 def _kept(words: Column, spans: Column) -> Column:

@@ -9,7 +9,7 @@ holds half of the letters; ``n_chars`` follows a changed text; an empty table pa
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from casewright.llm import langid, neardup, queries, secrets, substring
 from casewright.llm.shared import cut_lineage
@@ -30,23 +30,23 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the windows of words that start anywhere else; one that loses nothing keeps its text as it is."""
     cleaned = substring.clean(docs)
-    text = F.when(F.col("_removed") > 0, F.col("_kept")).otherwise(F.col("text"))
-    return _with_text(cleaned.withColumn("text", text), docs)
+    return _with_text(cleaned, F.when(F.col("removed") > 0, F.col("kept")).otherwise(F.col("row.text")), docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found, _ = secrets.findings(docs)
-    return _with_text(found.withColumn("text", secrets.redacted(F.col("text"), F.col("_found"))), docs)
+    return _with_text(found, secrets.redacted(F.col("row.text"), F.col("found")), docs)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return queries.pieces(docs)
 
 
-def _with_text(changed: DataFrame, docs: DataFrame) -> DataFrame:
-    if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return changed.select(*docs.columns)
+def _with_text(rows: DataFrame, text: Column, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from the struct ``row``, with another text and its length."""
+    changed = rows.select("row", text.alias("text"))
+    new = {"text": F.col("text"), "n_chars": F.length("text")}
+    return changed.select(*((new[f.name].cast(f.dataType) if f.name in new else F.col("row")[f.name]).alias(f.name) for f in docs.schema))
 
 
 STAGES = [
