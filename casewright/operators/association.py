@@ -123,7 +123,7 @@ def with_fisher(counts: DataFrame) -> DataFrame:
 
 # Regression --------------------------------------------------------------------------------------
 
-RESULT_FIELDS = "beta double, se double, regression_p double, n_samples long"
+RESULT_FIELDS = "beta double, se double, regression_p double, n_samples long, converged boolean"
 
 
 def _solve(gram: np.ndarray, rhs: np.ndarray) -> np.ndarray | None:
@@ -186,7 +186,8 @@ def logistic_per_unit(
 
     Absent covariates are skipped. People without an exposure row count as 0, or as the unit's ``fill`` value
     (mean imputation for dense calls). A result is NULL when n ≤ parameters, one class only, or no convergence.
-    With ``comparison`` the sample holds several comparison sets and every unit is fitted in each.
+    ``converged`` tells such rows apart. With ``comparison`` the sample holds several comparison sets and every unit
+    is fitted in each. Both paths start Newton from the covariate-only fit and take the same steps.
 
     Design matrices inside ``broadcast_limit`` are broadcast and each unit is fitted in one pass. A larger
     cohort is cut into blocks of people and every Newton step is a grouped sum over blocks.
@@ -205,7 +206,7 @@ def logistic_per_unit(
                 null = F.lit(None).cast("double")
                 part = keys.select(
                     *units, null.alias("beta"), null.alias("se"), null.alias("regression_p"),
-                    F.lit(row["n"]).cast("long").alias("n_samples"),
+                    F.lit(row["n"]).cast("long").alias("n_samples"), F.lit(False).alias("converged"),
                 )
             else:
                 part = _fit_blocked(exposures, one, keys, units, covariates, outcome, fill)
@@ -229,7 +230,7 @@ def _fit_broadcast(exposures, design, keys, units, covariates, outcome, fill) ->
         base = np.column_stack([np.ones(len(frame)), *[frame[c].to_numpy(float) for c in covariates]])
         usable = len(y) > base.shape[1] + 1 and len(np.unique(y)) == 2
         null_fit = newton_logistic(base, y, np.zeros(base.shape[1])) if usable else None
-        start = np.append(null_fit[0] if null_fit else np.zeros(base.shape[1]), 0.0)
+        start = np.append(null_fit[0] if null_fit else np.zeros(base.shape[1]), 0.0)  # as _null_fit does in blocks
         designs[label] = (base, y, start, usable)
         indexes.append(
             pd.DataFrame({"_set": label, "person_id": frame["person_id"], "_i": np.arange(len(frame), dtype="int64")})
@@ -267,11 +268,10 @@ def _fit_broadcast(exposures, design, keys, units, covariates, outcome, fill) ->
                 if idx is not None and len(idx):
                     x[np.asarray(idx, dtype=int), at] = xs
                 fitted = newton_logistic(x, y, start) if usable and np.ptp(x[:, at]) > 0 else None
-                out.append((*wald(*fitted, at), len(y)) if fitted else (None, None, None, len(y)))
+                out.append((*wald(*fitted, at), len(y), True) if fitted else (None, None, None, len(y), False))
             result = pdf[["_set", *units]].copy()
-            result[["beta", "se", "regression_p", "n_samples"]] = pd.DataFrame(out, index=result.index, dtype=float)
-            result["n_samples"] = result["n_samples"].astype("int64")
-            yield result
+            result[["beta", "se", "regression_p", "n_samples", "converged"]] = pd.DataFrame(out, index=result.index, dtype=float)
+            yield result.astype({"n_samples": "int64", "converged": bool})
 
     fitted = rows.mapInPandas(fit, schema)
     return fitted.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("beta", "se", "regression_p")})
@@ -353,10 +353,10 @@ def _fit_blocked(exposures, design, keys, units, covariates, outcome, fill) -> D
             frame.insert(0, "_unit", pdf["unit"].to_numpy())
             yield frame
 
-    zero = F.array(*[F.lit(0.0)] * k)
+    start = F.array(*[F.lit(float(b)) for b in _null_fit(placed, k - 1)], F.lit(0.0))
     state = cut_lineage(
         keyed.select("_unit").select(
-            "_unit", zero.alias("_beta"), F.lit(None).cast("double").alias("_se"), F.lit(False).alias("_done"),
+            "_unit", start.alias("_beta"), F.lit(None).cast("double").alias("_se"), F.lit(False).alias("_done"),
             F.lit(False).alias("_ok"),
         )
     )
@@ -386,15 +386,47 @@ def _fit_blocked(exposures, design, keys, units, covariates, outcome, fill) -> D
     n = placed.count()
     beta = F.when(F.col("_ok"), F.get("_beta", F.lit(k - 1)))
     fitted = state.select(
-        "_unit", beta.alias("beta"), F.when(F.col("_ok"), F.col("_se")).alias("se"), F.lit(n).cast("long").alias("n_samples")
+        "_unit", beta.alias("beta"), F.when(F.col("_ok"), F.col("_se")).alias("se"), F.lit(n).cast("long").alias("n_samples"),
+        F.col("_ok").alias("converged"),
     )
     return (
         keyed.join(fitted, "_unit")
         .withColumn("regression_p", two_sided_p(F.col("beta") / F.col("se")))
-        .select(*units, "beta", "se", "regression_p", "n_samples")
+        .select(*units, "beta", "se", "regression_p", "n_samples", "converged")
     )
 
 
+def _null_fit(placed: DataFrame, k: int) -> np.ndarray:
+    """Newton coefficients of the covariates alone, by sums over blocks of people; zeros if they do not converge."""
+    upper = np.triu_indices(k)
+    names = [f"s{i}" for i in range(k + len(upper[0]))]
+    beta = np.zeros(k)
+    for _ in range(MAX_ITERATIONS):
+        shared = beta.copy()
+
+        def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros(len(names))
+            for pdf in batches:
+                x, y = np.vstack(pdf["_row"].to_numpy()), pdf["_y"].to_numpy(float)
+                p = 1.0 / (1.0 + np.exp(-np.clip(x @ shared, -40, 40)))
+                info = x.T @ (x * (p * (1 - p))[:, None])
+                total += np.concatenate([x.T @ (y - p), info[upper]])
+            yield pd.DataFrame([total], columns=names)
+
+        parts = placed.select("_y", "_row").mapInPandas(sums, ", ".join(f"{n} double" for n in names))
+        total = np.array(parts.agg(*[F.sum(n).alias(n) for n in names]).first(), dtype=float)
+        info = np.zeros((k, k))
+        info[upper] = total[k:]
+        info = info + np.triu(info, 1).T
+        step = _solve(info, total[:k])
+        if step is None:
+            break
+        beta = beta + step
+        if np.abs(step).max() < TOLERANCE:
+            return beta if np.linalg.cond(info) < 1e12 else np.zeros(k)
+    return np.zeros(k)
+
+
 def stable_covariates(sample: DataFrame, covariates: Sequence[str], outcome: str = "outcome") -> tuple[list[str], list[str]]:
     """(kept, dropped): constant columns go, and 0/1 columns whose 1 lacks cases or controls."""
     present = [c for c in covariates if c in sample.columns]

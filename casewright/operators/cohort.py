@@ -17,8 +17,8 @@ from casewright.functions.scalars import (
     vector_elements,
 )
 from casewright.operators.anchors import anchored_flags
-from casewright.operators.predicates import concept_matches, rule_matches, value_at_least, within_days
-from casewright.rules import PhenotypeRules, TierRule
+from casewright.operators.predicates import rule_matches, value_at_least, within_days
+from casewright.rules import PhenotypeRules, Tier
 
 
 def observation_windows(periods: DataFrame) -> DataFrame:
@@ -99,40 +99,40 @@ def denominator_counts(conditions: DataFrame) -> DataFrame:
     )
 
 
-def measurement_days(measurements: DataFrame, rule: TierRule) -> DataFrame:
+def measurement_days(measurements: DataFrame, rule: Tier) -> DataFrame:
     """Rule-matching lab readings, one row per (person, day) with the day's highest value."""
-    match = concept_matches(rule.measurement_ids, rule.measurement_terms)
+    match = rule_matches(rule.reading.concepts)
     return (
-        measurements.filter(match & value_at_least(F.col("value"), rule.measurement_min))
+        measurements.filter(match & value_at_least(F.col("value"), rule.reading.least))
         .groupBy("person_id", "event_date")
         .agg(F.max(lenient_double("value")).alias("value"))
     )
 
 
-def _condition_first(conditions: DataFrame, rule: TierRule) -> DataFrame:
+def _condition_first(conditions: DataFrame, rule: Tier) -> DataFrame:
     return (
-        conditions.filter(concept_matches(rule.condition_ids, rule.condition_terms))
+        conditions.filter(rule_matches(rule.conditions))
         .groupBy("person_id")
         .agg(F.min("event_date").alias("condition_date"))
     )
 
 
-def tier_hits(conditions: DataFrame, measurements: DataFrame, rule: TierRule) -> DataFrame:
+def tier_hits(conditions: DataFrame, measurements: DataFrame, rule: Tier) -> DataFrame:
     """(person_id, condition_date, measurement_date, measurement_value) for one rule.
 
     Both required: the anchor is the first condition date, the lab date and value are MIN and MAX
     inside the directional window. Neither required: both sides are kept by a full outer join.
     """
     no_date, no_value = F.lit(None).cast("date"), F.lit(None).cast("double")
-    if rule.require_condition and not rule.require_measurement:
+    if rule.evidence.condition and not rule.evidence.lab:
         return _condition_first(conditions, rule).select(
             "person_id", "condition_date", no_date.alias("measurement_date"), no_value.alias("measurement_value")
         )
     days = measurement_days(measurements, rule)
     summary = [F.min("event_date").alias("measurement_date"), F.max("value").alias("measurement_value")]
-    if not rule.require_condition:
+    if not rule.evidence.condition:
         lab = days.groupBy("person_id").agg(*summary)
-        if rule.require_measurement:
+        if rule.evidence.lab:
             return lab.select("person_id", no_date.alias("condition_date"), "measurement_date", "measurement_value")
         return _condition_first(conditions, rule).join(lab, "person_id", "full").select(
             "person_id", "condition_date", "measurement_date", "measurement_value"
@@ -140,20 +140,20 @@ def tier_hits(conditions: DataFrame, measurements: DataFrame, rule: TierRule) ->
     return (
         _condition_first(conditions, rule)
         .join(days, "person_id")
-        .filter(within_days(F.col("event_date"), F.col("condition_date"), rule.window_start_days, rule.window_end_days))
+        .filter(within_days(F.col("event_date"), F.col("condition_date"), rule.window.first, rule.window.last))
         .groupBy("person_id", "condition_date")
         .agg(*summary)
     )
 
 
-def _hit_columns(rule: TierRule, prefix: str) -> dict[str, Column]:
+def _hit_columns(rule: Tier, prefix: str) -> dict[str, Column]:
     cond, meas = F.col(f"{prefix}_condition_date"), F.col(f"{prefix}_measurement_date")
     hit = F.lit(True)
-    if rule.require_condition:
+    if rule.evidence.condition:
         hit = hit & cond.isNotNull()
-    if rule.require_measurement:
+    if rule.evidence.lab:
         hit = hit & meas.isNotNull()
-    if not rule.require_condition and not rule.require_measurement:
+    if not rule.evidence.condition and not rule.evidence.lab:
         hit = cond.isNotNull() | meas.isNotNull()
     return {
         f"{prefix}_has_condition": cond.isNotNull(),
@@ -163,14 +163,14 @@ def _hit_columns(rule: TierRule, prefix: str) -> dict[str, Column]:
     }
 
 
-def attach_hits(base: DataFrame, hits: DataFrame, rule: TierRule, prefix: str) -> DataFrame:
+def attach_hits(base: DataFrame, hits: DataFrame, rule: Tier, prefix: str) -> DataFrame:
     renamed = hits.select("person_id", *[F.col(c).alias(f"{prefix}_{c}") for c in hits.columns if c != "person_id"])
     return base.join(renamed, "person_id", "left").withColumns(_hit_columns(rule, prefix))
 
 
 def cofactor_events(conditions: DataFrame, rules: PhenotypeRules) -> DataFrame:
     """Distinct (person, cofactor, date), all rules in one scan."""
-    tags = F.array_compact(F.array(*[F.when(rule_matches(r), F.lit(r.name)) for r in rules.cofactors]))
+    tags = F.array_compact(F.array(*[F.when(rule_matches(r), F.lit(r.label)) for r in rules.cofactors]))
     return (
         conditions.filter(F.col("event_date").isNotNull())
         .select("person_id", F.explode(tags).alias("cofactor"), "event_date")
@@ -238,7 +238,7 @@ def finalize_tiers(df: DataFrame, rules: PhenotypeRules) -> DataFrame:
                 ),
                 "eligible_control": (F.col("case_tier") == "control")
                 & ~F.col("control_excluded")
-                & (F.coalesce(F.col("observation_days"), F.lit(-1)) >= rules.min_observation_days),
+                & (F.coalesce(F.col("observation_days"), F.lit(-1)) >= rules.observed_days),
             }
         )
     )
@@ -252,11 +252,13 @@ def condition_rollup(conditions: DataFrame, rules: PhenotypeRules) -> DataFrame:
     """
     source = record_source(conditions)
     tests = {
-        "broad": concept_matches(rules.broad.condition_ids, rules.broad.condition_terms),
-        "definite": concept_matches(rules.definite.condition_ids, rules.definite.condition_terms),
-        "excluded": concept_matches(rules.control_exclusion_ids, ()),
-        **{r.name: rule_matches(r) for r in rules.cofactors},
+        "broad": rule_matches(rules.broad.conditions),
+        "definite": rule_matches(rules.definite.conditions),
+        "excluded": rule_matches(rules.no_controls),
+        **{r.label: rule_matches(r) for r in rules.cofactors},
     }
+    if len(tests) > 62:
+        raise ValueError("at most 59 cofactors fit the day mask")
     bit = {name: 1 << i for i, name in enumerate(tests)}
     mask = F.lit(0)
     for name, test in tests.items():
@@ -278,9 +280,9 @@ def condition_rollup(conditions: DataFrame, rules: PhenotypeRules) -> DataFrame:
     )
 
 
-def _definite_labs(days: DataFrame, first: DataFrame, rule: TierRule) -> DataFrame:
+def _definite_labs(days: DataFrame, first: DataFrame, rule: Tier) -> DataFrame:
     """High readings of the definite rule, overall and inside the window of the first definite condition."""
-    inside = within_days(F.col("event_date"), F.col("_first_definite"), rule.window_start_days, rule.window_end_days)
+    inside = within_days(F.col("event_date"), F.col("_first_definite"), rule.window.first, rule.window.last)
     return (
         days.join(first, "person_id", "left")
         .groupBy("person_id")
@@ -326,9 +328,9 @@ def _attach_rule(base, rule, prefix, conditions, measurements, roll) -> DataFram
     """Use the columns already on ``base`` where the rule allows; otherwise join the rule's own hits."""
     first = F.col(f"_first_{prefix}")
     none_d, none_v = F.lit(None).cast("date"), F.lit(None).cast("double")
-    if rule.require_condition and not rule.require_measurement:
+    if rule.evidence.condition and not rule.evidence.lab:
         cols = (first, none_d, none_v)
-    elif prefix == "definite" and rule.require_condition and rule.require_measurement:
+    elif prefix == "definite" and rule.evidence.condition and rule.evidence.lab:
         hit = F.col("measurement_date").isNotNull()
         cols = (F.when(hit, first), F.col("measurement_date"), F.when(hit, F.col("measurement_value")))
     else:

@@ -129,6 +129,31 @@ def variant_stats(
     )
 
 
+def variant_means(calls: DataFrame, people: DataFrame) -> DataFrame:
+    """(variant_id, mean_dosage) of ``people``'s sparse calls: an absent row is dosage 0, a NULL ``n_alt`` is missing.
+
+    The mean is over the people who have a call, those of dosage 0 included; NULL where nobody has one.
+    """
+    total = people.agg(F.count_distinct("person_id").alias("_n"))
+    held = calls.join(people.select("person_id").distinct(), "person_id", "left_semi")
+    return (
+        held.groupBy("variant_id")
+        .agg(F.coalesce(F.sum(F.col("n_alt").cast("double")), F.lit(0.0)).alias("_s"), F.count_if(F.col("n_alt").isNull()).alias("_m"))
+        .crossJoin(F.broadcast(total))  # one row
+        .select("variant_id", (F.col("_s") / F.nullif(F.col("_n") - F.col("_m"), F.lit(0))).alias("mean_dosage"))
+    )
+
+
+def mean_imputed(calls: DataFrame, people: DataFrame, decimals: int | None = None) -> DataFrame:
+    """(variant_id, person_id, dosage): ``people``'s calls other than 0, missing ones as the variant's mean, rounded to ``decimals``."""
+    held = calls.join(people.select("person_id").distinct(), "person_id", "left_semi").select("variant_id", "person_id", F.col("n_alt").cast("double").alias("_x"))
+    mean = F.coalesce(F.col("mean_dosage"), F.lit(0.0))
+    mean = mean if decimals is None else F.round(mean, decimals)
+    known = held.filter("_x <> 0").select("variant_id", "person_id", F.col("_x").alias("dosage"))
+    missing = salted_lookup(held.filter("_x is null"), variant_means(calls, people), "variant_id", "person_id")
+    return known.unionByName(missing.select("variant_id", "person_id", mean.alias("dosage")).filter("dosage <> 0"))
+
+
 def qc_flags(
     stats: DataFrame,
     min_maf: float = 0.05,

@@ -17,14 +17,14 @@ from casewright.functions.scalars import age_at, lenient_double
 from casewright.operators.cohort import _is_icd, baseline_frame, observation_windows, record_source
 from casewright.operators.describe import long_counts
 from casewright.operators.predicates import any_rule_matches, rule_matches
-from casewright.rules import ConceptRule, IncidentRules
+from casewright.rules import Concepts, IncidentRules
 
 
 def _bit(i: int) -> Column:
     return F.lit(1 << i)
 
 
-def condition_days(conditions: DataFrame, groups: Sequence[Sequence[ConceptRule]]) -> DataFrame:
+def condition_days(conditions: DataFrame, groups: Sequence[Sequence[Concepts]]) -> DataFrame:
     """person_id, cond_days: sorted array of (d, den, m); bit i of m says group i matched that day."""
     source = record_source(conditions)
     mask = reduce(
@@ -45,7 +45,7 @@ def condition_days(conditions: DataFrame, groups: Sequence[Sequence[ConceptRule]
     )
 
 
-def lab_days(measurements: DataFrame, confirming: ConceptRule, labs: Sequence[ConceptRule]) -> DataFrame:
+def lab_days(measurements: DataFrame, confirming: Concepts, labs: Sequence[Concepts]) -> DataFrame:
     """person_id, lab_days: sorted array of (d, ck, ck_max, v0, n0, v1, n1, …), one entry per day."""
     value = lenient_double("value")
     is_ck = rule_matches(confirming)
@@ -167,7 +167,7 @@ def build_incident_cohort(
     for i, (name, _) in enumerate(history, start=4):
         flags[name] = history_flag(i)
     for i, lab in enumerate(rules.labs):
-        flags |= _lab_history(labs, base_d, i, f"prebaseline_{lab.name}")
+        flags |= _lab_history(labs, base_d, i, f"prebaseline_{lab.label}")
     frame = frame.withColumns(flags)
 
     index = F.col("first_target_date")

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from casewright.session import cut_lineage
 
-MAX_ROUNDS = 200
+# Positions that a task may hold when chunks are widened.
+CHUNK_ROWS = 200_000
 
 
 def lead_hits(results: DataFrame, window_bp: int = 250_000, p: str = "regression_p") -> DataFrame:
@@ -21,7 +22,9 @@ def lead_hits(results: DataFrame, window_bp: int = 250_000, p: str = "regression
 
     NULL p is dropped first. Only the best variant of a position can lead, so a position is reduced before
     anything is shuffled; a chromosome is cut into chunks with a halo of one window on each side, so a
-    chunk holds at most its width in positions whatever the share of rows on that chromosome.
+    chunk holds at most its width in positions whatever the share of rows on that chromosome. Rounds go on until
+    nothing is open. While the widened chunks stay small they grow fourfold from round to round, so a chain of
+    falling p along a chromosome takes a logarithmic number of rounds.
     """
     best = (
         results.filter(F.col(p).isNotNull())
@@ -33,7 +36,10 @@ def lead_hits(results: DataFrame, window_bp: int = 250_000, p: str = "regression
     state = cut_lineage(best)
     schema = "chromosome string, position long, p double, id string, state int"
 
-    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+    def settled(width: int):
+        return lambda pdf: settle(pdf, width)
+
+    def settle(pdf: pd.DataFrame, width: int) -> pd.DataFrame:
         """state 0 open, 1 kept, 2 dropped. Only the chunk's own rows see their whole window and may be kept."""
         chunk = int(pdf["_chunk"].iloc[0])
         pdf = pdf.sort_values(["position"], kind="stable", ignore_index=True)
@@ -56,16 +62,17 @@ def lead_hits(results: DataFrame, window_bp: int = 250_000, p: str = "regression
         pdf["state"] = state
         return pdf.loc[own, ["chromosome", "position", "p", "id", "state"]]
 
-    for _ in range(MAX_ROUNDS):
-        first = F.floor((F.col("position") - window_bp) / width)
-        last = F.floor((F.col("position") + window_bp) / width)
+    while True:
         # dropped rows no longer matter; kept rows stay to drop their neighbours
         live = state.filter("state < 2")
+        first = F.floor((F.col("position") - window_bp) / width)
+        last = F.floor((F.col("position") + window_bp) / width)
         spread = live.withColumn("_chunk", F.explode(F.sequence(first, last)))
-        state = cut_lineage(spread.groupBy("chromosome", "_chunk").applyInPandas(settle, schema))
+        state = cut_lineage(spread.groupBy("chromosome", "_chunk").applyInPandas(settled(width), schema))
         if state.filter("state = 0").isEmpty():
             break
-    else:
-        raise RuntimeError("lead-hit rounds did not settle")
+        wider = state.filter("state < 2").groupBy("chromosome", F.floor(F.col("position") / (4 * width))).count()
+        if wider.agg(F.max("count")).first()[0] <= CHUNK_ROWS:
+            width *= 4
     kept = state.filter("state = 1").select(F.col("id").alias("variant_id"))
     return results.filter(F.col(p).isNotNull()).join(kept, "variant_id", "left_semi")

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casewright.functions.scalars import age_at, lenient_date, lenient_double, observation_midpoint, truthy
-from casewright.rules import MatchRules
+from casewright.rules import Matching
 from casewright.session import cut_lineage, cut_union
 
 STRATUM_LIMIT = 100_000  # people of one stratum matched inside one task
@@ -42,20 +42,20 @@ def _stratum(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.to_json(F.array(*parts)) if parts else F.lit("[]")
 
 
-def match_inputs(cohort: DataFrame, rules: MatchRules) -> tuple[DataFrame, DataFrame]:
+def match_inputs(cohort: DataFrame, rules: Matching) -> tuple[DataFrame, DataFrame]:
     """Slim case and control frames with day numbers since the epoch."""
     epoch = F.lit("1970-01-01").cast("date")
     day = lambda c: F.datediff(lenient_date(c), epoch).cast("double")
     have = set(cohort.columns)
     number = lambda c: lenient_double(c) if c in have else F.lit(None).cast("double")
     birth = day("birth_date") if "birth_date" in have else F.lit(None).cast("double")
-    if rules.primary_tier == "broad" and "broad_case" in have:
+    if rules.tier == "broad" and "broad_case" in have:
         is_case = F.coalesce(F.col("broad_case").cast("int"), F.lit(0)) == 1
     else:
-        is_case = F.col("case_tier") == rules.primary_tier
+        is_case = F.col("case_tier") == rules.tier
     dated = cohort.withColumn("index_date", lenient_date("index_date"))
     cases = dated.filter(is_case).select(
-        _stratum(cohort, rules.exact_columns).alias("stratum"),
+        _stratum(cohort, rules.same).alias("stratum"),
         F.col("person_id").cast("string").alias("case_id"),
         _order_key().alias("case_order"),
         F.datediff("index_date", epoch).cast("double").alias("index_day"),
@@ -65,7 +65,7 @@ def match_inputs(cohort: DataFrame, rules: MatchRules) -> tuple[DataFrame, DataF
     midpoint = observation_midpoint(lenient_date("obs_start_date"), lenient_date("obs_end_date"))
     anchor = F.coalesce(day("baseline_index_date"), midpoint) if "baseline_index_date" in have else midpoint
     controls = cohort.filter(truthy("eligible_control")).select(
-        _stratum(cohort, rules.exact_columns).alias("stratum"),
+        _stratum(cohort, rules.same).alias("stratum"),
         F.col("person_id").cast("string").alias("control_id"),
         day("obs_start_date").alias("start_day"),
         day("obs_end_date").alias("end_day"),
@@ -126,7 +126,7 @@ def _best(c: dict[str, np.ndarray], found: tuple[np.ndarray, ...], k: int) -> np
     return inside[order[:k]]
 
 
-def greedy_in_task(rules: MatchRules):
+def greedy_in_task(rules: Matching):
     """Sequential greedy over one stratum (cases and controls of a size-checked stratum)."""
 
     def match(cases: pd.DataFrame, controls: pd.DataFrame) -> pd.DataFrame:
@@ -134,18 +134,18 @@ def greedy_in_task(rules: MatchRules):
         free = np.ones(len(controls), dtype=bool)
         rows = []
         for case in cases.sort_values("case_order").itertuples(index=False):
-            found = _candidates(case, c, free, rules.index_window_days, rules.age_tolerance_years)
+            found = _candidates(case, c, free, rules.within.days, rules.within.years)
             if not len(found[0]):
                 continue
-            chosen = _best(c, found, rules.ratio)
-            if len(chosen) < rules.minimum_controls and rules.require_complete:
+            chosen = _best(c, found, rules.controls.wanted)
+            if len(chosen) < rules.controls.least and rules.controls.whole:
                 continue
             picked = found[0][chosen]
             rows += [
                 (case.case_id, c["id"][i], rank, float(found[3][j]))
                 for rank, (i, j) in enumerate(zip(picked, chosen, strict=True), start=1)
             ]
-            if not rules.allow_reuse:
+            if not rules.controls.reuse:
                 free[picked] = False
         return pd.DataFrame(rows, columns=["case_id", "control_id", "match_rank", "age_at_case_index"])
 
@@ -154,14 +154,14 @@ def greedy_in_task(rules: MatchRules):
 
 # Large strata ------------------------------------------------------------------------------------
 
-def _cells(cases: DataFrame, controls: DataFrame, rules: MatchRules) -> tuple[DataFrame, DataFrame]:
+def _cells(cases: DataFrame, controls: DataFrame, rules: Matching) -> tuple[DataFrame, DataFrame]:
     """Copies of cases and controls keyed by (stratum, kind, age band, time band).
 
     ``kind`` says which age source a control uses; a case aims at each kind with its own target value.
     Controls sit in one cell per kind; a case visits the neighbouring cells its tolerance can reach.
     """
-    width = max(rules.age_tolerance_years, 1.0)
-    span = max(rules.index_window_days, 1)
+    width = max(rules.within.years, 1.0)
+    span = max(rules.within.days, 1)
     kind = F.when(F.col("yob").isNotNull(), "yob").when(F.col("birth_day").isNotNull(), "birth").otherwise("age")
     value = F.coalesce(F.col("yob"), F.col("birth_day") / 365.25, F.col("age"))
     dated = controls.filter(F.col("anchor").isNotNull()).select(
@@ -180,7 +180,7 @@ def _cells(cases: DataFrame, controls: DataFrame, rules: MatchRules) -> tuple[Da
             F.struct(F.lit("age").alias("kind"), F.col("age").alias("t")),
         ),
     ).otherwise(F.array(F.struct(F.lit("undated").alias("kind"), F.col("age").alias("t"))))
-    slack = rules.age_tolerance_years + 1e-6
+    slack = rules.within.years + 1e-6
     cases = cases.filter(F.col("age").isNotNull()).select("*", F.inline(targets))
     cases = cases.withColumn(
         "age_band", F.explode(F.sequence(F.floor((F.col("t") - slack) / width), F.floor((F.col("t") + slack) / width)))
@@ -196,7 +196,7 @@ def _cells(cases: DataFrame, controls: DataFrame, rules: MatchRules) -> tuple[Da
 _CELL = ["stratum", "kind", "age_band", "time_band"]
 
 
-def top_candidates(cases: DataFrame, controls: DataFrame, rules: MatchRules, k: int, chunk: int = CHUNK_LIMIT) -> DataFrame:
+def top_candidates(cases: DataFrame, controls: DataFrame, rules: Matching, k: int, chunk: int = CHUNK_LIMIT) -> DataFrame:
     """The best ``k`` admissible controls of each case as rows (pos from 1), never all pairs.
 
     ``controls`` may carry ``held_by``: a control held by an earlier case is not admissible.
@@ -228,7 +228,7 @@ def top_candidates(cases: DataFrame, controls: DataFrame, rules: MatchRules, k:
         .withColumn("_b", salt("control_id", "r_control_parts"))
         .withColumn("_a", spread("r_case_parts"))
     )
-    window, tolerance = rules.index_window_days, rules.age_tolerance_years
+    window, tolerance = rules.within.days, rules.within.years
 
     def pick(lc: pd.DataFrame, rc: pd.DataFrame) -> pd.DataFrame:
         names = ["case_id", "control_id", "gap", "distance", "age_at_case_index"]
@@ -265,9 +265,9 @@ def top_candidates(cases: DataFrame, controls: DataFrame, rules: MatchRules, k:
     return found.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= k)
 
 
-def _rounds(cases: DataFrame, controls: DataFrame, rules: MatchRules, chunk: int) -> DataFrame:
+def _rounds(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int) -> DataFrame:
     """Deferred acceptance over listed candidates; lists are refilled until nobody can move."""
-    k = rules.ratio
+    k = rules.controls.wanted
     list_len = k * LIST_SLACK
     cases = cut_lineage(cases)
     controls = cut_lineage(controls)
@@ -315,12 +315,12 @@ def _rounds(cases: DataFrame, controls: DataFrame, rules: MatchRules, chunk: int
                 short.select("case_id").join(refilled, "case_id", "left").na.fill(False, ["more"]),
             )
             continue
-        if not (rules.require_complete and rules.minimum_controls > 1):
+        if not (rules.controls.whole and rules.controls.least > 1):
             break
         # The earliest case below the minimum is final: nobody after it can matter to it. Release its
         # controls, and let later cases list again because they may now reach them.
         failing = (
-            counts.filter(F.col("n") < rules.minimum_controls)
+            counts.filter(F.col("n") < rules.controls.least)
             .join(cases, "case_id")
             .groupBy("stratum")
             .agg(F.min_by("case_id", "case_order").alias("case_id"), F.min("case_order").alias("cut"))
@@ -347,14 +347,14 @@ def _rounds(cases: DataFrame, controls: DataFrame, rules: MatchRules, chunk: int
 
 
 def assign_controls(
-    cases: DataFrame, controls: DataFrame, rules: MatchRules, stratum_limit: int = STRATUM_LIMIT, chunk: int = CHUNK_LIMIT
+    cases: DataFrame, controls: DataFrame, rules: Matching, stratum_limit: int = STRATUM_LIMIT, chunk: int = CHUNK_LIMIT
 ) -> DataFrame:
     """(case_id, control_id, match_rank, age_at_case_index)."""
-    if rules.allow_reuse:
-        picked = top_candidates(cases, controls, rules, rules.ratio, chunk)
+    if rules.controls.reuse:
+        picked = top_candidates(cases, controls, rules, rules.controls.wanted, chunk)
         picked = picked.select("case_id", "control_id", F.col("pos").alias("match_rank"), "age_at_case_index")
-        if rules.require_complete and rules.minimum_controls > 1:
-            enough = picked.groupBy("case_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= rules.minimum_controls)
+        if rules.controls.whole and rules.controls.least > 1:
+            enough = picked.groupBy("case_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= rules.controls.least)
             picked = picked.join(enough.select("case_id"), "case_id", "left_semi")
         return picked
     cases, controls = cut_lineage(cases), cut_lineage(controls)
@@ -376,7 +376,7 @@ def assign_controls(
     return small.unionByName(rounds)
 
 
-def match_case_controls(cohort: DataFrame, rules: MatchRules, **limits) -> DataFrame:
+def match_case_controls(cohort: DataFrame, rules: Matching, **limits) -> DataFrame:
     """Matched rows keyed by (match_group_id, match_rank); controls inherit the case's index date and age."""
     cases, controls = match_inputs(cohort, rules)
     pairs = cut_lineage(assign_controls(cases, controls, rules, **limits))
@@ -388,7 +388,7 @@ def match_case_controls(cohort: DataFrame, rules: MatchRules, **limits) -> DataF
     )
     summary = lambda: {
         "match_group_id": F.concat(F.lit("match-"), F.col("matched_case_person_id")),
-        "match_complete": F.col("matched_control_count") >= rules.ratio,
+        "match_complete": F.col("matched_control_count") >= rules.controls.wanted,
     }
     case_rows = (
         people.join(per_case.withColumnRenamed("case_id", "person_id"), "person_id")

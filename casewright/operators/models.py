@@ -1,4 +1,4 @@
-"""Prediction models: feature specs learned on train rows, penalised logistic fits, predictions as columns."""
+"""Prediction models: encoders learned on train rows, penalised logistic fits, predictions as columns."""
 
 from __future__ import annotations
 
@@ -7,17 +7,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
+from typing import Protocol
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casewright.functions.scalars import lenient_double, normalised_category, sigmoid
-from casewright.operators.metrics import attach, model_metrics, youden_threshold
+from casewright.operators.genotypes import mean_imputed
+from casewright.operators.metrics import discrimination, model_metrics, youden_threshold
 from casewright.operators.ranking import exact_quantiles, global_rank
-from casewright.session import cut_lineage
+from casewright.session import cut_lineage, intermediate_path
 
 # Preferred category orders; the first observed category is the reference.
 CATEGORY_ORDER = {
@@ -26,29 +28,79 @@ CATEGORY_ORDER = {
 }
 
 
+class Encoder(Protocol):
+    """One model column made of one source column."""
+
+    feature: str
+    source: str
+
+    def column(self) -> Column: ...
+
+    def described(self) -> tuple[str, str]:
+        """What kind of column it is, and the level it is measured against."""
+
+
+# Levels of one category that become one-hot columns.
+MOST_LEVELS = 1000
+
+
+@dataclass(frozen=True)
+class Scaled:
+    """A number, missing ones replaced by ``middle``, centred and in units of ``spread``."""
+
+    feature: str
+    source: str
+    log: bool
+    middle: float
+    centre: float
+    spread: float
+
+    def column(self) -> Column:
+        return (F.coalesce(_number(self.source, self.log), F.lit(self.middle)) - self.centre) / self.spread
+
+    def described(self) -> tuple[str, str]:
+        return "continuous", ""
+
+
+@dataclass(frozen=True)
+class Flag:
+    """1 where the number is at least 1."""
+
+    source: str
+
+    @property
+    def feature(self) -> str:
+        return self.source
+
+    def column(self) -> Column:
+        return _flagged(self.source).cast("double")
+
+    def described(self) -> tuple[str, str]:
+        return "binary", ""
+
+
 @dataclass(frozen=True)
-class FeatureSpec:
-    name: str
+class Level:
+    """1 where the category is ``level``; ``against`` is the level left out."""
+
     source: str
-    kind: str
-    reference: str = ""
-    median: float = 0.0
-    mean: float = 0.0
-    sd: float = 1.0
-    transform: str = "identity"
+    level: str
+    against: str
+
+    @property
+    def feature(self) -> str:
+        return f"{self.source}={self.level}"
 
     def column(self) -> Column:
-        if self.kind == "continuous":
-            return (F.coalesce(_transformed(self.source, self.transform), F.lit(self.median)) - self.mean) / self.sd
-        if self.kind == "binary":
-            return (F.coalesce(lenient_double(self.source), F.lit(0.0)) >= 1).cast("double")
-        level = self.name.split("=", 1)[1]
-        return (normalised_category(self.source) == level).cast("double")
+        return (normalised_category(self.source) == self.level).cast("double")
+
+    def described(self) -> tuple[str, str]:
+        return "categorical", self.against
 
 
 @dataclass(frozen=True)
 class LogisticModel:
-    specs: tuple[FeatureSpec, ...]
+    encoders: tuple[Encoder, ...]
     intercept: float
     betas: tuple[float, ...]
     threshold: float
@@ -56,74 +108,93 @@ class LogisticModel:
 
     def probability(self) -> Column:
         """Plain column arithmetic, so scoring stays inside generated code."""
-        terms = [s.column() * F.lit(b) for s, b in zip(self.specs, self.betas, strict=True)]
+        terms = [e.column() * F.lit(b) for e, b in zip(self.encoders, self.betas, strict=True)]
         return sigmoid(reduce(add, terms, F.lit(self.intercept)))
 
 
-def _transformed(source: str, transform: str) -> Column:
+def _number(source: str, log: bool) -> Column:
     v = lenient_double(source)
-    return F.log1p(F.greatest(v, F.lit(0.0))) if transform == "log1p" else v
-
-
-def fit_feature_specs(
+    return F.log1p(F.greatest(v, F.lit(0.0))) if log else v
+
+
+def _flagged(source: str) -> Column:
+    return F.coalesce(lenient_double(source), F.lit(0.0)) >= 1
+
+
+def _scaled(train: DataFrame, wanted: Sequence[tuple[str, str, str]], least: int) -> list[Scaled]:
+    """Numbers with enough values and any spread. One pass for the medians, one for means and spreads after imputation."""
+    values = {name: _number(source, how == "log1p") for source, name, how in wanted}
+    if not values:
+        return []
+    pairs = F.array(*[F.struct(F.lit(n).alias("feature"), v.alias("value")) for n, v in values.items()])
+    found = exact_quantiles(train.select(F.inline(pairs)), "value", {"middle": 0.5}, ["feature"])
+    middle = {r["feature"]: r["middle"] for r in found.collect()}
+    filled = {n: F.coalesce(v, F.lit(middle.get(n))) for n, v in values.items()}
+    statistics = [F.struct(F.count(v).alias("n"), F.avg(filled[n]).alias("centre"), F.stddev_pop(filled[n]).alias("spread")).alias(n) for n, v in values.items()]
+    row = train.agg(*statistics).first()
+    usable = lambda r: r["n"] >= max(least, 1) and r["spread"] is not None and math.isfinite(r["spread"]) and r["spread"] > 0
+    return [
+        Scaled(name, source, how == "log1p", middle[name], row[name]["centre"], row[name]["spread"])
+        for source, name, how in wanted
+        if usable(row[name])
+    ]
+
+
+def _flags(train: DataFrame, wanted: Sequence[str]) -> list[Flag]:
+    """Flags that both hold and fail somewhere."""
+    if not wanted:
+        return []
+    row = train.agg(*[F.struct(F.bool_or(_flagged(c)).alias("some"), F.bool_and(_flagged(c)).alias("all")).alias(c) for c in wanted]).first()
+    return [Flag(c) for c in wanted if row[c]["some"] and not row[c]["all"]]
+
+
+def _levels(train: DataFrame, source: str) -> list[Level]:
+    """A column for each level but the first. Raises above ``MOST_LEVELS`` levels, before they are gathered."""
+    found = train.select(normalised_category(source).alias("level")).distinct()
+    seen = {r["level"] for r in found.limit(MOST_LEVELS + 1).collect()}
+    if len(seen) > MOST_LEVELS:
+        raise ValueError(f"{source} has more than {MOST_LEVELS} levels, too many for one-hot columns")
+    first = [v for v in CATEGORY_ORDER.get(source, ()) if v in seen]
+    ordered = [*first, *sorted(seen.difference(first))]
+    return [Level(source, v, ordered[0]) for v in ordered[1:]]
+
+
+def fit_encoders(
     train: DataFrame,
     continuous: Sequence[tuple[str, str, str]],
     binary: Sequence[str] = (),
     categorical: Sequence[str] = ("model_sex_category", "model_ancestry_pred"),
     min_observed: int = 1,
-) -> tuple[FeatureSpec, ...]:
-    """Median/mean/sd after imputation, usable binaries, and one-hot levels, from train rows only.
+) -> tuple[Encoder, ...]:
+    """Encoders learned from train rows only; absent, under-observed and constant columns have none.
 
-    ``continuous`` lists (source column, feature name, transform). Columns that are absent, under-observed
-    or constant are skipped. What reaches the driver is one row of statistics and the category levels.
+    ``continuous`` lists (source column, feature name, "identity" or "log1p"). What reaches the driver is one row of
+    statistics for each kind and the category levels.
     """
-    specs: list[FeatureSpec] = []
-    cont = [c for c in continuous if c[0] in train.columns]
-    if cont:
-        long = train.select(
-            F.inline(F.array(*[F.struct(F.lit(n).alias("feature"), _transformed(s, t).alias("value")) for s, n, t in cont]))
-        )
-        medians = {r["feature"]: r["m"] for r in exact_quantiles(long, "value", {"m": 0.5}, ["feature"]).collect()}
-        filled = {n: F.coalesce(_transformed(s, t), F.lit(medians.get(n))) for s, n, t in cont}
-        row = train.agg(
-            *[F.count(_transformed(s, t)).alias(f"n_{n}") for s, n, t in cont],
-            *[F.avg(c).alias(f"m_{n}") for n, c in filled.items()],
-            *[F.stddev_pop(c).alias(f"s_{n}") for n, c in filled.items()],
-        ).first()
-        for s, n, t in cont:
-            sd = row[f"s_{n}"]
-            if row[f"n_{n}"] >= max(min_observed, 1) and sd is not None and math.isfinite(sd) and sd > 0:
-                specs.append(FeatureSpec(n, s, "continuous", median=medians[n], mean=row[f"m_{n}"], sd=sd, transform=t))
-    present = [b for b in binary if b in train.columns]
-    if present:
-        flag = lambda c: (F.coalesce(lenient_double(c), F.lit(0.0)) >= 1).cast("int")
-        row = train.agg(*[F.min(flag(c)).alias(f"lo_{c}") for c in present], *[F.max(flag(c)).alias(f"hi_{c}") for c in present]).first()
-        specs += [FeatureSpec(c, c, "binary") for c in present if row[f"lo_{c}"] != row[f"hi_{c}"]]
+    have = set(train.columns)
+    out: list[Encoder] = []
+    out += _scaled(train, [c for c in continuous if c[0] in have], min_observed)
+    out += _flags(train, [c for c in binary if c in have])
     for c in categorical:
-        if c not in train.columns:
-            continue
-        # category levels are a short fixed vocabulary, not data-sized
-        seen = {r[0] for r in train.select(normalised_category(c)).distinct().collect()}
-        levels = [v for v in CATEGORY_ORDER.get(c, ()) if v in seen]
-        levels += sorted(seen.difference(levels))
-        specs += [FeatureSpec(f"{c}={v}", c, "categorical", reference=levels[0]) for v in levels[1:]]
-    return tuple(specs)
+        if c in have:
+            out += _levels(train, c)
+    return tuple(out)
 
 
-def fit_logistic(train: DataFrame, specs: Sequence[FeatureSpec], outcome: str, penalty: float = 1.0) -> LogisticModel:
+def fit_logistic(train: DataFrame, encoders: Sequence[Encoder], outcome: str, penalty: float = 1.0) -> LogisticModel:
     """Σ log-loss + ½·penalty·‖β‖², intercept free. MLlib minimises the mean, hence regParam = penalty / n."""
-    if not specs:
+    if not encoders:
         raise ValueError("no usable model features")
-    names = [f"_f{i}" for i in range(len(specs))]
+    names = [f"_f{i}" for i in range(len(encoders))]
     design = cut_lineage(
-        train.select(F.col(outcome).cast("double").alias("label"), *[s.column().alias(n) for s, n in zip(specs, names, strict=True)])
+        train.select(F.col(outcome).cast("double").alias("label"), *[e.column().alias(n) for e, n in zip(encoders, names, strict=True)])
     )
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(design).select("label", "features")
     estimator = LogisticRegression(
         regParam=penalty / design.count(), elasticNetParam=0.0, standardization=False, maxIter=1000, tol=1e-10
     )
     fitted = estimator.fit(vectors)
-    return LogisticModel(tuple(specs), float(fitted.intercept), tuple(float(b) for b in fitted.coefficients), 0.5, penalty)
+    return LogisticModel(tuple(encoders), float(fitted.intercept), tuple(float(b) for b in fitted.coefficients), 0.5, penalty)
 
 
 def scored_frame(frame: DataFrame, model: LogisticModel, outcome: str) -> DataFrame:
@@ -133,15 +204,15 @@ def scored_frame(frame: DataFrame, model: LogisticModel, outcome: str) -> DataFr
 def fit_model(
     train: DataFrame, outcome: str, features: dict, penalty: float = 1.0
 ) -> LogisticModel:
-    """Specs, fit and the Youden threshold on the training probabilities."""
-    model = fit_logistic(train, fit_feature_specs(train, **features), outcome, penalty)
+    """Encoders, fit and the Youden threshold on the training probabilities."""
+    model = fit_logistic(train, fit_encoders(train, **features), outcome, penalty)
     best = youden_threshold(scored_frame(train, model, outcome)).first()
-    return LogisticModel(model.specs, model.intercept, model.betas, float(best["threshold"]) if best else 0.5, penalty)
+    return LogisticModel(model.encoders, model.intercept, model.betas, float(best["threshold"]) if best else 0.5, penalty)
 
 
 def coefficient_table(spark, model: LogisticModel) -> DataFrame:
     rows = [("intercept", "", "intercept", "", model.intercept)]
-    rows += [(s.name, s.source, s.kind, s.reference, b) for s, b in zip(model.specs, model.betas, strict=True)]
+    rows += [(e.feature, e.source, *e.described(), b) for e, b in zip(model.encoders, model.betas, strict=True)]
     table = spark.createDataFrame(rows, "feature string, source_column string, kind string, reference string, beta double")
     return table.withColumn("odds_ratio", F.exp("beta"))
 
@@ -219,37 +290,22 @@ def sparse_genotype_model(
 ) -> tuple[DataFrame, DataFrame, dict]:
     """Elastic-net logistic model on sparse genotypes with unpenalised covariates.
 
-    MLlib cannot leave single features out of the penalty, so the covariates are fitted first without one and
-    enter as a linear predictor, scaled up so that its penalty is negligible. Missing calls take the
-    variant mean rounded to two decimals. (α, λ) is chosen by mean AUC over the folds.
+    Calls are sparse: an absent row is dosage 0, a NULL ``n_alt`` is missing and takes the variant's mean over the
+    people who have a call, rounded to two decimals. MLlib cannot leave single features out of the penalty, so the
+    covariates are fitted first without one and enter as a linear predictor scaled by ``BOOST``: its penalty is
+    smaller by that factor, and its weight may shrink by less than 1 % (tests hold it to that). (α, λ) is chosen by
+    mean AUC over the folds. A person's row is as wide as the calls other than 0 that the person has.
     """
-    means = calls.groupBy("variant_id").agg(F.round(F.avg("n_alt"), 2).alias("_mean"))
-    variants = cut_lineage(global_rank(calls.select("variant_id").distinct(), [F.col("variant_id")], "_v"))
+    usable = cut_lineage(people.dropna(subset=list(covariates)))
+    held = calls.join(usable.select("person_id").distinct(), "person_id", "left_semi")
+    dosages = cut_lineage(mean_imputed(held, usable, decimals=2))
+    variants = cut_lineage(global_rank(dosages.select("variant_id").distinct(), [F.col("variant_id")], "_v"))
     n_variants = variants.count()
-    size = n_variants + 1
-    boost = 100.0
-
-    @F.udf(VectorUDT())
-    def pack(offset, entries):
-        cells = sorted((int(e["_v"]), float(e["x"])) for e in entries or [])
-        return SparseVector(size, [0] + [i for i, _ in cells], [offset * boost] + [x for _, x in cells])
-
-    entries = (
-        calls.join(variants, "variant_id")
-        .join(means, "variant_id")
-        .groupBy("person_id")  # at most one entry per variant of the panel
-        .agg(F.collect_list(F.struct(F.col("_v"), F.coalesce(F.col("n_alt").cast("double"), F.col("_mean"), F.lit(0.0)).alias("x"))).alias("_e"))
-    )
-    train = people.filter("analysis_split = 'train'")
-    spec = tuple(FeatureSpec(c, c, "continuous") for c in covariates)
-    base = fit_logistic(train.dropna(subset=list(covariates)), spec, outcome, 0.0)
-    linear = reduce(add, [s.column() * F.lit(b) for s, b in zip(base.specs, base.betas, strict=True)], F.lit(base.intercept))
-    rows = cut_lineage(
-        people.dropna(subset=list(covariates))
-        .withColumn("_o", linear)
-        .join(entries, "person_id", "left")
-        .select("person_id", "analysis_split", fold, F.col(outcome).cast("double").alias("label"), pack("_o", "_e").alias("features"))
-    )
+    train = usable.filter("analysis_split = 'train'")
+    base = fit_logistic(train, tuple(Scaled(c, c, False, 0.0, 0.0, 1.0) for c in covariates), outcome, 0.0)
+    linear = reduce(add, [e.column() * F.lit(b) for e, b in zip(base.encoders, base.betas, strict=True)], F.lit(base.intercept))
+    rows = cut_lineage(_sparse_rows(dosages, variants, usable.withColumn("_o", linear), n_variants, ["analysis_split", fold, outcome]))
+    rows = rows.withColumn("label", F.col(outcome).cast("double"))
     train_rows = rows.filter("analysis_split = 'train'")
     folds = [r[0] for r in train_rows.select(fold).distinct().collect() if r[0] is not None]
 
@@ -258,24 +314,20 @@ def sparse_genotype_model(
             regParam=lam, elasticNetParam=a, standardization=False, maxIter=100, tol=1e-6
         ).fit(df.select("label", "features"))
 
-    from pyspark.ml.functions import vector_to_array
-
     def scored(model, df: DataFrame) -> DataFrame:
         out = model.transform(df)
         return out.select(
             "person_id", "analysis_split", F.col("label").cast("int").alias("y"), F.get(vector_to_array("probability"), F.lit(1)).alias("score")
         )
 
-    from casewright.operators.metrics import discrimination
-
-    best = (-1.0, None)
+    best = (-1.0, (alphas[0], penalties[0]))
     for a in alphas:
         for lam in penalties:
-            held = None
+            held_out = None
             for k in folds:
                 part = scored(fit(train_rows.filter(F.col(fold) != k), a, lam), train_rows.filter(F.col(fold) == k)).withColumn("_k", F.lit(k))
-                held = part if held is None else held.unionByName(part)
-            auc = discrimination(held, ["_k"]).agg(F.avg("roc_auc")).first()[0] if held is not None else 0.0
+                held_out = part if held_out is None else held_out.unionByName(part)
+            auc = discrimination(held_out, ["_k"]).agg(F.avg("roc_auc")).first()[0] if held_out is not None else 0.0
             if (auc or 0.0) > best[0]:
                 best = (auc or 0.0, (a, lam))
     model = fit(train_rows, *best[1])
@@ -284,3 +336,30 @@ def sparse_genotype_model(
     active = [(int(i), float(coefficients[i])) for i in np.flatnonzero(coefficients) if i > 0]
     weights = rows.sparkSession.createDataFrame(active, "_v long, weight double").join(variants, "_v").select("variant_id", "weight")
     return scored(model, rows), weights, {"alpha": best[1][0], "penalty": best[1][1], "cv_auc": best[0], "n_variants": n_variants}
+
+
+# The covariates' linear predictor is multiplied by this, so that its penalty hardly counts.
+BOOST = 100.0
+
+
+def _sparse_rows(dosages: DataFrame, variants: DataFrame, people: DataFrame, n_variants: int, carry: Sequence[str]) -> DataFrame:
+    """(person_id, carried columns, features): sparse vectors made by MLlib's own reader, without a Python row.
+
+    A row is written as a libsvm line, the person's number as its label, index 1 the linear predictor, and read back.
+    """
+    numbered = cut_lineage(global_rank(people.select("person_id", "_o", *carry), [F.col("person_id")], "_row"))
+    cells = (
+        dosages.join(variants, "variant_id")
+        .groupBy("person_id")  # at most one entry per variant of the panel
+        .agg(F.array_sort(F.collect_list(F.struct((F.col("_v") + 1).alias("at"), F.col("dosage").alias("x")))).alias("_e"))
+    )
+    offset = F.concat_ws(":", F.lit("1"), (F.col("_o") * BOOST).cast("string"))
+    entries = F.transform(F.coalesce("_e", F.array().cast("array<struct<at:bigint,x:double>>")), lambda e: F.concat_ws(":", e["at"].cast("string"), e["x"].cast("string")))
+    lines = numbered.join(cells, "person_id", "left").select(
+        F.concat_ws(" ", F.col("_row").cast("string"), F.array_join(F.concat(F.array(offset), entries), " ")).alias("value")
+    )
+    path = intermediate_path(people.sparkSession, "svm")
+    lines.write.text(path)
+    read = people.sparkSession.read.format("libsvm").option("numFeatures", str(n_variants + 1)).load(path)
+    vectors = read.select(F.col("label").cast("long").alias("_row"), "features")
+    return numbered.join(vectors, "_row").drop("_row", "_o")

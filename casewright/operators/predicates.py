@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from casewright.functions.scalars import lenient_double
-from casewright.rules import ConceptRule
+from casewright.rules import Concepts
 
 
 def require_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -38,11 +38,11 @@ def concept_matches(ids: Sequence[int], terms: Sequence[str], id_col: str = "con
     return F.coalesce(reduce(or_, [F.coalesce(p, F.lit(False)) for p in parts]), F.lit(False))
 
 
-def rule_matches(rule: ConceptRule) -> Column:
-    return concept_matches(rule.concept_ids, rule.terms)
+def rule_matches(rule: Concepts) -> Column:
+    return concept_matches(rule.ids, rule.terms)
 
 
-def any_rule_matches(rules: Sequence[ConceptRule]) -> Column:
+def any_rule_matches(rules: Sequence[Concepts]) -> Column:
     return reduce(or_, [rule_matches(r) for r in rules], F.lit(False))
 
 
@@ -55,9 +55,9 @@ def value_at_least(value: Column, minimum: float | None) -> Column:
     return F.lit(True) if minimum is None else F.coalesce(lenient_double(value) >= minimum, F.lit(False))
 
 
-def tag_events(events: DataFrame, rules: Sequence[ConceptRule], tag: str = "event") -> DataFrame:
+def tag_events(events: DataFrame, rules: Sequence[Concepts], tag: str = "event") -> DataFrame:
     """One scan, one row per (event, matching rule); an event may match several rules."""
-    names = F.array_compact(F.array(*[F.when(rule_matches(r), F.lit(r.name)) for r in rules]))
+    names = F.array_compact(F.array(*[F.when(rule_matches(r), F.lit(r.label)) for r in rules]))
     return events.withColumn(tag, F.explode(names))
 
 

@@ -16,10 +16,17 @@ from casewright.session import cut_lineage, parallelism
 _PART, _LOCAL, _OFF = "_part", "_local", "_offset"
 
 
+# Rows of one range, about.
+RANGE_ROWS = 1_000_000
+
+
 def _ordered(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    n = parallelism(df.sparkSession)
+    # written first, so the boundaries' sample reads a table instead of computing the rows once more, and counted, so
+    # the number of ranges follows the rows
+    stored = cut_lineage(df)
+    n = max(parallelism(df.sparkSession), -(-stored.count() // RANGE_ROWS))
     numbered = (
-        df.repartitionByRange(n, *order)
+        stored.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
     )

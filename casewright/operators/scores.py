@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casewright.functions.scalars import lenient_double, threshold_label
@@ -59,64 +57,28 @@ def threshold_ranges(spark, thresholds: Sequence[float]) -> DataFrame:
 
 # LD selection ------------------------------------------------------------------------------------
 
-def _local_minima(open_: DataFrame, window: int) -> DataFrame:
-    """Open variants that come first, by (priority, id), within ±window positions on their chromosome."""
-    best = (
-        open_.groupBy("chromosome", "position")
-        .agg(F.min(F.struct("priority", "variant_id")).alias("_b"))
-        .select("chromosome", F.col("position").cast("long").alias("position"), F.col("_b.priority").alias("priority"), F.col("_b.variant_id").alias("variant_id"))
+def _single_sums(rows: DataFrame) -> DataFrame:
+    """Per variant: sum, sum of squares and missing calls of ``x``."""
+    x = F.col("x")
+    return rows.groupBy("variant_id").agg(
+        F.coalesce(F.sum(x), F.lit(0.0)).alias("s"), F.coalesce(F.sum(x * x), F.lit(0.0)).alias("ss"), F.count_if(x.isNull()).alias("m")
     )
-    width = max(4 * window, 1)
-    first, last = (F.floor((F.col("position") + d) / width) for d in (-window, window))
-
-    def minima(pdf: pd.DataFrame) -> pd.DataFrame:
-        chunk = int(pdf["_chunk"].iloc[0])
-        pdf = pdf.sort_values("position", ignore_index=True)
-        pos = pdf["position"].to_numpy("int64")
-        order = np.lexsort((pdf["variant_id"].to_numpy(str), pdf["priority"].to_numpy(float)))
-        rank = np.empty(len(pdf), dtype="int64")
-        rank[order] = np.arange(len(pdf))
-        padded = np.append(rank, np.iinfo("int64").max)
-        left = np.searchsorted(pos, pos - window, "left")
-        right = np.searchsorted(pos, pos + window, "right")
-        lowest = np.minimum.reduceat(padded, np.column_stack([left, right]).ravel())[::2]
-        own = (pos >= chunk * width) & (pos < (chunk + 1) * width)
-        return pdf.loc[own & (lowest == rank), ["chromosome", "position", "variant_id"]]
 
-    return (
-        best.withColumn("_chunk", F.explode(F.sequence(first, last)))
-        .groupBy("chromosome", "_chunk")
-        .applyInPandas(minima, "chromosome string, position long, variant_id string")
+
+def _shared_sums(both: DataFrame) -> DataFrame:
+    """Per pair, over people listed for both: products, common missing calls, and what one side loses to the other's."""
+    x, y = F.col("x"), F.col("y")
+    return both.groupBy("lead", "variant_id").agg(
+        F.sum(x * y).alias("xy"),
+        F.count_if(x.isNull() & y.isNull()).alias("mm"),
+        F.sum(F.when(y.isNull(), x)).alias("dx"),
+        F.sum(F.when(y.isNull(), x * x)).alias("dxx"),
+        F.sum(F.when(x.isNull(), y)).alias("dy"),
+        F.sum(F.when(x.isNull(), y * y)).alias("dyy"),
     )
 
 
-def pair_r2(pairs: DataFrame, calls: DataFrame, n_people: int) -> DataFrame:
-    """r² of (lead, variant_id) pairs over people with both calls.
-
-    Calls are sparse: an absent row is dosage 0, a NULL ``n_alt`` is missing. Sums over everybody come from
-    per-variant totals; only people listed for both variants are joined, on (lead, person).
-    """
-    x = F.col("n_alt").cast("double")
-    single = calls.groupBy("variant_id").agg(
-        F.coalesce(F.sum(x), F.lit(0.0)).alias("s"),
-        F.coalesce(F.sum(x * x), F.lit(0.0)).alias("ss"),
-        F.count_if(F.col("n_alt").isNull()).alias("m"),
-    )
-    rows = calls.select("variant_id", "person_id", x.alias("x"))
-    lead_rows = pairs.select("lead").distinct().join(rows.withColumnRenamed("variant_id", "lead"), "lead").select(
-        "lead", "person_id", F.col("x").alias("y")
-    )
-    both = pairs.join(rows, "variant_id").join(lead_rows, ["lead", "person_id"])
-    x_, y_ = F.col("x"), F.col("y")
-    known = x_.isNotNull() & y_.isNotNull()
-    shared = both.groupBy("lead", "variant_id").agg(
-        F.sum(F.when(known, x_ * y_)).alias("xy"),
-        F.count_if(x_.isNull() & y_.isNull()).alias("mm"),
-        F.sum(F.when(y_.isNull(), x_)).alias("dx"),
-        F.sum(F.when(y_.isNull(), x_ * x_)).alias("dxx"),
-        F.sum(F.when(x_.isNull(), y_)).alias("dy"),
-        F.sum(F.when(x_.isNull(), y_ * y_)).alias("dyy"),
-    )
+def _r2_of(pairs: DataFrame, shared: DataFrame, single: DataFrame, n_people: int) -> DataFrame:
     zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     own = single.select("variant_id", F.col("s").alias("sx"), F.col("ss").alias("sxx"), F.col("m").alias("mx"))
     other = single.select(F.col("variant_id").alias("lead"), F.col("s").alias("sy"), F.col("ss").alias("syy"), F.col("m").alias("my"))
@@ -131,52 +93,85 @@ def pair_r2(pairs: DataFrame, calls: DataFrame, n_people: int) -> DataFrame:
     return joined.select("lead", "variant_id", F.when(var > 0, cov * cov / F.nullif(var, F.lit(0.0))).alias("r2"))
 
 
-def ld_select(
-    variants: DataFrame, calls: DataFrame, n_people: int, window: int, drop: Column, max_rounds: int = 10_000
-) -> DataFrame:
+def pair_r2(pairs: DataFrame, calls: DataFrame, n_people: int) -> DataFrame:
+    """r² of the given (lead, variant_id) pairs over people with both calls.
+
+    Calls are sparse: an absent row is dosage 0, a NULL ``n_alt`` is missing. Sums over everybody come from
+    per-variant totals; only people listed for both variants are joined, on (lead, person).
+    """
+    rows = calls.select("variant_id", "person_id", F.col("n_alt").cast("double").alias("x"))
+    lead_rows = pairs.select("lead").distinct().join(rows.withColumnRenamed("variant_id", "lead"), "lead").select(
+        "lead", "person_id", F.col("x").alias("y")
+    )
+    both = pairs.join(rows, "variant_id").join(lead_rows, ["lead", "person_id"])
+    return _r2_of(pairs, _shared_sums(both), _single_sums(rows), n_people)
+
+
+def band_r2(variants: DataFrame, calls: DataFrame, n_people: int, window: int) -> DataFrame:
+    """(lead, variant_id, r2) of every pair within ±``window`` positions whose first one, by (priority, id), can lead.
+
+    Pairs come from a band join, single sums from one aggregate, and the sums over people with both calls from a
+    self-join of the calls on (person, band), so the calls are read once for all pairs and nobody's pairs reach
+    further than a band. A band is ``window`` wide: a variant meets its own band and the next one.
+    """
+    width = max(window, 1)
+    placed = cut_lineage(
+        variants.select("variant_id", "chromosome", F.col("position").cast("long").alias("position"), "priority", "can_lead", F.floor(F.col("position") / width).alias("band"))
+    )
+    x = F.col("n_alt").cast("double")
+    held = cut_lineage(calls.select("variant_id", "person_id", x.alias("x")).join(placed, "variant_id"))
+
+    def banded(rows: DataFrame, keys: Sequence[str], carry: Sequence[str]) -> DataFrame:
+        """Pairs (l, r) of rows in the same or the next band, oriented by (priority, id), once each."""
+        mine = rows.select(*keys, "chromosome", "band", *[F.col(c).alias(f"l_{c}") for c in carry])
+        theirs = rows.select(*keys, "chromosome", F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"), F.col("band").alias("r_band"), *[F.col(c).alias(f"r_{c}") for c in carry])
+        met = mine.join(theirs, [*keys, "chromosome", "band"]).filter(F.abs(F.col("l_position") - F.col("r_position")) <= window)
+        # within one band both orders meet, across bands only one does
+        once = (F.col("r_band") != F.col("band")) | (F.col("l_variant_id") < F.col("r_variant_id"))
+        met = met.filter(once & (F.col("l_variant_id") != F.col("r_variant_id")))
+        before = F.struct("l_priority", "l_variant_id") < F.struct(F.col("r_priority").alias("l_priority"), F.col("r_variant_id").alias("l_variant_id"))
+        pick = lambda first, second, c: F.when(before, F.col(f"{first}_{c}")).otherwise(F.col(f"{second}_{c}"))
+        return met.select(
+            pick("l", "r", "variant_id").alias("lead"), pick("r", "l", "variant_id").alias("variant_id"), pick("l", "r", "can_lead").alias("can_lead"),
+            *([pick("l", "r", "x").alias("y"), pick("r", "l", "x").alias("x")] if "x" in carry else []),
+        ).filter("can_lead").drop("can_lead")
+
+    base = ["variant_id", "position", "priority", "can_lead"]
+    pairs = banded(placed, [], base)
+    both = banded(held, ["person_id"], [*base, "x"])
+    return _r2_of(pairs, _shared_sums(both), _single_sums(held.select("variant_id", "x")), n_people)
+
+
+def ld_select(variants: DataFrame, calls: DataFrame, n_people: int, window: int, drop: Column) -> DataFrame:
     """Greedy selection in (priority, id) order; a kept variant drops open ones within ±window where ``drop`` holds.
 
-    ``variants``: chromosome, position, priority, variant_id, can_lead. Kept variants of one round are more than a
-    window apart, so every open variant is compared with at most two of them: pairs stay linear in the
-    number of variants and the whole LD matrix is never formed. Output: (lead, variant_id, r2) with one row
-    per kept variant (itself) and one per dropped variant under its lead.
+    ``variants``: chromosome, position, priority, variant_id, can_lead. r² is computed once, the pairs that conflict
+    are kept as edges from the earlier to the later variant, and rounds settle the greedy over them: an open variant
+    without an open predecessor is kept, what it conflicts with is dropped. Rounds follow the longest chain of
+    conflicts, not the variants in a window, and go on until no variant can be kept. Output: (lead, variant_id, r2)
+    with one row per kept variant (itself) and one per dropped variant under its first lead.
     """
     open_ = cut_lineage(variants.select("chromosome", F.col("position").cast("long").alias("position"), "priority", "variant_id", "can_lead"))
-    calls = cut_lineage(calls.join(open_.select("variant_id"), "variant_id", "left_semi").select("variant_id", "person_id", "n_alt"))
+    near = calls.join(open_.select("variant_id"), "variant_id", "left_semi").select("variant_id", "person_id", "n_alt")
+    order = open_.select(F.col("variant_id").alias("lead"), F.col("priority").alias("_lp"))
+    edges = cut_lineage(band_r2(open_, near, n_people, window).filter(drop).join(order, "lead"))
+    left = cut_lineage(open_.select("variant_id", "can_lead"))
     chosen: DataFrame | None = None
-    width = max(window, 1)
-    for _ in range(max_rounds):
-        leads = cut_lineage(_local_minima(open_.filter("can_lead"), window))
+    while True:
+        leads = cut_lineage(left.filter("can_lead").join(edges.select("variant_id").distinct(), "variant_id", "left_anti").select("variant_id"))
         if leads.isEmpty():
             break
-        # leads of a round are over a window apart; each falls in the three bins around it
-        spread = leads.select(
-            "chromosome",
-            F.col("position").alias("_lead_position"),
-            F.col("variant_id").alias("lead"),
-            F.explode(F.sequence(F.floor(F.col("position") / width) - 1, F.floor(F.col("position") / width) + 1)).alias("_bin"),
-        )
-        near = (
-            open_.withColumn("_bin", F.floor(F.col("position") / width))
-            .join(spread, ["chromosome", "_bin"])
-            .filter((F.abs(F.col("position") - F.col("_lead_position")) <= window) & (F.col("variant_id") != F.col("lead")))
-            .select("lead", "variant_id")
-        )
-        dropped = pair_r2(cut_lineage(near), calls, n_people).filter(drop)
-        # a variant near two leads belongs to the one that precedes
-        order = open_.select(F.col("variant_id").alias("lead"), F.col("priority").alias("_lp"))
         dropped = (
-            dropped.join(order, "lead")
+            edges.join(leads.withColumnRenamed("variant_id", "lead"), "lead")
             .groupBy("variant_id")
-            .agg(F.min(F.struct(F.col("_lp"), F.col("lead"), F.col("r2"))).alias("_b"))
+            .agg(F.min(F.struct("_lp", "lead", "r2")).alias("_b"))
             .select(F.col("_b.lead").alias("lead"), "variant_id", F.col("_b.r2").alias("r2"))
         )
-        kept = leads.select(F.col("variant_id").alias("lead"), "variant_id", F.lit(1.0).alias("r2"))
-        step = cut_union(kept, dropped)
+        step = cut_union(leads.select(F.col("variant_id").alias("lead"), "variant_id", F.lit(1.0).alias("r2")), dropped)
         chosen = step if chosen is None else cut_union(chosen, step)
-        open_ = cut_lineage(open_.join(step.select("variant_id"), "variant_id", "left_anti"))
-    else:
-        raise RuntimeError("LD rounds did not settle")
+        gone = step.select("variant_id")
+        left = cut_lineage(left.join(gone, "variant_id", "left_anti"))
+        edges = cut_lineage(edges.join(gone, "variant_id", "left_anti").join(gone.withColumnRenamed("variant_id", "lead"), "lead", "left_anti"))
     if chosen is None:
         return open_.select(F.col("variant_id").alias("lead"), "variant_id", F.lit(1.0).alias("r2")).limit(0)
     return chosen

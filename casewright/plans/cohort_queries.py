@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from casewright.operators import anchors, cohort
 from casewright.operators.predicates import tag_events, value_at_least
 from casewright.plans.registry import query
-from casewright.rules import ConceptRule, TierRule
+from casewright.rules import Concepts, Evidence, Reading, Tier
 from casewright.sources.lens import COFACTORS, RULES, Lens
 
 NAMES = RULES.cofactor_names
@@ -154,10 +154,7 @@ SELECT COALESCE(c.person_id, m.person_id) AS person_id, CAST(cond AS VARCHAR) AS
   CAST(meas AS VARCHAR) AS measurement_date, v AS measurement_value FROM c FULL JOIN m ON c.person_id = m.person_id""",
 )
 def hits_either(lens: Lens) -> DataFrame:
-    rule = TierRule(
-        "either", condition_ids=(7,), condition_terms=("1-URGENT-8",), measurement_ids=(2,), measurement_min=49.0,
-        require_condition=False,
-    )
+    rule = Tier(Evidence.EITHER, Concepts((7,), ("1-URGENT-8",)), Reading(Concepts((2,)), 49.0))
     return cohort.tier_hits(lens.condition, lens.measurement, rule)
 
 
@@ -166,7 +163,7 @@ def hits_either(lens: Lens) -> DataFrame:
     TIER_SQL + "SELECT person_id, CAST(NULL AS VARCHAR) AS condition_date, CAST(high_date AS VARCHAR) AS measurement_date, high_value AS measurement_value FROM high",
 )
 def hits_measurement(lens: Lens) -> DataFrame:
-    return cohort.tier_hits(lens.condition, lens.measurement, RULES.high_measurement)
+    return cohort.tier_hits(lens.condition, lens.measurement, RULES.lab_alone)
 
 
 COFACTOR_SQL = """
@@ -243,7 +240,7 @@ def anchored(lens: Lens) -> DataFrame:
 UNION ALL SELECT person_id, CAST(event_date AS VARCHAR), 'exertion' FROM condition WHERE concept_id IN (2, 3)""",
 )
 def tagging(lens: Lens) -> DataFrame:
-    rules = [ConceptRule("heat", (1, 2), ("HIGH-3",)), ConceptRule("exertion", (2, 3))]
+    rules = [Concepts((1, 2), ("HIGH-3",), label="heat"), Concepts((2, 3), label="exertion")]
     return tag_events(lens.condition, rules).select("person_id", "event_date", "event")
 
 

@@ -23,7 +23,7 @@ from casewright.operators import (
     scores,
     splits,
 )
-from casewright.rules import IncidentRules, MatchRules, PhenotypeRules
+from casewright.rules import IncidentRules, Matching, PhenotypeRules
 from casewright.session import cut_lineage
 from casewright.sources.tables import write_manifest, write_table
 
@@ -36,7 +36,7 @@ def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], folder: str
 
 def case_control(
     person: DataFrame, periods: DataFrame, conditions: DataFrame, measurements: DataFrame, rules: PhenotypeRules,
-    match: MatchRules, ancestry: DataFrame | None = None, universe: DataFrame | None = None,
+    match: Matching, ancestry: DataFrame | None = None, universe: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Cohort → matching → re-anchored flags → splits → eligibility → the descriptive bundle."""
     built = cut_lineage(cohort.build_cohort(person, periods, conditions, measurements, rules, ancestry))
@@ -81,7 +81,7 @@ def incident_study(
     """Incident cohort, feasibility, splits and the suppressed characterisation tables."""
     built = cut_lineage(incident.build_incident_cohort(person, periods, conditions, measurements, rules, ancestry))
     rows = cut_lineage(splits.stratified_splits(built.filter("case_control_eligible = 1")))
-    labs = [f"prebaseline_{lab.name}_{s}" for lab in rules.labs for s in ("last", "max")]
+    labs = [f"prebaseline_{lab.label}_{s}" for lab in rules.labs for s in ("last", "max")]
     binary = [*rules.history, "ck_tested_prebaseline", "ck_tested_during_horizon"]
     columns = ["age_at_baseline", "sex_category", "ancestry_pred", *labs, *binary]
     out = {
@@ -136,9 +136,13 @@ def variant_gwas(
     snp = genotypes.is_biallelic_snp(F.col("alleles"))
     flagged = cut_lineage(genotypes.qc_flags(variants.withColumn("biallelic", snp).join(stats, "variant_id"), **limits))
     tested = flagged.filter("biallelic and qc_pass").drop("alleles")
-    # dense input: people without a call take the variant's mean dosage
-    fill = tested.select("variant_id", (F.col("ac") / F.col("n_called")).alias("_fill_value"))
-    exposures = calls.filter("n_alt is not null" if dense else "n_alt > 0").withColumnRenamed("n_alt", "dosage").join(fill, "variant_id")
+    # a missing call takes the variant's mean dosage: with dense input an absent row, with sparse input a NULL one
+    if dense:
+        fill = tested.select("variant_id", (F.col("ac") / F.col("n_called")).alias("_fill_value"))
+        exposures = calls.filter("n_alt is not null").withColumnRenamed("n_alt", "dosage").join(fill, "variant_id")
+    else:
+        held = calls.join(people.select("person_id").distinct(), "person_id", "left_semi").join(tested.select("variant_id"), "variant_id", "left_semi")
+        exposures = genotypes.mean_imputed(held, people)
     fits = association.logistic_per_unit(
         exposures, people, ["variant_id"], kept, outcome, fill="_fill_value" if dense else None, panel=tested
     )
@@ -160,12 +164,16 @@ def risk_score_study(
     gwas: DataFrame, positions: DataFrame, train_calls: DataFrame, test_calls: DataFrame, train: DataFrame, test: DataFrame,
     thresholds: Sequence[float], **clump_options,
 ) -> dict[str, DataFrame]:
-    """Weights → clumping in train → scores of test people → metrics per threshold."""
+    """Weights → clumping in train → scores of test people → metrics per threshold.
+
+    A missing call of a test person takes the variant's mean dosage in train.
+    """
     weights = cut_lineage(scores.valid_weights(gwas))
     clumps = scores.clump(weights, positions, train_calls, train.count(), **clump_options)
     index = clumps.filter(F.col("lead") == F.col("variant_id")).select("variant_id")
     kept = cut_lineage(scores.restricted_weights(weights, index).join(positions.select("variant_id", "ref"), "variant_id", "left"))
-    kept = kept.withColumn("flip", F.col("effect_allele") == F.col("ref"))
+    means = genotypes.variant_means(train_calls, train)
+    kept = cut_lineage(kept.join(means, "variant_id", "left").withColumn("flip", F.col("effect_allele") == F.col("ref")))
     table = cut_lineage(scores.person_scores(test_calls, kept, test, thresholds))
     return {"clumps": clumps, "weights": kept, "scores": table, "metrics": scores.prs_metrics(table, test, kept, thresholds)}
 

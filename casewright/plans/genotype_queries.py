@@ -426,8 +426,7 @@ def _gwas(lens: Lens) -> DataFrame:
         lens.annotation.select("variant_id", "chromosome", "position", "gene"), "variant_id"
     )
     tested = cut_lineage(tested)
-    exposures = called(lens).filter("n_alt > 0").select("person_id", "variant_id", F.col("n_alt").alias("dosage"))
-    exposures = exposures.join(tested.select("variant_id"), "variant_id", "left_semi")
+    exposures = genotypes.mean_imputed(called(lens).join(tested.select("variant_id"), "variant_id", "left_semi"), people)
     fits = association.logistic_per_unit(exposures, people, ["variant_id"], COVARIATES, panel=tested)
     return tested.join(fits, "variant_id")
 

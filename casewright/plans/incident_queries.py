@@ -11,7 +11,7 @@ from casewright.plans.registry import query
 from casewright.sources.lens import INCIDENT, Lens
 
 HISTORY = list(INCIDENT.history)
-LABS = [r.name for r in INCIDENT.labs]
+LABS = [r.label for r in INCIDENT.labs]
 
 
 def cohort(lens: Lens) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, functions as F
 
 from casewright.operators import anchors, cohort, describe, genotypes, matching, metrics, models, samples, scores, splits
@@ -10,6 +12,7 @@ from casewright.plans.cohort_queries import COFACTOR_SQL, TIER_SQL, _anchored_sq
 from casewright.plans.genotype_queries import SAMPLE_SQL, called, fisher_sql, sample
 from casewright.plans.incident_queries import INCIDENT_SQL, cohort as incident_cohort
 from casewright.plans.registry import query
+from casewright.rules import Controls
 from casewright.session import cut_lineage
 from casewright.sources.lens import MATCHING, RULES, Lens
 
@@ -174,9 +177,7 @@ rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY case_id ORDER BY gap, dist, con
 SELECT case_id, control_id, match_rank, age AS age_at_case_index FROM rk WHERE match_rank <= 3""",
 )
 def matched_with_reuse(lens: Lens) -> DataFrame:
-    from dataclasses import replace
-
-    rules = replace(MATCHING, allow_reuse=True, ratio=3)
+    rules = replace(MATCHING, controls=Controls(wanted=3, reuse=True))
     cases, controls = matching.match_inputs(cut_lineage(tiered(lens)), rules)
     return matching.assign_controls(cases, controls, rules)
 

@@ -13,12 +13,13 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
 def local_session(app: str = "casewright", cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """Session for tests and the benchmark. Clusters bring their own session."""
+    """Session for tests and the benchmark, with a new folder for intermediate tables. Clusters bring their own session."""
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='run-casewright-')}")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CASEWRIGHT_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
@@ -27,20 +28,17 @@ def local_session(app: str = "casewright", cpus: str = "*", shuffle_partitions:
     )
 
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def _shared_folder(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the cluster's ``spark.checkpoint.dir``; a temporary one in local mode."""
+    """Folder for intermediate tables: the session's ``spark.checkpoint.dir``, which all executors share."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not shared:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="run-casewright-")
-    return _LOCAL_FOLDERS[app]
+    return shared.rstrip("/")
+
+
+def intermediate_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder."""
+    return f"{_shared_folder(spark)}/casewright-{uuid.uuid4().hex}.{kind}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -50,7 +48,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     plan, which multiply in a loop until planning stalls, and a table also brings true sizes for join choices.
     """
     spark = df.sparkSession
-    path = f"{_shared_folder(spark)}/casewright-{uuid.uuid4().hex}.parquet"
+    path = intermediate_path(spark, "parquet")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

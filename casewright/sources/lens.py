@@ -11,47 +11,40 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewright.rules import ConceptRule, IncidentRules, MatchRules, PhenotypeRules, TierRule
+from casewright.rules import Concepts, Controls, DayWindow, Evidence, IncidentRules, Matching, PhenotypeRules, Reading, Tier, Tolerance
 
 COFACTORS = (
-    ConceptRule("crush_injury", (11,)),
-    ConceptRule("sepsis", (12,)),
-    ConceptRule("renal_injury", (13,)),
+    Concepts((11,), label="crush_injury"),
+    Concepts((12,), label="sepsis"),
+    Concepts((13,), label="renal_injury"),
 )
+TARGET = Concepts((3, 4, 5))
 RULES = PhenotypeRules(
-    broad=TierRule("broad", condition_ids=(3, 4, 5)),
-    definite=TierRule(
-        "definite",
-        condition_ids=(3, 4, 5),
-        measurement_ids=(0, 1, 2, 3),
-        measurement_min=45.0,
-        require_measurement=True,
-        window_start_days=-30,
-        window_end_days=365,
-    ),
+    broad=Tier(Evidence.CONDITION, TARGET),
+    definite=Tier(Evidence.BOTH, TARGET, Reading(Concepts((0, 1, 2, 3)), 45.0), DayWindow(-30, 365)),
     cofactors=COFACTORS,
-    control_exclusion_ids=(99,),
+    no_controls=Concepts((99,)),
 )
-MATCHING = MatchRules(ratio=1, exact_columns=("is_female", "ancestry_pred"), index_window_days=730)
+MATCHING = Matching(within=Tolerance(days=730), controls=Controls(wanted=1))
 INCIDENT = IncidentRules(
-    target=ConceptRule("target", (3, 4, 5, 6, 7, 8)),
-    lab=ConceptRule("ck", (0, 1, 2, 3)),
+    target=Concepts((3, 4, 5, 6, 7, 8), label="target"),
+    lab=Concepts((0, 1, 2, 3), label="ck"),
     lab_min=45.0,
     lab_window=(-90, 365),
-    trauma=(ConceptRule("crush_injury", (11,)), ConceptRule("major_trauma", (14,))),
-    sepsis=(ConceptRule("sepsis", (12,)),),
-    supportive=(ConceptRule("exertion_exercise", (15,)), ConceptRule("heat_illness", (), ("-16",))),
+    trauma=(Concepts((11,), label="crush_injury"), Concepts((14,), label="major_trauma")),
+    sepsis=(Concepts((12,), label="sepsis"),),
+    supportive=(Concepts((15,), label="exertion_exercise"), Concepts((), ("-16",), label="heat_illness")),
     history={
-        "prior_kidney_disease_or_aki": (ConceptRule("kidney_disease", (13, 21, 22, 23)),),
-        "remote_sepsis_history": (ConceptRule("sepsis", (12,)),),
-        "prior_diabetes": (ConceptRule("diabetes", (31, 32, 33, 34)),),
-        "prior_urgent_record": (ConceptRule("urgent", (), ("urgent",)),),
+        "prior_kidney_disease_or_aki": (Concepts((13, 21, 22, 23), label="kidney_disease"),),
+        "remote_sepsis_history": (Concepts((12,), label="sepsis"),),
+        "prior_diabetes": (Concepts((31, 32, 33, 34), label="diabetes"),),
+        "prior_urgent_record": (Concepts((), ("urgent",), label="urgent"),),
     },
     labs=(
-        ConceptRule("ck", (0, 1, 2, 3)),
-        ConceptRule("creatinine", (4, 5)),
-        ConceptRule("sodium", (6, 7)),
-        ConceptRule("potassium", (), ("lab 8", "lab 9")),
+        Concepts((0, 1, 2, 3), label="ck"),
+        Concepts((4, 5), label="creatinine"),
+        Concepts((6, 7), label="sodium"),
+        Concepts((), ("lab 8", "lab 9"), label="potassium"),
     ),
     trauma_window=(-30, 30),
     sepsis_window=(-90, 0),

@@ -10,12 +10,12 @@ from casewright.plans import drivers
 def test_case_control_bundle(spark, tmp_path):
     person, periods, conditions, measurements = fx.case_control(spark)
     ancestry = cohort.ancestry_frame(
-        spark.createDataFrame([(str(i), "EUR" if i in fx.FEMALE else "AFR", f"[0.{i}, bad]") for i in range(1, 16)], "research_id string, ancestry_pred string, pca string"),
+        spark.createDataFrame([(p, "north" if p in fx.FEMALE else "south", f"[0.{i}, bad]") for i, p in enumerate(fx.IDS, start=1)], "research_id string, ancestry_pred string, pca string"),
         "research_id", "ancestry_pred", ["PC1", "PC2", "PC3"], "pca",
     )
     out = drivers.case_control(person, periods, conditions, measurements, fx.RULES, fx.MATCH, ancestry)
     steps = {r.step: r.n for r in out["consort"].collect()}
-    assert steps["broad_cases"] == 4 and steps["definite_cases"] == 3 and steps["built_rows"] == 15
+    assert steps["broad_cases"] == 4 and steps["definite_cases"] == 3 and steps["built_rows"] == 14
     matched = out["matched"].collect()
     assert steps["matched_rows"] == len(matched) and steps["matched_cases"] >= 1
     by_group = {}
@@ -24,15 +24,15 @@ def test_case_control_bundle(spark, tmp_path):
     for rows in by_group.values():
         assert sorted(r.match_rank for r in rows) == list(range(len(rows)))
         assert len({r.index_date for r in rows}) == 1 and len({r.is_female for r in rows}) == 1
-    assert out["cohort"].filter("person_id = '1'").first().pc1 == 0.1
+    assert out["cohort"].filter("person_id = 'a'").first().pc1 == 0.1
     paths = drivers.write_outputs(spark, {k: out[k] for k in ("cohort_qc", "consort", "table1", "critical_illness", "prior_timing", "missingness", "model_input")}, str(tmp_path), {"ratio": 2})
     assert spark.read.parquet(paths["consort"]).count() == 9
 
 
 def test_incident_bundle(spark):
-    genotyped = spark.createDataFrame([(str(i),) for i in range(1, 10)], "IID string")
+    genotyped = spark.createDataFrame([(p,) for p in [*fx.TARGETS][:9]], "IID string")
     out = drivers.incident_study(*fx.incident(spark), fx.INCIDENT, genotyped=genotyped)
-    assert {r.step: r.n for r in out["consort"].collect()}["source_rows"] == "30"
+    assert {r.step: r.n for r in out["consort"].collect()}["source_rows"] == "32"
     assert {r.metric: r.n for r in out["genotyped_overlap"].collect()}["genotype_sample_ids"] == 9
     assert {r.analysis_split for r in out["model_input"].collect()} == {"train", "test"}
     assert out["table1"].count() > 0 and out["missingness"].count() > 0

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casewright.operators import matching
-from casewright.rules import MatchRules
+from casewright.rules import Controls, Matching
 
 SCHEMA = (
     "person_id string, case_tier string, broad_case int, eligible_control boolean, index_date date, "
@@ -52,7 +52,7 @@ def plain_greedy(rows, rules):
             if not k["eligible_control"] or k["is_female"] != c["is_female"] or k["person_id"] in used:
                 continue
             if c["index_date"] is None:
-                distance, age = rules.index_window_days, k["age_at_index"]
+                distance, age = rules.within.days, k["age_at_index"]
             else:
                 if k["obs_start_date"] > c["index_date"] or k["obs_end_date"] < c["index_date"]:
                     continue
@@ -61,7 +61,7 @@ def plain_greedy(rows, rules):
                 else:
                     anchor = (k["obs_start_date"].toordinal() + k["obs_end_date"].toordinal()) / 2
                 distance = int(abs(anchor - c["index_date"].toordinal()))
-                if distance > rules.index_window_days:
+                if distance > rules.within.days:
                     continue
                 if k["year_of_birth"] is not None:
                     age = c["index_date"].year - k["year_of_birth"]
@@ -69,23 +69,23 @@ def plain_greedy(rows, rules):
                     age = (c["index_date"] - k["birth_date"]).days / 365.25
                 else:
                     age = k["age_at_index"]
-            if age is None or c["age_at_index"] is None or abs(age - c["age_at_index"]) > rules.age_tolerance_years:
+            if age is None or c["age_at_index"] is None or abs(age - c["age_at_index"]) > rules.within.years:
                 continue
             options.append((abs(age - c["age_at_index"]), distance, k["person_id"]))
-        options = sorted(options)[: rules.ratio]
-        if not options or (len(options) < rules.minimum_controls and rules.require_complete):
+        options = sorted(options)[: rules.controls.wanted]
+        if not options or (len(options) < rules.controls.least and rules.controls.whole):
             continue
         for rank, (_, _, pid) in enumerate(options, 1):
             out.add((c["person_id"], pid, rank))
-            if not rules.allow_reuse:
+            if not rules.controls.reuse:
                 used.add(pid)
     return out
 
 
 RULES = [
-    MatchRules(ratio=2, exact_columns=("is_female",)),
-    MatchRules(ratio=3, exact_columns=("is_female",), allow_reuse=True),
-    MatchRules(ratio=3, minimum_controls=3, require_complete=True, exact_columns=("is_female",)),
+    Matching(same=("is_female",), controls=Controls(wanted=2)),
+    Matching(same=("is_female",), controls=Controls(wanted=3, reuse=True)),
+    Matching(same=("is_female",), controls=Controls(wanted=3, least=3, whole=True)),
 ]
 
 
@@ -106,7 +106,7 @@ def test_control_inherits_index_date_and_age(spark):
         ("c1", "broad", 1, False, dt.date(2020, 1, 1), dt.date(2018, 1, 1), dt.date(2022, 1, 1), None, None, 1980.0, 40.0, 1.0),
         ("k1", "control", 0, True, None, dt.date(2018, 1, 1), dt.date(2022, 1, 1), dt.date(2019, 12, 1), None, 1980.0, 46.0, 1.0),
     ]
-    matched = matching.match_case_controls(spark.createDataFrame(rows, SCHEMA), MatchRules(exact_columns=("is_female",)))
+    matched = matching.match_case_controls(spark.createDataFrame(rows, SCHEMA), Matching(same=("is_female",)))
     control = matched.filter("analysis_case = 0").collect()
     assert len(control) == 1
     row = control[0]

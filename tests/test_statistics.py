@@ -156,8 +156,8 @@ def test_penalised_fit_matches_newton(spark):
     rnd = random.Random(9)
     rows = [(f"p{i}", int(rnd.random() < 0.4), rnd.gauss(0, 1), rnd.choice(["female", "male", None])) for i in range(200)]
     df = spark.createDataFrame(rows, "person_id string, y int, x double, model_sex_category string")
-    specs = models.fit_feature_specs(df, [("x", "x_per_sd", "identity"), ("absent", "a", "identity")])
-    assert [s.name for s in specs] == ["x_per_sd", "model_sex_category=male", "model_sex_category=missing"]
+    specs = models.fit_encoders(df, [("x", "x_per_sd", "identity"), ("absent", "a", "identity")])
+    assert [s.feature for s in specs] == ["x_per_sd", "model_sex_category=male", "model_sex_category=missing"]
     model = models.fit_logistic(df, specs, "y", 1.0)
     design = np.array([list(r) for r in df.select(*[s.column() for s in specs]).collect()], float)
     design = np.column_stack([np.ones(len(design)), design])
