@@ -134,9 +134,12 @@ def _solve(gram: np.ndarray, rhs: np.ndarray) -> np.ndarray | None:
     return step if np.all(np.isfinite(step)) else None
 
 
-def newton_logistic(x: np.ndarray, y: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-    """Coefficients and Fisher information, or None when the fit is separated, singular or not converged."""
-    beta = start.copy()
+def newton_logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Coefficients and Fisher information, or None when the fit is separated, singular or not converged.
+
+    It starts from zeros: from the covariates' own fit, the first step of a rare exposure among rare cases overshoots.
+    """
+    beta = np.zeros(x.shape[1])
     for _ in range(MAX_ITERATIONS):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ beta, -40, 40)))
         w = p * (1 - p)
@@ -187,7 +190,7 @@ def logistic_per_unit(
     Absent covariates are skipped. People without an exposure row count as 0, or as the unit's ``fill`` value
     (mean imputation for dense calls). A result is NULL when n ≤ parameters, one class only, or no convergence.
     ``converged`` tells such rows apart. With ``comparison`` the sample holds several comparison sets and every unit
-    is fitted in each. Both paths start Newton from the covariate-only fit and take the same steps.
+    is fitted in each. Both paths start Newton from zeros and take the same steps.
 
     Design matrices inside ``broadcast_limit`` are broadcast and each unit is fitted in one pass. A larger
     cohort is cut into blocks of people and every Newton step is a grouped sum over blocks.
@@ -229,9 +232,7 @@ def _fit_broadcast(exposures, design, keys, units, covariates, outcome, fill) ->
         y = frame[outcome].to_numpy(float)
         base = np.column_stack([np.ones(len(frame)), *[frame[c].to_numpy(float) for c in covariates]])
         usable = len(y) > base.shape[1] + 1 and len(np.unique(y)) == 2
-        null_fit = newton_logistic(base, y, np.zeros(base.shape[1])) if usable else None
-        start = np.append(null_fit[0] if null_fit else np.zeros(base.shape[1]), 0.0)  # as _null_fit does in blocks
-        designs[label] = (base, y, start, usable)
+        designs[label] = (base, y, usable)
         indexes.append(
             pd.DataFrame({"_set": label, "person_id": frame["person_id"], "_i": np.arange(len(frame), dtype="int64")})
         )
@@ -258,16 +259,16 @@ def _fit_broadcast(exposures, design, keys, units, covariates, outcome, fill) ->
     )
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        full = {k: (np.column_stack([b, np.zeros(len(y))]), y, s, ok) for k, (b, y, s, ok) in shared.value.items()}
+        full = {k: (np.column_stack([b, np.zeros(len(y))]), y, ok) for k, (b, y, ok) in shared.value.items()}
         for pdf in batches:
             out = []
             for label, idx, xs, fill_value in zip(pdf["_set"], pdf["_is"], pdf["_xs"], pdf["_fill"], strict=True):
-                x, y, start, usable = full[label]
+                x, y, usable = full[label]
                 at = x.shape[1] - 1
                 x[:, at] = fill_value
                 if idx is not None and len(idx):
                     x[np.asarray(idx, dtype=int), at] = xs
-                fitted = newton_logistic(x, y, start) if usable and np.ptp(x[:, at]) > 0 else None
+                fitted = newton_logistic(x, y) if usable and np.ptp(x[:, at]) > 0 else None
                 out.append((*wald(*fitted, at), len(y), True) if fitted else (None, None, None, len(y), False))
             result = pdf[["_set", *units]].copy()
             result[["beta", "se", "regression_p", "n_samples", "converged"]] = pd.DataFrame(out, index=result.index, dtype=float)
@@ -353,10 +354,10 @@ def _fit_blocked(exposures, design, keys, units, covariates, outcome, fill) -> D
             frame.insert(0, "_unit", pdf["unit"].to_numpy())
             yield frame
 
-    start = F.array(*[F.lit(float(b)) for b in _null_fit(placed, k - 1)], F.lit(0.0))
+    zero = F.array(*[F.lit(0.0)] * k)
     state = cut_lineage(
         keyed.select("_unit").select(
-            "_unit", start.alias("_beta"), F.lit(None).cast("double").alias("_se"), F.lit(False).alias("_done"),
+            "_unit", zero.alias("_beta"), F.lit(None).cast("double").alias("_se"), F.lit(False).alias("_done"),
             F.lit(False).alias("_ok"),
         )
     )
@@ -396,37 +397,6 @@ def _fit_blocked(exposures, design, keys, units, covariates, outcome, fill) -> D
     )
 
 
-def _null_fit(placed: DataFrame, k: int) -> np.ndarray:
-    """Newton coefficients of the covariates alone, by sums over blocks of people; zeros if they do not converge."""
-    upper = np.triu_indices(k)
-    names = [f"s{i}" for i in range(k + len(upper[0]))]
-    beta = np.zeros(k)
-    for _ in range(MAX_ITERATIONS):
-        shared = beta.copy()
-
-        def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros(len(names))
-            for pdf in batches:
-                x, y = np.vstack(pdf["_row"].to_numpy()), pdf["_y"].to_numpy(float)
-                p = 1.0 / (1.0 + np.exp(-np.clip(x @ shared, -40, 40)))
-                info = x.T @ (x * (p * (1 - p))[:, None])
-                total += np.concatenate([x.T @ (y - p), info[upper]])
-            yield pd.DataFrame([total], columns=names)
-
-        parts = placed.select("_y", "_row").mapInPandas(sums, ", ".join(f"{n} double" for n in names))
-        total = np.array(parts.agg(*[F.sum(n).alias(n) for n in names]).first(), dtype=float)
-        info = np.zeros((k, k))
-        info[upper] = total[k:]
-        info = info + np.triu(info, 1).T
-        step = _solve(info, total[:k])
-        if step is None:
-            break
-        beta = beta + step
-        if np.abs(step).max() < TOLERANCE:
-            return beta if np.linalg.cond(info) < 1e12 else np.zeros(k)
-    return np.zeros(k)
-
-
 def stable_covariates(sample: DataFrame, covariates: Sequence[str], outcome: str = "outcome") -> tuple[list[str], list[str]]:
     """(kept, dropped): constant columns go, and 0/1 columns whose 1 lacks cases or controls."""
     present = [c for c in covariates if c in sample.columns]

@@ -8,6 +8,7 @@ from casewright.functions.scalars import autosomes
 from casewright.operators import association, genotypes, leads
 from casewright.operators.ranking import benjamini_hochberg
 from casewright.plans.cohort_queries import TIER_SQL, tiered
+from casewright.plans.fit_sql import newton_sql, tail_sql
 from casewright.plans.registry import query
 from casewright.session import cut_lineage
 from casewright.sources.lens import CLINVAR_TERMS, PLOF_TERMS, Lens
@@ -102,7 +103,7 @@ def variant_stats(lens: Lens) -> DataFrame:
     )
 
 
-def _flagged(lens: Lens, people: DataFrame | None = None) -> DataFrame:
+def flagged(lens: Lens, people: DataFrame | None = None) -> DataFrame:
     people = sample(lens) if people is None else people
     stats = genotypes.variant_stats(called(lens), people, "outcome")
     snps = lens.annotation.select("variant_id", genotypes.is_biallelic_snp(F.col("alleles")).alias("biallelic"))
@@ -122,7 +123,7 @@ UNION ALL SELECT 3, 'mac', c2, c3, c2 - c3 FROM c UNION ALL SELECT 4, 'call_rate
 UNION ALL SELECT 5, 'control_hwe', c4, c5, c4 - c5 FROM c""",
 )
 def variant_funnel(lens: Lens) -> DataFrame:
-    return genotypes.qc_funnel(_flagged(lens))
+    return genotypes.qc_funnel(flagged(lens))
 
 
 @query(
@@ -397,7 +398,33 @@ def burden_counts(lens: Lens) -> DataFrame:
     )
 
 
-@query("gene_burden_regression")
+# complete cases of the covariates, one row for each person
+DESIGN_SQL = ", dsg AS (SELECT person_id, outcome, pc1, pc2, is_female FROM sampl WHERE outcome IS NOT NULL AND pc1 IS NOT NULL AND pc2 IS NOT NULL AND is_female IS NOT NULL)\n"
+
+
+def _wald_sql(fit: str, keys: str, at: int) -> str:
+    """CTE ``wald``: beta, se and two-sided p of coefficient ``at``, the last; NULL where the fit did not converge."""
+    return f"""
+, wz AS (SELECT {keys}, n AS n_samples, CASE WHEN ok THEN b{at} END AS beta, CASE WHEN ok THEN sqrt(1 / schur) END AS se FROM {fit}),
+wald AS (SELECT *, {tail_sql('(beta / se)')} AS regression_p FROM wz)
+"""
+
+
+@query(
+    "gene_burden_regression",
+    BURDEN_SQL
+    + DESIGN_SQL
+    + """, bx AS (SELECT mask, gene, person_id, MAX(dosage) AS x FROM mk GROUP BY ALL),
+brows AS (SELECT c.mask, c.gene, 1.0::DOUBLE AS x0, pc1 AS x1, pc2 AS x2, is_female AS x3, COALESCE(x, 0)::DOUBLE AS x4, outcome AS y
+  FROM cells c CROSS JOIN dsg d LEFT JOIN bx ON bx.mask = c.mask AND bx.gene = c.gene AND bx.person_id = d.person_id)
+"""
+    + newton_sql("bfit", "brows", ["mask", "gene"], 5)
+    + _wald_sql("bfit", "mask, gene", 4)
+    + _bh_sql("wald", "regression_p", "fdr_q")
+    + """SELECT t.mask, t.gene, n_variants_in_mask, ROUND(beta, 4) AS beta, ROUND(se, 4) AS se, ROUND(exp(beta), 4) AS odds_ratio, ROUND(regression_p, 4) AS regression_p,
+  ROUND(fdr_q, 4) AS fdr_q, n_samples FROM fdr_q_t t JOIN cells c ON c.mask = t.mask AND c.gene = t.gene""",
+    decimals=4,
+)
 def burden(lens: Lens) -> DataFrame:
     return association.gene_burden(_burden_rows(lens), sample(lens), COVARIATES).select(
         "mask", "gene", "n_variants_in_mask", "beta", "se", "odds_ratio", "regression_p", "fdr_q", "n_samples"
@@ -421,7 +448,7 @@ def closed_form(lens: Lens) -> DataFrame:
 
 def _gwas(lens: Lens) -> DataFrame:
     people = sample(lens)
-    passing = _flagged(lens, people).filter("biallelic and qc_pass")
+    passing = flagged(lens, people).filter("biallelic and qc_pass")
     tested = passing.select("variant_id", "maf", "mac", "call_rate", "hwe_control_p", "hwe_case_p").join(
         lens.annotation.select("variant_id", "chromosome", "position", "gene"), "variant_id"
     )
@@ -431,7 +458,28 @@ def _gwas(lens: Lens) -> DataFrame:
     return tested.join(fits, "variant_id")
 
 
-@query("matrix_gwas")
+GWAS_SQL = (
+    STATS_SQL
+    + DESIGN_SQL
+    + f""", tst AS (SELECT a.variant_id, a.chromosome, a.position, a.gene, maf, mac, CAST(ac AS DOUBLE) / n_called AS mean_dosage FROM annotation a JOIN stats USING (variant_id)
+  WHERE biallelic AND maf >= {QC['min_maf']} AND mac >= {QC['min_mac']} AND call_rate >= {QC['min_call_rate']} AND hwe_control_p >= {QC['min_hwe_p']}),
+gx AS (SELECT variant_id, person_id, COALESCE(CAST(n_alt AS DOUBLE), mean_dosage) AS x FROM called JOIN tst USING (variant_id)),
+grows AS (SELECT t.variant_id, 1.0::DOUBLE AS x0, pc1 AS x1, pc2 AS x2, is_female AS x3, COALESCE(x, 0)::DOUBLE AS x4, outcome AS y
+  FROM tst t CROSS JOIN dsg d LEFT JOIN gx ON gx.variant_id = t.variant_id AND gx.person_id = d.person_id)
+"""
+    + newton_sql("gfit", "grows", ["variant_id"], 5)
+    + _wald_sql("gfit", "variant_id", 4)
+)
+
+
+@query(
+    "matrix_gwas",
+    GWAS_SQL
+    + _bh_sql("wald", "regression_p", "fdr_q")
+    + """SELECT variant_id, chromosome, position, gene, ROUND(maf, 4) AS maf, CAST(mac AS BIGINT) AS mac, ROUND(beta, 4) AS beta, ROUND(se, 4) AS se, ROUND(exp(beta), 4) AS odds_ratio,
+  ROUND(regression_p, 4) AS regression_p, ROUND(fdr_q, 4) AS fdr_q, ROUND(-log10(GREATEST(regression_p, 1e-300)), 4) AS minus_log10_p, n_samples FROM fdr_q_t JOIN tst USING (variant_id)""",
+    decimals=4,
+)
 def gwas(lens: Lens) -> DataFrame:
     return association.gwas_postprocess(_gwas(lens)).select(
         "variant_id", "chromosome", "position", "gene", "maf", "mac", "beta", "se", "odds_ratio", "regression_p",
@@ -439,12 +487,43 @@ def gwas(lens: Lens) -> DataFrame:
     )
 
 
-@query("genomic_control_lambda")
+@query(
+    "genomic_control_lambda",
+    GWAS_SQL + "SELECT ROUND(quantile_cont(beta * beta / (se * se), 0.5) / 0.4549364, 5) AS lambda_gc FROM wald WHERE regression_p > 0 AND regression_p <= 1",
+    decimals=5,
+)
 def lambda_gc(lens: Lens) -> DataFrame:
-    return association.genomic_control(_carrier(lens).filter("comparison = 'broad'"), "fisher_p")
+    return association.genomic_control(_gwas(lens))
 
 
-@query("prior_variant_association")
+PRIOR_SQL = (
+    SAMPLE_SQL
+    + COMPARISON_SQL
+    + """, pan AS (SELECT variant_id, revel >= 0.5 AS hom FROM annotation WHERE contains(clinvar_significance, 'red') AND contains(consequence, 'PROMO')),
+px AS (SELECT variant_id, person_id, CASE WHEN hom THEN CAST(n_alt >= 2 AS DOUBLE) ELSE CAST(n_alt AS DOUBLE) END AS x FROM called JOIN pan USING (variant_id) WHERE n_alt > 0),
+pc AS (SELECT comparison, variant_id, COUNT(*) FILTER (WHERE outcome = 1) AS a, COUNT(*) FILTER (WHERE outcome = 0) AS c FROM px JOIN cmp USING (person_id) WHERE x > 0 GROUP BY 1, 2),
+cells AS (SELECT ctot.comparison || '|' || pan.variant_id AS id, ctot.comparison, pan.variant_id, COALESCE(a, 0) AS a, n_cases - COALESCE(a, 0) AS b, COALESCE(c, 0) AS c,
+  n_controls - COALESCE(c, 0) AS d FROM pan CROSS JOIN ctot LEFT JOIN pc ON pc.comparison = ctot.comparison AND pc.variant_id = pan.variant_id)
+"""
+    + fisher_sql("cells")
+    + """, prows AS (SELECT cmp.comparison, pan.variant_id, 1.0::DOUBLE AS x0, s.pc1 AS x1, COALESCE(x, 0)::DOUBLE AS x2, cmp.outcome AS y
+  FROM pan CROSS JOIN cmp JOIN sampl s ON s.person_id = cmp.person_id LEFT JOIN px ON px.variant_id = pan.variant_id AND px.person_id = cmp.person_id WHERE pc1 IS NOT NULL)
+"""
+    + newton_sql("pfit", "prows", ["comparison", "variant_id"], 3)
+    + _wald_sql("pfit", "comparison, variant_id", 2)
+    + ", both_p AS (SELECT c.comparison, c.variant_id, a, c, f.p AS fisher_p, beta, regression_p FROM cells c JOIN fish f USING (id) JOIN wald w ON w.comparison = c.comparison AND w.variant_id = c.variant_id)"
+    + _bh_sql("both_p", "fisher_p", "fdr_q", "comparison")
+    + _bh_sql("fdr_q_t", "regression_p", "rq", "comparison").replace("COUNT(*) OVER (PARTITION BY comparison) AS bh_n", "COUNT(*) OVER (PARTITION BY comparison) AS bh_m").replace("NULLS LAST) AS bh_rk", "NULLS LAST) AS bh_k").replace("* bh_n / bh_rk", "* bh_m / bh_k").replace("ORDER BY bh_rk ROWS", "ORDER BY bh_k ROWS")
+)
+
+
+@query(
+    "prior_variant_association",
+    PRIOR_SQL
+    + """SELECT comparison, variant_id, a AS case_carriers, c AS control_carriers, ROUND(fisher_p, 4) AS fisher_p, ROUND(fdr_q, 4) AS fdr_q, ROUND(beta, 4) AS beta,
+  ROUND(regression_p, 4) AS regression_p, ROUND(rq, 4) AS regression_fdr_q FROM rq_t""",
+    decimals=4,
+)
 def prior_variants(lens: Lens) -> DataFrame:
     """A-priori panel: P/LP-term variants, every comparison set, additive or homozygous model."""
     panel = lens.annotation.filter(F.col("clinvar_significance").contains("red") & F.col("consequence").contains("PROMO")).select(

@@ -23,14 +23,25 @@ def cohort(lens: Lens) -> DataFrame:
 _LAB_TESTS = {
     "ck": "concept_id IN (0,1,2,3)",
     "creatinine": "concept_id IN (4,5)",
+    "ast": "concept_id = 10",
+    "alt": "concept_id = 11",
     "sodium": "concept_id IN (6,7)",
     "potassium": "(contains(concept_name, 'lab 8') OR contains(concept_name, 'lab 9'))",
+    "calcium": "concept_id IN (12,13)",
+    "tsh": "concept_id = 14",
 }
 _HISTORY_TESTS = {
     "prior_kidney_disease_or_aki": "concept_id IN (13,21,22,23)",
     "remote_sepsis_history": "concept_id = 12",
+    "prior_heat_illness_or_dehydration": "concept_id IN (41,42)",
+    "prior_exertion_or_exercise_code": "concept_id IN (43,44)",
+    "prior_myopathy_muscle_disease": "concept_id IN (45,46,47)",
+    "prior_sickle_trait_or_disease": "concept_id = 48",
     "prior_diabetes": "concept_id IN (31,32,33,34)",
-    "prior_urgent_record": "contains(lower(concept_name), 'urgent')",
+    "prior_thyroid_disease": "concept_id IN (51,52)",
+    "prior_liver_disease": "concept_id IN (53,54,55)",
+    "prior_alcohol_substance_condition": "contains(lower(concept_name), 'urgent')",
+    "prior_injury_trauma_history": "concept_id IN (61,62,63,64)",
 }
 INCIDENT_SQL = (
     """

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from casewright.operators import anchors, cohort, describe, genotypes, matching, metrics, models, samples, scores, splits
 from casewright.operators.ranking import global_rank
 from casewright.plans.cohort_queries import COFACTOR_SQL, TIER_SQL, _anchored_sql, tiered
-from casewright.plans.genotype_queries import SAMPLE_SQL, called, fisher_sql, sample
+from casewright.plans.genotype_queries import SAMPLE_SQL, called, fisher_sql, flagged, sample
+from casewright.plans.fit_sql import METRIC_ROW, greedy_sql, metrics_sql, model_sql, newton_sql, tail_sql
 from casewright.plans.incident_queries import INCIDENT_SQL, cohort as incident_cohort
 from casewright.plans.registry import query
 from casewright.rules import Controls
@@ -151,7 +152,31 @@ def matched(lens: Lens) -> DataFrame:
     return matching.match_case_controls(cut_lineage(tiered(lens)), MATCHING)
 
 
-@query("matched_cohort")
+MATCH_SQL = (
+    TIER_SQL
+    + """, ca AS (SELECT person_id AS case_id, index_date, age_at_index, is_female, ancestry_pred FROM cohort WHERE broad_case = 1),
+co AS (SELECT person_id AS control_id, is_female, ancestry_pred, obs_start_date, obs_end_date, year_of_birth,
+  date_diff('day', DATE '1970-01-01', obs_start_date) + CAST(date_diff('day', obs_start_date, obs_end_date) AS DOUBLE) / 2 AS anchor FROM cohort WHERE eligible_control = 1),
+near AS (SELECT COALESCE(CAST(ca.is_female AS VARCHAR), '-') || '|' || COALESCE(ca.ancestry_pred, '-') AS stratum, case_id, strftime(index_date, '%Y-%m-%d') || '|' || case_id AS case_rank, control_id,
+  abs(YEAR(index_date) - year_of_birth - age_at_index) AS gap, floor(abs(anchor - date_diff('day', DATE '1970-01-01', index_date)))::DOUBLE AS dist, (YEAR(index_date) - year_of_birth)::DOUBLE AS age
+  FROM ca JOIN co ON ca.is_female IS NOT DISTINCT FROM co.is_female AND ca.ancestry_pred IS NOT DISTINCT FROM co.ancestry_pred AND obs_start_date <= index_date AND obs_end_date >= index_date
+  WHERE age_at_index IS NOT NULL),
+cand AS (SELECT * FROM near WHERE gap <= 5 AND dist <= 730)
+"""
+    + greedy_sql(1)
+    + """, pn AS (SELECT case_id, COUNT(*) AS k FROM pair GROUP BY 1),
+mt AS (SELECT 'match-' || case_id AS match_group_id, 0 AS match_rank, 'case' AS match_role, case_id AS person_id, 1 AS analysis_case, c.index_date, c.age_at_index, k AS matched_control_count
+  FROM pn JOIN cohort c ON c.person_id = case_id
+  UNION ALL SELECT 'match-' || p.case_id, match_rank, 'control', control_id, 0, c.index_date, p.age, k FROM pair p JOIN pn USING (case_id) JOIN cohort c ON c.person_id = p.case_id)
+"""
+)
+
+
+@query(
+    "matched_cohort",
+    MATCH_SQL
+    + "SELECT match_group_id, match_rank, match_role, person_id, analysis_case, CAST(index_date AS VARCHAR) AS index_date, age_at_index, matched_control_count, CAST(matched_control_count >= 1 AS INT) AS match_complete FROM mt",
+)
 def matched_rows(lens: Lens) -> DataFrame:
     return matched(lens).select(
         "match_group_id", "match_rank", "match_role", "person_id", "analysis_case", "index_date", "age_at_index",
@@ -159,7 +184,12 @@ def matched_rows(lens: Lens) -> DataFrame:
     )
 
 
-@query("matching_qc")
+@query(
+    "matching_qc",
+    MATCH_SQL
+    + """SELECT 'matched_cases' AS metric, COUNT(*) FILTER (WHERE analysis_case = 1) AS n FROM mt UNION ALL SELECT 'matched_controls', COUNT(*) FILTER (WHERE analysis_case = 0) FROM mt
+UNION ALL SELECT 'match_groups', COUNT(DISTINCT match_group_id) FROM mt""",
+)
 def matching_qc(lens: Lens) -> DataFrame:
     return matching.matching_qc(matched(lens))
 
@@ -297,8 +327,7 @@ def incident_table1(lens: Lens) -> DataFrame:
     rows = splits.stratified_splits(people)
     return describe.format_two_group(
         describe.two_group_table(
-            rows, "analysis_case", ["age_at_baseline", "prebaseline_ck_max", "prebaseline_creatinine_last"],
-            ["prior_kidney_disease_or_aki", "remote_sepsis_history", "prior_diabetes", "ck_tested_prebaseline"],
+            rows, "analysis_case", INCIDENT_NUMBERS, INCIDENT_FLAGS,
             ["sex_category", "ancestry_pred"], by=["analysis_split"], null_as_zero=True,
         ),
         ["analysis_split"],
@@ -392,7 +421,14 @@ def missingness_report(lens: Lens) -> DataFrame:
     return describe.filtered_missingness(describe.missingness(rows, _MISSING, F.array(F.lit("all"))))
 
 
-@query("consort_counts")
+@query(
+    "consort_counts",
+    MATCH_SQL
+    + """SELECT 'built_rows' AS step, COUNT(*) AS n FROM cohort UNION ALL SELECT 'eligible_denominator', COUNT(*) FILTER (WHERE condition_dates >= 2) FROM cohort
+UNION ALL SELECT 'broad_cases', SUM(broad_case) FROM cohort UNION ALL SELECT 'definite_cases', SUM(definite_case) FROM cohort
+UNION ALL SELECT 'indeterminate_excluded', COUNT(*) FILTER (WHERE case_tier = 'indeterminate_ck_only') FROM cohort UNION ALL SELECT 'eligible_controls', COUNT(*) FILTER (WHERE eligible_control = 1) FROM cohort
+UNION ALL SELECT 'matched_rows', COUNT(*) FROM mt UNION ALL SELECT 'matched_cases', COUNT(*) FILTER (WHERE analysis_case = 1) FROM mt UNION ALL SELECT 'matched_controls', COUNT(*) FILTER (WHERE analysis_case = 0) FROM mt""",
+)
 def consort(lens: Lens) -> DataFrame:
     built = cut_lineage(tiered(lens))
     return describe.consort(built, matching.match_case_controls(built, MATCHING))
@@ -516,7 +552,43 @@ def _gwas_weights(lens: Lens) -> DataFrame:
     return lens.annotation.select("variant_id", F.lit("A").alias("effect_allele"), (F.col("revel") - 0.5).alias("beta"), (F.col("max_af") * 500.0).alias("p"))
 
 
-@query("ld_clumps")
+# r² of every pair of variants of one chromosome, over people with both calls
+ALL_R2_SQL = SAMPLE_SQL + """, cs AS (SELECT variant_id, person_id, CAST(n_alt AS DOUBLE) AS x FROM called SEMI JOIN sampl USING (person_id)), nn AS (SELECT COUNT(*)::DOUBLE AS n FROM sampl),
+pl AS (SELECT variant_id, chromosome, position, ROW_NUMBER() OVER (PARTITION BY chromosome ORDER BY position, variant_id) AS k FROM annotation),
+sg AS (SELECT variant_id, COALESCE(SUM(x), 0) AS s, COALESCE(SUM(x * x), 0) AS ss, COUNT(*) FILTER (WHERE x IS NULL) AS m FROM cs GROUP BY 1),
+sh AS (SELECT a.variant_id AS u, b.variant_id AS v, SUM(a.x * b.x) AS xy, COUNT(*) FILTER (WHERE a.x IS NULL AND b.x IS NULL) AS mm, SUM(a.x) FILTER (WHERE b.x IS NULL) AS dx,
+  SUM(a.x * a.x) FILTER (WHERE b.x IS NULL) AS dxx, SUM(b.x) FILTER (WHERE a.x IS NULL) AS dy, SUM(b.x * b.x) FILTER (WHERE a.x IS NULL) AS dyy
+  FROM cs a JOIN cs b ON a.person_id = b.person_id AND a.variant_id <> b.variant_id JOIN pl p ON p.variant_id = a.variant_id JOIN pl q ON q.variant_id = b.variant_id AND q.chromosome = p.chromosome GROUP BY 1, 2),
+vv AS (SELECT p.variant_id AS u, q.variant_id AS v, abs(p.position - q.position) AS bp, abs(p.k - q.k) AS ranks, nn.n - COALESCE(a.m, 0) - COALESCE(b.m, 0) + COALESCE(mm, 0) AS n,
+  COALESCE(a.s, 0) - COALESCE(dx, 0) AS sx, COALESCE(b.s, 0) - COALESCE(dy, 0) AS sy, COALESCE(a.ss, 0) - COALESCE(dxx, 0) AS sxx, COALESCE(b.ss, 0) - COALESCE(dyy, 0) AS syy, COALESCE(xy, 0) AS xy
+  FROM pl p JOIN pl q ON p.chromosome = q.chromosome AND p.variant_id <> q.variant_id CROSS JOIN nn LEFT JOIN sg a ON a.variant_id = p.variant_id LEFT JOIN sg b ON b.variant_id = q.variant_id
+  LEFT JOIN sh ON sh.u = p.variant_id AND sh.v = q.variant_id),
+r2 AS (SELECT u, v, bp, ranks, CASE WHEN (n * sxx - sx * sx) * (n * syy - sy * sy) > 0 THEN (n * xy - sx * sy) * (n * xy - sx * sy) / ((n * sxx - sx * sx) * (n * syy - sy * sy)) END AS r2 FROM vv)
+"""
+
+
+def _select_sql(conflict: str) -> str:
+    """CTE ``sel`` (chromosome, id, lead, r2): sequential greedy over ``ord`` (chromosome, id, pr, can) and conflicts in r2."""
+    return f"""
+, seq AS MATERIALIZED (SELECT chromosome, id, can, ROW_NUMBER() OVER (PARTITION BY chromosome ORDER BY pr, id) AS t FROM ord),
+cf AS MATERIALIZED (SELECT u, list(v) AS vs FROM r2 WHERE {conflict} GROUP BY 1),
+walk(chromosome, t, id, lead, kept) AS (
+  SELECT DISTINCT chromosome, 0::BIGINT, NULL::VARCHAR, NULL::VARCHAR, [''] FROM seq
+  UNION ALL
+  SELECT chromosome, t, id, CASE WHEN first IS NOT NULL THEN first WHEN can THEN id END, CASE WHEN first IS NULL AND can THEN list_append(kept, id) ELSE kept END FROM (
+    SELECT s.chromosome, s.t, s.id, s.can, w.kept, list_filter(w.kept, lambda x: list_contains(cf.vs, x))[1] AS first
+    FROM walk w JOIN seq s ON s.chromosome = w.chromosome AND s.t = w.t + 1 LEFT JOIN cf ON cf.u = s.id)
+)
+"""
+
+
+@query(
+    "ld_clumps",
+    ALL_R2_SQL
+    + ", ord AS (SELECT chromosome, variant_id AS id, max_af * 500.0::DOUBLE AS pr, max_af * 500.0::DOUBLE <= 0.5 AS can FROM annotation WHERE max_af * 500.0::DOUBLE <= 1.0)"
+    + _select_sql("bp <= 1000000 AND r2 >= 0.05")
+    + "SELECT w.lead, w.id AS variant_id, CASE WHEN w.lead = w.id THEN 1.0 ELSE ROUND(r2.r2, 6) END AS r2 FROM walk w LEFT JOIN r2 ON r2.u = w.id AND r2.v = w.lead WHERE w.lead IS NOT NULL",
+)
 def ld_clumps(lens: Lens) -> DataFrame:
     people = sample(lens)
     calls = called(lens).join(people.select("person_id"), "person_id", "left_semi")
@@ -525,13 +597,18 @@ def ld_clumps(lens: Lens) -> DataFrame:
     )
 
 
-@query("ld_pruned_variants")
+@query(
+    "ld_pruned_variants",
+    ALL_R2_SQL
+    + """, pst AS (SELECT variant_id, 2 * (nn.n - m) AS an, s AS ac FROM sg, nn), mf AS (SELECT variant_id, LEAST(ac / an, 1.0::DOUBLE - ac / an) AS maf FROM pst),
+ord AS (SELECT chromosome, variant_id AS id, -maf AS pr, TRUE AS can FROM annotation JOIN mf USING (variant_id))"""
+    + _select_sql("ranks <= 4 AND r2 > 0.05")
+    + "SELECT id AS variant_id FROM walk WHERE lead = id",
+)
 def ld_pruned(lens: Lens) -> DataFrame:
     people = sample(lens)
     calls = called(lens).join(people.select("person_id"), "person_id", "left_semi")
-    stats = genotypes.maf_from_dosage(
-        lens.genotype, people.agg(F.count(F.lit(1)).alias("n_people"))
-    )
+    stats = genotypes.variant_stats(calls, people, "outcome").select("variant_id", "maf")
     return scores.prune(stats, lens.annotation, calls, people.count(), window_variants=5, r2=0.05)
 
 
@@ -671,12 +748,41 @@ def pr_points(lens: Lens) -> DataFrame:
     return metrics.curve_points(risk_scores(lens), "pr")
 
 
-@query("stratified_score_metrics")
+def _per_sd_sql(source: str, keys: list[str]) -> str:
+    """CTE ``psd``: OR per population SD of the score with its Wald p, by a Newton fit in each group."""
+    part = f"PARTITION BY {', '.join(keys)}" if keys else ""
+    cols = ", ".join(keys)
+    return (
+        f", zz AS (SELECT {cols}, y, score - AVG(score) OVER ({part}) AS dv, stddev_pop(score) OVER ({part}) AS sd FROM {source}),\n"
+        f"zrows AS (SELECT {cols}, 1.0::DOUBLE AS x0, dv / sd AS x1, y FROM zz WHERE sd > 0)"
+        + newton_sql("zfit", "zrows", keys, 2, small=1e-8)
+        + f", psd AS (SELECT {cols}, CASE WHEN ok THEN exp(b1) END AS or_per_score_sd, CASE WHEN ok THEN b1 END AS beta_per_score_sd, CASE WHEN ok THEN sqrt(1 / schur) END AS se_per_score_sd,"
+        + f" CASE WHEN ok THEN {tail_sql('(b1 * sqrt(schur))')} END AS p_value FROM zfit)\n"
+    )
+
+
+_SCORE_ROW = """n, cases, controls, ROUND(roc_auc, 6) AS roc_auc, ROUND(average_precision, 6) AS average_precision, ROUND(CAST(cases AS DOUBLE) / n, 6) AS prevalence,
+  ROUND(or_per_score_sd, 6) AS or_per_score_sd, ROUND(beta_per_score_sd, 6) AS beta_per_score_sd, ROUND(se_per_score_sd, 6) AS se_per_score_sd, ROUND(p_value, 6) AS p_value"""
+
+
+@query(
+    "stratified_score_metrics",
+    RISK_SQL + _auc_sql("risk", "ancestry_pred") + _per_sd_sql("risk", ["ancestry_pred"])
+    + f"SELECT ancestry_pred, {_SCORE_ROW} FROM dis LEFT JOIN psd ON ancestry_pred = grp",
+)
 def stratified_metrics(lens: Lens) -> DataFrame:
     return metrics.score_metrics(risk_scores(lens), ["ancestry_pred"])
 
 
-@query("recalibrated_errors")
+@query(
+    "recalibrated_errors",
+    _PROB_SQL
+    + ", lrows AS (SELECT 1.0::DOUBLE AS x0, ln(LEAST(1 - 1e-6, GREATEST(1e-6, score)) / (1 - LEAST(1 - 1e-6, GREATEST(1e-6, score)))) AS x1, y FROM prob)"
+    + newton_sql("lfit", "lrows", [], 2, small=1e-8)
+    + """, rp AS (SELECT y, b0, b1, n, 1 / (1 + exp(-LEAST(40, GREATEST(-40, b0 + b1 * x1)))) AS q FROM lrows, lfit)
+SELECT ROUND(AVG((q - y) * (q - y)), 6) AS brier_score, ROUND(AVG(-(y * ln(GREATEST(1e-12, LEAST(1 - 1e-12, q))) + (1 - y) * ln(1 - GREATEST(1e-12, LEAST(1 - 1e-12, q))))), 6) AS log_loss,
+  ROUND(MAX(b0), 6) AS intercept, ROUND(MAX(b1), 6) AS slope, MAX(n) AS n FROM rp""",
+)
 def recalibrated(lens: Lens) -> DataFrame:
     rows = cut_lineage(_probabilities(lens))
     fit = cut_lineage(metrics.recalibration(rows))
@@ -685,77 +791,177 @@ def recalibrated(lens: Lens) -> DataFrame:
 
 @query("bootstrap_intervals")
 def bootstrap(lens: Lens) -> DataFrame:
-    return metrics.bootstrap_intervals(risk_scores(lens), iterations=40)
+    return metrics.bootstrap_intervals(risk_scores(lens))
 
 
 # Models ------------------------------------------------------------------------------------------
 
-CLINICAL = dict(continuous=[("observation_days", "observation_days_per_sd", "log1p"), ("condition_dates", "condition_dates_per_sd", "identity")])
+CLINICAL = dict(
+    continuous=[
+        ("age_at_index", "age_at_index_per_sd", "identity"),
+        ("observation_days", "observation_days_per_sd", "log1p"),
+        ("condition_dates", "condition_dates_per_sd", "identity"),
+    ],
+    binary=["sepsis", "renal_injury"],
+)
+# Sexes and regions of the lens; the first of each is what the others are measured against.
+LEVELS = [("sx", "male"), ("sx", "missing"), ("rg", "america"), ("rg", "asia"), ("rg", "europe"), ("rg", "middle east")]
+NUMBERS = ["age_at_index", "ln(1 + GREATEST(observation_days, 0))", "condition_dates"]
+CLINICAL_SQL = SPLIT_SQL + ", cl AS (SELECT person_id, analysis_case AS y, analysis_split, cv_fold, age_at_index, observation_days, condition_dates, sepsis, renal_injury, sex_category AS sx, lower(ancestry_pred) AS rg FROM sp)\n"
+_FULL = model_sql("m", "cl", "analysis_split = 'train'", NUMBERS, CLINICAL["binary"], LEVELS)
+
+
+def _coefficients_sql() -> str:
+    """Feature names with their weights: the twenty largest by size."""
+    names = [n for _, n, _ in CLINICAL["continuous"]] + CLINICAL["binary"] + [f"{dict(sx='model_sex_category', rg='model_ancestry_pred')[c]}={v}" for c, v in LEVELS]
+    sources = [s for s, _, _ in CLINICAL["continuous"]] + CLINICAL["binary"] + [dict(sx="model_sex_category", rg="model_ancestry_pred")[c] for c, _ in LEVELS]
+    kinds = ["continuous"] * 3 + ["binary"] * 2 + ["categorical"] * 6
+    against = [""] * 5 + ["female"] * 2 + ["africa"] * 4
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS feature, '{s}' AS source_column, '{k}' AS kind, '{a}' AS reference, b{i} AS beta FROM m_f" for i, (n, s, k, a) in enumerate(zip(names, sources, kinds, against), start=1))
+    return f"SELECT feature, source_column, kind, reference, ROUND(beta, 3) + 0.0 AS beta, ROUND(exp(beta), 3) AS odds_ratio FROM ({rows}) ORDER BY abs(beta) DESC, feature LIMIT 20"
 
 
 def clinical_input(lens: Lens) -> DataFrame:
     rows = splits.group_splits(analysis(lens))
     return rows.select(
-        "person_id", "analysis_case", "analysis_split", "cv_fold", "observation_days", "condition_dates", "pc1", "pc2",
+        "person_id", "analysis_case", "analysis_split", "cv_fold", "age_at_index", "observation_days", "condition_dates",
+        "sepsis", "renal_injury", "pc1", "pc2",
         F.col("sex_category").alias("model_sex_category"), F.lower("ancestry_pred").alias("model_ancestry_pred"),
     )
 
 
-@query("clinical_model_metrics")
+@query(
+    "clinical_model_metrics",
+    CLINICAL_SQL + _FULL + metrics_sql("mm", "m_p", "analysis_split", "(SELECT cut FROM m_t)") + f"SELECT grp AS evaluation_set, {METRIC_ROW} FROM mm",
+    decimals=4,
+)
 def clinical_model(lens: Lens) -> DataFrame:
     return models.run_model(clinical_input(lens), "analysis_case", CLINICAL)["metrics"].drop("threshold")
 
 
-@query("clinical_model_coefficients")
+@query("clinical_model_coefficients", CLINICAL_SQL + _FULL + _coefficients_sql(), decimals=3)
 def clinical_coefficients(lens: Lens) -> DataFrame:
     return models.top_coefficients(models.run_model(clinical_input(lens), "analysis_case", CLINICAL)["coefficients"])
 
 
-@query("clinical_model_cv")
+@query(
+    "clinical_model_cv",
+    CLINICAL_SQL
+    + "".join(
+        model_sql(f"f{k}", "cl", f"analysis_split = 'train' AND cv_fold <> {k}", NUMBERS, CLINICAL["binary"], LEVELS)
+        + f", h{k} AS (SELECT * FROM f{k}_p WHERE analysis_split = 'train' AND cv_fold = {k})"
+        + metrics_sql(f"g{k}", f"h{k}", "cv_fold", f"(SELECT cut FROM f{k}_t)")
+        for k in range(1, 6)
+    )
+    + " UNION ALL ".join(f"SELECT grp::INT AS fold, {METRIC_ROW}, ROUND((SELECT cut FROM f{k}_t), 4) AS threshold FROM g{k}" for k in range(1, 6)),
+    decimals=4,
+)
 def clinical_cv(lens: Lens) -> DataFrame:
     train = cut_lineage(clinical_input(lens).filter("analysis_split = 'train'"))
     return models.cv_metrics(train, "analysis_case", CLINICAL)
 
 
-@query("incident_model_metrics")
+# The features of the incident model, in their public order.
+INCIDENT_NUMBERS = [
+    "age_at_baseline",
+    "prebaseline_ck_max",
+    "prebaseline_creatinine_last",
+    "prebaseline_ast_last",
+    "prebaseline_alt_last",
+    "prebaseline_sodium_last",
+    "prebaseline_potassium_last",
+    "prebaseline_calcium_last",
+    "prebaseline_tsh_last",
+]
+INCIDENT_FLAGS = [
+    "prior_kidney_disease_or_aki",
+    "remote_sepsis_history",
+    "prior_heat_illness_or_dehydration",
+    "prior_exertion_or_exercise_code",
+    "prior_myopathy_muscle_disease",
+    "prior_sickle_trait_or_disease",
+    "prior_diabetes",
+    "prior_thyroid_disease",
+    "prior_liver_disease",
+    "prior_alcohol_substance_condition",
+    "prior_injury_trauma_history",
+    "ck_tested_prebaseline",
+]
+
+
+@query(
+    "incident_model_metrics",
+    INCIDENT_SQL
+    + """, irk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY analysis_case ORDER BY substr(sha256(person_id), 1, 16), person_id) AS r, COUNT(*) OVER (PARTITION BY analysis_case) AS total FROM inc_elig),
+irt AS (SELECT *, CASE WHEN total <= 1 THEN 0 ELSE LEAST(GREATEST(1, CAST(round_even(CAST(total AS DOUBLE) * 0.19999999999999996::DOUBLE, 0) AS BIGINT)), total - 1) END AS nt FROM irk),
+ic AS (SELECT *, analysis_case AS y, CASE WHEN r <= nt THEN 'test' ELSE 'train' END AS analysis_split, COALESCE(sex, 'missing') AS sx, lower(ancestry_pred) AS rg FROM irt)
+"""
+    + model_sql("m", "ic", "analysis_split = 'train'", INCIDENT_NUMBERS, INCIDENT_FLAGS, LEVELS)
+    + metrics_sql("mm", "m_p", "analysis_split", "(SELECT cut FROM m_t)")
+    + f"SELECT grp AS evaluation_set, {METRIC_ROW} FROM mm",
+    decimals=4,
+)
 def incident_model(lens: Lens) -> DataFrame:
     people = cut_lineage(incident_cohort(lens).filter("case_control_eligible = 1"))
     rows = splits.stratified_splits(people).withColumns(
         {"model_sex_category": F.col("sex_category"), "model_ancestry_pred": F.lower("ancestry_pred")}
     )
     features = dict(
-        continuous=[(f"prebaseline_{lab}_last", f"prebaseline_{lab}_last_per_sd", "identity") for lab in ("ck", "creatinine", "sodium")]
-        + [("age_at_baseline", "age_at_baseline_per_sd", "identity")],
-        binary=["prior_kidney_disease_or_aki", "remote_sepsis_history", "prior_diabetes", "ck_tested_prebaseline"],
+        continuous=[(c, f"{c}_per_sd", "identity") for c in INCIDENT_NUMBERS],
+        binary=INCIDENT_FLAGS,
         min_observed=5,
     )
     return models.run_model(rows, "analysis_case", features)["metrics"].drop("threshold")
 
 
-@query("heldout_model_comparison")
+_SCORES_SQL = WEIGHT_SQL.removeprefix(TIER_SQL)
+
+
+@query(
+    "heldout_model_comparison",
+    CLINICAL_SQL
+    + _SCORES_SQL
+    + _FULL
+    + """, ho AS (SELECT person_id, y, threshold_label, 'clinical_only' AS model, score FROM m_p JOIN prs USING (person_id) WHERE analysis_split = 'test'
+  UNION ALL SELECT person_id, y, threshold_label, 'prs_only', ROUND(prs_score, 9) FROM m_p JOIN prs USING (person_id) WHERE analysis_split = 'test'),
+hg AS (SELECT *, model || '|' || threshold_label AS mg FROM ho)
+"""
+    + _auc_sql("hg", "mg")
+    + _per_sd_sql("hg", ["mg"])
+    + f"SELECT split_part(grp, '|', 1) AS model, split_part(grp, '|', 2) AS threshold_label, {_SCORE_ROW.replace(', 6)', ', 4)')} FROM dis LEFT JOIN psd ON mg = grp",
+    decimals=4,
+)
 def heldout(lens: Lens) -> DataFrame:
     fitted = models.run_model(clinical_input(lens), "analysis_case", CLINICAL)
     test = fitted["predictions"].filter("analysis_split = 'test'")
-    table = scores.person_scores(called(lens), _weights(lens), test, THRESHOLDS).join(
-        test.select("person_id", "analysis_case"), "person_id"
-    )
+    table = scores.person_scores(called(lens), _weights(lens), test, THRESHOLDS).withColumn("prs_score", F.round("prs_score", 9))
+    table = table.join(test.select("person_id", "analysis_case"), "person_id")
     rows = models.heldout_comparison(test, table)
     return metrics.score_metrics(cut_lineage(rows), ["model", "threshold_label"])
 
 
-@query("clinical_score_model_metrics")
+@query(
+    "clinical_score_model_metrics",
+    CLINICAL_SQL
+    + _SCORES_SQL
+    + ", cq AS (SELECT cl.*, prs_score FROM cl JOIN prs USING (person_id) WHERE threshold_label = 'p1')"
+    + model_sql("m", "cq", "analysis_split = 'train'", [*NUMBERS, "prs_score"], CLINICAL["binary"], LEVELS)
+    + metrics_sql("mm", "m_p", "analysis_split", "(SELECT cut FROM m_t)")
+    + f"SELECT grp AS evaluation_set, {METRIC_ROW} FROM mm",
+    decimals=4,
+)
 def clinical_score_model(lens: Lens) -> DataFrame:
     """Clinical features plus one score feature, people with a score only."""
     rows = cut_lineage(clinical_input(lens))
     table = scores.person_scores(called(lens), _weights(lens), rows, [1.0]).select("person_id", "prs_score")
-    features = dict(continuous=[*CLINICAL["continuous"], ("prs_score", "prs_score_per_sd", "identity")])
+    features = dict(continuous=[*CLINICAL["continuous"], ("prs_score", "prs_score_per_sd", "identity")], binary=CLINICAL["binary"])
     return models.run_model(rows.join(table, "person_id"), "analysis_case", features)["metrics"].drop("threshold")
 
 
 @query("sparse_genotype_model")
 def sparse_model(lens: Lens) -> DataFrame:
     rows = cut_lineage(clinical_input(lens))
-    panel = lens.annotation.filter(F.col("clinvar_significance").contains("red")).select("variant_id")
-    calls = called(lens).join(panel, "variant_id", "left_semi").join(rows.select("person_id"), "person_id", "left_semi")
-    predicted, _, _ = models.sparse_genotype_model(calls, rows, ["pc1", "pc2"], [0.5], [0.01, 0.1])
+    panel = flagged(lens, rows.withColumnRenamed("analysis_case", "outcome")).filter("biallelic and qc_pass").select("variant_id")
+    calls = called(lens).join(panel, "variant_id", "left_semi")
+    predicted, _, _ = models.sparse_genotype_model(calls, rows, ["pc1", "pc2"], [0.1, 0.5, 0.9], [0.01, 0.1])
     return metrics.discrimination(predicted, ["analysis_split"])

@@ -37,14 +37,25 @@ INCIDENT = IncidentRules(
     history={
         "prior_kidney_disease_or_aki": (Concepts((13, 21, 22, 23), label="kidney_disease"),),
         "remote_sepsis_history": (Concepts((12,), label="sepsis"),),
+        "prior_heat_illness_or_dehydration": (Concepts((41,)), Concepts((42,))),
+        "prior_exertion_or_exercise_code": (Concepts((43, 44)),),
+        "prior_myopathy_muscle_disease": (Concepts((45, 46, 47)),),
+        "prior_sickle_trait_or_disease": (Concepts((48,)),),
         "prior_diabetes": (Concepts((31, 32, 33, 34), label="diabetes"),),
-        "prior_urgent_record": (Concepts((), ("urgent",), label="urgent"),),
+        "prior_thyroid_disease": (Concepts((51, 52)),),
+        "prior_liver_disease": (Concepts((53, 54, 55)),),
+        "prior_alcohol_substance_condition": (Concepts((), ("urgent",)),),
+        "prior_injury_trauma_history": (Concepts((61, 62, 63, 64)),),
     },
     labs=(
         Concepts((0, 1, 2, 3), label="ck"),
         Concepts((4, 5), label="creatinine"),
+        Concepts((10,), label="ast"),
+        Concepts((11,), label="alt"),
         Concepts((6, 7), label="sodium"),
         Concepts((), ("lab 8", "lab 9"), label="potassium"),
+        Concepts((12, 13), label="calcium"),
+        Concepts((14,), label="tsh"),
     ),
     trauma_window=(-30, 30),
     sepsis_window=(-90, 0),

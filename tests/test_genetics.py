@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from casewright.operators import association, genotypes, leads, metrics, samples, scores
+from casewright.operators import association, genotypes, leads, metrics, samples, scores, skew
 from casewright.sources import genetics, tables
 
 
@@ -283,3 +283,53 @@ def test_id_universe(spark):
         samples.id_universe(None, listed, "flagged.tsv")
     with pytest.raises(ValueError):
         samples.restrict_to_manifest(wgs, listed.limit(0))
+
+
+def test_blocked_fit_equals_the_broadcast_one_near_separation(spark):
+    """Rare carriers among rare cases, some separated: both paths settle on the same rows and values."""
+    import random
+
+    rnd = random.Random(12)
+    people = [(f"p{i:03d}", int(i < 9), rnd.gauss(0, 1)) for i in range(240)]
+    carriers = {"three_to_one": (0, 1, 2, 50), "cases_only": (3, 4), "controls_only": (60, 61, 62), "nobody": (), "even": (5, 70, 71, 72, 73, 74, 75)}
+    exposures = [(u, f"p{i:03d}", 1.0) for u, who in carriers.items() for i in who]
+    sample = spark.createDataFrame(people, "person_id string, outcome int, x double")
+    rows = spark.createDataFrame(exposures, "unit string, person_id string, dosage double")
+    panel = spark.createDataFrame([(u,) for u in carriers], "unit string")
+    got = [
+        {r.unit: r for r in association.logistic_per_unit(rows, sample, ["unit"], ["x"], panel=panel, broadcast_limit=limit).collect()}
+        for limit in (10**9, 0)
+    ]
+    for unit in carriers:
+        one, two = got[0][unit], got[1][unit]
+        assert one.converged == two.converged == (unit in ("three_to_one", "even"))
+        if one.converged:
+            assert (one.beta, one.se) == pytest.approx((two.beta, two.se), abs=1e-6)
+        else:
+            assert one.beta is None and two.beta is None
+
+
+def test_lead_hits_of_a_falling_chain(spark):
+    """p falls with position over 250 windows: every chunk waits for the next one, and nothing is cut short."""
+    n = 1000
+    rows = [(f"v{i:04d}", "1", 100_000 * i, 0.5 - i * 1e-4) for i in range(n)]
+    got = sorted(r.position for r in leads.lead_hits(spark.createDataFrame(rows, "variant_id string, chromosome string, position long, regression_p double"), 250_000).collect())
+    assert got == list(range(100_000 * ((n - 1) % 3), 100_000 * n, 300_000))
+
+
+def test_missing_calls_take_the_mean_of_the_people_with_a_call(spark):
+    calls = spark.createDataFrame([("v", "a", 1), ("v", "b", 2), ("v", "c", None), ("w", "a", None), ("z", "x", 2)], "variant_id string, person_id string, n_alt int")
+    people = spark.createDataFrame([(p,) for p in "abcde"], "person_id string")
+    got = {(r.variant_id, r.person_id): r.dosage for r in genotypes.mean_imputed(calls, people).collect()}
+    assert got == {("v", "a"): 1.0, ("v", "b"): 2.0, ("v", "c"): 0.75}
+    assert {r.dosage for r in genotypes.mean_imputed(calls, people, decimals=1).collect()} == {1.0, 2.0, 0.8}
+
+
+def test_heavy_keys_are_split_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HEAVY_ROWS", 100)
+    fact = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id")
+    lookup = fact.select("k").distinct().withColumn("v", F.length("k")).filter("k <> '7'")
+    for how in ("inner", "left"):
+        got = skew.salted_lookup(fact, lookup, "k", "id", how)
+        assert got.columns == ["k", "id", "v"] and got.count() == fact.join(lookup, "k", how).count()
+        assert got.exceptAll(fact.join(lookup, "k", how)).isEmpty()

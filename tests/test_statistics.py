@@ -139,7 +139,7 @@ def test_effect_per_sd_and_recalibration(spark):
     x = np.array([r[2] for r in rows])
     y = np.array([r[1] for r in rows], float)
     z = (x - x.mean()) / x.std()
-    beta, info = association.newton_logistic(np.column_stack([np.ones(len(z)), z]), y, np.zeros(2))
+    beta, info = association.newton_logistic(np.column_stack([np.ones(len(z)), z]), y)
     row = metrics.effect_per_sd(df).first()
     assert row.beta_per_score_sd == pytest.approx(beta[1], rel=1e-6) and row.se_per_score_sd == pytest.approx(math.sqrt(np.linalg.inv(info)[1, 1]), rel=1e-6)
     one_class = metrics.recalibration(df.filter("y = 1")).first()
