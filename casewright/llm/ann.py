@@ -76,9 +76,9 @@ def walk(first: np.ndarray, second: np.ndarray, sizes: np.ndarray, enough: int)
     return cells
 
 
-def _best(ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, scores: np.ndarray, allowed: np.ndarray, k: int) -> tuple[list, list]:
-    """The k nearest allowed: a blocked product finds them up to rounding, one row-wise sum decides."""
-    at = np.flatnonzero(allowed)
+def _best(ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, scores: np.ndarray, allowed: np.ndarray, k: int, least: float) -> tuple[list, list]:
+    """The k nearest allowed that reach ``least``: a blocked product finds them up to rounding, one row-wise sum decides."""
+    at = np.flatnonzero(allowed & (scores >= least - 1e-9 * max(1.0, abs(least))))
     if len(at) > k:
         s = scores[at]
         edge = np.partition(s, len(s) - k)[len(s) - k]
@@ -116,6 +116,7 @@ def search(vectors: DataFrame, every: int, k: int, vec_id: str = "vec_id", embed
     for r in index.groupBy("cell").count().collect():
         sizes[r["cell"]] = r["count"]
     unit_of, spread = _units(sizes)
+    units = int((unit_of + spread).max())
     enough = max(int(np.ceil(share * total)), k + 1)
 
     def probe():
@@ -144,14 +145,29 @@ def search(vectors: DataFrame, every: int, k: int, vec_id: str = "vec_id", embed
             ids, cells, x = left["id"].to_numpy(), left["cell"].to_numpy(), np.array(left["v"].tolist())
             q = np.array(right["q"].tolist())
             scores = q @ x.T
-            for i, (key, own) in enumerate(zip(right["query_id"], right["cells"])):
-                near = _best(ids, x, q[i], scores[i], np.isin(cells, own) & (ids != key), k)
+            for i, (key, own, least) in enumerate(zip(right["query_id"], right["cells"], right["least"])):
+                near = _best(ids, x, q[i], scores[i], np.isin(cells, own) & (ids != key), k, least)
                 out.extend((key, *pair) for pair in zip(*near))
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    near = entries.groupBy("unit", "block").cogroup(asked.groupBy("unit", "block")).applyInPandas(rerank, "query_id bigint, vec_id bigint, score double")
+    # Units go in rounds, one first and then four times as many as before. Each round begins with the k-th best scores
+    # of the ones before, so few entries leave a unit for nothing, however many units there are.
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    asked, entries = cut_lineage(asked), cut_lineage(entries)
+    near, done, upto = None, 0, 1
+    while done < units:
+        here = (F.col("unit") >= done) & (F.col("unit") < upto)
+        now = asked.where(here)
+        if near is None:
+            now = now.withColumn("least", F.lit(-float("inf")))
+        else:
+            least = near.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(-float("inf")).alias("least"))
+            now = now.join(least, "query_id", "left").na.fill(-float("inf"), ["least"])
+        found = entries.where(here).groupBy("unit", "block").cogroup(now.groupBy("unit", "block")).applyInPandas(rerank, "query_id bigint, vec_id bigint, score double")
+        near = found if near is None else near.unionByName(found)
+        near = cut_lineage(near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "vec_id", "score"))
+        done, upto = upto, 4 * upto
+    return near.withColumn("rank", F.row_number().over(order)).select("query_id", "rank", "vec_id", "score")
 
 
 def _units(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
