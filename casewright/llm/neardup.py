@@ -3,7 +3,7 @@
 A document is the weighted set of its five-word shingles, a shingle's weight the number of times it occurs. Darts are
 thrown by hash at the plane of each shingle: one axis is weight, the other rank. A dart below the shingle's weight
 hits, names one of ``COORDINATES`` coordinates, and the hit of lowest rank in each coordinate is the signature. The
-plane is cut into regions of unit weight and doubling rank, and a document looks only into the regions up to the rank
+plane is cut into regions of unit weight and, up to a rank of 4, doubling rank, and a document looks only into those up to the rank
 where all its coordinates are expected to be hit; if one stays empty, it looks on into twice the rank. So the work
 grows with weight plus coordinates, not with their product, and two documents share a coordinate with probability
 equal to their weighted Jaccard similarity.
@@ -11,14 +11,14 @@ equal to their weighted Jaccard similarity.
 Signatures are banded, ``BANDS`` bands of ``ROWS`` coordinates: a pair of similarity 0.8 shares no band with a
 probability below 2e-7. Equal texts are one document in all that follows. Nothing emits all pairs of a bucket:
 
-1. Each bucket's documents are compared with one leader, the smallest, and, in buckets that still hold several
-   components, with a leader chosen by hash of bucket and document.
-2. What is left are buckets with documents outside the bucket's main component. These ask the bucket in blocks, on
-   signatures alone, inside tasks: a document hands on the strangers among its nearest few, four at first and fourfold
-   more from round to round, until no stranger is left. Components merge between rounds, so rounds are few.
+1. Each bucket's documents are compared with one leader, the smallest, and those that are not in the bucket's largest
+   component then with a leader chosen by hash from that component, another one in each of their buckets.
+2. What is left are buckets with documents outside their largest component. In blocks, inside tasks, each such document
+   asks the members of other components, nearest signatures first, until it is linked to their component or nobody is
+   left. Only links leave a task. So every candidate pair of different components is checked, and none of equal ones.
 
 A pair whose signatures agree in fewer than ``LEAST_SHARE`` of the coordinates is passed over (for a pair of similarity
-0.8 the chance is below 1e-7); every other one is checked exactly on its shingles. The classes are the connected
+0.8 the chance is about 2e-5, and falls fast above); every other one is checked exactly on its shingles. The classes are the connected
 components of the checked links.
 
 Defined results: words are runs of letters, digits and underscores in lower case; a text with fewer than five words is
@@ -44,13 +44,12 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 30, 4
 COORDINATES = BANDS * ROWS
-LEAST_SHARE = 0.6
+LEAST_SHARE = 0.65
 BLOCK = 512
 REMEMBERED = 300_000
 
 _WORD = re.compile(r"\w+")
 _SEEDS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
-_TINY = -12  # the first region reaches to rank 2^-12
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -63,14 +62,23 @@ def _uniform(x: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(11)).astype(float) * 2.0**-53
 
 
+def _edge(level: np.ndarray | int) -> np.ndarray:
+    """Upper rank of a region: 2^-4, doubling up to 4, from there in steps of 4. Region 0 begins at rank 0."""
+    return np.where(np.asarray(level) <= 6, 2.0 ** (np.minimum(level, 6) - 4.0), 4.0 * (np.asarray(level) - 5.0))
+
+
+def _regions(rank: float) -> int:
+    """How many regions reach to ``rank``."""
+    return max(1, math.ceil(math.log2(rank)) + 5) if rank <= 4 else math.ceil(rank / 4) + 6
+
+
 @lru_cache(maxsize=64)
 def _poisson(area: float) -> np.ndarray:
-    """Distribution function of the number of darts in a region, as far as doubles tell it from one."""
-    p, total, out, k = math.exp(-area), 0.0, [], 0
-    while k < 3 or (total < 1.0 - 1e-15 and p > 1e-18):
+    """Distribution function of the number of darts in a region of an area up to 4, as far as doubles tell it from one."""
+    p, total, out = math.exp(-area), 0.0, []
+    for k in range(1, 41):
         total += p
-        out.append(total)
-        k += 1
+        out.append(total if total < 1.0 - 2.0**-52 else 2.0)
         p *= area / k
     return np.array(out)
 
@@ -107,41 +115,43 @@ def signature(elements: np.ndarray, weights: np.ndarray, coordinates: int = COOR
     """The dart of lowest rank in each coordinate, as 32-bit numbers. Weights are positive and may be fractions."""
     strips = np.ceil(weights).astype(np.int64)
     which = np.repeat(np.arange(len(elements)), strips)
-    begin = np.concatenate([[0], np.cumsum(strips)[:-1]])
-    strip = np.arange(len(which)) - begin[which]
-    total = float(weights.sum())
+    strip = np.arange(len(which)) - np.repeat(np.cumsum(strips) - strips, strips)
     with np.errstate(over="ignore"):
         plane = _mix(elements[which] ^ _mix(strip.astype(np.uint64) * _SEEDS[1] + _SEEDS[2]))
         room = weights[which] - strip  # what of the strip lies below the weight
-        reach = (coordinates * math.log(coordinates) + 2 * coordinates) / total
-        ranks, names = np.full(coordinates, np.inf), np.zeros(coordinates, dtype=np.uint64)
-        level, low = _TINY, 0.0
+        reach = (coordinates * math.log(coordinates) + 2 * coordinates) / float(weights.sum())
+        ranks, names, done = np.full(coordinates, np.inf), np.zeros(coordinates, dtype=np.uint64), 0
         while True:
-            high = 2.0**level
-            steps = _poisson(high - low)
-            region = _mix(plane + np.uint64(level - _TINY + 1) * _SEEDS[0])
-            chance = _uniform(region)
-            hit = np.flatnonzero(chance >= steps[0])
-            many = np.searchsorted(steps, chance[hit], side="right")
-            for c in range(int(many.max(initial=0))):
-                at = hit[many > c]
-                dart = _mix(region[at] + np.uint64(c + 1) * _SEEDS[3])
-                below = _uniform(_mix(dart + _SEEDS[1])) < room[at]
-                dart = dart[below]
-                rank = low + (high - low) * _uniform(_mix(dart + _SEEDS[2]))
-                place = (_mix(dart + _SEEDS[0]) % np.uint64(coordinates)).astype(np.int64)
-                order = np.argsort(-rank)  # later writes win, so the lowest rank of a coordinate stays
-                rank, place, dart = rank[order], place[order], dart[order]
-                best_rank, best_name = np.full(coordinates, np.inf), np.zeros(coordinates, dtype=np.uint64)
-                best_rank[place], best_name[place] = rank, dart
-                better = best_rank < ranks
-                ranks, names = np.where(better, best_rank, ranks), np.where(better, best_name, names)
-            low = high
-            level += 1
-            if low >= reach:
-                if np.isfinite(ranks).all():
-                    return (names >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                reach = 2 * low
+            levels = max(done + 1, _regions(reach))
+            rank, dart = _darts(plane, room, done, levels)
+            place = (_mix(dart + _SEEDS[0]) % np.uint64(coordinates)).astype(np.int64)
+            order = np.argsort(-rank, kind="stable")  # later writes win, so the lowest rank of a coordinate stays
+            best = np.full(coordinates, -1)
+            best[place[order]] = order
+            found = np.flatnonzero(best >= 0)
+            found = found[rank[best[found]] < ranks[found]]
+            ranks[found], names[found] = rank[best[found]], dart[best[found]]
+            if np.isfinite(ranks).all():
+                return (names >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            done, reach = levels, 2 * float(_edge(levels - 1))
+
+
+def _darts(plane: np.ndarray, room: np.ndarray, first: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks and hashes of the darts that hit in regions ``first`` to ``end``."""
+    level = np.arange(first, end)
+    high = _edge(level)
+    low = np.where(level > 0, _edge(level - 1), 0.0)
+    steps = np.vstack([_poisson(float(h - x)) for h, x in zip(high, low)])
+    region = _mix(plane[:, None] + (level + 1).astype(np.uint64) * _SEEDS[0])
+    chance = _uniform(region)
+    row, at = np.nonzero(chance >= steps[:, 0])
+    many = (chance[row, at][:, None] >= steps[at]).sum(axis=1)
+    row, at = np.repeat(row, many), np.repeat(at, many)
+    count = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+    dart = _mix(region[row, at] + (count + 1).astype(np.uint64) * _SEEDS[3])
+    hit = _uniform(_mix(dart + _SEEDS[1])) < room[row]
+    dart, at = dart[hit], at[hit]
+    return low[at] + (high - low)[at] * _uniform(_mix(dart + _SEEDS[2])), dart
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -219,32 +229,43 @@ def _unsettled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return cut_lineage(named.join(mixed, "bucket").withColumn("asks", F.col("comp") != F.col("main")).drop("main"))
 
 
-def _strangers(first: int, end: int):
-    """In each (bucket, block of askers, block of others): every asker's strangers among its nearest ``first`` to ``end``.
+def _strangers(threshold: float):
+    """In each (bucket, block of askers, block of others): a link from an asker to each other component that has one.
 
-    ``more`` says that a stranger lies beyond.
+    An asker takes the others by falling signature agreement and checks them on their shingles, until it is linked to
+    their component. A pair is looked at only in the first bucket that it shares.
     """
     least = math.ceil(LEAST_SHARE * COORDINATES)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        out: set[tuple[int, int, bool]] = set()
+        out: set[tuple[int, int]] = set()
+        shingles = Shingles()
         for _, rows in group.sort_values(["bucket", "i", "t", "node"]).groupby(["bucket", "i", "t"], sort=False):
             sig, node, comp = np.array(rows["signature"].tolist()), rows["node"].to_numpy(), rows["comp"].to_numpy()
+            band, texts, sets = int(rows["band"].iloc[0]), rows["text"].to_list(), {}
+
+            def at(k: int):
+                if k not in sets:
+                    sets[k] = shingles(shingles.words(texts[k]))
+                return sets[k]
+
             for i in np.flatnonzero(rows["asking"].to_numpy()):
-                share = (sig == sig[i]).sum(axis=1)
-                near = np.flatnonzero((share >= least) & (node != node[i]))
-                near = near[np.lexsort((node[near], -share[near]))]
-                strange = comp[near] != comp[i]
-                out.update((int(min(node[i], node[j])), int(max(node[i], node[j])), False) for j in near[first:end][strange[first:end]])
-                if strange[end:].any():
-                    out.add((0, 0, True))
-        return pd.DataFrame({n: np.array([x[k] for x in out], dtype=t) for k, (n, t) in enumerate((("a", "i8"), ("b", "i8"), ("more", "?")))})
+                same = sig == sig[i]
+                share = same.sum(axis=1)
+                first = same.reshape(len(sig), BANDS, ROWS).all(axis=2).argmax(axis=1)
+                near = np.flatnonzero((share >= least) & (comp != comp[i]) & (first == band))
+                linked: set[int] = set()
+                for j in near[np.lexsort((node[near], -share[near]))]:
+                    if comp[j] not in linked and similarity(at(i), at(j)) >= threshold:
+                        linked.add(comp[j])
+                        out.add((int(min(node[i], node[j])), int(max(node[i], node[j]))))
+        return pd.DataFrame({n: np.array([x[k] for x in out], dtype="i8") for k, n in enumerate(("a", "b"))})
 
     return run
 
 
-def _asked(mixed: DataFrame, signed: DataFrame, first: int, end: int) -> DataFrame:
-    """Pairs of different components from the unsettled buckets, which are dealt into blocks of about ``BLOCK`` members."""
+def _asked(mixed: DataFrame, signed: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame:
+    """Links between components of the unsettled buckets, which are dealt into blocks of about ``BLOCK`` members."""
     zero = F.lit(0).cast("bigint")
     askers = F.ceil(F.col("n_other") / BLOCK)
     others = F.ceil(F.col("n_main") / BLOCK)
@@ -253,27 +274,24 @@ def _asked(mixed: DataFrame, signed: DataFrame, first: int, end: int) -> DataFra
     ask = m.where("asks").select("bucket", "node", "comp", F.col("own").alias("i"), F.explode(F.sequence(zero, F.col("askers") + F.col("others") - 1)).alias("t"), F.lit(True).alias("asking"))
     target = F.when(F.col("asks"), F.col("others") + F.col("own")).otherwise(F.col("own"))
     told = m.select("bucket", "node", "comp", F.explode(F.sequence(zero, F.col("askers") - 1)).alias("i"), target.alias("t"), F.lit(False).alias("asking"), "asks", "own").where("NOT (asks AND i = own)").drop("asks", "own")
-    rows = ask.unionByName(told).join(signed.select("node", "signature"), "node")
+    rows = ask.unionByName(told).withColumn("band", F.col("bucket.band")).withColumn("bucket", F.xxhash64("bucket"))
+    rows = rows.join(signed.select("node", "signature"), "node").join(bodies, "node")
     shards = max(1, -(-mixed.count() // 1024))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("bucket", "i", "t"), F.lit(shards)))
-    return rows.groupBy("shard").applyInPandas(_strangers(first, end), "a bigint, b bigint, more boolean")
+    return rows.groupBy("shard").applyInPandas(_strangers(threshold), "a bigint, b bigint")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
-    """``(doc_id, body, class_id, links)`` for every row of ``docs``.
-
-    ``body`` is xxhash64 of the text, which tells rows of one id apart. ``links`` counts the contents that the row's
-    content is linked with.
-    """
+    """``(doc_id, body, class_id)`` for every row of ``docs``. ``body`` is xxhash64 of the text, which tells rows of one id apart."""
     source = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63))).alias("doc_id"), F.xxhash64(F.col(text)).alias("body"), F.col(text).alias("text"))
     rows = _signed(source)
     # one node for each content, with the smallest id that has it
     contents = rows.where("content is not null").groupBy("content").agg(F.min(F.struct("doc_id", "body")).alias("first"), F.first("signature").alias("signature"))
     signed = cut_lineage(contents.select(F.xxhash64("content").alias("node"), F.col("first.doc_id").alias("doc_id"), F.col("first.body").alias("body"), "signature"))
-    bands = F.array(*(F.xxhash64(F.lit(b), *(F.element_at("signature", b * ROWS + r + 1) for r in range(ROWS))) for b in range(BANDS)))
+    bands = F.array(*(F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), *(F.element_at("signature", b * ROWS + r + 1) for r in range(ROWS))).alias("h")) for b in range(BANDS)))
     flat = signed.select("node", F.explode(bands).alias("bucket"))
-    full = cut_lineage(flat.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1"))
-    buckets = cut_lineage(flat.join(full, "bucket").select("bucket", "node", "leader"))
+    full = cut_lineage(flat.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1").drop("n"))
+    buckets = cut_lineage(flat.join(full, "bucket"))
     pairs = cut_lineage(_agreeing(buckets.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), signed))
     buckets = buckets.select("bucket", "node")
     # all texts that any later step can ask for, fetched once
@@ -284,29 +302,20 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     labels = components(links)
     mixed = _unsettled(buckets, labels)
     if not mixed.isEmpty():
-        chosen = cut_lineage(mixed.groupBy("bucket").agg(F.min_by("node", F.xxhash64("bucket", "node")).alias("leader")))
-        led = mixed.join(chosen, "bucket").where("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        first, width = -1, 0
-        while True:
-            pairs = cut_lineage(_agreeing(_apart(led, labels), signed))
-            links = cut_lineage(links.unionByName(_checked(pairs, bodies, threshold)))
-            labels = components(links)
-            mixed = _unsettled(buckets, labels)
-            first, width = (0, 4) if first < 0 else (first + width, 4 * width)
-            if mixed.isEmpty():
-                break
-            asked = cut_lineage(_asked(mixed, signed, first, first + width).distinct())
-            if asked.isEmpty():
-                break
-            led = asked.where("NOT more").select("a", "b")
+        chosen = cut_lineage(mixed.where("NOT asks").groupBy("bucket").agg(F.min_by("node", F.xxhash64("bucket", "node")).alias("leader")))
+        led = mixed.where("asks").join(chosen, "bucket").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+        pairs = cut_lineage(_agreeing(_apart(led, labels), signed))
+        links = cut_lineage(links.unionByName(_checked(pairs, bodies, threshold)))
+        labels = components(links)
+        mixed = _unsettled(buckets, labels)
+    if not mixed.isEmpty():
+        links = cut_lineage(links.unionByName(_asked(mixed, signed, bodies, threshold)))
+        labels = components(links)
     whole = signed.select("node", "doc_id").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = cut_lineage(whole.groupBy("comp").agg(F.min("doc_id").alias("class_id")))
-    both = links.select(F.col("a").alias("node"), F.col("b").alias("to")).unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("to"))).distinct()
-    degree = both.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    by_node = cut_lineage(whole.join(named, "comp").join(degree, "node", "left").select("node", "class_id", F.coalesce("links", F.lit(0)).cast("bigint").alias("links")))
+    by_node = cut_lineage(whole.join(named, "comp").select("node", "class_id"))
     out = rows.select("doc_id", "body", F.xxhash64("content").alias("node"), F.col("content").isNull().alias("alone")).join(by_node, "node", "left")
-    own = F.col("alone")
-    return out.select("doc_id", "body", F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(own, F.lit(0).cast("bigint")).otherwise(F.col("links")).alias("links"))
+    return out.select("doc_id", "body", F.when(F.col("alone"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
 
 
 def kept(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:

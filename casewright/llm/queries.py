@@ -74,16 +74,14 @@ WITH RECURSIVE split AS (
 ), ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
 ), reached AS (
   SELECT node AS a, node AS b FROM contents UNION SELECT r.a, w.b FROM reached r JOIN ways w ON r.b = w.a
-), named AS (SELECT a AS node, min(b) AS class_id FROM reached GROUP BY 1
-), degrees AS (SELECT a AS node, count(*) AS links FROM ways GROUP BY 1)
-SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(links, 0) AS links
-FROM split LEFT JOIN contents USING (w) LEFT JOIN named USING (node) LEFT JOIN degrees USING (node)
+), named AS (SELECT a AS node, min(b) AS class_id FROM reached GROUP BY 1)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id FROM split LEFT JOIN contents USING (w) LEFT JOIN named USING (node)
 """
 
 
 @query("op5_minhash_dedup", NEAR)
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "links")
+    return neardup.classes(table(spark, folder, "documents")).select("doc_id", "class_id")
 
 
 # the Spark side rounds every score to six decimals, so does this
