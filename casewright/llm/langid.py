@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -140,23 +141,29 @@ class Labeller:
     def __init__(self, model: Model, penalty: float = SWITCH_PENALTY):
         self.model, self.penalty = model, penalty
         self.known: dict[str, int] = {}
-        self.rows = np.zeros((1024, len(model.languages)))
-
-    def score(self, word: str) -> np.ndarray:
-        """The word's score for each language, relative to the best candidate."""
-        can = self.model.scripts.get(script_of(word))
-        if can is None:
-            return np.zeros(len(self.model.languages))
-        sums = self.model.weights[features(word)].sum(axis=0, dtype="f8")
-        return np.where(can, np.maximum(sums - sums[can].max(), -FLOOR), -FLOOR)
-
-    def _add(self, word: str) -> int:
-        n = len(self.known)
-        if n >= len(self.rows):
+        self.letters: dict[str, np.ndarray] = {}
+        self.rows = np.zeros((1 << 16, len(model.languages)))
+
+    def _learn(self, words: list[str]) -> None:
+        """Scores of new words, all at once: relative to the best candidate, and at least the floor."""
+        model, known, n = self.model, self.known, len(self.known)
+        while n + len(words) > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[n] = self.score(word)
-        self.known[word] = n
-        return n
+        grams = [features(w) for w in words]
+        ends = np.cumsum([len(g) for g in grams])
+        sums = np.add.reduceat(model.weights[list(chain.from_iterable(grams))].astype("f8"), np.concatenate([[0], ends[:-1]]), axis=0)
+        can = np.array([self._candidates(w[0]) for w in words])
+        best = np.where(can, sums, -np.inf).max(axis=1, keepdims=True)
+        scores = np.where(can, np.maximum(sums - np.where(np.isfinite(best), best, 0.0), -FLOOR), -FLOOR)
+        scores[~can.any(axis=1)] = 0.0  # a script that no language writes says nothing
+        self.rows[n : n + len(words)] = scores
+        known.update(zip(words, range(n, n + len(words))))
+
+    def _candidates(self, letter: str) -> np.ndarray:
+        found = self.letters.get(letter)
+        if found is None:
+            found = self.letters[letter] = self.model.scripts.get(script_of(letter), np.zeros(len(self.model.languages), dtype=bool))
+        return found
 
     def path(self, scores: np.ndarray) -> np.ndarray:
         """Viterbi: the language of each word."""
@@ -188,10 +195,11 @@ class Labeller:
         known = self.known.get
         at = [known(w, -1) for w in words]
         if -1 in at:
-            at = [i if i >= 0 else known(w, -1) if known(w, -1) >= 0 else self._add(w) for w, i in zip(words, at)]
+            self._learn(list(dict.fromkeys(w for w, i in zip(words, at) if i < 0)))
+            at = [known(w) for w in words]
         scores = self.rows[at]
         names = self.model.languages
-        if not scores.any() and all(script_of(w) not in self.model.scripts for w in words):
+        if not scores.any() and not any(self._candidates(w[0]).any() for w in words):
             return names[self.model.usual], 0.0, []
         path = self.path(scores)
         letters = np.bincount(path, weights=np.fromiter(map(len, words), dtype=float, count=len(words)), minlength=len(names))
@@ -207,12 +215,20 @@ class Labeller:
         return [{"start": a, "end": b, "lang": self.model.languages[path[c]]} for a, b, c in zip(edges, edges[1:], cuts)]
 
 
+def labeller(model: Model, penalty: float) -> Labeller:
+    """One for each Python worker and model: the broadcast model stays in the worker, and its labeller with it."""
+    have = getattr(model, "labeller", None)
+    if have is None or have.penalty != penalty:
+        have = model.labeller = Labeller(model, penalty)
+    return have
+
+
 def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", penalty: float = SWITCH_PENALTY) -> DataFrame:
     """``PREDICTED`` for every row, from its text alone; the id is only carried. Spans cover the text, code points, end exclusive."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        label = Labeller(shared.value, penalty)
+        label = labeller(shared.value, penalty)
         return lambda key, body: [(key, *label(body))]
 
     return by_rows(docs.select(F.col(doc_id).cast("bigint").alias("a"), F.col(text).alias("b")), make, PREDICTED)
@@ -224,7 +240,7 @@ def keep(docs: DataFrame, model: Model, least: float, text: str = "text", penalt
     at = docs.columns.index(text)
 
     def run(batches):
-        label = Labeller(shared.value, penalty)
+        label = labeller(shared.value, penalty)
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
