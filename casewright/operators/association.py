@@ -26,7 +26,9 @@ BLOCK_PEOPLE = 50_000
 
 def comparison_samples(sample: DataFrame, ancestry_col: str = "ancestry_pred") -> DataFrame:
     """Long (comparison, person, outcome, …): broad and definite cases against eligible controls, and one set
-    per ancestry that holds both outcome classes."""
+    per ancestry that holds both outcome classes. A sample without tier columns is one matched comparison."""
+    if not {"broad_case", "definite_case"} & set(sample.columns):
+        return sample.withColumn("comparison", F.lit("matched_case_control")).withColumn("outcome", F.col("analysis_case").cast("int"))
     control = F.coalesce(F.col("eligible_control").cast("int"), F.lit(0)) == 1
     broad, definite = F.col("broad_case") == 1, F.col("definite_case") == 1
     sets = F.array_compact(

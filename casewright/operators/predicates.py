@@ -9,6 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from casewright.functions.scalars import lenient_double
+from casewright.operators.skew import salted_lookup
 from casewright.rules import Concepts
 
 
@@ -38,6 +39,15 @@ def concept_matches(ids: Sequence[int], terms: Sequence[str], id_col: str = "con
     return F.coalesce(reduce(or_, [F.coalesce(p, F.lit(False)) for p in parts]), F.lit(False))
 
 
+def with_concept_names(events: DataFrame, concepts: DataFrame) -> DataFrame:
+    """Events ⟕ concept table on ``concept_id``: event tables carry ids only, term rules read names.
+
+    ``concepts`` has one name for each id. An id without an entry keeps a NULL name. A frequent concept is split.
+    """
+    names = concepts.groupBy("concept_id").agg(F.min("concept_name").alias("concept_name"))
+    return salted_lookup(events.drop("concept_name"), names, "concept_id", "person_id", "left")
+
+
 def rule_matches(rule: Concepts) -> Column:
     return concept_matches(rule.ids, rule.terms)
 

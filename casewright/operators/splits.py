@@ -191,20 +191,64 @@ def eligibility_summary(df: DataFrame, outcome: str = "analysis_case") -> DataFr
     )
 
 
-def model_columns(pcs: int = 10, cofactors: Sequence[str] = ("crush_injury", "sepsis", "renal_injury")) -> list[str]:
-    """Preferred model-input columns, in order."""
-    lead = [
-        "person_id", "analysis_case", "analysis_split", "cv_fold", "primary_model_eligible",
-        "nontraumatic_model_eligible", "sensitivity_no_periindex_sepsis_eligible",
-        "sensitivity_include_trauma_eligible", "clinical_model_complete_core", "eligible_control",
-        "eligible_denominator", "matched_case_preperi_crush_injury", "row_preperi_crush_injury",
-        "matched_case_preindex_sepsis", "matched_case_periindex_sepsis", "row_preindex_sepsis",
-        "row_periindex_sepsis", "match_group_id", "match_role", "matched_case_person_id", "case_tier", "broad_case",
-        "definite_case", "high_without_target", "index_date", "age_at_index", "observation_days", "condition_dates",
-        "model_sex_category", "sex_category", "is_female", "model_ancestry_pred", "ancestry_pred",
-    ]
-    timed = [f"{p}_{c}" for c in cofactors for p in ("remote_preindex", "near_preindex", "preindex", "periindex", "postindex")]
-    return [*lead, *[f"pc{i}" for i in range(1, pcs + 1)], *timed]
+# The model-input columns, in their public order.
+MODEL_COLUMNS = (
+    "person_id",
+    "analysis_case",
+    "analysis_split",
+    "cv_fold",
+    "primary_model_eligible",
+    "nontraumatic_model_eligible",
+    "sensitivity_no_periindex_sepsis_eligible",
+    "sensitivity_include_trauma_eligible",
+    "clinical_model_complete_core",
+    "eligible_control",
+    "eligible_denominator",
+    "matched_case_preperi_crush_injury",
+    "row_preperi_crush_injury",
+    "matched_case_preindex_sepsis",
+    "matched_case_periindex_sepsis",
+    "row_preindex_sepsis",
+    "row_periindex_sepsis",
+    "match_group_id",
+    "match_role",
+    "matched_case_person_id",
+    "case_tier",
+    "broad_case",
+    "definite_case",
+    "high_without_target",
+    "index_date",
+    "age_at_index",
+    "observation_days",
+    "condition_dates",
+    "model_sex_category",
+    "sex_category",
+    "is_female",
+    "model_ancestry_pred",
+    "ancestry_pred",
+    "pc1",
+    "pc2",
+    "pc3",
+    "pc4",
+    "pc5",
+    "pc6",
+    "pc7",
+    "pc8",
+    "pc9",
+    "pc10",
+    "preindex_crush_injury",
+    "remote_preindex_sepsis",
+    "near_preindex_sepsis",
+    "preindex_sepsis",
+    "remote_preindex_renal_injury",
+    "near_preindex_renal_injury",
+    "preindex_renal_injury",
+    "periindex_crush_injury",
+    "periindex_sepsis",
+    "periindex_renal_injury",
+    "postindex_sepsis",
+    "postindex_renal_injury",
+)
 
 
 def model_input(df: DataFrame, outcome: str = "analysis_case") -> DataFrame:
@@ -227,4 +271,4 @@ def model_input(df: DataFrame, outcome: str = "analysis_case") -> DataFrame:
         extra["model_sex_category"] = F.when(c.isin("female", "male", "missing"), c).otherwise("other_or_unknown")
     if "ancestry_pred" in df.columns:
         extra["model_ancestry_pred"] = category_or_missing("ancestry_pred")
-    return select_available(df.withColumns(extra) if extra else df, model_columns())
+    return select_available(df.withColumns(extra) if extra else df, MODEL_COLUMNS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from casewright.operators import anchors, cohort
-from casewright.operators.predicates import tag_events, value_at_least
+from casewright.operators.predicates import rule_matches, with_concept_names, tag_events, value_at_least
 from casewright.plans.registry import query
 from casewright.rules import Concepts, Evidence, Reading, Tier
 from casewright.sources.lens import COFACTORS, RULES, Lens
@@ -166,6 +166,19 @@ def hits_measurement(lens: Lens) -> DataFrame:
     return cohort.tier_hits(lens.condition, lens.measurement, RULES.lab_alone)
 
 
+@query(
+    "concept_lookup",
+    """, concept AS (SELECT p_partkey AS concept_id, p_name AS concept_name FROM part WHERE p_partkey % 7 <> 3)
+SELECT c.person_id, c.concept_id, k.concept_name, CAST(c.event_date AS VARCHAR) AS event_date, CASE WHEN contains(lower(k.concept_name), 'red') THEN 1 ELSE 0 END AS term_hit
+FROM condition c LEFT JOIN concept k USING (concept_id)""",
+)
+def concept_lookup(lens: Lens) -> DataFrame:
+    """Events with ids only get their names from a concept table, part names here, before a term rule reads them."""
+    concepts = lens.table("part").filter("p_partkey % 7 <> 3").select(F.col("p_partkey").alias("concept_id"), F.col("p_name").alias("concept_name"))
+    named = with_concept_names(lens.condition, concepts)
+    return named.select("person_id", "concept_id", "concept_name", "event_date", rule_matches(Concepts(terms=("RED",))).alias("term_hit"))
+
+
 COFACTOR_SQL = """
 , cof(cofactor, concept_id) AS (VALUES ('crush_injury', 11), ('sepsis', 12), ('renal_injury', 13)),
 cofevents AS (SELECT DISTINCT person_id, cofactor, event_date FROM condition JOIN cof USING (concept_id))

@@ -25,10 +25,15 @@ from casewright.operators import (
 )
 from casewright.rules import IncidentRules, Matching, PhenotypeRules
 from casewright.session import cut_lineage
-from casewright.sources.tables import write_manifest, write_table
+from casewright.sources.tables import ASSOCIATION_ORDER, COHORT_ORDER, write_manifest, write_table
+
+
+# Outputs that are written in order.
+ORDERED = {"cohort": COHORT_ORDER, "panel_association": ASSOCIATION_ORDER}
+
 
 def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], folder: str, config: dict) -> dict[str, str]:
-    paths = {name: write_table(df, f"{folder}/{name}.parquet") for name, df in tables.items()}
+    paths = {name: write_table(df, f"{folder}/{name}.parquet", order=ORDERED.get(name, ())) for name, df in tables.items()}
     counts = {name: spark.read.parquet(path).count() for name, path in paths.items()}
     write_manifest(spark, config, paths, counts, f"{folder}/manifest.json")
     return paths
@@ -66,7 +71,7 @@ def case_control(
         "table1_by_split": table1(["analysis_split"]),
         "split_summary": splits.split_summary(matched),
         "eligibility_summary": splits.eligibility_summary(matched),
-        "missingness": describe.missingness(matched, splits.model_columns(), groups),
+        "missingness": describe.missingness(matched, splits.MODEL_COLUMNS, groups),
         "critical_illness": describe.flag_summary(critical, ["definite_case", *flags], either),
         "prior_timing": anchors.prior_timing_summary(matched.filter("analysis_case = 1"), events, names),
         "timing_histogram": anchors.timing_histogram(matched, events, names),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -134,16 +135,17 @@ def eligibility_summary(lens: Lens) -> DataFrame:
 @query(
     "model_input_projection",
     SPLIT_SQL
-    + """SELECT person_id, analysis_case, analysis_split, cv_fold, prim AS primary_model_eligible, case_tier, broad_case, definite_case,
-  CASE WHEN case_tier = 'indeterminate_ck_only' THEN 1 ELSE 0 END AS high_without_target, CAST(index_date AS VARCHAR) AS index_date, age_at_index, observation_days,
-  condition_dates, sex_category AS model_sex_category, ancestry_pred AS model_ancestry_pred, preindex_sepsis, periindex_renal_injury FROM sp""",
+    + """SELECT person_id, analysis_case, analysis_split, cv_fold, prim AS primary_model_eligible, prim AS nontraumatic_model_eligible, nosep AS sensitivity_no_periindex_sepsis_eligible,
+  core AS sensitivity_include_trauma_eligible, core AS clinical_model_complete_core, eligible_control, CAST(condition_dates >= 2 AS INT) AS eligible_denominator,
+  mc_crush AS matched_case_preperi_crush_injury, row_crush AS row_preperi_crush_injury, mc_pre AS matched_case_preindex_sepsis, mc_peri AS matched_case_periindex_sepsis,
+  preindex_sepsis AS row_preindex_sepsis, periindex_sepsis AS row_periindex_sepsis, match_group_id, case_tier, broad_case, definite_case,
+  CASE WHEN case_tier = 'indeterminate_ck_only' THEN 1 ELSE 0 END AS high_without_target, CAST(index_date AS VARCHAR) AS index_date, age_at_index, observation_days, condition_dates,
+  sex_category AS model_sex_category, sex_category, is_female, ancestry_pred AS model_ancestry_pred, ancestry_pred, ROUND(pc1, 6) AS pc1, ROUND(pc2, 6) AS pc2, ROUND(pc3, 6) AS pc3,
+  preindex_crush_injury, remote_preindex_sepsis, near_preindex_sepsis, preindex_sepsis, remote_preindex_renal_injury, near_preindex_renal_injury, preindex_renal_injury,
+  periindex_crush_injury, periindex_sepsis, periindex_renal_injury, postindex_sepsis, postindex_renal_injury FROM sp""",
 )
 def model_input(lens: Lens) -> DataFrame:
-    return splits.model_input(split_rows(lens)).select(
-        "person_id", "analysis_case", "analysis_split", "cv_fold", "primary_model_eligible", "case_tier", "broad_case",
-        "definite_case", "high_without_target", "index_date", "age_at_index", "observation_days", "condition_dates",
-        "model_sex_category", "model_ancestry_pred", "preindex_sepsis", "periindex_renal_injury",
-    )
+    return splits.model_input(split_rows(lens))
 
 
 # Matching ----------------------------------------------------------------------------------------
@@ -247,12 +249,18 @@ def gwas_sample_funnel(lens: Lens) -> DataFrame:
 @query(
     "external_gwas_manifests",
     SPLIT_SQL
-    + """SELECT '0' AS FID, person_id AS IID, CAST(analysis_case AS DOUBLE) AS analysis_case, age_at_index, is_female, ROUND(pc1, 6) AS pc1, ROUND(pc2, 6) AS pc2
-FROM sp WHERE analysis_split = 'train' AND prim = 1 AND age_at_index IS NOT NULL AND is_female IS NOT NULL""",
+    + """, cc AS (SELECT person_id, CAST(analysis_case AS DOUBLE) AS analysis_case, age_at_index, is_female, ROUND(pc1, 6) AS pc1, ROUND(pc2, 6) AS pc2
+FROM sp WHERE analysis_split = 'train' AND prim = 1 AND age_at_index IS NOT NULL AND is_female IS NOT NULL)
+SELECT 'complete' AS frame, '0' AS FID, person_id AS IID, analysis_case, age_at_index, is_female, pc1, pc2 FROM cc
+UNION ALL SELECT 'covariates', '0', person_id, NULL, age_at_index, is_female, pc1, pc2 FROM cc
+UNION ALL SELECT 'phenotype', '0', person_id, analysis_case, NULL, NULL, NULL, NULL FROM cc
+UNION ALL SELECT 'keep', '0', person_id, NULL, NULL, NULL, NULL, NULL FROM cc""",
 )
 def manifests(lens: Lens) -> DataFrame:
     rows = split_rows(lens).filter("analysis_split = 'train' and primary_model_eligible = 1")
-    return samples.gwas_manifests(rows, ["age_at_index", "is_female", "pc1", "pc2"])["complete"]
+    frames = samples.gwas_manifests(rows, ["age_at_index", "is_female", "pc1", "pc2"])
+    named = [frame.withColumn("frame", F.lit(name)) for name, frame in frames.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
 
 @query("wgs_sample_manifest", "SELECT DISTINCT trim(person_id) AS person_id FROM person WHERE has_wgs = 1")
@@ -369,25 +377,63 @@ def four_group(lens: Lens) -> DataFrame:
     return table.select("universe", "variable", "level", "count1", "count0", "mean1", "mean0", "smd", "p_value")
 
 
-_CRIT = ["definite_case", "sepsis", "preindex_sepsis", "periindex_sepsis", "renal_injury", "periindex_renal_injury"]
-_CRIT_ANY = {"periindex_sepsis_or_renal_injury": ("periindex_sepsis", "periindex_renal_injury")}
+# The flags of the critical-illness summary, and its combined ones.
+_CRIT = [
+    "definite_case",
+    "sepsis",
+    "remote_preindex_sepsis",
+    "near_preindex_sepsis",
+    "preindex_sepsis",
+    "periindex_sepsis",
+    "postindex_sepsis",
+    "renal_injury",
+    "remote_preindex_renal_injury",
+    "near_preindex_renal_injury",
+    "preindex_renal_injury",
+    "periindex_renal_injury",
+    "postindex_renal_injury",
+]
+_CRIT_ANY = {f"{p}_sepsis_or_renal_injury": (f"{p}_sepsis", f"{p}_renal_injury") for p in ("remote_preindex", "near_preindex", "preindex", "periindex")}
+# matched rows with their flags judged against the inherited index date
+REANCHORED_SQL = (
+    COFACTOR_SQL
+    + ", mfl AS (SELECT c.match_group_id, c.match_rank, c.person_id, c.analysis_case, "
+    + ", ".join(_anchored_sql(n) for n in NAMES)
+    + """ FROM mt c LEFT JOIN cofevents e ON c.person_id = e.person_id GROUP BY 1, 2, 3, 4),
+bfl AS (SELECT c.person_id, """
+    + ", ".join(_anchored_sql(n) for n in NAMES)
+    + " FROM cohort c LEFT JOIN cofevents e ON c.person_id = e.person_id GROUP BY 1)"
+)
 
 
 @query(
     "critical_illness_summary",
-    SPLIT_SQL
-    + """, g AS (SELECT *, 'cases' AS grp FROM sp WHERE analysis_case = 1 UNION ALL SELECT *, 'controls' FROM sp WHERE analysis_case = 0)
+    MATCH_SQL
+    + REANCHORED_SQL
+    + f""", g AS (SELECT 'built_broad_cases' AS grp, person_id, definite_case, {', '.join(_CRIT[1:])} FROM bfl JOIN cohort USING (person_id) WHERE broad_case = 1
+  UNION ALL SELECT CASE WHEN m.analysis_case = 1 THEN 'matched_cases' ELSE 'matched_controls' END, m.person_id, c.definite_case, {', '.join(f'm.{x}' for x in _CRIT[1:])} FROM mfl m JOIN cohort c USING (person_id))
 SELECT grp AS "group", 'N' AS variable, COUNT(DISTINCT person_id) AS n, CAST(NULL AS DOUBLE) AS pct FROM g GROUP BY 1
 """
     + " ".join(f"UNION ALL SELECT grp, '{c}', SUM({c}), ROUND(SUM({c}) * 100.0::DOUBLE / COUNT(*), 6) FROM g GROUP BY 1" for c in _CRIT)
-    + " UNION ALL SELECT grp, 'periindex_sepsis_or_renal_injury', SUM(GREATEST(periindex_sepsis, periindex_renal_injury)), ROUND(SUM(GREATEST(periindex_sepsis, periindex_renal_injury)) * 100.0::DOUBLE / COUNT(*), 6) FROM g GROUP BY 1",
+    + " ".join(f" UNION ALL SELECT grp, '{k}', SUM(GREATEST({a}, {b})), ROUND(SUM(GREATEST({a}, {b})) * 100.0::DOUBLE / COUNT(*), 6) FROM g GROUP BY 1" for k, (a, b) in _CRIT_ANY.items()),
 )
 def critical_illness(lens: Lens) -> DataFrame:
-    rows = analysis(lens).withColumn("group", F.when(F.col("analysis_case") == 1, "cases").otherwise("controls"))
-    return describe.flag_summary(rows, _CRIT, _CRIT_ANY)
-
-
-_MISSING = ["person_id", "index_date", "age_at_index", "sex_category", "ancestry_pred", "is_female", "cv_fold", "pc1"]
+    built = cut_lineage(tiered(lens))
+    pairs = matching.match_case_controls(built, MATCHING).drop(*[c for c in ANCHORED if c not in NAMES])
+    again = anchors.anchored_flags(pairs, cohort.cofactor_events(lens.condition, RULES), NAMES)
+    columns = ["group", "person_id", *_CRIT]
+    groups = [
+        built.filter("broad_case = 1").withColumn("group", F.lit("built_broad_cases")),
+        again.withColumn("group", F.when(F.col("analysis_case") == 1, "matched_cases").otherwise("matched_controls")),
+    ]
+    return describe.flag_summary(groups[0].select(columns).unionByName(groups[1].select(columns)), _CRIT, _CRIT_ANY)
+
+
+# every model-input column that the split rows have
+_MISSING = [
+    "person_id", "analysis_case", "analysis_split", "cv_fold", "eligible_control", "match_group_id", "case_tier", "broad_case", "definite_case", "index_date", "age_at_index",
+    "observation_days", "condition_dates", "sex_category", "is_female", "ancestry_pred", "pc1", "pc2", "pc3", *splits.MODEL_COLUMNS[-12:],
+]
 
 
 @query(
@@ -478,17 +524,30 @@ dis AS (SELECT grp, COUNT(*) AS n, SUM(y) AS cases, SUM(1 - y) AS controls,
 """
 
 
+def _per_sd_sql(source: str, keys: list[str]) -> str:
+    """CTE ``psd``: OR per population SD of the score with its Wald p, by a Newton fit in each group."""
+    part = f"PARTITION BY {', '.join(keys)}" if keys else ""
+    cols = ", ".join(keys)
+    return (
+        f", zz AS (SELECT {cols}, y, score - AVG(score) OVER ({part}) AS dv, stddev_pop(score) OVER ({part}) AS sd FROM {source}),\n"
+        f"zrows AS (SELECT {cols}, 1.0::DOUBLE AS x0, dv / sd AS x1, y FROM zz WHERE sd > 0)"
+        + newton_sql("zfit", "zrows", keys, 2, small=1e-8)
+        + f", psd AS (SELECT {cols}, CASE WHEN ok THEN exp(b1) END AS or_per_score_sd, CASE WHEN ok THEN b1 END AS beta_per_score_sd, CASE WHEN ok THEN sqrt(1 / schur) END AS se_per_score_sd,"
+        + f" CASE WHEN ok THEN {tail_sql('(b1 * sqrt(schur))')} END AS p_value FROM zfit)\n"
+    )
+
+
 @query(
     "prs_metrics",
     WEIGHT_SQL
     + ", sc AS (SELECT threshold_label, person_id, outcome AS y, ROUND(prs_score, 9) AS score FROM prs)"
     + _auc_sql("sc", "threshold_label")
+    + _per_sd_sql("sc", ["threshold_label"])
     + """, g AS (SELECT threshold_label, AVG(score) FILTER (WHERE y = 1) AS cm, AVG(score) FILTER (WHERE y = 0) AS km,
   stddev_pop(score) FILTER (WHERE y = 1) AS cs, stddev_pop(score) FILTER (WHERE y = 0) AS ks FROM sc GROUP BY 1)
-SELECT threshold_label, n AS n_participants, cases AS n_cases, controls AS n_controls, ROUND(roc_auc, 10) AS roc_auc, ROUND(cm, 10) AS case_mean_prs, ROUND(km, 10) AS control_mean_prs,
-  ROUND(cs, 10) AS case_sd_prs, ROUND(ks, 10) AS control_sd_prs, (SELECT COUNT(*) FROM wt WHERE p <= t) AS n_variants_scored
-FROM dis JOIN ths ON threshold_label = grp JOIN g USING (threshold_label)""",
-    decimals=10,
+SELECT threshold_label, n AS n_participants, cases AS n_cases, controls AS n_controls, ROUND(roc_auc, 6) AS roc_auc, ROUND(cm, 6) AS case_mean_prs, ROUND(km, 6) AS control_mean_prs,
+  ROUND(cs, 6) AS case_sd_prs, ROUND(ks, 6) AS control_sd_prs, (SELECT COUNT(*) FROM wt WHERE p <= t) AS n_variants_scored, ROUND(or_per_score_sd, 6) AS or_per_score_sd, ROUND(p_value, 6) AS p_value
+FROM dis JOIN ths ON threshold_label = grp JOIN g USING (threshold_label) JOIN psd USING (threshold_label)""",
 )
 def prs_metrics(lens: Lens) -> DataFrame:
     people = sample(lens)
@@ -498,7 +557,7 @@ def prs_metrics(lens: Lens) -> DataFrame:
         table, people.select("person_id", F.col("outcome").alias("analysis_case")), weights, THRESHOLDS
     ).select(
         "threshold_label", "n_participants", "n_cases", "n_controls", "roc_auc", "case_mean_prs", "control_mean_prs",
-        "case_sd_prs", "control_sd_prs", "n_variants_scored",
+        "case_sd_prs", "control_sd_prs", "n_variants_scored", "or_per_score_sd", "p_value",
     )
 
 
@@ -748,19 +807,6 @@ def pr_points(lens: Lens) -> DataFrame:
     return metrics.curve_points(risk_scores(lens), "pr")
 
 
-def _per_sd_sql(source: str, keys: list[str]) -> str:
-    """CTE ``psd``: OR per population SD of the score with its Wald p, by a Newton fit in each group."""
-    part = f"PARTITION BY {', '.join(keys)}" if keys else ""
-    cols = ", ".join(keys)
-    return (
-        f", zz AS (SELECT {cols}, y, score - AVG(score) OVER ({part}) AS dv, stddev_pop(score) OVER ({part}) AS sd FROM {source}),\n"
-        f"zrows AS (SELECT {cols}, 1.0::DOUBLE AS x0, dv / sd AS x1, y FROM zz WHERE sd > 0)"
-        + newton_sql("zfit", "zrows", keys, 2, small=1e-8)
-        + f", psd AS (SELECT {cols}, CASE WHEN ok THEN exp(b1) END AS or_per_score_sd, CASE WHEN ok THEN b1 END AS beta_per_score_sd, CASE WHEN ok THEN sqrt(1 / schur) END AS se_per_score_sd,"
-        + f" CASE WHEN ok THEN {tail_sql('(b1 * sqrt(schur))')} END AS p_value FROM zfit)\n"
-    )
-
-
 _SCORE_ROW = """n, cases, controls, ROUND(roc_auc, 6) AS roc_auc, ROUND(average_precision, 6) AS average_precision, ROUND(CAST(cases AS DOUBLE) / n, 6) AS prevalence,
   ROUND(or_per_score_sd, 6) AS or_per_score_sd, ROUND(beta_per_score_sd, 6) AS beta_per_score_sd, ROUND(se_per_score_sd, 6) AS se_per_score_sd, ROUND(p_value, 6) AS p_value"""
 

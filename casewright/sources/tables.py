@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gzip
 import json
-from collections.abc import Iterator
+from collections.abc import Sequence, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -100,8 +100,18 @@ def read_whitespace(spark: SparkSession, path: str) -> DataFrame:
     return from_delimited_lines(spark.read.text(path), None)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Parquet, tab or comma folder by extension; NULL is an empty cell. Every task writes its own part."""
+# The order in which ordered outputs list their rows.
+COHORT_ORDER = ("case_tier", "index_date", "person_id")
+ASSOCIATION_ORDER = ("comparison", "fisher_p", "regression_p", "variant_id")
+
+
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", order: Sequence[str] = ()) -> str:
+    """Parquet, tab or comma folder by extension; NULL is an empty cell. Every task writes its own part.
+
+    With ``order`` the parts follow each other in that order, missing values last.
+    """
+    if order:
+        df = df.orderBy(*[F.col(c).asc_nulls_last() for c in order])
     if path.endswith(".parquet"):
         df.write.mode(mode).parquet(path)
     elif path.endswith((*TAB_SUFFIXES, *COMMA_SUFFIXES)):
