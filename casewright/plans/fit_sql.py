@@ -121,3 +121,72 @@ def metrics_sql(name: str, source: str, group: str, cut: str) -> str:
 METRIC_ROW = """n, cases, controls, ROUND(roc_auc, 4) AS roc_auc, ROUND(average_precision, 4) AS average_precision, ROUND(prevalence, 4) AS prevalence, ROUND(brier_score, 4) AS brier_score,
   ROUND(log_loss, 4) AS log_loss, tp, fp, tn, fn, ROUND(tp / NULLIF(tp + fn, 0)::DOUBLE, 4) AS sensitivity, ROUND(tn / NULLIF(tn + fp, 0)::DOUBLE, 4) AS specificity,
   ROUND(tp / NULLIF(tp + fp, 0)::DOUBLE, 4) AS ppv, ROUND(tn / NULLIF(tn + fn, 0)::DOUBLE, 4) AS npv, ROUND((tp + tn) / NULLIF(n, 0)::DOUBLE, 4) AS accuracy"""
+
+
+def student_sql(t: str, df: str) -> str:
+    """Two-sided Student p: the incomplete beta function by its continued fraction, from the inside out."""
+
+    def fraction(a: str, b: str, x: str) -> str:
+        odd = f"-({a} + (k - 1) / 2.0) * ({a} + {b} + (k - 1) / 2.0) * {x} / (({a} + k - 1) * ({a} + k))"
+        even = f"(k / 2.0) * ({b} - k / 2.0) * {x} / (({a} + k - 1) * ({a} + k))"
+        terms = "list_transform(range(300, 0, -1), lambda k: k::DOUBLE)"
+        return f"(1 / list_reduce(list_prepend(1.0::DOUBLE, {terms}), lambda f, k: 1 + (CASE WHEN k % 2 = 1 THEN {odd} ELSE {even} END) / f))"
+
+    x, a = f"({df} / ({df} + {t} * {t}))", f"({df} / 2.0::DOUBLE)"
+    front = f"exp(lgamma({a} + 0.5) - lgamma({a}) - lgamma(0.5::DOUBLE) + {a} * ln({x}) + 0.5 * ln(1 - {x}))"
+    low = f"{front} * {fraction(a, '0.5::DOUBLE', x)} / {a}"
+    high = f"(1 - {front} * {fraction('0.5::DOUBLE', a, f'(1 - {x})')} / 0.5)"
+    return f"(CASE WHEN {t} IS NULL OR {df} IS NULL THEN NULL WHEN {t} = 0 THEN 1.0 WHEN {x} < ({a} + 1) / ({a} + 2.5) THEN {low} ELSE {high} END)"
+
+
+def critical_sql(df: str) -> str:
+    """Student's 97.5 % point by its expansion around the normal one, which ``nearer_sql`` refines."""
+    z = 1.959963984540054
+    c = [(z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96, (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384, (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160]
+    return f"({z!r}::DOUBLE" + "".join(f" + {k!r}::DOUBLE / pow({df}, {i})" for i, k in enumerate(c, start=1)) + ")"
+
+
+def nearer_sql(t: str, df: str) -> str:
+    """A Newton step from ``t`` to the point whose two-sided p is 5 %."""
+    density = f"(exp(lgamma(({df} + 1) / 2) - lgamma({df} / 2)) / sqrt({df} * pi()) * pow(1 + {t} * {t} / {df}, -({df} + 1) / 2))"
+    return f"({t} + ({student_sql(t, df)} - 0.05) / (2 * {density}))"
+
+
+def two_group_sql(source: str, by: str, group: str, continuous: Sequence[str], binary: Sequence[str], categorical: Sequence[str], fisher, null_as_zero: bool = False) -> str:
+    """CTE ``tg``: the two-group table of ``source``, group 1 against 0, for each ``by``."""
+    n = f"COUNT(x) FILTER (g) AS n1, COUNT(x) FILTER (NOT g) AS n0, AVG(x) FILTER (g) AS m1, AVG(x) FILTER (NOT g) AS m0, COALESCE(var_samp(x) FILTER (g), 0) AS v1, COALESCE(var_samp(x) FILTER (NOT g), 0) AS v0, COALESCE(SUM(x) FILTER (g), 0) AS k1, COALESCE(SUM(x) FILTER (NOT g), 0) AS k0"
+    flag = lambda c: f"(COALESCE({c}, 0) >= 1)" if null_as_zero else f"({c} >= 1)"
+    long = [f"SELECT {by}, {group} = 1 AS g, 'continuous' AS kind, '{c}' AS variable, '' AS level, {c}::DOUBLE AS x FROM {source}" for c in continuous]
+    long += [f"SELECT {by}, {group} = 1, 'binary', '{c}', 'yes', {flag(c)}::INT::DOUBLE FROM {source}" for c in binary]
+    long += [f"SELECT {by}, {group} = 1, 'categorical', '{c}', {c}, 1.0::DOUBLE FROM {source}" for c in categorical]
+    return (
+        f", tl AS ({' UNION ALL '.join(long)}), tm AS (SELECT {by}, kind, variable, level, {n} FROM tl WHERE x IS NOT NULL GROUP BY ALL),\\n".replace("\\n", "\n")
+        + f"""tn AS (SELECT * EXCLUDE (n1, n0), CASE WHEN kind = 'categorical' THEN SUM(n1) OVER w ELSE n1 END::DOUBLE AS n1, CASE WHEN kind = 'categorical' THEN SUM(n0) OVER w ELSE n0 END::DOUBLE AS n0
+  FROM tm WINDOW w AS (PARTITION BY {by}, variable)),
+tk AS (SELECT *, {by} || '|' || variable || '|' || level AS id, k1 AS ca, n1 - k1 AS cb, k0 AS cc, n0 - k0 AS cd, k1 / NULLIF(n1, 0) AS p1, k0 / NULLIF(n0, 0) AS p0, v1 / NULLIF(n1, 0) AS e1, v0 / NULLIF(n0, 0) AS e0 FROM tn),
+ts AS (SELECT id, ca::BIGINT AS a, cb::BIGINT AS b, cc::BIGINT AS c, cd::BIGINT AS d FROM tk WHERE kind <> 'continuous' AND LEAST(ca, cb, cc, cd) < 5)
+"""
+        + fisher("ts")
+        + f""", te AS (SELECT tk.*, fish.p AS fp, CASE WHEN LEAST(ca, cb, cc, cd) = 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS fx, sqrt(e1 + e0) AS se, sqrt((v1 + v0) / 2) AS pooled, sqrt((p1 * (1 - p1) + p0 * (1 - p0)) / 2) AS spread,
+  (e1 + e0) * (e1 + e0) / NULLIF(e1 * e1 / NULLIF(n1 - 1, 0) + e0 * e0 / NULLIF(n0 - 1, 0), 0) AS df,
+  sqrt((n1 + n0) * (ca * cd - cb * cc) * (ca * cd - cb * cc) / NULLIF(n1 * n0 * (ca + cc) * (cb + cd), 0)) AS chi FROM tk LEFT JOIN fish USING (id)),
+tx AS (SELECT *, {critical_sql('df')} AS t0 FROM te), ty AS (SELECT *, {nearer_sql('t0', 'df')} AS t1 FROM tx), tz AS (SELECT *, {nearer_sql('t1', 'df')} AS t2 FROM ty), tw AS (SELECT *, {nearer_sql('t2', 'df')} AS crit FROM tz),
+tf AS (SELECT *, CASE WHEN kind = 'continuous' THEN CASE WHEN n1 >= 2 AND n0 >= 2 THEN m1 - m0 END WHEN ca + cc > 0 AND n1 > 0 AND n0 > 0 THEN (ca + fx) * (cd + fx) / NULLIF((cb + fx) * (cc + fx), 0) END AS effect,
+  sqrt(1 / NULLIF(ca + fx, 0) + 1 / NULLIF(cb + fx, 0) + 1 / NULLIF(cc + fx, 0) + 1 / NULLIF(cd + fx, 0)) AS ose, (m1 - m0) / NULLIF(se, 0) AS t FROM tw),
+tg AS (SELECT {by}, kind, variable, level, n1::BIGINT AS n1, n0::BIGINT AS n0, CASE WHEN kind <> 'continuous' THEN k1::BIGINT END AS count1, CASE WHEN kind <> 'continuous' THEN k0::BIGINT END AS count0,
+  CASE WHEN kind = 'continuous' THEN m1 END AS mean1, CASE WHEN kind = 'continuous' THEN m0 END AS mean0, sqrt(v1) AS sd1, sqrt(v0) AS sd0, effect,
+  CASE WHEN kind = 'continuous' THEN effect - CASE WHEN se > 0 THEN crit * se ELSE 0 END ELSE exp(ln(effect) - 1.96 * ose) END AS ci_low,
+  CASE WHEN kind = 'continuous' THEN effect + CASE WHEN se > 0 THEN crit * se ELSE 0 END ELSE exp(ln(effect) + 1.96 * ose) END AS ci_high,
+  CASE WHEN n1 > 0 AND n0 > 0 THEN CASE WHEN kind = 'continuous' THEN CASE WHEN pooled = 0 THEN 0 ELSE (m1 - m0) / pooled END WHEN spread = 0 THEN 0 ELSE (p1 - p0) / spread END END AS smd,
+  CASE WHEN kind = 'continuous' THEN {student_sql('t', 'df')} WHEN ca + cc = 0 OR n1 = 0 OR n0 = 0 THEN NULL WHEN fp IS NOT NULL THEN fp ELSE {tail_sql('chi')} END AS p_value FROM tf)
+"""
+    )
+
+
+def formatted_sql(by: str, where: str = "TRUE") -> str:
+    """The display text of ``tg``."""
+    effect = lambda v: f"CASE WHEN {v} IS NULL THEN '' WHEN abs({v}) >= 100 OR (abs({v}) < 0.01 AND {v} <> 0) THEN printf('%.2e', {v}) ELSE printf('%.3f', ROUND({v}, 3)) END"
+    cell = lambda i: f"CASE WHEN kind = 'continuous' THEN CASE WHEN mean{i} IS NULL THEN '' ELSE printf('%.1f (%.1f)', ROUND(mean{i}, 1), ROUND(sd{i}, 1)) END WHEN n{i} > 0 THEN printf('%d (%.1f%%)', count{i}, ROUND(count{i} * 100.0::DOUBLE / n{i}, 1)) ELSE '' END"
+    return f"""SELECT {by}, variable, level, {cell(1)} AS cases, {cell(0)} AS controls, CASE WHEN kind = 'continuous' THEN 'mean_difference' ELSE 'odds_ratio' END AS effect_measure, {effect('effect')} AS effect_size,
+  CASE WHEN ci_low IS NULL OR ci_high IS NULL THEN '' ELSE {effect('ci_low')} || ', ' || {effect('ci_high')} END AS ci_95, CASE WHEN smd IS NULL THEN '' ELSE printf('%.3f', ROUND(smd, 3)) END AS smd,
+  CASE WHEN p_value IS NULL THEN '' WHEN p_value < 1e-4 THEN printf('%.2e', p_value) ELSE printf('%.4f', ROUND(p_value, 4)) END AS p_value FROM tg WHERE {where}"""

@@ -11,7 +11,7 @@ from casewright.operators import anchors, cohort, describe, genotypes, matching,
 from casewright.operators.ranking import global_rank
 from casewright.plans.cohort_queries import COFACTOR_SQL, TIER_SQL, _anchored_sql, tiered
 from casewright.plans.genotype_queries import SAMPLE_SQL, called, fisher_sql, flagged, sample
-from casewright.plans.fit_sql import METRIC_ROW, greedy_sql, metrics_sql, model_sql, newton_sql, tail_sql
+from casewright.plans.fit_sql import METRIC_ROW, formatted_sql, greedy_sql, metrics_sql, model_sql, newton_sql, tail_sql, two_group_sql
 from casewright.plans.incident_queries import INCIDENT_SQL, cohort as incident_cohort
 from casewright.plans.registry import query
 from casewright.rules import Controls
@@ -323,25 +323,17 @@ def _table1(lens: Lens) -> DataFrame:
     )
 
 
-@query("table1_formatted")
+@query(
+    "table1_formatted",
+    SPLIT_SQL
+    + two_group_sql("sp", "analysis_split", "analysis_case", ["age_at_index", "observation_days"], BINARY, ["sex_category", "ancestry_pred"], fisher_sql)
+    + formatted_sql("analysis_split"),
+)
 def table1_formatted(lens: Lens) -> DataFrame:
     table = cut_lineage(describe.with_level_order(_table1(lens)))
     return describe.format_two_group(table.filter("kind <> 'categorical' or level <> ''"), ["analysis_split"])
 
 
-@query("incident_table1")
-def incident_table1(lens: Lens) -> DataFrame:
-    people = cut_lineage(incident_cohort(lens).filter("case_control_eligible = 1"))
-    rows = splits.stratified_splits(people)
-    return describe.format_two_group(
-        describe.two_group_table(
-            rows, "analysis_case", INCIDENT_NUMBERS, INCIDENT_FLAGS,
-            ["sex_category", "ancestry_pred"], by=["analysis_split"], null_as_zero=True,
-        ),
-        ["analysis_split"],
-    )
-
-
 @query(
     "categorical_balance",
     SPLIT_SQL
@@ -357,26 +349,6 @@ def categorical_balance(lens: Lens) -> DataFrame:
     return describe.categorical_overall(table).select("variable", "smd", "chi2")
 
 
-@query("four_group_summary")
-def four_group(lens: Lens) -> DataFrame:
-    """Unmatched cases against non-cases beside matched cases against controls."""
-    built = cut_lineage(tiered(lens))
-    pairs = matching.match_case_controls(built, MATCHING)
-    unmatched = built.filter("eligible_denominator").select(
-        F.lit("unmatched").alias("universe"), "broad_case", "age_at_index", *BINARY, "sex_category", "ancestry_pred"
-    )
-    rows = unmatched.unionByName(
-        pairs.select(
-            F.lit("matched").alias("universe"), F.col("analysis_case").alias("broad_case"), "age_at_index", *BINARY,
-            "sex_category", "ancestry_pred",
-        )
-    )
-    table = describe.two_group_table(
-        rows, "broad_case", ["age_at_index"], BINARY, ["sex_category", "ancestry_pred"], by=["universe"]
-    )
-    return table.select("universe", "variable", "level", "count1", "count0", "mean1", "mean0", "smd", "p_value")
-
-
 # The flags of the critical-illness summary, and its combined ones.
 _CRIT = [
     "definite_case",
@@ -406,6 +378,36 @@ bfl AS (SELECT c.person_id, """
 )
 
 
+@query(
+    "four_group_summary",
+    MATCH_SQL
+    + REANCHORED_SQL
+    + f""", fu AS (SELECT 'unmatched' AS universe, broad_case, age_at_index, {', '.join(BINARY)}, COALESCE(sex, 'missing') AS sex_category, ancestry_pred FROM cohort JOIN bfl USING (person_id) WHERE eligible
+  UNION ALL SELECT 'matched', m.analysis_case, m.age_at_index, {', '.join(f'b.{x}' for x in BINARY)}, COALESCE(c.sex, 'missing'), c.ancestry_pred FROM mt m JOIN cohort c USING (person_id) JOIN bfl b USING (person_id))
+"""
+    + two_group_sql("fu", "universe", "broad_case", ["age_at_index"], BINARY, ["sex_category", "ancestry_pred"], fisher_sql)
+    + """SELECT universe, variable, level, count1, count0, ROUND(mean1, 4) AS mean1, ROUND(mean0, 4) AS mean0, ROUND(smd, 4) + 0.0 AS smd, ROUND(p_value, 4) AS p_value FROM tg""",
+    decimals=4,
+)
+def four_group(lens: Lens) -> DataFrame:
+    """Unmatched cases against non-cases beside matched cases against controls."""
+    built = cut_lineage(tiered(lens))
+    pairs = matching.match_case_controls(built, MATCHING)
+    unmatched = built.filter("eligible_denominator").select(
+        F.lit("unmatched").alias("universe"), "broad_case", "age_at_index", *BINARY, "sex_category", "ancestry_pred"
+    )
+    rows = unmatched.unionByName(
+        pairs.select(
+            F.lit("matched").alias("universe"), F.col("analysis_case").alias("broad_case"), "age_at_index", *BINARY,
+            "sex_category", "ancestry_pred",
+        )
+    )
+    table = describe.two_group_table(
+        rows, "broad_case", ["age_at_index"], BINARY, ["sex_category", "ancestry_pred"], by=["universe"]
+    )
+    return table.select("universe", "variable", "level", "count1", "count0", "mean1", "mean0", "smd", "p_value")
+
+
 @query(
     "critical_illness_summary",
     MATCH_SQL
@@ -935,13 +937,36 @@ INCIDENT_FLAGS = [
 ]
 
 
-@query(
-    "incident_model_metrics",
+_INCIDENT_SPLIT_SQL = (
     INCIDENT_SQL
     + """, irk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY analysis_case ORDER BY substr(sha256(person_id), 1, 16), person_id) AS r, COUNT(*) OVER (PARTITION BY analysis_case) AS total FROM inc_elig),
 irt AS (SELECT *, CASE WHEN total <= 1 THEN 0 ELSE LEAST(GREATEST(1, CAST(round_even(CAST(total AS DOUBLE) * 0.19999999999999996::DOUBLE, 0) AS BIGINT)), total - 1) END AS nt FROM irk),
-ic AS (SELECT *, analysis_case AS y, CASE WHEN r <= nt THEN 'test' ELSE 'train' END AS analysis_split, COALESCE(sex, 'missing') AS sx, lower(ancestry_pred) AS rg FROM irt)
+ic AS (SELECT *, analysis_case AS y, CASE WHEN r <= nt THEN 'test' ELSE 'train' END AS analysis_split, COALESCE(sex, 'missing') AS sx, COALESCE(sex, 'missing') AS sex_category, lower(ancestry_pred) AS rg FROM irt)
 """
+)
+
+
+@query(
+    "incident_table1",
+    _INCIDENT_SPLIT_SQL
+    + two_group_sql("ic", "analysis_split", "analysis_case", INCIDENT_NUMBERS, INCIDENT_FLAGS, ["sex_category", "ancestry_pred"], fisher_sql, null_as_zero=True)
+    + formatted_sql("analysis_split"),
+)
+def incident_table1(lens: Lens) -> DataFrame:
+    people = cut_lineage(incident_cohort(lens).filter("case_control_eligible = 1"))
+    rows = splits.stratified_splits(people)
+    return describe.format_two_group(
+        describe.two_group_table(
+            rows, "analysis_case", INCIDENT_NUMBERS, INCIDENT_FLAGS,
+            ["sex_category", "ancestry_pred"], by=["analysis_split"], null_as_zero=True,
+        ),
+        ["analysis_split"],
+    )
+
+
+@query(
+    "incident_model_metrics",
+    _INCIDENT_SPLIT_SQL
     + model_sql("m", "ic", "analysis_split = 'train'", INCIDENT_NUMBERS, INCIDENT_FLAGS, LEVELS)
     + metrics_sql("mm", "m_p", "analysis_split", "(SELECT cut FROM m_t)")
     + f"SELECT grp AS evaluation_set, {METRIC_ROW} FROM mm",
