@@ -348,7 +348,8 @@ def bootstrap_intervals(scored: DataFrame, iterations: int = 500, seed: int = 20
     n = indexed.count()
     draws = indexed.sparkSession.range(iterations * n).select(
         F.floor(F.col("id") / n).cast("int").alias("iteration"),
-        (F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(n)) + 1).alias("_i"),
+        # 52 bits of a digest that every engine has
+        (F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(seed), F.col("id"))), 1, 13), 16, 10).cast("long") % n + 1).alias("_i"),
     )
     weights = draws.groupBy("iteration", "_i").agg(F.count(F.lit(1)).alias("weight"))
     resampled = cut_lineage(weights.join(indexed, "_i").drop("_i"))

@@ -837,7 +837,25 @@ def recalibrated(lens: Lens) -> DataFrame:
     return metrics.probability_errors(metrics.recalibrated(rows, fit)).crossJoin(fit)
 
 
-@query("bootstrap_intervals")
+@query(
+    "bootstrap_intervals",
+    RISK_SQL
+    + """, bi AS (SELECT *, ROW_NUMBER() OVER (ORDER BY person_id) AS i, COUNT(*) OVER () AS n FROM risk), bn AS (SELECT MAX(n) AS n FROM bi),
+bd AS (SELECT id // n AS iteration, CAST('0x' || substr(md5('20240101-' || id), 1, 13) AS BIGINT) % n + 1 AS i FROM (SELECT UNNEST(range(500 * n)) AS id, n FROM bn)),
+bs AS (SELECT iteration, person_id, y, score FROM bd JOIN bi USING (i))
+"""
+    + _auc_sql("bs", "iteration")
+    + _per_sd_sql("bs", ["iteration"])
+    + """, bv AS (SELECT UNNEST(['roc_auc', 'average_precision', 'or_per_score_sd']) AS metric, UNNEST([roc_auc, average_precision, or_per_score_sd]) AS v FROM dis JOIN psd ON iteration = grp WHERE cases > 0 AND controls > 0),
+bq AS (SELECT metric, quantile_cont(v, 0.025) AS ci_low, quantile_cont(v, 0.975) AS ci_high, COUNT(*) AS iterations_used FROM bv WHERE v IS NOT NULL GROUP BY 1),
+one AS (SELECT 0 AS iteration, person_id, y, score FROM risk)
+"""
+    + _auc_sql("one", "iteration").replace(", rk AS", ", rk1 AS").replace("dis AS", "dis1 AS").replace("FROM rk GROUP", "FROM rk1 GROUP")
+    + _per_sd_sql("one", ["iteration"]).replace("zz", "yy").replace("zrows", "yrows").replace("zfit", "yfit").replace("psd AS", "psd1 AS")
+    + """, pt AS (SELECT UNNEST(['roc_auc', 'average_precision', 'or_per_score_sd']) AS metric, UNNEST([roc_auc, average_precision, or_per_score_sd]) AS point FROM dis1, psd1)
+SELECT metric, ROUND(point, 5) AS point_estimate, ROUND(ci_low, 5) AS ci_low, ROUND(ci_high, 5) AS ci_high, iterations_used, 500 AS iterations_requested FROM pt LEFT JOIN bq USING (metric)""",
+    decimals=5,
+)
 def bootstrap(lens: Lens) -> DataFrame:
     return metrics.bootstrap_intervals(risk_scores(lens))
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
-def local_session(app: str = "casewright", cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(app: str = "casewright", cpus: str = "*", shuffle_partitions: int = 8, more: dict[str, str] | None = None) -> SparkSession:
     """Session for tests and the benchmark, with a new folder for intermediate tables. Clusters bring their own session."""
     return (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -22,6 +22,7 @@ def local_session(app: str = "casewright", cpus: str = "*", shuffle_partitions:
         .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='run-casewright-')}")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CASEWRIGHT_DRIVER_MEMORY", "8g"))
+        .config(map=more or {})
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

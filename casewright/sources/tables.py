@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gzip
 import json
-from collections.abc import Sequence, Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -15,6 +15,8 @@ TAB_SUFFIXES = (".tsv", ".tsv.gz", ".txt")
 COMMA_SUFFIXES = (".csv", ".csv.gz")
 BGZ_SUFFIXES = (".bgz",)
 BATCH_LINES = 50_000
+# The writer quotes cells that begin with its comment sign, "#" unless another one is set: tools want #CHROM bare.
+NO_COMMENT = "\u0001"
 
 
 def list_paths(spark: SparkSession, pattern: str) -> list[str]:
@@ -116,7 +118,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", order: Sequen
         df.write.mode(mode).parquet(path)
     elif path.endswith((*TAB_SUFFIXES, *COMMA_SUFFIXES)):
         sep = "," if ".csv" in path else "\t"
-        writer = df.write.mode(mode).option("header", True).option("sep", sep).option("nullValue", "").option("emptyValue", "")
+        writer = df.write.mode(mode).option("header", True).option("comment", NO_COMMENT).option("sep", sep).option("nullValue", "").option("emptyValue", "")
         (writer.option("compression", "gzip") if path.endswith(".gz") else writer).csv(path)
     else:
         raise ValueError(f"unsupported table format: {path}")
@@ -124,7 +126,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", order: Sequen
 
 
 def write_space_delimited(df: DataFrame, path: str, header: bool = False) -> str:
-    df.write.mode("overwrite").option("header", header).option("sep", " ").csv(path)
+    df.write.mode("overwrite").option("header", header).option("sep", " ").option("comment", NO_COMMENT).csv(path)
     return path
 
 
