@@ -4,7 +4,7 @@ Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, written as
 ``docs``. All but the last return the columns of documents.
 
 Defined results: a text that is null or has no letter is rejected by the first stage, as is one where no language
-holds half of the letters; ``n_chars`` follows a changed text; an empty table passes through as an empty one.
+holds about a third of the letters; ``n_chars`` follows a changed text; an empty table passes through as an empty one.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from casewright.llm import langid, neardup, queries, secrets, substring
 from casewright.llm.shared import cut_lineage
 
 #: Least share of letters that the predicted language must hold.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.35
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
