@@ -165,6 +165,53 @@ def variant_gwas(
     }
 
 
+def plp_panel(
+    calls: DataFrame, annotation: DataFrame, samples_: DataFrame, covariates: Sequence[str], clinvar_terms: Sequence[str], plof_terms: Sequence[str],
+    manifest: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """Primary-mask panel: variant and gene associations in every comparison set, and one row for each carrier.
+
+    ``calls``: variant_id, person_id, n_alt. ``samples_``: comparison, person_id, outcome, covariates. A ``manifest``
+    restricts the calls to its people, and must hold some.
+    """
+    masks = genotypes.variant_masks(annotation, clinvar_terms, plof_terms).filter("mask_primary").select("variant_id", "gene")
+    held = calls if manifest is None else samples.restrict_to_manifest(calls, manifest)
+    carried = held.filter("n_alt > 0").select("person_id", "variant_id", F.col("n_alt").alias("dosage"))
+    masked = cut_lineage(carried.join(masks, "variant_id"))
+    associate = lambda unit: association.panel_association(genotypes.max_dosage(masked, unit), samples_, [unit], covariates)
+    return {"variant_association": associate("variant_id"), "gene_association": associate("gene"), "person_summary": genotypes.panel_person_summary(masked)}
+
+
+def candidate_genotypes(
+    raw: DataFrame, calls: DataFrame, genes: Sequence[str] | DataFrame, clinvar_terms: Sequence[str], plof_terms: Sequence[str], **limits
+) -> DataFrame:
+    """(person, variant, gene, dosage) of the candidate variants' calls.
+
+    The candidates' merged intervals cut the calls first, on an equi-join key, so that few calls meet the exact join.
+    """
+    found = cut_lineage(genotypes.candidate_variants(raw, genes, clinvar_terms, plof_terms, **limits))
+    spans = cut_lineage(genotypes.merged_intervals(found.select("contig", "gene", "position")))
+    near = genotypes.in_intervals(calls.filter("n_alt > 0"), spans)
+    exact = near.select("person_id", "variant_id", F.col("n_alt").alias("dosage")).join(found.select("variant_id", "gene"), "variant_id")
+    return exact.groupBy("person_id", "variant_id", "gene").agg(F.max("dosage").alias("dosage"))
+
+
+def table_gwas(
+    dosages: DataFrame, people: DataFrame, covariates: Sequence[str], annotation: DataFrame | None = None, outcome: str = "analysis_case",
+    min_maf: float = 0.01, min_mac: float = 5, window_bp: int = 250_000,
+) -> dict[str, DataFrame]:
+    """GWAS on a table of dosages: frequency filter from the dosages themselves, regression, annotation, leads and λ."""
+    people = cut_lineage(people)
+    held = cut_lineage(dosages.join(people.select("person_id").distinct(), "person_id", "left_semi"))
+    counted = genotypes.maf_from_dosage(held, people.agg(F.count_distinct("person_id").alias("n_people")))
+    tested = cut_lineage(counted.filter((F.col("maf") >= min_maf) & (F.col("minor_allele_count") >= min_mac)))
+    exposures = held.join(tested.select("variant_id"), "variant_id", "left_semi")
+    fits = association.logistic_per_unit(exposures, people, ["variant_id"], covariates, outcome, panel=tested)
+    full = cut_lineage(association.gwas_postprocess(tested.join(fits, "variant_id"), annotation))
+    out = {"results": full, "lambda": association.genomic_control(full)}
+    return out | ({"lead_hits": leads.lead_hits(full, window_bp)} if {"chromosome", "position"} <= set(full.columns) else {})
+
+
 def risk_score_study(
     gwas: DataFrame, positions: DataFrame, train_calls: DataFrame, test_calls: DataFrame, train: DataFrame, test: DataFrame,
     thresholds: Sequence[float], **clump_options,

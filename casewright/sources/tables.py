@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gzip
 import json
+import re
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -35,32 +37,99 @@ def resolve_path(spark: SparkSession, path: str) -> str:
 
 
 def _open(path: str):
-    if "://" in path or path.startswith("file:"):
-        from pyarrow import fs
-
-        system, inner = fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
-        return system.open_input_stream(inner, compression=None)
-    return open(path, "rb")
-
-
-def read_bgzip_lines(spark: SparkSession, pattern: str) -> DataFrame:
-    """Lines of block-gzipped files, whose suffix Hadoop codecs do not know. One task streams one file."""
-    paths = list_paths(spark, pattern)
-    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(len(paths), 1))
+    """Random access to a file by its URI, whatever the file system."""
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if re.match(r"file:/[^/]", path) else path)
+    return system.open_input_file(inner)
+
+
+# Fixed values of the block-gzip format: how every block begins, and the largest block.
+BGZ_MAGIC = b"\x1f\x8b\x08\x04"
+BGZ_BLOCK = 1 << 16
+SPLIT_BYTES = 64 * 1024 * 1024
+
+
+def _block_size(head: bytes) -> int:
+    """Bytes of the block that begins with ``head``; 0 if none begins there."""
+    if len(head) < 18 or head[:4] != BGZ_MAGIC or head[12:16] != b"BC\x02\x00":
+        return 0
+    return int.from_bytes(head[16:18], "little") + 1
+
+
+def _first_block(file, start: int, size: int) -> int:
+    """Offset of the first block at or after ``start``: its successor, or the end of the file, must follow it."""
+    file.seek(start)
+    window = file.read(2 * BGZ_BLOCK)
+    at = window.find(BGZ_MAGIC)
+    while at >= 0:
+        n = _block_size(window[at : at + 18])
+        follows = start + at + n
+        if n and (follows == size or _block_size(_bytes_at(file, follows, 18))):
+            return start + at
+        at = window.find(BGZ_MAGIC, at + 1)
+    return size
+
+
+def _bytes_at(file, at: int, n: int) -> bytes:
+    file.seek(at)
+    return file.read(n)
+
+
+def _lines_of_range(path: str, start: int, end: int) -> Iterator[str]:
+    """Lines of the blocks that begin in [start, end). A range after the first leaves its first line, whole or not, to
+    the range before, which reads on to the end of one more line. A gzip file without blocks is read by its first range."""
+    with _open(path) as file:
+        size = file.size()
+        if not _block_size(_bytes_at(file, 0, 18)):
+            if start == 0:
+                file.seek(0)
+                with gzip.open(file, "rt") as text:
+                    yield from (line.rstrip("\r\n") for line in text)
+            return
+        at = _first_block(file, start, size)
+        if at >= end:
+            return
+        rest, skip = b"", start > 0
+        while at < size:
+            n = _block_size(_bytes_at(file, at, 18))
+            if not n:
+                raise ValueError(f"broken block at {at} of {path}")
+            rest += zlib.decompress(_bytes_at(file, at, n), wbits=31)
+            beyond = at >= end
+            *whole, rest = rest.split(b"\n")
+            if skip and whole:
+                whole, skip = whole[1:], False
+            if beyond:
+                if whole:
+                    yield whole[0].decode().rstrip("\r")
+                    return
+            else:
+                yield from (line.decode().rstrip("\r") for line in whole)
+            at += n
+        if rest and not skip:
+            yield rest.decode().rstrip("\r")
+
+
+def read_bgzip_lines(spark: SparkSession, pattern: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Lines of block-gzipped files, whose suffix Hadoop codecs do not know. A large file is read in ranges of blocks."""
+    files = spark.read.format("binaryFile").load(pattern).select("path", "length")
+    begin = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(split_bytes).cast("long")))
+    ranges = files.select("path", begin.alias("start")).withColumn("end", F.col("start") + split_bytes)
+    ranges = ranges.repartition(max(ranges.count(), 1), "path", "start")
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for path in pdf["path"]:
-                with _open(path) as raw, gzip.open(raw, "rt") as text:
-                    block: list[str] = []
-                    for line in text:
-                        block.append(line.rstrip("\r\n"))
-                        if len(block) == BATCH_LINES:
-                            yield pd.DataFrame({"value": block})
-                            block = []
-                    yield pd.DataFrame({"value": block}, dtype="object")
-
-    return files.mapInPandas(lines, "value string")
+            for path, start, end in zip(pdf["path"], pdf["start"], pdf["end"]):
+                block: list[str] = []
+                for line in _lines_of_range(path, int(start), int(end)):
+                    block.append(line)
+                    if len(block) == BATCH_LINES:
+                        yield pd.DataFrame({"value": block})
+                        block = []
+                yield pd.DataFrame({"value": block}, dtype="object")
+
+    return ranges.mapInPandas(lines, "value string")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
