@@ -162,7 +162,11 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _signed(source: DataFrame) -> DataFrame:
-    """Each row's content (a hash of its words in order; null if it has none) and that content's signature."""
+    """Each row's content (a hash of its words in order; null if it has none), its bands' hashes and its sketch.
+
+    The sketch has the lowest byte of each coordinate. That is enough to tell how many coordinates two documents share:
+    others agree in a byte by chance once in 256 times.
+    """
 
     def make():
         shingles = Shingles()
@@ -170,13 +174,23 @@ def _signed(source: DataFrame) -> DataFrame:
         def each(key, body, text):
             words = shingles.words(text)
             if not words:
-                return [(key, body, None, None)]
+                return [(key, body, None, None, None)]
             content = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            return [(key, body, content, signature(*_as_floats(shingles(words))).tolist())]
+            signed = signature(*_as_floats(shingles(words)))
+            return [(key, body, content, band_hashes(signed).tolist(), signed.astype(np.uint8).tobytes())]
 
         return each
 
-    return cut_lineage(by_rows(source, make, "doc_id bigint, body bigint, content binary, signature array<int>"))
+    return cut_lineage(by_rows(source, make, "doc_id bigint, body bigint, content binary, bands array<bigint>, sketch binary"))
+
+
+def band_hashes(signed: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        rows = signed.view(np.uint32).astype(np.uint64).reshape(BANDS, ROWS)
+        out = _mix(np.arange(1, BANDS + 1, dtype=np.uint64) * _SEEDS[3])
+        for r in range(ROWS):
+            out = _mix(out ^ (rows[:, r] + _SEEDS[r]))
+    return out.view(np.int64)
 
 
 def _as_floats(found: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -189,11 +203,18 @@ def _buckets(signed: DataFrame) -> DataFrame:
 
 
 def _agreeing(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs whose signatures agree in ``LEAST_SHARE`` of the coordinates."""
-    one = signed.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
-    two = signed.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
-    share = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
-    return pairs.join(one, "a").join(two, "b").where(share >= math.ceil(LEAST_SHARE * COORDINATES)).select("a", "b")
+    """Pairs whose sketches agree in ``LEAST_SHARE`` of the coordinates."""
+    one = signed.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
+    two = signed.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
+    least = math.ceil(LEAST_SHARE * COORDINATES)
+
+    def make():
+        def each(a, b, sa, sb):
+            return [(a, b)] if (np.frombuffer(sa, np.uint8) == np.frombuffer(sb, np.uint8)).sum() >= least else []
+
+        return each
+
+    return by_rows(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb"), make, "a bigint, b bigint")
 
 
 def _checked(pairs: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame:
@@ -222,40 +243,63 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _unsettled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets with several components: their component, whether it is not the bucket's largest, and both counts."""
-    named = buckets.join(labels, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    named = buckets.join(labels, "node", "left").select("bucket", "band", "node", F.coalesce("comp", "node").alias("comp"))
     sizes = named.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("main")).where("n > main.n")
     mixed = cut_lineage(mixed.select("bucket", F.col("main.comp").alias("main"), F.col("main.n").alias("n_main"), (F.col("n") - F.col("main.n")).alias("n_other")))
     return cut_lineage(named.join(mixed, "bucket").withColumn("asks", F.col("comp") != F.col("main")).drop("main"))
 
 
-def _strangers(threshold: float):
-    """In each (bucket, block of askers, block of others): a link from an asker to each other component that has one.
+def _groups(rows: pd.DataFrame):
+    """The (bucket, block of askers, block of others) groups in a shard, with their sketches as one matrix."""
+    for key, group in rows.sort_values(["bucket", "i", "t", "node"]).groupby(["bucket", "i", "t"], sort=False):
+        yield key, group, np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), COORDINATES)
+
+
+def _strangers_of(group: pd.DataFrame, sketches: np.ndarray, i: int) -> np.ndarray:
+    """Members of other components whose sketch agrees with ``i``'s, nearest first, if this is the first bucket they share."""
+    same = sketches == sketches[i]
+    share = same.sum(axis=1)
+    first = same.reshape(len(group), BANDS, ROWS).all(axis=2).argmax(axis=1)
+    comp, node = group["comp"].to_numpy(), group["node"].to_numpy()
+    near = np.flatnonzero((share >= math.ceil(LEAST_SHARE * COORDINATES)) & (comp != comp[i]) & (first == group["band"].iloc[0]))
+    return near[np.lexsort((node[near], -share[near]))]
+
+
+def _concerned(rows: pd.DataFrame) -> pd.DataFrame:
+    """The members of each group that ask or are asked, by sketches alone: only their texts are needed."""
+    out = []
+    for _, group, sketches in _groups(rows):
+        use = np.zeros(len(group), dtype=bool)
+        for i in np.flatnonzero(group["asking"].to_numpy()):
+            near = _strangers_of(group, sketches, i)
+            use[near] = True
+            use[i] |= len(near) > 0
+        out.append(group[use])
+    return pd.concat(out) if out else rows.iloc[:0]
 
-    An asker takes the others by falling signature agreement and checks them on their shingles, until it is linked to
-    their component. A pair is looked at only in the first bucket that it shares.
+
+def _linked(threshold: float):
+    """In each group, a link from an asker to each other component that has one.
+
+    An asker takes the others by falling agreement and checks them on their shingles, until it is linked to their
+    component or nobody is left.
     """
-    least = math.ceil(LEAST_SHARE * COORDINATES)
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
         out: set[tuple[int, int]] = set()
         shingles = Shingles()
-        for _, rows in group.sort_values(["bucket", "i", "t", "node"]).groupby(["bucket", "i", "t"], sort=False):
-            sig, node, comp = np.array(rows["signature"].tolist()), rows["node"].to_numpy(), rows["comp"].to_numpy()
-            band, texts, sets = int(rows["band"].iloc[0]), rows["text"].to_list(), {}
+        for _, group, sketches in _groups(rows):
+            node, comp, texts, sets = group["node"].to_numpy(), group["comp"].to_numpy(), group["text"].to_list(), {}
 
             def at(k: int):
                 if k not in sets:
                     sets[k] = shingles(shingles.words(texts[k]))
                 return sets[k]
 
-            for i in np.flatnonzero(rows["asking"].to_numpy()):
-                same = sig == sig[i]
-                share = same.sum(axis=1)
-                first = same.reshape(len(sig), BANDS, ROWS).all(axis=2).argmax(axis=1)
-                near = np.flatnonzero((share >= least) & (comp != comp[i]) & (first == band))
+            for i in np.flatnonzero(group["asking"].to_numpy()):
                 linked: set[int] = set()
-                for j in near[np.lexsort((node[near], -share[near]))]:
+                for j in _strangers_of(group, sketches, i):
                     if comp[j] not in linked and similarity(at(i), at(j)) >= threshold:
                         linked.add(comp[j])
                         out.add((int(min(node[i], node[j])), int(max(node[i], node[j]))))
@@ -264,6 +308,9 @@ def _strangers(threshold: float):
     return run
 
 
+MEMBERS = "bucket bigint, band int, node bigint, comp bigint, i bigint, t bigint, asking boolean, sketch binary"
+
+
 def _asked(mixed: DataFrame, signed: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame:
     """Links between components of the unsettled buckets, which are dealt into blocks of about ``BLOCK`` members."""
     zero = F.lit(0).cast("bigint")
@@ -271,14 +318,15 @@ def _asked(mixed: DataFrame, signed: DataFrame, bodies: DataFrame, threshold: fl
     others = F.ceil(F.col("n_main") / BLOCK)
     own = F.when(F.col("asks"), F.pmod(F.xxhash64("node"), askers)).otherwise(F.pmod(F.xxhash64("node"), others))
     m = mixed.withColumn("askers", askers).withColumn("others", others).withColumn("own", own)
-    ask = m.where("asks").select("bucket", "node", "comp", F.col("own").alias("i"), F.explode(F.sequence(zero, F.col("askers") + F.col("others") - 1)).alias("t"), F.lit(True).alias("asking"))
+    base = ["bucket", "band", "node", "comp"]
+    ask = m.where("asks").select(*base, F.col("own").alias("i"), F.explode(F.sequence(zero, F.col("askers") + F.col("others") - 1)).alias("t"), F.lit(True).alias("asking"))
     target = F.when(F.col("asks"), F.col("others") + F.col("own")).otherwise(F.col("own"))
-    told = m.select("bucket", "node", "comp", F.explode(F.sequence(zero, F.col("askers") - 1)).alias("i"), target.alias("t"), F.lit(False).alias("asking"), "asks", "own").where("NOT (asks AND i = own)").drop("asks", "own")
-    rows = ask.unionByName(told).withColumn("band", F.col("bucket.band")).withColumn("bucket", F.xxhash64("bucket"))
-    rows = rows.join(signed.select("node", "signature"), "node").join(bodies, "node")
-    shards = max(1, -(-mixed.count() // 1024))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("bucket", "i", "t"), F.lit(shards)))
-    return rows.groupBy("shard").applyInPandas(_strangers(threshold), "a bigint, b bigint")
+    told = m.select(*base, F.explode(F.sequence(zero, F.col("askers") - 1)).alias("i"), target.alias("t"), F.lit(False).alias("asking"), "asks", "own").where("NOT (asks AND i = own)").drop("asks", "own")
+    rows = ask.unionByName(told).join(signed.select("node", "sketch"), "node")
+    shard = F.pmod(F.xxhash64("bucket", "i", "t"), F.lit(max(1, -(-mixed.count() // 1024))))
+    concerned = cut_lineage(rows.withColumn("shard", shard).groupBy("shard").applyInPandas(lambda g: _concerned(g.drop(columns="shard"))[[c.split()[0] for c in MEMBERS.split(", ")]], MEMBERS))
+    shard = F.pmod(F.xxhash64("bucket", "i", "t"), F.lit(max(1, -(-concerned.count() // 512))))
+    return concerned.join(bodies, "node").withColumn("shard", shard).groupBy("shard").applyInPandas(_linked(threshold), "a bigint, b bigint")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
@@ -286,16 +334,15 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     source = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63))).alias("doc_id"), F.xxhash64(F.col(text)).alias("body"), F.col(text).alias("text"))
     rows = _signed(source)
     # one node for each content, with the smallest id that has it
-    contents = rows.where("content is not null").groupBy("content").agg(F.min(F.struct("doc_id", "body")).alias("first"), F.first("signature").alias("signature"))
-    signed = cut_lineage(contents.select(F.xxhash64("content").alias("node"), F.col("first.doc_id").alias("doc_id"), F.col("first.body").alias("body"), "signature"))
-    bands = F.array(*(F.struct(F.lit(b).alias("band"), F.xxhash64(F.lit(b), *(F.element_at("signature", b * ROWS + r + 1) for r in range(ROWS))).alias("h")) for b in range(BANDS)))
-    flat = signed.select("node", F.explode(bands).alias("bucket"))
+    contents = rows.where("content is not null").groupBy("content").agg(F.min(F.struct("doc_id", "body")).alias("first"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    signed = cut_lineage(contents.select(F.xxhash64("content").alias("node"), F.col("first.doc_id").alias("doc_id"), F.col("first.body").alias("body"), "bands", "sketch"))
+    flat = signed.select("node", F.posexplode("bands").alias("band", "bucket"))
     full = cut_lineage(flat.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1").drop("n"))
     buckets = cut_lineage(flat.join(full, "bucket"))
     pairs = cut_lineage(_agreeing(buckets.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), signed))
-    buckets = buckets.select("bucket", "node")
+    buckets = buckets.select("bucket", "band", "node")
     # all texts that any later step can ask for, fetched once
-    wanted = cut_lineage(buckets.select("node").distinct().join(signed.drop("signature"), "node"))
+    wanted = cut_lineage(buckets.select("node").distinct().join(signed.select("node", "doc_id", "body"), "node"))
     bodies = source.join(wanted, ["doc_id", "body"]).groupBy("doc_id", "body", "node").agg(F.first("text").alias("text"))
     bodies = cut_lineage(bodies.select("node", "text"))
     links = cut_lineage(_checked(pairs, bodies, threshold))
