@@ -29,12 +29,23 @@ def local_session(app: str = "casewright", cpus: str = "*", shuffle_partitions:
     )
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def _shared_folder(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the session's ``spark.checkpoint.dir``, which all executors share."""
+    """Folder for intermediate tables: the session's ``spark.checkpoint.dir``, which all executors share.
+
+    Where it is unset, a session in one process (a test) gets a folder of its own; a cluster must set it.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:
+    if shared:
+        return shared.rstrip("/")
+    master, app = spark.sparkContext.master, spark.sparkContext.applicationId
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return shared.rstrip("/")
+    if app not in _OWN_FOLDERS:
+        _OWN_FOLDERS[app] = f"file://{tempfile.mkdtemp(prefix='run-casewright-')}"
+    return _OWN_FOLDERS[app]
 
 
 def intermediate_path(spark: SparkSession, kind: str) -> str:
