@@ -11,8 +11,7 @@ equal to their weighted Jaccard similarity.
 Signatures are banded, ``BANDS`` bands of ``ROWS`` coordinates: a pair of similarity 0.8 shares no band with a
 probability below 2e-7. Equal texts are one document in all that follows. Nothing emits all pairs of a bucket:
 
-1. Each bucket's documents are compared with one leader, the smallest, and those that are not in the bucket's largest
-   component then with a leader chosen by hash from that component, another one in each of their buckets.
+1. Each bucket's documents are compared with one leader, the smallest; links make components.
 2. What is left are buckets with documents outside their largest component. In blocks, inside tasks, each such document
    asks the members of other components, nearest signatures first, until it is linked to their component or nobody is
    left. Only links leave a task. So every candidate pair of different components is checked, and none of equal ones.
@@ -46,6 +45,8 @@ BANDS, ROWS = 30, 4
 COORDINATES = BANDS * ROWS
 LEAST_SHARE = 0.65
 BLOCK = 512
+#: Keys of wanted texts that are sent to every executor at most, some 20 MB; more of them are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 REMEMBERED = 300_000
 
 _WORD = re.compile(r"\w+")
@@ -234,13 +235,6 @@ def _checked(pairs: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame
     return by_rows(pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb"), make, "a bigint, b bigint")
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components; a node without links is its own component."""
-    one = labels.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
-    two = labels.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
-    return pairs.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-
 def _unsettled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets with several components: their component, whether it is not the bucket's largest, and both counts."""
     named = buckets.join(labels, "node", "left").select("bucket", "band", "node", F.coalesce("comp", "node").alias("comp"))
@@ -343,18 +337,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     buckets = buckets.select("bucket", "band", "node")
     # all texts that any later step can ask for, fetched once
     wanted = cut_lineage(buckets.select("node").distinct().join(signed.select("node", "doc_id", "body"), "node"))
-    bodies = source.join(wanted, ["doc_id", "body"]).groupBy("doc_id", "body", "node").agg(F.first("text").alias("text"))
+    near = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    bodies = source.join(near, ["doc_id", "body"]).groupBy("doc_id", "body", "node").agg(F.first("text").alias("text"))
     bodies = cut_lineage(bodies.select("node", "text"))
     links = cut_lineage(_checked(pairs, bodies, threshold))
     labels = components(links)
     mixed = _unsettled(buckets, labels)
-    if not mixed.isEmpty():
-        chosen = cut_lineage(mixed.where("NOT asks").groupBy("bucket").agg(F.min_by("node", F.xxhash64("bucket", "node")).alias("leader")))
-        led = mixed.where("asks").join(chosen, "bucket").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        pairs = cut_lineage(_agreeing(_apart(led, labels), signed))
-        links = cut_lineage(links.unionByName(_checked(pairs, bodies, threshold)))
-        labels = components(links)
-        mixed = _unsettled(buckets, labels)
     if not mixed.isEmpty():
         links = cut_lineage(links.unionByName(_asked(mixed, signed, bodies, threshold)))
         labels = components(links)
