@@ -86,6 +86,26 @@ def test_search_equals_a_full_scan(make_docs, odd_texts, monkeypatch, spark):
         assert [g[2] for g in sorted(got[q])] == pytest.approx([r[1] for r in rows], abs=2e-6)
 
 
+def test_whole_rows_search_with_every_term(make_docs, monkeypatch):
+    rng = random.Random(11)
+    vocabulary = [f"t{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randrange(1, 200))) for _ in range(120)]
+    assert len(set(texts[0].split())) > search.TERMS
+    got = defaultdict(list)
+    for block in (search.QUERY_BLOCK, 2):  # long queries in several blocks give the same
+        got.clear()
+        with monkeypatch.context() as m:
+            m.setattr(search, "QUERY_BLOCK", block)
+            for r in search.search(make_docs(texts).coalesce(2), 10, 7, terms=None).collect():
+                got[r.query_id].append((r["rank"], r.doc_id, r.score))
+        with monkeypatch.context() as m:
+            m.setattr(search, "TERMS", 10**6)
+            want = _bm25(texts, 10, 7)
+        for q, rows in want.items():
+            assert [g[1] for g in sorted(got[q])] == [r[0] for r in rows]
+            assert [g[2] for g in sorted(got[q])] == pytest.approx([r[1] for r in rows], abs=2e-6)
+
+
 def test_search_of_nothing_and_of_repeated_ids(make_docs):
     docs = make_docs(["alpha beta", "alpha", "beta beta", None, ""])
     assert search.search(docs.where("false"), 1, 5).count() == 0
