@@ -245,28 +245,30 @@ def _unsettled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _groups(rows: pd.DataFrame):
-    """The (bucket, block of askers, block of others) groups in a shard, with their sketches as one matrix."""
+    """The (bucket, block of askers, block of others) groups in a shard, with their sketches and their bands' hashes as matrices."""
     for key, group in rows.sort_values(["bucket", "i", "t", "node"]).groupby(["bucket", "i", "t"], sort=False):
-        yield key, group, np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), COORDINATES)
+        yield key, group, np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), COORDINATES), np.stack(group["bands"].to_list())
 
 
-def _strangers_of(group: pd.DataFrame, sketches: np.ndarray, i: int) -> np.ndarray:
-    """Members of other components whose sketch agrees with ``i``'s, nearest first, if this is the first bucket they share."""
-    same = sketches == sketches[i]
-    share = same.sum(axis=1)
-    first = same.reshape(len(group), BANDS, ROWS).all(axis=2).argmax(axis=1)
+def _strangers_of(group: pd.DataFrame, sketches: np.ndarray, bands: np.ndarray, i: int) -> np.ndarray:
+    """Members of other components whose sketch agrees with ``i``'s, nearest first, if this is the first bucket they share.
+
+    The bands' hashes, which name the buckets, tell which is the first: bytes of a sketch agree by chance too.
+    """
+    share = (sketches == sketches[i]).sum(axis=1)
     comp, node = group["comp"].to_numpy(), group["node"].to_numpy()
-    near = np.flatnonzero((share >= math.ceil(LEAST_SHARE * COORDINATES)) & (comp != comp[i]) & (first == group["band"].iloc[0]))
+    near = np.flatnonzero((share >= math.ceil(LEAST_SHARE * COORDINATES)) & (comp != comp[i]))
+    near = near[(bands[near] == bands[i]).argmax(axis=1) == group["band"].iloc[0]]
     return near[np.lexsort((node[near], -share[near]))]
 
 
 def _concerned(rows: pd.DataFrame) -> pd.DataFrame:
     """The members of each group that ask or are asked, by sketches alone: only their texts are needed."""
     out = []
-    for _, group, sketches in _groups(rows):
+    for _, group, sketches, bands in _groups(rows):
         use = np.zeros(len(group), dtype=bool)
         for i in np.flatnonzero(group["asking"].to_numpy()):
-            near = _strangers_of(group, sketches, i)
+            near = _strangers_of(group, sketches, bands, i)
             use[near] = True
             use[i] |= len(near) > 0
         out.append(group[use])
@@ -283,7 +285,7 @@ def _linked(threshold: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         out: set[tuple[int, int]] = set()
         shingles = Shingles()
-        for _, group, sketches in _groups(rows):
+        for _, group, sketches, bands in _groups(rows):
             node, comp, texts, sets = group["node"].to_numpy(), group["comp"].to_numpy(), group["text"].to_list(), {}
 
             def at(k: int):
@@ -293,7 +295,7 @@ def _linked(threshold: float):
 
             for i in np.flatnonzero(group["asking"].to_numpy()):
                 linked: set[int] = set()
-                for j in _strangers_of(group, sketches, i):
+                for j in _strangers_of(group, sketches, bands, i):
                     if comp[j] not in linked and similarity(at(i), at(j)) >= threshold:
                         linked.add(comp[j])
                         out.add((int(min(node[i], node[j])), int(max(node[i], node[j]))))
@@ -302,7 +304,7 @@ def _linked(threshold: float):
     return run
 
 
-MEMBERS = "bucket bigint, band int, node bigint, comp bigint, i bigint, t bigint, asking boolean, sketch binary"
+MEMBERS = "bucket bigint, band int, node bigint, comp bigint, i bigint, t bigint, asking boolean, sketch binary, bands array<bigint>"
 
 
 def _asked(mixed: DataFrame, signed: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame:
@@ -316,7 +318,7 @@ def _asked(mixed: DataFrame, signed: DataFrame, bodies: DataFrame, threshold: fl
     ask = m.where("asks").select(*base, F.col("own").alias("i"), F.explode(F.sequence(zero, F.col("askers") + F.col("others") - 1)).alias("t"), F.lit(True).alias("asking"))
     target = F.when(F.col("asks"), F.col("others") + F.col("own")).otherwise(F.col("own"))
     told = m.select(*base, F.explode(F.sequence(zero, F.col("askers") - 1)).alias("i"), target.alias("t"), F.lit(False).alias("asking"), "asks", "own").where("NOT (asks AND i = own)").drop("asks", "own")
-    rows = ask.unionByName(told).join(signed.select("node", "sketch"), "node")
+    rows = ask.unionByName(told).join(signed.select("node", "sketch", "bands"), "node")
     shard = F.pmod(F.xxhash64("bucket", "i", "t"), F.lit(max(1, -(-mixed.count() // 1024))))
     concerned = cut_lineage(rows.withColumn("shard", shard).groupBy("shard").applyInPandas(lambda g: _concerned(g.drop(columns="shard"))[[c.split()[0] for c in MEMBERS.split(", ")]], MEMBERS))
     shard = F.pmod(F.xxhash64("bucket", "i", "t"), F.lit(max(1, -(-concerned.count() // 512))))

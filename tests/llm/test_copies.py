@@ -45,6 +45,20 @@ def test_near_duplicates_are_the_components_of_a_full_comparison(make_docs, odd_
     assert [got[i].class_id for i in range(len(texts))] == _classes(texts)
 
 
+def test_pairs_whose_sketches_agree_by_chance_in_an_earlier_band(spark):
+    rng = np.random.default_rng(4)
+    signed = rng.integers(0, 2**31, neardup.COORDINATES).astype(np.int32)
+    other = signed.copy()
+    other[:4] ^= 1 << 20  # the same bytes, but not the same band
+    rows = [(node, s.astype(np.uint8).tobytes(), neardup.band_hashes(s).tolist()) for node, s in ((1, signed), (2, other))]
+    assert rows[0][1] == rows[1][1] and [a == b for a, b in zip(rows[0][2], rows[1][2])] == [False] + [True] * 29
+    members = spark.createDataFrame(rows, "node bigint, sketch binary, bands array<bigint>")
+    shared_buckets = [(rows[0][2][b], b, node, node, 1, 1, node == 2) for b in range(1, 30) for node in (1, 2)]
+    mixed = spark.createDataFrame(shared_buckets, "bucket bigint, band int, node bigint, comp bigint, n_main bigint, n_other bigint, asks boolean")
+    bodies = spark.createDataFrame([(1, "one text of a few words"), (2, "one text of a few words")], "node bigint, text string")
+    assert [tuple(r) for r in neardup._asked(mixed, members, bodies, 0.8).collect()] == [(1, 2)]
+
+
 def test_near_duplicate_rows_of_one_id(make_docs, repeated_rows, odd_texts):
     docs = repeated_rows(make_docs(odd_texts))
     assert neardup.classes(docs).count() == docs.count()
