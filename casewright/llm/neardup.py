@@ -22,7 +22,9 @@ components of the checked links.
 
 Defined results: words are runs of letters, digits and underscores in lower case; a text with fewer than five words is
 one shingle; null, empty and wordless texts are equal to nothing, so each is its own class; equal ids with different
-texts are different documents of one id; a class is named by its smallest id; a null id counts as the smallest long;
+texts are different documents of one id; a class is named by its smallest id; of several classes with the same
+smallest id, the one with the smallest hash of a text of it has the name and the others get negative numbers made of
+both; a null id counts as the smallest long;
 an empty table gives an empty result; other columns are not read.
 """
 
@@ -325,8 +327,12 @@ def _asked(mixed: DataFrame, signed: DataFrame, bodies: DataFrame, threshold: fl
     return concerned.join(bodies, "node").withColumn("shard", shard).groupBy("shard").applyInPandas(_linked(threshold), "a bigint, b bigint")
 
 
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
-    """``(doc_id, body, class_id)`` for every row of ``docs``. ``body`` is xxhash64 of the text, which tells rows of one id apart."""
+def _classed(docs: DataFrame, doc_id: str, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, body, first)`` for every row of ``docs``, and the distinct ``(doc_id, body)`` of all firsts.
+
+    ``body`` is xxhash64 of the text, which tells rows of one id apart. ``first`` is the smallest (doc_id, body) of the
+    row's class, which no other class has.
+    """
     source = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63))).alias("doc_id"), F.xxhash64(F.col(text)).alias("body"), F.col(text).alias("text"))
     rows = _signed(source)
     # one node for each content, with the smallest id that has it
@@ -348,16 +354,30 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     if not mixed.isEmpty():
         links = cut_lineage(links.unionByName(_asked(mixed, signed, bodies, threshold)))
         labels = components(links)
-    whole = signed.select("node", "doc_id").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    named = cut_lineage(whole.groupBy("comp").agg(F.min("doc_id").alias("class_id")))
-    by_node = cut_lineage(whole.join(named, "comp").select("node", "class_id"))
+    whole = signed.select("node", F.struct("doc_id", "body").alias("own")).join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = cut_lineage(whole.groupBy("comp").agg(F.min("own").alias("first")))
+    by_node = cut_lineage(whole.join(named, "comp").select("node", "first"))
     out = rows.select("doc_id", "body", F.xxhash64("content").alias("node"), F.col("content").isNull().alias("alone")).join(by_node, "node", "left")
-    return out.select("doc_id", "body", F.when(F.col("alone"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    out = out.select("doc_id", "body", F.when(F.col("alone"), F.struct("doc_id", "body")).otherwise(F.col("first")).alias("first"))
+    return out, named.select("first.*").unionByName(rows.where("content is null").select("doc_id", "body").distinct())
+
+
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
+    """``(doc_id, body, class_id)`` for every row of ``docs``, with ``body`` as xxhash64 of the text."""
+    out, firsts = _classed(docs, doc_id, text, threshold)
+    name = F.col("first.doc_id")
+    disputed = cut_lineage(firsts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("body").alias("holder")).where("n > 1").select(F.col("doc_id").alias("name"), "holder"))
+    count = disputed.count()
+    if count:
+        other = -F.pmod(F.xxhash64("first"), F.lit(1 << 62)) - 1
+        out = out.withColumn("name", name).join(F.broadcast(disputed) if count <= BROADCAST_ROWS else disputed, "name", "left")
+        name = F.when(F.col("holder") != F.col("first.body"), other).otherwise(F.col("name"))
+    return out.select("doc_id", "body", name.alias("class_id"))
 
 
 def kept(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one row of each class, the one whose id names the class; of rows equal in id and text, one."""
-    found = classes(docs, doc_id, text, threshold).where("doc_id = class_id")
-    chosen = cut_lineage(found.groupBy("class_id").agg(F.min("body").alias("body")).withColumnRenamed("class_id", "id"))
+    """``docs`` with one row of each class, the smallest by id and then by hash of the text; of rows equal in id and text, one."""
+    _, firsts = _classed(docs, doc_id, text, threshold)
+    chosen = cut_lineage(firsts.withColumnRenamed("doc_id", "id"))
     keyed = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63))).alias("id"), F.xxhash64(F.col(text)).alias("body"))
     return keyed.join(chosen, ["id", "body"]).dropDuplicates(["id", "body"]).select("row.*")

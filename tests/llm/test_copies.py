@@ -69,6 +69,18 @@ def test_near_duplicate_rows_of_one_id(make_docs, repeated_rows, odd_texts):
     assert neardup.classes(docs.where("false")).count() == 0 and neardup.kept(docs.where("false")).count() == 0
 
 
+def test_classes_that_share_their_smallest_id_stay_apart(make_docs, spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    docs = make_docs([one, one, two, three, three, "", "!"])
+    for ids in ({0: 7, 1: 9, 2: 7}, {0: 9, 1: 7, 2: 9}, {0: 7, 1: 7, 2: 9, 3: 7}, dict.fromkeys(range(7))):
+        rows = [(ids.get(r.doc_id, r.doc_id + 100), *r[1:]) for r in docs.collect()]
+        renamed = spark.createDataFrame(rows, docs.schema)
+        # two wordless texts and three others: one row of each, whatever the ids
+        assert sorted(r.text for r in neardup.kept(renamed).collect()) == sorted([one, two, three, "", "!"])
+        bodies = {r.body: r.class_id for r in neardup.classes(renamed).collect()}
+        assert len(bodies) == len(set(bodies.values())) == 5
+
+
 def test_dart_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(2)
     elements = rng.integers(1, 2**63, 400).astype(np.uint64)
