@@ -134,6 +134,12 @@ def test_page_without_its_frame():
     assert html.blocks_of('<div class="with-sidebar"><div id="sidebar">x</div><p>text</div>') == (["text"], False)
 
 
+def test_main_text_beside_an_article_stays():
+    page = "<p>Out</p><main><h1>Head</h1><p>Lead</p><article><p>Body</p></article><nav>Menu</nav><p>End</p></main>"
+    assert html.blocks_of(page) == (["Head", "Lead", "Body", "End"], True)
+    assert html.blocks_of("<main><p>Whole body</p></main><div><article>Teaser</article></div>") == (["Whole body", "Teaser"], True)
+
+
 def test_host_suffix_array_keeps_unique_runs(spark):
     rng = random.Random(7)
     line = "All rights reserved by the owners of this small site"
