@@ -153,6 +153,19 @@ def test_host_suffix_array_keeps_unique_runs(spark):
     assert html.extract(pages.where("false")).count() == 0
 
 
+def test_host_counts_runs_over_all_its_pages(spark):
+    rng = random.Random(9)
+    notice = "Our office is closed for the whole of next week"
+    own = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(20)) for _ in range(640)]
+    some, pair = (3, 200, 411, 630), "A line that only two pages of this host have"
+    texts = [f"<div>{t}</div>" + (f"<div>{notice}</div>" if i in some else "") + (f"<div>{pair}</div>" if i in (5, 6) else "") for i, t in enumerate(own)]
+    texts += [texts[5]] * 5  # equal streams are one page
+    rows = [(i, f"http://h.example/{i}", t) for i, t in enumerate(texts)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert [got[i] for i in some] == [own[i] for i in some]
+    assert len(got) == len(rows) and all(got[i] == f"{own[5]}\n\n{pair}" for i in (5, *range(640, 645))) and got[6] == f"{own[6]}\n\n{pair}"
+
+
 def test_repeated_tokens_are_those_of_a_plain_count():
     rng = random.Random(8)
     for _ in range(30):
