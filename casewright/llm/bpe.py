@@ -33,8 +33,8 @@ REMEMBERED = 400_000
 _NONE = 1 << 62
 
 # Characters on which all regex engines and case tables agree; superscripts, fractions and the dotted I are left out.
-_PLAIN = re.compile("[^\\t\\n\\r\\x20-\\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ‐-―‘-‟•…€]")
-_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+PLAIN = re.compile("[^\\t\\n\\r\\x20-\\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ‐-―‘-‟•…€]")
+WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 
 
 class RankTree:
@@ -124,10 +124,10 @@ class Bpe:
 
     def _plain(self, text: str) -> list[tuple[tuple[int, ...], str]]:
         known, new = self.words, self._word
-        return [known.get(w) or new(w) for w in _WORDS.findall(text.lower())]
+        return [known.get(w) or new(w) for w in WORDS.findall(text.lower())]
 
     def _any(self, text: str) -> list[tuple[tuple[int, ...], str]]:
-        if not _PLAIN.search(text):
+        if not PLAIN.search(text):
             return self._plain(text)
         pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
         return [(tuple(ids), " ".join(self.tokens[i] for i in ids)) for ids in (self.merged(letters) for letters, _ in pieces)]

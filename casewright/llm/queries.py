@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from casewright.llm import ann, bpe, chat, html, langid, neardup, packing, search, secrets, substring
+from casewright.llm import ann, bpe, chat, html, langid, neardup, packing, records, search, secrets, substring
 from casewright.llm.shared import cut_lineage, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -235,3 +235,10 @@ def chat_format(spark: SparkSession, folder: str) -> DataFrame:
         sha(F.col("loss")).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
     )
+
+
+@query("op13_token_records")
+def token_records(spark: SparkSession, folder: str) -> DataFrame:
+    files = records.folder_for(spark)
+    records.write(table(spark, folder, "documents"), public_tokenizers.path(WORD_BPE), files)
+    return records.read(spark, files)

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from casewright.session import cut_lineage
 
-__all__ = ["by_rows", "components", "cut_lineage", "table"]
+__all__ = ["arrow_fields", "by_rows", "components", "cut_lineage", "table", "table_of"]
 
 #: Rows that a Python task hands back at once.
 OUT_ROWS = 2048
@@ -27,7 +27,7 @@ def by_rows(df: DataFrame, make: Callable[[], Callable[..., Iterator[tuple]]], s
     ``make()`` runs once in a task and returns a function from a row's values to an iterable of result tuples.
     With ``finish`` it returns that function and a second one, called without values after the last row.
     """
-    fields = _arrow_fields(schema)
+    fields = arrow_fields(schema)
 
     def run(batches):
         made = make()
@@ -61,10 +61,15 @@ def by_rows(df: DataFrame, make: Callable[[], Callable[..., Iterator[tuple]]], s
     return df.mapInArrow(run, schema)
 
 
-def _arrow_fields(schema: str) -> list[tuple[str, pa.DataType]]:
+def arrow_fields(schema: str) -> list[tuple[str, pa.DataType]]:
     return [(f.name, to_arrow_type(f.dataType)) for f in StructType.fromDDL(schema).fields]
 
 
+def table_of(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    """One batch of rows, of which there is one at least."""
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges (a long, b long)``: one row ``(node, comp)`` for each node, the smallest node as comp.
 
