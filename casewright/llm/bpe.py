@@ -37,6 +37,11 @@ PLAIN = re.compile("[^\\t\\n\\r\\x20-\\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-įı-ɏ
 WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary."""
+    return {b: c for c, b in _byte_letters().items()}
+
+
 class RankTree:
     """Segment tree of pair ranks. ``best[1]``, the root, is the lowest rank."""
 
@@ -84,7 +89,7 @@ class Bpe:
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         # (left id, right id) -> (rank, merged id)
         self.merges = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(model["merges"])}
-        self.letter = {b: c for c, b in _byte_letters().items()}
+        self.letter = byte_letters()
         self.library = Tokenizer.from_file(path)
         self.parts = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words: dict[str, tuple[tuple[int, ...], str]] = {}

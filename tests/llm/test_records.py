@@ -71,7 +71,8 @@ def written(spark, df, **more):
 def test_round_trip(spark, make_docs, odd_texts, file_bytes):
     rng = random.Random(3)
     letters = ["a", "Ab", "don't", "é", "İ", "ß", "½", "7", " ", "\t", "\x85", "_", "<|endoftext|>", "<|startoftext|>", "…", "日本", "é", " ", "'S", "#", "\U0001f600"]
-    texts = odd_texts + ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(300)]
+    letters += ["Ⱥ", "ǅ", "ª", "µ", "Ÿ", "ʼn", "'re", "'l", "×", "€", "²"]
+    texts = odd_texts + ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(900)]
     docs = make_docs(texts)
     folder = written(spark, docs.orderBy(F.desc("doc_id")), file_bytes=file_bytes)
     got = sorted(map(tuple, records.read(spark, folder).collect()))
