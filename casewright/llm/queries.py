@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from casewright.llm import ann, bpe, chat, html, langid, neardup, packing, records, search, secrets, substring
+from casewright.llm import ann, bpe, chat, divergence, html, langid, neardup, packing, records, search, secrets, substring
 from casewright.llm.shared import cut_lineage, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -237,6 +237,39 @@ def chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# the same counts and shares, for every kept term in every group
+DIVERGENCE = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), words AS (SELECT r, lang, source, unnest(w) AS term FROM docs
+), kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 10
+), sizes AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY 1
+), counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), totals AS (SELECT lang, source, sum(n) AS n FROM counts GROUP BY ALL
+), groups AS (SELECT DISTINCT lang, source FROM docs
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(t.n, 0) + 2 * s.v) AS p, 1 + (1000000000::HUGEINT * (k.n + 2)) // (s.n + 2 * s.v) AS q
+  FROM groups g JOIN kept k ON k.lang = g.lang JOIN sizes s ON s.lang = g.lang
+  LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), valued AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0)::BIGINT AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN valued x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+), terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pairs
+UNION ALL
+SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM terms QUALIFY rank <= 10
+"""
+
+
+@query("op12_source_divergence", DIVERGENCE)
+def source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 @query("op13_token_records")
 def token_records(spark: SparkSession, folder: str) -> DataFrame:
     files = records.folder_for(spark)
