@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from casewright.llm import ann, bpe, chat, divergence, html, langid, neardup, packing, records, search, secrets, substring
+from casewright.llm import ann, bpe, chat, codes, divergence, html, langid, neardup, packing, records, search, secrets, substring
 from casewright.llm.shared import cut_lineage, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -237,6 +237,44 @@ def chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _code_sql() -> str:
+    """Rounds of full comparisons, in integers."""
+    near = "SELECT i, part, min(d * 256 + entry) % 256 AS entry, min(d) AS d FROM (SELECT i, part, entry, list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(v, c)]) AS d FROM parts JOIN book{r} USING (part)) GROUP BY i, part"
+    sql = """
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS i, vec_id, label, [floor(x::DOUBLE * 1024)::BIGINT for x in embedding] AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), parts AS (SELECT i, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] AS v FROM kept, range(4) t(part)
+), book0 AS MATERIALIZED (SELECT part, i AS entry, v AS c FROM parts WHERE i < 256
+)"""
+    for r in range(4):
+        sql += f""", near{r} AS MATERIALIZED ({near.format(r=r)}
+), sums{r} AS (SELECT part, entry, place, sum(x) AS s, count(*) AS n FROM (SELECT i, part, unnest(v) AS x, unnest(range(len(v))) AS place FROM parts) JOIN near{r} USING (i, part) GROUP BY ALL
+), new{r} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY place)::BIGINT[] AS c FROM sums{r} GROUP BY ALL
+), book{r + 1} AS MATERIALIZED (SELECT part, entry, coalesce(n.c, o.c) AS c FROM book{r} o LEFT JOIN new{r} n USING (part, entry)
+)"""
+    return sql + f""", near4 AS MATERIALIZED ({near.format(r=4)}
+), coded AS (SELECT i, string_agg(printf('%02x', entry::BIGINT), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM near4 GROUP BY i
+), told AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book4)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM coded JOIN kept USING (i), told
+"""
+
+
+@query("op11_vector_codes", _code_sql())
+def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return with_label_error(codes.compress(table(spark, folder, "embeddings")))
+
+
+def with_label_error(coded: DataFrame) -> DataFrame:
+    coded = cut_lineage(coded)
+    # a sum saturates at 64 bits, as an error does
+    total = F.least(F.sum(F.col("error").cast("decimal(20,0)")), F.lit((1 << 63) - 1).cast("decimal(38,0)")).cast("bigint")
+    sums = coded.groupBy(F.col("label").alias("sum_of")).agg(total.alias("label_error"))
+    told = coded.join(sums, F.col("label").eqNullSafe(F.col("sum_of")))
+    code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return told.select(F.col("key").alias("vec_id"), code.alias("code"), "error", "label_error", "codebooks_sha256")
+
+
 # the same counts and shares, for every kept term in every group
 DIVERGENCE = """
 WITH docs AS (
