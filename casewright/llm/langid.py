@@ -20,6 +20,7 @@ other than those named are not read.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from dataclasses import dataclass
 from itertools import chain
@@ -59,11 +60,18 @@ SCRIPTS = (
     (0xAC00, 0xD7AF, "Hangul"),
 )
 _FIRST = np.array([s[0] for s in SCRIPTS])
-_WORD = re.compile(r"[^\W\d_]+")
+# the category classes take numbers such as superscripts, fractions and Roman numerals for word characters
+_NUMBERS = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_WORD, _ASCII_WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+"), re.compile("[A-Za-z]+")
 
 PREDICTED = "doc_id bigint, lang_pred string, score double, spans array<struct<start:bigint,end:bigint,lang:string>>"
 
 
+def words_in(text: str) -> re.Pattern:
+    """The pattern of the text's words, runs of letters."""
+    return _ASCII_WORD if text.isascii() else _WORD
+
+
 def script_of(word: str) -> str:
     at = int(np.searchsorted(_FIRST, ord(word[0]), side="right")) - 1
     return SCRIPTS[at][2] if at >= 0 and ord(word[0]) <= SCRIPTS[at][1] else "other"
@@ -92,7 +100,7 @@ class Model:
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on rows with a language that are not held out."""
     rows = docs.where(~held_out(doc_id) & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id)).alias("h"), F.col(text).alias("text"))
-    counts = {r["lang"]: r["count"] for r in docs.where(~held_out(doc_id) & F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).count().collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     languages = sorted(counts)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), "f4"), {}, 0)
@@ -105,7 +113,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
         sums: dict[tuple[str, int], int] = {}
 
         def each(name, body):
-            for word, n in _counted(_WORD.findall(body)).items():
+            for word, n in _counted(words_in(body).findall(body)).items():
                 for f in features(word):
                     sums[name, f] = sums.get((name, f), 0) + n
                 key = name, -1 - _SCRIPT_NAMES.index(script_of(word))
@@ -187,7 +195,8 @@ class Labeller:
         return out
 
     def __call__(self, text: str | None) -> tuple[str, float, list]:
-        words = _WORD.findall(text or "")
+        text = text or ""
+        words = words_in(text).findall(text)
         if not words or not self.model.languages:
             return UNDETERMINED, 0.0, []
         if len(self.known) > REMEMBERED:
@@ -210,7 +219,7 @@ class Labeller:
         cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)]
         if len(cuts) == 2:
             return [{"start": 0, "end": len(text), "lang": self.model.languages[path[0]]}]
-        starts = [m.start() for m in _WORD.finditer(text)]
+        starts = [m.start() for m in words_in(text).finditer(text)]
         edges = [0, *(starts[c] for c in cuts[1:-1]), len(text)]
         return [{"start": a, "end": b, "lang": self.model.languages[path[c]]} for a, b, c in zip(edges, edges[1:], cuts)]
 

@@ -21,7 +21,8 @@ and a stretch is all that a document streams past a shard.
 
 Defined results: a null text has no words; words are runs of anything but space and U+0009 to U+000D, unchanged;
 documents shorter than the window lose nothing; equal rows are separate places, so each of them loses its repeated
-windows; a null id is kept; an empty table gives an empty result; other columns pass through untouched, in a struct.
+windows; rows with a null id, or with ids that repeat, are rows like any other; rows are told apart by id and a 64-bit
+hash of the text, keys and contents by 64-bit hashes (of n texts two clash with odds of about n**2 / 2**65); an empty table gives an empty result; other columns pass through untouched, in a struct.
 """
 
 from __future__ import annotations
@@ -41,8 +42,12 @@ GRAM = 8
 #: Contents of one key that share an automaton, and contents in one shard, which holds the automata of several keys.
 TOGETHER = 128
 SHARD = 256
+#: Windows of a stretch; a longer run of windows with one smallest gram, as in a text of one repeated word, is several.
+MOST_WINDOWS = 1024
 #: Words whose hash a task remembers.
 REMEMBERED = 300_000
+#: Stands for a null id.
+_NO_ID = -(1 << 63)
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = (0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1)
@@ -133,6 +138,8 @@ def stretches_of(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) ->
         grams = _mix(_range_hash(sums, _BASE[0], at, at + gram))
         least = _smallest(grams, window - gram + 1)
         begin = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
+        if np.diff(np.append(begin, len(least))).max() > MOST_WINDOWS:
+            begin = np.concatenate([np.arange(a, b, MOST_WINDOWS) for a, b in zip(begin, [*begin[1:], len(least)])])
         count = np.diff(np.append(begin, len(least)))
         end = begin + count + window - 1
         other = _ranges(_mix(hashes), _BASE[1])
@@ -266,7 +273,7 @@ def repeated_windows(docs: DataFrame, doc: str, text: str = "text", window: int
     both have the same windows.
     """
     body = F.xxhash64(F.col(text))
-    source = docs.select(F.col(doc).cast("bigint").alias("doc"), body.alias("body"), F.col(text).alias("text"))
+    source = docs.select(_place(doc), body.alias("body"), F.col(text).alias("text"))
 
     def cut():
         hashed = Hasher()
@@ -315,11 +322,16 @@ def repeated_windows(docs: DataFrame, doc: str, text: str = "text", window: int
     return cut_lineage(spans)
 
 
+def _place(doc: str) -> Column:
+    """A row's id, never null: with the hash of its text it names a place, and rows equal in both have equal windows."""
+    return F.coalesce(F.col(doc).cast("bigint"), F.lit(_NO_ID)).alias("doc")
+
+
 def clean(docs: DataFrame, doc: str = "doc_id", text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``(row, words, removed, kept)``: each row of ``docs`` as a struct, its number of words, how many were removed, and the kept words joined by one space."""
     spans = repeated_windows(docs, doc, text, window, gram)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(doc).cast("bigint").alias("doc"), F.xxhash64(F.col(text)).alias("body"))
-    joined = rows.alias("r").join(spans.alias("s"), F.col("r.doc").eqNullSafe(F.col("s.doc")) & (F.col("r.body") == F.col("s.body")), "left")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), _place(doc), F.xxhash64(F.col(text)).alias("body"))
+    joined = rows.join(spans, ["doc", "body"], "left")
     # native, so the other columns need not pass through Python
     inner = F.btrim(F.coalesce(F.col("row")[text], F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
     words = F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x20\x09-\x0D]+", -1))

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from casewright.llm import neardup, secrets, shared, substring
@@ -135,6 +136,24 @@ def test_equal_rows_repeat_each_other(make_docs):
     assert substring.clean(docs.where("false")).count() == 0
 
 
+def test_null_and_repeated_ids_are_rows_like_any_other(make_docs):
+    texts = [" ".join(f"r{i}" for i in range(60)), "a " + " ".join(f"r{i}" for i in range(60)), " ".join(f"s{i}" for i in range(50))]
+    for ids in ("null", "null, 2", "7, 7", "-9223372036854775808, null"):
+        listed = [x.strip() for x in ",".join([ids] * 3).split(",")][:3]
+        docs = make_docs(texts).withColumn("doc_id", F.expr(f"element_at(array({', '.join(f'cast({x} as bigint)' for x in listed)}), cast(doc_id + 1 as int))"))
+        got = sorted((r.words, r.removed) for r in substring.clean(docs).collect())
+        assert got == [(50, 0), (60, 60), (61, 60)]
+
+
+def test_texts_of_little_variety_come_in_bounded_stretches(make_docs):
+    hashes = substring.Hasher()(["alpha beta gamma".split()[i % 3].encode() for i in range(30000)])
+    assert substring.stretches_of(hashes)[3].max() == substring.MOST_WINDOWS
+    rng = random.Random(8)
+    texts = ["alpha beta gamma " * 1300, "x " * 3000, "one " + "x " * 1100 + "two", " ".join(rng.choice("ab") for _ in range(3000)), "end " + "alpha beta gamma " * 11]
+    got = {r.doc_id: (r.words, r.removed, r.kept) for r in substring.clean(make_docs(texts)).select("row.doc_id", "words", "removed", "kept").collect()}
+    assert [got[i] for i in range(len(texts))] == _kept(texts, substring.WINDOW)
+
+
 def test_automaton_counts_occurrences():
     rng = random.Random(4)
     for _ in range(40):

@@ -117,6 +117,10 @@ def test_language_of_held_out_and_mixed_texts(make_docs, spark):
     assert [s["lang"] for s in spans] == ["en", "de"] and spans[0]["end"] == spans[1]["start"] == len(" ".join(own["en"] * 8)) + 1
     assert [r.lang_pred for r in langid.predict(asked, langid.train(docs.where("false"))).collect()] == ["und"] * 305
     assert langid.predict(docs.where("false"), model).count() == 0
+    # numbers of every kind are no letters, and a language without a text is not learned
+    numbers = make_docs(["² ½ 12", "Ⅷ ①", "٣ 四", "x²", "ª"])
+    assert [r.lang_pred == "und" for r in langid.predict(numbers, model).orderBy("doc_id").collect()] == [True, True, False, False, False]
+    assert langid.train(make_docs([None] * 20 + ["a b"] * 20, ["xx"] * 20 + ["yy"] * 20)).languages == ["yy"]
     kept = langid.keep(asked, model, 0.5)
     assert kept.columns == asked.columns and kept.count() == 300 + (got[304].score >= 0.5)
 
