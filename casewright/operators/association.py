@@ -17,11 +17,14 @@ from casewright.functions.distributions import chi2_from_p, fisher_p, normal_two
 from casewright.functions.scalars import lenient_double, neg_log10
 from casewright.operators.ranking import benjamini_hochberg, exact_quantiles, global_rank
 from casewright.operators.skew import salted_lookup
-from casewright.session import BROADCAST_LIMIT_BYTES, cut_lineage, cut_union
+from casewright.operators.sparse_regression import MOST_CARRIERS, NullFit, fit_carriers, null_fit_of, null_fit_over
+from casewright.session import BROADCAST_LIMIT_BYTES, cut_lineage, cut_union, parallelism
 
 MAX_ITERATIONS = 25
 TOLERANCE = 1e-6
 BLOCK_PEOPLE = 50_000
+# Carriers of one unit that a task gathers for the sparse fit, at most.
+GATHERED_CARRIERS = 20_000
 
 
 def comparison_samples(sample: DataFrame, ancestry_col: str = "ancestry_pred") -> DataFrame:
@@ -136,6 +139,10 @@ def _solve(gram: np.ndarray, rhs: np.ndarray) -> np.ndarray | None:
     return step if np.all(np.isfinite(step)) else None
 
 
+def _sigmoid(eta: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(eta, -40, 40)))
+
+
 def newton_logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
     """Coefficients and Fisher information, or None when the fit is separated, singular or not converged.
 
@@ -143,7 +150,7 @@ def newton_logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """
     beta = np.zeros(x.shape[1])
     for _ in range(MAX_ITERATIONS):
-        p = 1.0 / (1.0 + np.exp(-np.clip(x @ beta, -40, 40)))
+        p = _sigmoid(x @ beta)
         w = p * (1 - p)
         info = x.T @ (x * w[:, None])
         step = _solve(info, x.T @ (y - p))
@@ -192,10 +199,13 @@ def logistic_per_unit(
     Absent covariates are skipped. People without an exposure row count as 0, or as the unit's ``fill`` value
     (mean imputation for dense calls). A result is NULL when n ≤ parameters, one class only, or no convergence.
     ``converged`` tells such rows apart. With ``comparison`` the sample holds several comparison sets and every unit
-    is fitted in each. Both paths start Newton from zeros and take the same steps.
+    is fitted in each.
 
-    Design matrices inside ``broadcast_limit`` are broadcast and each unit is fitted in one pass. A larger
-    cohort is cut into blocks of people and every Newton step is a grouped sum over blocks.
+    The covariates are fitted once. A unit whose carriers shift them little, which is proven for each, is then fitted
+    from its carriers' rows alone (``sparse_regression``). Only the others, frequent ones, take Newton steps over
+    everybody. Design matrices inside ``broadcast_limit`` are broadcast and each unit is fitted in one pass. A larger
+    cohort is cut into blocks of people: rare units meet their carriers' rows in a join, and for frequent ones every
+    Newton step is a grouped sum over blocks. Both paths start those steps from zeros and take the same ones.
     """
     covariates = [c for c in covariates if c in sample.columns]
     design = cut_lineage(design_frame(sample, covariates, outcome, comparison))
@@ -234,7 +244,7 @@ def _fit_broadcast(exposures, design, keys, units, covariates, outcome, fill) ->
         y = frame[outcome].to_numpy(float)
         base = np.column_stack([np.ones(len(frame)), *[frame[c].to_numpy(float) for c in covariates]])
         usable = len(y) > base.shape[1] + 1 and len(np.unique(y)) == 2
-        designs[label] = (base, y, usable)
+        designs[label] = (base, y, usable, null_fit_of(base, y) if usable else None)
         indexes.append(
             pd.DataFrame({"_set": label, "person_id": frame["person_id"], "_i": np.arange(len(frame), dtype="int64")})
         )
@@ -261,17 +271,36 @@ def _fit_broadcast(exposures, design, keys, units, covariates, outcome, fill) ->
     )
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        full = {k: (np.column_stack([b, np.zeros(len(y))]), y, ok) for k, (b, y, ok) in shared.value.items()}
+        full: dict[str, np.ndarray] = {}
+
+        def over_everybody(label, at: np.ndarray, values: np.ndarray, fill_value: float):
+            base, y, _, _ = shared.value[label]
+            if label not in full:
+                full[label] = np.column_stack([base, np.zeros(len(y))])
+            x = full[label]
+            x[:, -1] = fill_value
+            x[at, -1] = values
+            fitted = newton_logistic(x, y) if np.ptp(x[:, -1]) > 0 else None
+            return (*wald(*fitted, x.shape[1] - 1), len(y), True) if fitted else (None, None, None, len(y), False)
+
         for pdf in batches:
             out = []
             for label, idx, xs, fill_value in zip(pdf["_set"], pdf["_is"], pdf["_xs"], pdf["_fill"], strict=True):
-                x, y, usable = full[label]
-                at = x.shape[1] - 1
-                x[:, at] = fill_value
-                if idx is not None and len(idx):
-                    x[np.asarray(idx, dtype=int), at] = xs
-                fitted = newton_logistic(x, y) if usable and np.ptp(x[:, at]) > 0 else None
-                out.append((*wald(*fitted, at), len(y), True) if fitted else (None, None, None, len(y), False))
+                base, y, usable, null = shared.value[label]
+                at = np.asarray(idx if idx is not None else [], dtype=int)
+                values = np.asarray(xs if xs is not None else [], dtype=float)
+                if not usable:
+                    out.append((None, None, None, len(y), False))
+                    continue
+                # a constant added to an exposure moves the intercept only
+                carrier = values != fill_value
+                kind, beta, se = fit_carriers(null, base[at[carrier]], y[at[carrier]], values[carrier] - fill_value) if null else ("open", 0.0, 0.0)
+                if kind == "fitted":
+                    out.append((beta, se, float(normal_two_sided(np.array([beta / se]))[0]), len(y), True))
+                elif kind == "separated":
+                    out.append((None, None, None, len(y), False))
+                else:
+                    out.append(over_everybody(label, at, values, fill_value))
             result = pdf[["_set", *units]].copy()
             result[["beta", "se", "regression_p", "n_samples", "converged"]] = pd.DataFrame(out, index=result.index, dtype=float)
             yield result.astype({"n_samples": "int64", "converged": bool})
@@ -280,8 +309,27 @@ def _fit_broadcast(exposures, design, keys, units, covariates, outcome, fill) ->
     return fitted.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("beta", "se", "regression_p")})
 
 
+def _fit_rare(held: DataFrame, placed: DataFrame, null: NullFit) -> DataFrame:
+    """(_unit, kind, beta, se) of the units with few carriers, from a join of their carriers with the design."""
+    carriers = held.filter("_x <> 0")
+    few = min(GATHERED_CARRIERS, int(MOST_CARRIERS * null.n))
+    rare = carriers.groupBy("_unit").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") <= few).select("_unit")
+    rows = carriers.join(rare, "_unit").join(placed.select("_block", "_pos", "_y", "_row"), ["_block", "_pos"])
+    packed = rows.groupBy("_unit").agg(*[F.collect_list(c).alias(c) for c in ("_x", "_y", "_row")])  # at most ``few`` each
+
+    def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = [
+                (unit, *fit_carriers(null, np.vstack(row), np.asarray(y, dtype=float), np.asarray(x, dtype=float)))
+                for unit, x, y, row in zip(frame["_unit"], frame["_x"], frame["_y"], frame["_row"], strict=True)
+            ]
+            yield pd.DataFrame(out, columns=["_unit", "kind", "beta", "se"])
+
+    return packed.mapInPandas(fit, "_unit string, kind string, beta double, se double")
+
+
 def _fit_blocked(exposures, design, keys, units, covariates, outcome, fill) -> DataFrame:
-    """Newton steps as grouped sums: (unit chunk × block of people) tasks emit gradient and information."""
+    """Rare units from their carriers; the others by Newton steps whose sums are made block by block of people."""
     k = len(covariates) + 2
     ranked = global_rank(design, [F.col("person_id")], "_i")
     blocks = F.floor((F.col("_i") - 1) / BLOCK_PEOPLE)
@@ -291,48 +339,78 @@ def _fit_blocked(exposures, design, keys, units, covariates, outcome, fill) -> D
             F.col(outcome).alias("_y"), F.array(F.lit(1.0), *[F.col(c) for c in covariates]).alias("_row"),
         )
     )
-    keyed = keys.withColumn("_unit", _unit_struct(units))
-    n_chunks = max(1, math.ceil(keyed.count() / 256))
-    chunk = F.pmod(F.xxhash64("_unit"), F.lit(n_chunks))
+    n = placed.count()
+    keyed = cut_lineage(keys.withColumn("_unit", _unit_struct(units)))
     value = F.coalesce(lenient_double("dosage"), F.lit(0.0))
-    entries = cut_lineage(
+    held = cut_lineage(
         exposures.select(_unit_struct(units).alias("_unit"), F.col("person_id").cast("string").alias("person_id"), value.alias("_x"))
-        .join(placed.select("person_id", "_block", "_pos"), "person_id")
-        .groupBy("_unit", "_block", "_pos")
+        .groupBy("_unit", "person_id")
         .agg(F.max("_x").alias("_x"))
-        .groupBy("_unit", "_block")  # at most BLOCK_PEOPLE entries
-        .agg(F.collect_list("_pos").alias("_is"), F.collect_list("_x").alias("_xs"))
+        .join(placed.select("person_id", "_block", "_pos"), "person_id")
+        .drop("person_id")
     )
+    null = None if fill else null_fit_over(design, outcome, list(covariates))
+    rare = cut_lineage(_fit_rare(held, placed, null).filter("kind <> 'open'")) if null else None
+    left = keyed.select("_unit") if rare is None else keyed.select("_unit").join(rare.select("_unit"), "_unit", "left_anti")
+    left = cut_lineage(left)
     fills = (
-        exposures.groupBy(_unit_struct(units).alias("_unit")).agg(F.max(fill).alias("_fill"))
+        exposures.groupBy(_unit_struct(units).alias("_unit")).agg(F.max(fill).alias("_fill")).join(left, "_unit", "left_semi")
         if fill
-        else keyed.select("_unit", F.lit(0.0).alias("_fill"))
+        else left.select("_unit", F.lit(0.0).alias("_fill"))
     )
-    n_blocks = math.ceil(placed.count() / BLOCK_PEOPLE)
-    design_blocks = placed.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1)))).select(
-        F.col("_chunk").cast("long").alias("_chunk"), "_block", "_pos", "_y", "_row"
+    state = _newton_over_blocks(held, placed, left, cut_lineage(fills), k, math.ceil(n / BLOCK_PEOPLE))
+    beta = F.when(F.col("_ok"), F.get("_beta", F.lit(k - 1)))
+    fitted = state.select("_unit", beta.alias("beta"), F.when(F.col("_ok"), F.col("_se")).alias("se"), F.col("_ok").alias("converged"))
+    if rare is not None:
+        known = lambda c: F.when(F.col("kind") == "fitted", F.col(c)).alias(c)
+        fitted = fitted.unionByName(rare.select("_unit", known("beta"), known("se"), (F.col("kind") == "fitted").alias("converged")))
+    return (
+        keyed.join(fitted, "_unit")
+        .withColumn("regression_p", two_sided_p(F.col("beta") / F.col("se")))
+        .withColumn("n_samples", F.lit(n).cast("long"))
+        .select(*units, "beta", "se", "regression_p", "n_samples", "converged")
     )
+
+
+def _newton_over_blocks(held: DataFrame, placed: DataFrame, left: DataFrame, fills: DataFrame, k: int, n_blocks: int) -> DataFrame:
+    """Newton's state of the units ``left`` at the end, one row each.
+
+    A task holds one block of the design and streams units past it. A block goes to as many tasks as the cluster has room
+    for, not to one for each chunk of units.
+    """
+    slots = max(1, parallelism(placed.sparkSession) // n_blocks)
+    # at most BLOCK_PEOPLE entries and people
+    entries = cut_lineage(
+        held.join(left, "_unit", "left_semi").groupBy("_unit", "_block").agg(F.collect_list("_pos").alias("_is"), F.collect_list("_x").alias("_xs"))
+    )
+    people = placed.groupBy("_block").agg(F.array_sort(F.collect_list(F.struct("_pos", "_y", "_row"))).alias("_p"))
+    people = cut_lineage(people.select("_block", F.col("_p._y").alias("_ys"), F.flatten("_p._row").alias("_rows")))
+    key = lambda slot: (F.col("_block") * slots + slot).cast("int").alias("_key")
+    nothing = lambda kind: F.lit(None).cast(kind)
+    sent = people.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))).select(
+        key(F.col("_slot")), F.lit(0).alias("_kind"), nothing("string").alias("_unit"), nothing("array<double>").alias("_beta"),
+        nothing("array<bigint>").alias("_is"), nothing("array<double>").alias("_xs"), F.lit(0.0).alias("_fill"), "_ys", "_rows",
+    )
     grad = [f"g{i}" for i in range(k)]
     hess = [f"h{i}_{j}" for i in range(k) for j in range(i, k)]
     schema = "_unit string, " + ", ".join(f"{c} double" for c in [*grad, *hess])
 
-    def partial(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        right = right.sort_values("_pos")
-        base = np.vstack(right["_row"].to_numpy())
-        y = right["_y"].to_numpy(float)
-        x = np.column_stack([base, np.zeros(len(y))])
-        upper = np.triu_indices(k)
-        rows = []
-        for unit, beta, idx, xs, fill_value in zip(
-            left["_unit"], left["_beta"], left["_is"], left["_xs"], left["_fill"], strict=True
-        ):
-            x[:, -1] = fill_value
-            if idx is not None and len(idx):
-                x[np.asarray(idx, dtype=int), -1] = xs
-            p = 1.0 / (1.0 + np.exp(-np.clip(x @ np.asarray(beta), -40, 40)))
-            info = x.T @ (x * (p * (1 - p))[:, None])
-            rows.append((unit, *(x.T @ (y - p)), *info[upper]))
-        return pd.DataFrame(rows, columns=["_unit", *grad, *hess])
+    def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        upper, x, y = np.triu_indices(k), np.zeros((0, k)), np.zeros(0)
+        for frame in frames:
+            rows = []
+            for kind, unit, beta, idx, xs, fill_value, ys, flat in frame[["_kind", "_unit", "_beta", "_is", "_xs", "_fill", "_ys", "_rows"]].itertuples(index=False):
+                if kind == 0:
+                    y = np.asarray(ys, dtype=float)
+                    x = np.column_stack([np.asarray(flat, dtype=float).reshape(len(y), k - 1), np.zeros(len(y))])
+                    continue
+                x[:, -1] = fill_value
+                if idx is not None and len(idx):
+                    x[np.asarray(idx, dtype=int), -1] = xs
+                p = _sigmoid(x @ np.asarray(beta))
+                info = x.T @ (x * (p * (1 - p))[:, None])
+                rows.append((unit, *(x.T @ (y - p)), *info[upper]))
+            yield pd.DataFrame(rows, columns=["_unit", *grad, *hess])
 
     state_schema = "_unit string, _beta array<double>, _se double, _done boolean, _ok boolean"
 
@@ -358,7 +436,7 @@ def _fit_blocked(exposures, design, keys, units, covariates, outcome, fill) -> D
 
     zero = F.array(*[F.lit(0.0)] * k)
     state = cut_lineage(
-        keyed.select("_unit").select(
+        left.select(
             "_unit", zero.alias("_beta"), F.lit(None).cast("double").alias("_se"), F.lit(False).alias("_done"),
             F.lit(False).alias("_ok"),
         )
@@ -368,35 +446,24 @@ def _fit_blocked(exposures, design, keys, units, covariates, outcome, fill) -> D
         if open_units.isEmpty():
             break
         work = (
-            open_units.select("_unit", "_beta", chunk.alias("_chunk"))
+            open_units.select("_unit", "_beta")
             .join(fills, "_unit", "left")
             # every unit sums over every block of people
             .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
             .join(entries, ["_unit", "_block"], "left")
             .na.fill(0.0, ["_fill"])
+            .select(
+                key(F.pmod(F.xxhash64("_unit"), F.lit(slots))), F.lit(1).alias("_kind"), "_unit", "_beta", "_is", "_xs", "_fill",
+                nothing("array<double>").alias("_ys"), nothing("array<double>").alias("_rows"),
+            )
         )
-        sums = (
-            work.groupBy("_chunk", "_block")
-            .cogroup(design_blocks.groupBy("_chunk", "_block"))
-            .applyInPandas(lambda a, b: partial(a, b), schema)
-            .groupBy("_unit")
-            .agg(*[F.sum(c).alias(c) for c in [*grad, *hess]])
-        )
+        met = sent.unionByName(work).repartitionById(n_blocks * slots, F.col("_key")).sortWithinPartitions("_key", "_kind")
+        sums = met.mapInPandas(partial, schema).groupBy("_unit").agg(*[F.sum(c).alias(c) for c in [*grad, *hess]])
         stepped = sums.join(open_units.select("_unit", "_beta"), "_unit").select(
             F.col("_unit").alias("unit"), F.col("_beta").alias("beta"), *grad, *hess
         )
         state = cut_union(state.filter("_done"), stepped.mapInPandas(advance, state_schema))
-    n = placed.count()
-    beta = F.when(F.col("_ok"), F.get("_beta", F.lit(k - 1)))
-    fitted = state.select(
-        "_unit", beta.alias("beta"), F.when(F.col("_ok"), F.col("_se")).alias("se"), F.lit(n).cast("long").alias("n_samples"),
-        F.col("_ok").alias("converged"),
-    )
-    return (
-        keyed.join(fitted, "_unit")
-        .withColumn("regression_p", two_sided_p(F.col("beta") / F.col("se")))
-        .select(*units, "beta", "se", "regression_p", "n_samples", "converged")
-    )
+    return state
 
 
 def stable_covariates(sample: DataFrame, covariates: Sequence[str], outcome: str = "outcome") -> tuple[list[str], list[str]]:

@@ -15,6 +15,11 @@ from casewright.operators.ranking import exact_quantiles, global_rank, global_sc
 from casewright.session import cut_lineage, cut_union
 
 
+def exact_mean(value: Column) -> Column:
+    """Mean by a decimal sum and one division, so that it does not depend on the order of the rows."""
+    return F.sum(value.cast("decimal(38,18)")).cast("double") / F.count(value)
+
+
 def _same(left: str, right: str, groups: Sequence[str]) -> Column | list[Column]:
     return [F.col(f"{left}.{g}").eqNullSafe(F.col(f"{right}.{g}")) for g in groups]
 
@@ -310,7 +315,7 @@ def group_summary(scored: DataFrame, groups: Sequence[str]) -> DataFrame:
     """n, mean, population sd, median and quartiles of a score per group."""
     base = scored.filter(F.col("score").isNotNull())
     agg = base.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean"), F.stddev_pop("score").alias("sd")
+        F.count(F.lit(1)).alias("n"), exact_mean(F.col("score")).alias("mean"), F.stddev_pop("score").alias("sd")
     )
     return attach(agg, exact_quantiles(base, "score", {"q1": 0.25, "median": 0.5, "q3": 0.75}, groups), groups)
 

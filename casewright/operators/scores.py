@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casewright.functions.scalars import lenient_double, threshold_label
-from casewright.operators.metrics import discrimination, effect_per_sd
+from casewright.operators.metrics import discrimination, effect_per_sd, exact_mean
 from casewright.operators.predicates import require_columns
 from casewright.operators.ranking import global_rank
 from casewright.operators.skew import salted_lookup
@@ -273,8 +273,8 @@ def prs_metrics(scores: DataFrame, outcomes: DataFrame, weights: DataFrame, thre
     by = lambda y: F.when(F.col("y") == y, F.col("score"))
     summary = scored.groupBy(*groups).agg(
         F.max("p_threshold").alias("p_threshold"),
-        F.avg(by(1)).alias("case_mean_prs"),
-        F.avg(by(0)).alias("control_mean_prs"),
+        exact_mean(by(1)).alias("case_mean_prs"),
+        exact_mean(by(0)).alias("control_mean_prs"),
         F.stddev_pop(by(1)).alias("case_sd_prs"),
         F.stddev_pop(by(0)).alias("control_sd_prs"),
     )

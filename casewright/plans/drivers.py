@@ -29,7 +29,12 @@ from casewright.sources.tables import ASSOCIATION_ORDER, COHORT_ORDER, write_man
 
 
 # Outputs that are written in order.
-ORDERED = {"cohort": COHORT_ORDER, "panel_association": ASSOCIATION_ORDER}
+ORDERED = {
+    "cohort": COHORT_ORDER,
+    "variant_association": (*ASSOCIATION_ORDER, "variant_id"),
+    "gene_association": (*ASSOCIATION_ORDER, "gene"),
+    "results": ("regression_p", "variant_id"),
+}
 
 
 def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], folder: str, config: dict) -> dict[str, str]:

@@ -545,7 +545,8 @@ def _per_sd_sql(source: str, keys: list[str]) -> str:
     + ", sc AS (SELECT threshold_label, person_id, outcome AS y, ROUND(prs_score, 9) AS score FROM prs)"
     + _auc_sql("sc", "threshold_label")
     + _per_sd_sql("sc", ["threshold_label"])
-    + """, g AS (SELECT threshold_label, AVG(score) FILTER (WHERE y = 1) AS cm, AVG(score) FILTER (WHERE y = 0) AS km,
+    + """, g AS (SELECT threshold_label, SUM(CAST(score AS DECIMAL(18, 9))) FILTER (WHERE y = 1)::DOUBLE / COUNT(*) FILTER (WHERE y = 1) AS cm,
+  SUM(CAST(score AS DECIMAL(18, 9))) FILTER (WHERE y = 0)::DOUBLE / COUNT(*) FILTER (WHERE y = 0) AS km,
   stddev_pop(score) FILTER (WHERE y = 1) AS cs, stddev_pop(score) FILTER (WHERE y = 0) AS ks FROM sc GROUP BY 1)
 SELECT threshold_label, n AS n_participants, cases AS n_cases, controls AS n_controls, ROUND(roc_auc, 6) AS roc_auc, ROUND(cm, 6) AS case_mean_prs, ROUND(km, 6) AS control_mean_prs,
   ROUND(cs, 6) AS case_sd_prs, ROUND(ks, 6) AS control_sd_prs, (SELECT COUNT(*) FROM wt WHERE p <= t) AS n_variants_scored, ROUND(or_per_score_sd, 6) AS or_per_score_sd, ROUND(p_value, 6) AS p_value

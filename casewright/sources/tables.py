@@ -173,7 +173,8 @@ def read_whitespace(spark: SparkSession, path: str) -> DataFrame:
 
 # The order in which ordered outputs list their rows.
 COHORT_ORDER = ("case_tier", "index_date", "person_id")
-ASSOCIATION_ORDER = ("comparison", "fisher_p", "regression_p", "variant_id")
+# of every unit's association rows; the unit itself comes last
+ASSOCIATION_ORDER = ("comparison", "fisher_p", "regression_p")
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", order: Sequence[str] = ()) -> str:
