@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casewright.functions.scalars import lenient_double, threshold_label
@@ -11,7 +13,7 @@ from casewright.operators.metrics import discrimination, effect_per_sd, exact_me
 from casewright.operators.predicates import require_columns
 from casewright.operators.ranking import global_rank
 from casewright.operators.skew import salted_lookup
-from casewright.session import cut_lineage, cut_union
+from casewright.session import cut_lineage, cut_union, parallelism
 
 
 def valid_weights(gwas: DataFrame) -> DataFrame:
@@ -107,39 +109,114 @@ def pair_r2(pairs: DataFrame, calls: DataFrame, n_people: int) -> DataFrame:
     return _r2_of(pairs, _shared_sums(both), _single_sums(rows), n_people)
 
 
+def _blocks_of_pairs(rows: pd.DataFrame, window: int) -> Iterator[pd.DataFrame]:
+    """``_SHARED`` of the pairs of one unit and part: products of blocks of variants, over chunks of people.
+
+    ``rows`` are one unit's calls of one part of the people. A pair counts here if its first variant can lead, both lie
+    within ``window``, and one of them lies in the unit's own band.
+    """
+    rows = rows.sort_values("r", kind="stable")
+    r, first = np.unique(rows["r"].to_numpy(), return_index=True)
+    position, can_lead, own = (rows[c].to_numpy()[first] for c in ("position", "can_lead", "own"))
+    column = np.searchsorted(r, rows["r"].to_numpy())
+    person = pd.factorize(rows["person_id"])[0]
+    x = rows["x"].to_numpy(float)
+    missing = np.isnan(x)
+    x = np.where(missing, 0.0, x)
+    starts = np.append(np.searchsorted(column, np.arange(0, len(r), BLOCK_VARIANTS)), len(column))
+
+    def dense(block: int, values: np.ndarray, people: np.ndarray, size: int) -> np.ndarray:
+        at = slice(starts[block], starts[block + 1])
+        out = np.zeros((size, min(BLOCK_VARIANTS, len(r) - block * BLOCK_VARIANTS)))
+        place = np.searchsorted(people, person[at]) if len(people) else np.zeros(0, dtype=int)
+        held = (place < size) & (people[np.minimum(place, size - 1)] == person[at])
+        out[place[held], column[at][held] - block * BLOCK_VARIANTS] = values[at][held]
+        return out
+
+    for i in range(len(starts) - 1):
+        for j in range(i, len(starts) - 1):
+            lead, other = (np.arange(k * BLOCK_VARIANTS, min((k + 1) * BLOCK_VARIANTS, len(r))) for k in (i, j))
+            met = can_lead[lead][:, None] & (np.abs(position[lead][:, None] - position[other][None, :]) <= window) & (own[lead][:, None] | own[other][None, :]) & (lead[:, None] < other[None, :])
+            if not met.any():
+                continue
+            # people with a call in both blocks; nobody else adds to a product
+            both = np.intersect1d(person[starts[i] : starts[i + 1]], person[starts[j] : starts[j + 1]])
+            sums = np.zeros((6, len(lead), len(other)))
+            for at in range(0, len(both), BLOCK_PERSONS):
+                people = both[at : at + BLOCK_PERSONS]
+                y, z = dense(i, x, people, len(people)), dense(j, x, people, len(people))
+                sums[0] += y.T @ z
+                if missing.any():
+                    no_y, no_z = dense(i, missing.astype(float), people, len(people)), dense(j, missing.astype(float), people, len(people))
+                    for k, (a, b) in enumerate(((no_y, no_z), (no_y, z), (no_y, z * z), (y, no_z), (y * y, no_z)), start=1):
+                        sums[k] += a.T @ b
+            a, b = np.nonzero(met & (sums != 0).any(axis=0))
+            if len(a):
+                found = dict(zip(("xy", "mm", "dx", "dxx", "dy", "dyy"), sums[:, a, b]))
+                yield pd.DataFrame({"lead_r": r[lead[a]], "other_r": r[other[b]], **found})
+
+
+_SHARED = "lead_r bigint, other_r bigint, xy double, mm double, dx double, dxx double, dy double, dyy double"
+#: Variants of a block, people of a chunk of its matrix, and calls that a task gathers of one unit.
+BLOCK_VARIANTS, BLOCK_PERSONS, UNIT_CALLS = 256, 8192, 500_000
+
+
 def band_r2(variants: DataFrame, calls: DataFrame, n_people: int, window: int) -> DataFrame:
     """(lead, variant_id, r2) of every pair within ±``window`` positions whose first one, by (priority, id), can lead.
 
-    Pairs come from a band join, single sums from one aggregate, and the sums over people with both calls from a
-    self-join of the calls on (person, band), so the calls are read once for all pairs and nobody's pairs reach
-    further than a band. A band is ``window`` wide: a variant meets its own band and the next one.
+    Pairs come from a band join of the variants and single sums from one aggregate. The sums over people with both calls
+    are matrix products: a unit is a band, ``window`` wide, with the next one, and a part of the people, as many parts as
+    the counted calls need. Inside a task blocks of variants are multiplied, and only a block pair's sums leave it, so
+    no row stands for a pair and a person, and each call is sent twice, however many pairs it is in.
     """
     width = max(window, 1)
-    placed = cut_lineage(
-        variants.select("variant_id", "chromosome", F.col("position").cast("long").alias("position"), "priority", "can_lead", F.floor(F.col("position") / width).alias("band"))
-    )
+    attributes = variants.select("variant_id", "chromosome", F.col("position").cast("long").alias("position"), "priority", "can_lead", F.floor(F.col("position") / width).alias("band"))
+    # the rank by (priority, id) names a variant, so the smaller one of a pair leads
+    placed = cut_lineage(global_rank(attributes, [F.col("priority"), F.col("variant_id")], "r"))
     x = F.col("n_alt").cast("double")
-    held = cut_lineage(calls.select("variant_id", "person_id", x.alias("x")).join(placed, "variant_id"))
-
-    def banded(rows: DataFrame, keys: Sequence[str], carry: Sequence[str]) -> DataFrame:
-        """Pairs (l, r) of rows in the same or the next band, oriented by (priority, id), once each."""
-        mine = rows.select(*keys, "chromosome", "band", *[F.col(c).alias(f"l_{c}") for c in carry])
-        theirs = rows.select(*keys, "chromosome", F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"), F.col("band").alias("r_band"), *[F.col(c).alias(f"r_{c}") for c in carry])
-        met = mine.join(theirs, [*keys, "chromosome", "band"]).filter(F.abs(F.col("l_position") - F.col("r_position")) <= window)
-        # within one band both orders meet, across bands only one does
-        once = (F.col("r_band") != F.col("band")) | (F.col("l_variant_id") < F.col("r_variant_id"))
-        met = met.filter(once & (F.col("l_variant_id") != F.col("r_variant_id")))
-        before = F.struct("l_priority", "l_variant_id") < F.struct(F.col("r_priority").alias("l_priority"), F.col("r_variant_id").alias("l_variant_id"))
-        pick = lambda first, second, c: F.when(before, F.col(f"{first}_{c}")).otherwise(F.col(f"{second}_{c}"))
-        return met.select(
-            pick("l", "r", "variant_id").alias("lead"), pick("r", "l", "variant_id").alias("variant_id"), pick("l", "r", "can_lead").alias("can_lead"),
-            *([pick("l", "r", "x").alias("y"), pick("r", "l", "x").alias("x")] if "x" in carry else []),
-        ).filter("can_lead").drop("can_lead")
-
-    base = ["variant_id", "position", "priority", "can_lead"]
-    pairs = banded(placed, [], base)
-    both = banded(held, ["person_id"], [*base, "x"])
-    return _r2_of(pairs, _shared_sums(both), _single_sums(held.select("variant_id", "x")), n_people)
+    held = cut_lineage(calls.select("variant_id", "person_id", x.alias("x")).join(placed.drop("priority"), "variant_id"))
+
+    mine = placed.select("chromosome", "band", *[F.col(c).alias(f"l_{c}") for c in ("variant_id", "position", "can_lead", "r")])
+    theirs = placed.select(
+        "chromosome", F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"), F.col("band").alias("r_band"),
+        *[F.col(c).alias(f"r_{c}") for c in ("variant_id", "position", "can_lead", "r")],
+    )
+    met = mine.join(theirs, ["chromosome", "band"]).filter(F.abs(F.col("l_position") - F.col("r_position")) <= window)
+    # within one band both orders meet, across bands only one does
+    met = met.filter(((F.col("r_band") != F.col("band")) | (F.col("l_r") < F.col("r_r"))) & (F.col("l_r") != F.col("r_r")))
+    before = F.col("l_r") < F.col("r_r")
+    pick = lambda first, second, c: F.when(before, F.col(f"{first}_{c}")).otherwise(F.col(f"{second}_{c}"))
+    pairs = met.filter(pick("l", "r", "can_lead")).select(pick("l", "r", "variant_id").alias("lead"), pick("r", "l", "variant_id").alias("variant_id"))
+
+    sent = held.select(
+        "chromosome", F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("unit"), "band", "position", "r", "can_lead", "person_id", "x"
+    )
+    units = sent.groupBy("chromosome", "unit").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("band") == F.col("unit")).cast("int")).alias("has_own"))
+    units = cut_lineage(units.filter("has_own = 1").select("chromosome", "unit", F.ceil(F.col("n") / UNIT_CALLS).alias("parts")))
+    keys = ["chromosome", "unit", "part"]
+    dealt = sent.join(units, ["chromosome", "unit"]).select(
+        "chromosome", "unit", F.pmod(F.xxhash64("person_id"), F.col("parts")).alias("part"), "position", "r", "can_lead",
+        (F.col("band") == F.col("unit")).alias("own"), "person_id", "x",
+    )
+    gathered = dealt.repartition(parallelism(variants.sparkSession), *keys).sortWithinPartitions(*keys)
+
+    def products(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_, waiting = None, []
+        for frame in frames:
+            for key, rows in frame.groupby(keys, sort=False, dropna=False):
+                if key != open_ and waiting:
+                    yield from _blocks_of_pairs(pd.concat(waiting), window)
+                    waiting = []
+                open_ = key
+                waiting.append(rows)
+        if waiting:
+            yield from _blocks_of_pairs(pd.concat(waiting), window)
+
+    parts = gathered.mapInPandas(products, _SHARED)
+    summed = parts.groupBy("lead_r", "other_r").agg(*[F.sum(c).alias(c) for c in ("xy", "mm", "dx", "dxx", "dy", "dyy")])
+    named = lambda r, name: placed.select(F.col("r").alias(r), F.col("variant_id").alias(name))
+    shared = summed.join(named("lead_r", "lead"), "lead_r").join(named("other_r", "variant_id"), "other_r").drop("lead_r", "other_r")
+    return _r2_of(pairs, shared, _single_sums(held.select("variant_id", "x")), n_people)
 
 
 def ld_select(variants: DataFrame, calls: DataFrame, n_people: int, window: int, drop: Column) -> DataFrame:
