@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from casewright.functions.distributions import hwe_p
 from casewright.functions.scalars import interval_text, lenient_double, variant_key
 from casewright.operators.ranking import global_scan
+from casewright.session import cut_lineage
 from casewright.operators.skew import salted_lookup
 
 BASES = ("A", "C", "G", "T")
@@ -181,32 +182,31 @@ def qc_flags(
     )
 
 
+_FUNNEL = ["biallelic", "pass_maf", "pass_mac", "pass_call_rate", "pass_hwe"]
+
+
+def _funnel_counts(count: bool = True) -> list[Column]:
+    """How many rows there are, and how many pass each step; NULLs with ``count=False``."""
+    ok = lambda c: F.coalesce(F.col(c), F.lit(False))
+    total = (lambda c: F.count_if(c)) if count else (lambda c: F.lit(None).cast("long"))
+    passed = {c: ok(c) if c == "biallelic" else ok("biallelic") & ok(c) for c in [*_FUNNEL, "qc_pass"]}
+    return [(F.count(F.lit(1)) if count else F.lit(None).cast("long")).alias("_all"), *[total(v).alias(f"_{c}") for c, v in passed.items()]]
+
+
+def _funnel_steps(hwe_mode: str) -> list[tuple[str, str, str]]:
+    """(filter, count before, count after)."""
+    names = ["biallelic_snp", "maf", "mac", "call_rate", "control_hwe" if hwe_mode == "filter" else "control_hwe_report_only"]
+    steps = [("input", "_all", "_all")]
+    for name, c in zip(names, _FUNNEL, strict=True):
+        steps.append((name, steps[-1][2], f"_{c}"))
+    return steps if hwe_mode == "filter" else [*steps, ("final_qc", "_pass_call_rate", "_qc_pass")]
+
+
 def qc_funnel(flagged: DataFrame, hwe_mode: str = "filter", count: bool = True) -> DataFrame:
     """(filter, rows_before, rows_after, rows_removed) from one pass; ``count=False`` leaves the counts NULL.
 
     Input rows carry ``biallelic`` and the cumulative pass columns.
     """
-    chain = ["biallelic", "pass_maf", "pass_mac", "pass_call_rate", "pass_hwe"]
-    names = ["biallelic_snp", "maf", "mac", "call_rate", "control_hwe" if hwe_mode == "filter" else "control_hwe_report_only"]
-    ok = lambda c: F.coalesce(F.col(c), F.lit(False))
-    total = (lambda c: F.count_if(c)) if count else (lambda c: F.lit(None).cast("long"))
-    wide = flagged.select(
-        *[
-            (ok("biallelic") if c == "biallelic" else ok("biallelic") & ok(c)).alias(c)
-            for c in chain
-        ],
-        (ok("biallelic") & ok("qc_pass")).alias("qc_pass"),
-    ).agg(
-        (F.count(F.lit(1)) if count else F.lit(None).cast("long")).alias("_all"),
-        *[total(F.col(c)).alias(f"_{c}") for c in [*chain, "qc_pass"]],
-    )
-    steps = [("input", "_all", "_all")]
-    before = "_all"
-    for name, c in zip(names, chain, strict=True):
-        steps.append((name, before, f"_{c}"))
-        before = f"_{c}"
-    if hwe_mode != "filter":
-        steps.append(("final_qc", "_pass_call_rate", "_qc_pass"))
     rows = F.array(
         *[
             F.struct(
@@ -216,10 +216,22 @@ def qc_funnel(flagged: DataFrame, hwe_mode: str = "filter", count: bool = True)
                 F.col(a).alias("rows_after"),
                 (F.col(b) - F.col(a)).alias("rows_removed"),
             )
-            for i, (n, b, a) in enumerate(steps)
+            for i, (n, b, a) in enumerate(_funnel_steps(hwe_mode))
         ]
     )
-    return wide.select(F.inline(rows))
+    return flagged.agg(*_funnel_counts(count)).select(F.inline(rows))
+
+
+def stored_with_funnel(flagged: DataFrame, hwe_mode: str = "filter", count: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The flagged table, written, and its funnel. The counts ride on that write, so the funnel has no job of its own."""
+    spark = flagged.sparkSession
+    schema = "step int, filter string, rows_before long, rows_after long, rows_removed long"
+    if not count:
+        return cut_lineage(flagged), spark.createDataFrame([(i, n, None, None, None) for i, (n, _, _) in enumerate(_funnel_steps(hwe_mode))], schema)
+    seen = Observation()
+    stored = cut_lineage(flagged.observe(seen, *_funnel_counts()))
+    got = seen.get
+    return stored, spark.createDataFrame([(i, n, got[b], got[a], got[b] - got[a]) for i, (n, b, a) in enumerate(_funnel_steps(hwe_mode))], schema)
 
 
 def maf_from_dosage(genotypes: DataFrame, n_people: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ from casewright.operators import (
 )
 from casewright.rules import IncidentRules, Matching, PhenotypeRules
 from casewright.session import cut_lineage
+from casewright.sources import genotype_store
 from casewright.sources.tables import ASSOCIATION_ORDER, COHORT_ORDER, write_manifest, write_table
 
 
@@ -144,7 +145,7 @@ def variant_gwas(
     kept, dropped = association.stable_covariates(people, covariates, outcome)
     stats = genotypes.variant_stats(calls, people, outcome, dense)
     snp = genotypes.is_biallelic_snp(F.col("alleles"))
-    flagged = cut_lineage(genotypes.qc_flags(variants.withColumn("biallelic", snp).join(stats, "variant_id"), **limits))
+    flagged, funnel = genotypes.stored_with_funnel(genotypes.qc_flags(variants.withColumn("biallelic", snp).join(stats, "variant_id"), **limits))
     tested = flagged.filter("biallelic and qc_pass").drop("alleles")
     # a missing call takes the variant's mean dosage: with dense input an absent row, with sparse input a NULL one
     if dense:
@@ -158,7 +159,7 @@ def variant_gwas(
     )
     full = cut_lineage(association.gwas_postprocess(tested.join(fits, "variant_id"), annotation))
     return {
-        "qc_funnel": genotypes.qc_funnel(flagged),
+        "qc_funnel": funnel,
         "results": full,
         "lead_hits": leads.lead_hits(full, window_bp),
         "lambda": association.genomic_control(full),
@@ -188,15 +189,19 @@ def plp_panel(
 
 
 def candidate_genotypes(
-    raw: DataFrame, calls: DataFrame, genes: Sequence[str] | DataFrame, clinvar_terms: Sequence[str], plof_terms: Sequence[str], **limits
+    raw: DataFrame, calls: DataFrame | str, genes: Sequence[str] | DataFrame, clinvar_terms: Sequence[str], plof_terms: Sequence[str], **limits
 ) -> DataFrame:
     """(person, variant, gene, dosage) of the candidate variants' calls.
 
-    The candidates' merged intervals cut the calls first, on an equi-join key, so that few calls meet the exact join.
+    The candidates' merged intervals cut the calls first, so that few calls meet the exact join: ``calls`` is a table of
+    calls, or the path of one that ``genotype_store.write_ranges`` wrote by contig, of which only the needed files are read.
     """
     found = cut_lineage(genotypes.candidate_variants(raw, genes, clinvar_terms, plof_terms, **limits))
     spans = cut_lineage(genotypes.merged_intervals(found.select("contig", "gene", "position")))
-    near = genotypes.in_intervals(calls.filter("n_alt > 0"), spans)
+    if isinstance(calls, str):
+        near = genotype_store.read_intervals(raw.sparkSession, calls, spans, contig="contig").filter("n_alt > 0")
+    else:
+        near = genotypes.in_intervals(calls.filter("n_alt > 0"), spans)
     exact = near.select("person_id", "variant_id", F.col("n_alt").alias("dosage")).join(found.select("variant_id", "gene"), "variant_id")
     return exact.groupBy("person_id", "variant_id", "gene").agg(F.max("dosage").alias("dosage"))
 

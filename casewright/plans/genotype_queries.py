@@ -10,7 +10,8 @@ from casewright.operators.ranking import benjamini_hochberg
 from casewright.plans.cohort_queries import TIER_SQL, tiered
 from casewright.plans.fit_sql import newton_sql, tail_sql
 from casewright.plans.registry import query
-from casewright.session import cut_lineage
+from casewright.session import cut_lineage, intermediate_path
+from casewright.sources import genotype_store
 from casewright.sources.lens import CLINVAR_TERMS, PLOF_TERMS, Lens
 
 QC = dict(min_maf=0.005, min_mac=5, min_call_rate=0.9, min_hwe_p=1e-3)
@@ -123,7 +124,7 @@ UNION ALL SELECT 3, 'mac', c2, c3, c2 - c3 FROM c UNION ALL SELECT 4, 'call_rate
 UNION ALL SELECT 5, 'control_hwe', c4, c5, c4 - c5 FROM c""",
 )
 def variant_funnel(lens: Lens) -> DataFrame:
-    return genotypes.qc_funnel(flagged(lens))
+    return genotypes.stored_with_funnel(flagged(lens))[1]
 
 
 @query(
@@ -248,6 +249,38 @@ def interval_calls(lens: Lens) -> DataFrame:
     return genotypes.in_intervals(rows, spans).groupBy("variant_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "interval_pruned_calls",
+    """, iv AS (SELECT DISTINCT chromosome AS contig, GREATEST(1, position - 1000) AS s, position + 1000 AS e FROM annotation WHERE position % 70000 = 0),
+few AS (SELECT * FROM iv QUALIFY ROW_NUMBER() OVER (ORDER BY contig, s) <= 9),
+n AS (SELECT 'few' AS kind, variant_id, person_id, dosage FROM genotype g WHERE EXISTS (SELECT 1 FROM few WHERE contig = g.chromosome AND g.position BETWEEN s AND e)
+  UNION ALL SELECT 'many', variant_id, person_id, dosage FROM genotype g WHERE EXISTS (SELECT 1 FROM iv WHERE contig = g.chromosome AND g.position BETWEEN s AND e))
+SELECT kind, variant_id, COUNT(*) AS n, SUM(dosage)::BIGINT AS dosage FROM n GROUP BY 1, 2""",
+)
+def pruned_calls(lens: Lens) -> DataFrame:
+    """Stored genotypes read by intervals: few as literal predicates, many by a join on the partition columns."""
+    at = F.col("position")
+    near = lens.annotation.filter("position % 70000 = 0").select(F.col("chromosome").alias("contig"), F.greatest(F.lit(1), at - 1000).alias("start"), (at + 1000).alias("end"))
+    spans = cut_lineage(near)
+    path = genotype_store.write_ranges(lens.genotype, intermediate_path(lens.spark, "genotypes"), bin_positions=1_000_000)
+    few = spans.orderBy("contig", "start").limit(9)
+    read = lambda asked, limit: genotype_store.read_intervals(lens.spark, path, asked, bin_positions=1_000_000, few=limit)
+    both = read(few, 64).withColumn("kind", F.lit("few")).unionByName(read(spans, 0).withColumn("kind", F.lit("many")))
+    return both.groupBy("kind", "variant_id").agg(F.count(F.lit(1)).alias("n"), F.sum("dosage").cast("long").alias("dosage"))
+
+
+@query(
+    "bucketed_genotypes",
+    """SELECT gene, COUNT(*) AS n, SUM(dosage)::BIGINT AS dosage, COUNT(DISTINCT person_id) AS people FROM genotype JOIN annotation USING (variant_id) GROUP BY 1""",
+)
+def bucketed(lens: Lens) -> DataFrame:
+    """Calls and annotation in buckets of the variant: their join moves neither."""
+    folder = intermediate_path(lens.spark, "buckets")
+    calls = genotype_store.write_bucketed(lens.genotype, "variant_id", 16, f"{folder}/calls")
+    sites = genotype_store.write_bucketed(lens.annotation.select("variant_id", "gene"), "variant_id", 16, f"{folder}/sites")
+    return calls.join(sites, "variant_id").groupBy("gene").agg(F.count(F.lit(1)).alias("n"), F.sum("dosage").cast("long").alias("dosage"), F.count_distinct("person_id").alias("people"))
+
+
 @query("site_intervals", "SELECT DISTINCT chromosome || ':' || GREATEST(1, position - 5) || '-' || (position + 5) AS interval FROM annotation")
 def sites(lens: Lens) -> DataFrame:
     return genotypes.site_intervals(lens.annotation.withColumnRenamed("chromosome", "contig"))

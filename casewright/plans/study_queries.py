@@ -13,7 +13,8 @@ from casewright.plans.genotype_queries import (
 )
 from casewright.plans.model_queries import MATCH_SQL
 from casewright.plans.registry import query
-from casewright.session import cut_lineage
+from casewright.session import cut_lineage, intermediate_path
+from casewright.sources import genotype_store
 from casewright.sources.lens import CLINVAR_TERMS, MATCHING, PLOF_TERMS, Lens
 
 
@@ -69,11 +70,12 @@ def panel_genes(lens: Lens) -> DataFrame:
     + "SELECT person_id, variant_id, gene, MAX(dosage) AS dosage FROM masked WHERE mask_primary AND gene IN ('Brand#13', 'Brand#25', 'Brand#42') GROUP BY ALL",
 )
 def candidate_genotypes(lens: Lens) -> DataFrame:
-    """Calls of the candidate variants: the calls are cut to the candidates' merged intervals before the exact join."""
+    """Calls of the candidate variants: of the stored calls only the files in the candidates' merged intervals are read."""
     wide = lens.annotation.withColumns({"vid": F.col("variant_id"), "contig": F.col("chromosome"), "ref_allele": F.lit("A"), "alt_allele": F.lit("C"), "gene_symbol": F.col("gene")})
     raw = wide.withColumns({"gnomad_max_af": F.col("max_af"), "clinvar_classification": F.col("clinvar_significance")})
     calls = called(lens).withColumnRenamed("chromosome", "contig")
-    found = drivers.candidate_genotypes(raw, calls, ["Brand#13", "Brand#25", "Brand#42"], CLINVAR_TERMS, PLOF_TERMS)
+    stored = genotype_store.write_ranges(calls, intermediate_path(lens.spark, "genotypes"), "contig")
+    found = drivers.candidate_genotypes(raw, stored, ["Brand#13", "Brand#25", "Brand#42"], CLINVAR_TERMS, PLOF_TERMS)
     return found.select("person_id", "variant_id", "gene", "dosage")
 
 

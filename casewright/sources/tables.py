@@ -219,9 +219,28 @@ def write_genotypes(df: DataFrame, path: str, partition: str = "chromosome") ->
     return df.sparkSession.read.parquet(path)
 
 
-def cached_by_parameters(spark: SparkSession, folder: str, parameters: object, build) -> DataFrame:
-    """Result cache keyed by the hash of its parameters: built and written once, read afterwards."""
-    path = f"{folder}/cache-{parameter_hash(parameters)}.parquet"
+def fingerprint(df: DataFrame) -> str:
+    """Names, sizes and times of the files that a frame reads, or its plan where it reads none.
+
+    Files are listed by Spark; only their counts and sums of hashes reach the driver.
+    """
+    files = df.inputFiles()
+    if not files:
+        return f"plan {df.semanticHash()}"
+    folders = sorted({f.rsplit("/", 1)[0] for f in files})
+    listed = df.sparkSession.read.format("binaryFile").load(folders).select("path", "length", F.col("modificationTime").cast("timestamp").alias("time"))
+    mark = F.xxhash64("path", "length", F.unix_micros("time")).cast("decimal(38,0)")
+    row = listed.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"), F.sum(mark).alias("sum"), F.bit_xor(F.xxhash64("path", "length", F.unix_micros("time"))).alias("xor")).first()
+    return f"files {row['n']} {row['bytes']} {row['sum']} {row['xor']}"
+
+
+def cached_by_parameters(spark: SparkSession, folder: str, parameters: object, build, inputs: Sequence[DataFrame] = ()) -> DataFrame:
+    """Result cache keyed by the hash of its parameters and of its inputs: built and written once, read afterwards.
+
+    A changed input file, or another one, makes another key.
+    """
+    key = [parameters, *(fingerprint(df) for df in inputs)] if inputs else parameters
+    path = f"{folder}/cache-{parameter_hash(key)}.parquet"
     try:
         return spark.read.parquet(path)
     except Exception as error:  # Spark reports a missing path as an analysis error
