@@ -145,13 +145,16 @@ def variant_means(calls: DataFrame, people: DataFrame) -> DataFrame:
     )
 
 
-def mean_imputed(calls: DataFrame, people: DataFrame, decimals: int | None = None) -> DataFrame:
-    """(variant_id, person_id, dosage): ``people``'s calls other than 0, missing ones as the variant's mean, rounded to ``decimals``."""
+def mean_imputed(calls: DataFrame, people: DataFrame, decimals: int | None = None, means_of: DataFrame | None = None) -> DataFrame:
+    """(variant_id, person_id, dosage): ``people``'s calls other than 0, missing ones as the variant's mean, rounded to ``decimals``.
+
+    The mean is that of ``means_of``, a part of the people, where it is given.
+    """
     held = calls.join(people.select("person_id").distinct(), "person_id", "left_semi").select("variant_id", "person_id", F.col("n_alt").cast("double").alias("_x"))
     mean = F.coalesce(F.col("mean_dosage"), F.lit(0.0))
     mean = mean if decimals is None else F.round(mean, decimals)
     known = held.filter("_x <> 0").select("variant_id", "person_id", F.col("_x").alias("dosage"))
-    missing = salted_lookup(held.filter("_x is null"), variant_means(calls, people), "variant_id", "person_id")
+    missing = salted_lookup(held.filter("_x is null"), variant_means(calls, people if means_of is None else means_of), "variant_id", "person_id")
     return known.unionByName(missing.select("variant_id", "person_id", mean.alias("dosage")).filter("dosage <> 0"))
 
 

@@ -134,11 +134,40 @@ def confusion(scored: DataFrame, threshold: float | Column, groups: Sequence[str
     )
 
 
-def model_metrics(scored: DataFrame, threshold: float, groups: Sequence[str] = ()) -> DataFrame:
-    """The full metric row: discrimination, probability errors and confusion at a threshold."""
+def model_metrics(scored: DataFrame, threshold: float | Column, groups: Sequence[str] = ()) -> DataFrame:
+    """The full metric row: discrimination, probability errors and confusion at a threshold, which may follow from the groups."""
     out = discrimination(scored, groups).withColumn("prevalence", F.col("cases") / F.col("n"))
     out = attach(out, probability_errors(scored, groups), groups)
-    return attach(out, confusion(scored, threshold, groups), groups).withColumn("threshold", F.lit(threshold))
+    return attach(out, confusion(scored, threshold, groups), groups).withColumn("threshold", threshold if isinstance(threshold, Column) else F.lit(threshold))
+
+
+def evaluation_rows(scored: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Per evaluation set: counts, discrimination, and each class's mean and sample sd of the score."""
+    out = discrimination(scored, groups).withColumn("prevalence", F.col("cases") / F.col("n"))
+    by = lambda y: F.when(F.col("y") == y, F.col("score"))
+    spread = _weighted(scored).groupBy(*groups).agg(
+        exact_mean(by(1)).alias("mean_score_case"), exact_mean(by(0)).alias("mean_score_control"),
+        F.stddev_samp(by(1)).alias("sd_score_case"), F.stddev_samp(by(0)).alias("sd_score_control"),
+    )
+    return attach(out, spread, groups)
+
+
+# The columns of a model comparison, in their order.
+COMPARED = ("n", "cases", "controls", "roc_auc", "average_precision", "brier_score", "log_loss", "sensitivity", "specificity", "ppv", "npv")
+
+
+def model_comparison(tables: dict[str, DataFrame], evaluation_set: str = "test") -> DataFrame:
+    """One row for each model: the metric row of its ``evaluation_set``, or its only row; what a model lacks is NULL."""
+    out = None
+    for name, table in tables.items():
+        chosen = table.filter(F.col("evaluation_set") == evaluation_set) if "evaluation_set" in table.columns else table
+        have = lambda c: F.col(c) if c in table.columns else F.lit(None)
+        kind = lambda c: "bigint" if c in COMPARED[:3] else "double"
+        row = chosen.select(F.lit(name).alias("model"), *[have(c).cast(kind(c)).alias(c) for c in COMPARED]).limit(1)
+        out = row if out is None else out.unionByName(row)
+    if out is None:
+        raise ValueError("no model to compare")
+    return out
 
 
 def curve_points(scored: DataFrame, curve: str, groups: Sequence[str] = ()) -> DataFrame:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
 from typing import Protocol
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -121,64 +122,117 @@ def _flagged(source: str) -> Column:
     return F.coalesce(lenient_double(source), F.lit(0.0)) >= 1
 
 
-def _scaled(train: DataFrame, wanted: Sequence[tuple[str, str, str]], least: int) -> list[Scaled]:
-    """Numbers with enough values and any spread. One pass for the medians, one for means and spreads after imputation."""
+def _by_key(key: str, values: dict) -> Column:
+    """The value of a row's key: a literal for each of a handful of keys."""
+    out = F.lit(None)
+    for k, v in values.items():
+        out = F.when(F.col(key) == k, v if isinstance(v, Column) else F.lit(v)).otherwise(out)
+    return out
+
+
+def _scaled(train: DataFrame, key: str, keys: Sequence, wanted: Sequence[tuple[str, str, str]], least: int) -> dict[object, list[Scaled]]:
+    """For each key, the numbers with enough values and any spread. One pass for all medians, one for means and spreads after imputation."""
     values = {name: _number(source, how == "log1p") for source, name, how in wanted}
     if not values:
-        return []
+        return {k: [] for k in keys}
     pairs = F.array(*[F.struct(F.lit(n).alias("feature"), v.alias("value")) for n, v in values.items()])
-    found = exact_quantiles(train.select(F.inline(pairs)), "value", {"middle": 0.5}, ["feature"])
-    middle = {r["feature"]: r["middle"] for r in found.collect()}
-    filled = {n: F.coalesce(v, F.lit(middle.get(n))) for n, v in values.items()}
+    found = exact_quantiles(train.select(key, F.inline(pairs)), "value", {"middle": 0.5}, [key, "feature"])
+    middle = {(r[key], r["feature"]): r["middle"] for r in found.collect()}
+    filled = {n: F.coalesce(v, _by_key(key, {k: middle.get((k, n)) for k in keys}).cast("double")) for n, v in values.items()}
     statistics = [F.struct(F.count(v).alias("n"), F.avg(filled[n]).alias("centre"), F.stddev_pop(filled[n]).alias("spread")).alias(n) for n, v in values.items()]
-    row = train.agg(*statistics).first()
+    rows = {r[key]: r for r in train.groupBy(key).agg(*statistics).collect()}
     usable = lambda r: r["n"] >= max(least, 1) and r["spread"] is not None and math.isfinite(r["spread"]) and r["spread"] > 0
-    return [
-        Scaled(name, source, how == "log1p", middle[name], row[name]["centre"], row[name]["spread"])
-        for source, name, how in wanted
-        if usable(row[name])
-    ]
+    return {
+        k: [
+            Scaled(name, source, how == "log1p", middle[k, name], rows[k][name]["centre"], rows[k][name]["spread"])
+            for source, name, how in wanted
+            if k in rows and usable(rows[k][name])
+        ]
+        for k in keys
+    }
 
 
-def _flags(train: DataFrame, wanted: Sequence[str]) -> list[Flag]:
-    """Flags that both hold and fail somewhere."""
+def _flags(train: DataFrame, key: str, keys: Sequence, wanted: Sequence[str]) -> dict[object, list[Flag]]:
+    """For each key, the flags that both hold and fail somewhere."""
     if not wanted:
-        return []
-    row = train.agg(*[F.struct(F.bool_or(_flagged(c)).alias("some"), F.bool_and(_flagged(c)).alias("all")).alias(c) for c in wanted]).first()
-    return [Flag(c) for c in wanted if row[c]["some"] and not row[c]["all"]]
+        return {k: [] for k in keys}
+    found = train.groupBy(key).agg(*[F.struct(F.bool_or(_flagged(c)).alias("some"), F.bool_and(_flagged(c)).alias("all")).alias(c) for c in wanted])
+    rows = {r[key]: r for r in found.collect()}
+    return {k: [Flag(c) for c in wanted if k in rows and rows[k][c]["some"] and not rows[k][c]["all"]] for k in keys}
+
+
+def _levels(train: DataFrame, key: str, keys: Sequence, source: str) -> dict[object, list[Level]]:
+    """For each key, a column for each level but the first. Raises above ``MOST_LEVELS`` levels, before they are gathered."""
+    found = train.select(key, normalised_category(source).alias("level")).distinct()
+    seen = {k: set() for k in keys}
+    for r in found.limit((MOST_LEVELS + 1) * len(seen)).collect():
+        seen[r[key]].add(r["level"])
+    out = {}
+    for k, levels in seen.items():
+        if len(levels) > MOST_LEVELS:
+            raise ValueError(f"{source} has more than {MOST_LEVELS} levels, too many for one-hot columns")
+        first = [v for v in CATEGORY_ORDER.get(source, ()) if v in levels]
+        ordered = [*first, *sorted(levels.difference(first))]
+        out[k] = [Level(source, v, ordered[0]) for v in ordered[1:]]
+    return out
 
 
-def _levels(train: DataFrame, source: str) -> list[Level]:
-    """A column for each level but the first. Raises above ``MOST_LEVELS`` levels, before they are gathered."""
-    found = train.select(normalised_category(source).alias("level")).distinct()
-    seen = {r["level"] for r in found.limit(MOST_LEVELS + 1).collect()}
-    if len(seen) > MOST_LEVELS:
-        raise ValueError(f"{source} has more than {MOST_LEVELS} levels, too many for one-hot columns")
-    first = [v for v in CATEGORY_ORDER.get(source, ()) if v in seen]
-    ordered = [*first, *sorted(seen.difference(first))]
-    return [Level(source, v, ordered[0]) for v in ordered[1:]]
+def fit_encoders(train: DataFrame, continuous: Sequence[tuple[str, str, str]], **wanted) -> tuple[Encoder, ...]:
+    """Encoders learned from train rows only; absent, under-observed and constant columns have none. See ``encoders_by``."""
+    return encoders_by(train.withColumn("_only", F.lit(0)), "_only", [0], continuous, **wanted)[0]
 
 
-def fit_encoders(
+def encoders_by(
     train: DataFrame,
+    key: str,
+    keys: Sequence,
     continuous: Sequence[tuple[str, str, str]],
     binary: Sequence[str] = (),
     categorical: Sequence[str] = ("model_sex_category", "model_ancestry_pred"),
     min_observed: int = 1,
-) -> tuple[Encoder, ...]:
-    """Encoders learned from train rows only; absent, under-observed and constant columns have none.
+) -> dict[object, tuple[Encoder, ...]]:
+    """Encoders for each of ``keys``, a handful, learned from its rows, in as many jobs as for one.
 
     ``continuous`` lists (source column, feature name, "identity" or "log1p"). What reaches the driver is one row of
-    statistics for each kind and the category levels.
+    statistics for each kind and key, and the category levels.
     """
     have = set(train.columns)
-    out: list[Encoder] = []
-    out += _scaled(train, [c for c in continuous if c[0] in have], min_observed)
-    out += _flags(train, [c for c in binary if c in have])
-    for c in categorical:
-        if c in have:
-            out += _levels(train, c)
-    return tuple(out)
+    parts = [_scaled(train, key, keys, [c for c in continuous if c[0] in have], min_observed), _flags(train, key, keys, [c for c in binary if c in have])]
+    parts += [_levels(train, key, keys, c) for c in categorical if c in have]
+    return {k: tuple(e for p in parts for e in p[k]) for k in keys}
+
+
+def ridge_fits(design: DataFrame, key: str, penalty: float, most_steps: int = 60, small: float = 1e-10) -> dict[object, tuple[float, np.ndarray]]:
+    """(intercept, betas) for each key of ``design (key, label, x array<double>)``: Σ log-loss + ½·penalty·‖β‖², intercept free.
+
+    Newton's method for all keys at once: a step is one scan, whose sums are made in the tasks and added up by key.
+    """
+    first = design.groupBy(key).agg(F.max(F.size("x")).alias("p")).collect()
+    beta = {r[key]: np.zeros(r["p"] + 1) for r in first}
+    open_ = set(beta)
+    kind = design.schema[key].dataType.simpleString()
+
+    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for k, rows in frame.groupby("key"):
+                x = np.column_stack([np.ones(len(rows)), np.vstack(rows["x"].to_numpy())])
+                p = 1.0 / (1.0 + np.exp(-np.clip(x @ beta[k], -40, 40)))
+                flat = np.concatenate([x.T @ (rows["label"].to_numpy(float) - p), (x.T @ (x * (p * (1 - p))[:, None])).ravel()])
+                yield pd.DataFrame({"key": k, "place": np.arange(len(flat)), "value": flat})
+
+    for _ in range(most_steps):
+        rows = design.filter(F.col(key).isin(*open_)).select(F.col(key).alias("key"), "label", "x")
+        added = rows.mapInPandas(sums, f"key {kind}, place int, value double").groupBy("key", "place").agg(F.sum("value").alias("value"))
+        for k, flat in added.toPandas().sort_values("place").groupby("key")["value"]:  # (p + 1) * (p + 2) numbers a key
+            flat, n = flat.to_numpy(), len(beta[k])
+            pull = np.array([0.0, *[penalty] * (n - 1)])
+            step = np.linalg.solve(flat[n:].reshape(n, n) + np.diag(pull), flat[:n] - pull * beta[k])
+            beta[k] = beta[k] + step
+            if np.abs(step).max() < small:
+                open_.discard(k)
+        if not open_:
+            return {k: (float(b[0]), b[1:]) for k, b in beta.items()}
+    raise ValueError(f"no convergence for {sorted(open_)}")
 
 
 def fit_logistic(train: DataFrame, encoders: Sequence[Encoder], outcome: str, penalty: float = 1.0) -> LogisticModel:
@@ -222,22 +276,34 @@ def top_coefficients(coefficients: DataFrame, n: int = 20) -> DataFrame:
 
 
 def cv_metrics(train: DataFrame, outcome: str, features: dict, penalty: float = 1.0, fold: str = "cv_fold") -> DataFrame | None:
-    """Metrics of each held-out fold; folds lacking a class on either side are skipped. At most a handful of folds."""
+    """Metrics of each held-out fold; folds lacking a class on either side are skipped.
+
+    All folds are done at once, each row standing in every fit but its own fold's: encoders, Newton's steps, thresholds
+    and metrics take as many jobs as for one fold. At most a handful of folds.
+    """
     counts = train.filter(F.col(fold).isNotNull()).groupBy(fold, F.col(outcome).cast("int").alias("y")).count().collect()
     folds = sorted({r[fold] for r in counts})
     cell = {(r[fold], r["y"]): r["count"] for r in counts}
-    out = None
-    for k in folds:
-        held = all(cell.get((k, y), 0) for y in (0, 1))
-        rest = all(sum(cell.get((j, y), 0) for j in folds if j != k) for y in (0, 1))
-        if not (held and rest):
-            continue
-        model = fit_model(train.filter(F.col(fold) != k), outcome, features, penalty)
-        row = model_metrics(scored_frame(train.filter(F.col(fold) == k), model, outcome), model.threshold).withColumn(
-            "fold", F.lit(k)
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    held = lambda k: all(cell.get((k, y), 0) for y in (0, 1))
+    rest = lambda k: all(sum(cell.get((j, y), 0) for j in folds if j != k) for y in (0, 1))
+    usable = [k for k in folds if held(k) and rest(k)]
+    if not usable:
+        return None
+    known = train.filter(F.col(fold).isNotNull())
+    fitted_on = cut_lineage(known.withColumn("_held", F.explode(F.array(*map(F.lit, usable)))).filter(F.col(fold) != F.col("_held")))
+    encoders = encoders_by(fitted_on, "_held", usable, **features)
+    if not all(encoders.values()):
+        raise ValueError("no usable model features")
+    vector = _by_key("_held", {k: F.array(*[e.column() for e in found]) for k, found in encoders.items()})
+    design = cut_lineage(fitted_on.select("_held", F.col(outcome).cast("double").alias("label"), vector.alias("x")))
+    fits = ridge_fits(design, "_held", penalty)
+    models = {k: LogisticModel(encoders[k], fits[k][0], tuple(map(float, fits[k][1])), 0.5, penalty) for k in usable}
+    score = lambda key: _by_key(key, {k: m.probability() for k, m in models.items()}).cast("double").alias("score")
+    y = F.col(outcome).cast("int").alias("y")
+    best = youden_threshold(fitted_on.select("_held", "person_id", y, score("_held")), ["_held"])
+    cuts = {r["_held"]: float(r["threshold"]) for r in best.collect()}
+    scored = known.filter(F.col(fold).isin(*usable)).select(F.col(fold).alias("fold"), "person_id", y, score(fold))
+    return model_metrics(scored, _by_key("fold", cuts).cast("double"), ["fold"])
 
 
 def run_model(
@@ -291,14 +357,14 @@ def sparse_genotype_model(
     """Elastic-net logistic model on sparse genotypes with unpenalised covariates.
 
     Calls are sparse: an absent row is dosage 0, a NULL ``n_alt`` is missing and takes the variant's mean over the
-    people who have a call, rounded to two decimals. MLlib cannot leave single features out of the penalty, so the
+    train people who have a call, rounded to two decimals; the caller's variants should be judged on train people too. MLlib cannot leave single features out of the penalty, so the
     covariates are fitted first without one and enter as a linear predictor scaled by ``BOOST``: its penalty is
     smaller by that factor, and its weight may shrink by less than 1 % (tests hold it to that). (α, λ) is chosen by
     mean AUC over the folds. A person's row is as wide as the calls other than 0 that the person has.
     """
     usable = cut_lineage(people.dropna(subset=list(covariates)))
     held = calls.join(usable.select("person_id").distinct(), "person_id", "left_semi")
-    dosages = cut_lineage(mean_imputed(held, usable, decimals=2))
+    dosages = cut_lineage(mean_imputed(held, usable, decimals=2, means_of=usable.filter("analysis_split = 'train'")))
     variants = cut_lineage(global_rank(dosages.select("variant_id").distinct(), [F.col("variant_id")], "_v"))
     n_variants = variants.count()
     train = usable.filter("analysis_split = 'train'")

@@ -1050,8 +1050,48 @@ def clinical_score_model(lens: Lens) -> DataFrame:
 
 @query("sparse_genotype_model")
 def sparse_model(lens: Lens) -> DataFrame:
+    """Variants are judged, and missing calls imputed, on train people alone."""
     rows = cut_lineage(clinical_input(lens))
-    panel = flagged(lens, rows.withColumnRenamed("analysis_case", "outcome")).filter("biallelic and qc_pass").select("variant_id")
+    train = rows.filter("analysis_split = 'train'").withColumnRenamed("analysis_case", "outcome")
+    panel = flagged(lens, train).filter("biallelic and qc_pass").select("variant_id")
     calls = called(lens).join(panel, "variant_id", "left_semi")
     predicted, _, _ = models.sparse_genotype_model(calls, rows, ["pc1", "pc2"], [0.1, 0.5, 0.9], [0.01, 0.1])
-    return metrics.discrimination(predicted, ["analysis_split"])
+    return metrics.evaluation_rows(predicted.withColumnRenamed("analysis_split", "evaluation_set"), ["evaluation_set"])
+
+
+EVALUATED_SQL = CLINICAL_SQL + ", ev AS (SELECT person_id, analysis_split, y, CAST(observation_days AS DOUBLE) AS score FROM cl)\n"
+
+
+@query(
+    "evaluation_set_metrics",
+    EVALUATED_SQL + _auc_sql("ev", "analysis_split")
+    + """, ms AS (SELECT analysis_split AS grp, AVG(score) FILTER (WHERE y = 1) AS mc, AVG(score) FILTER (WHERE y = 0) AS mk, stddev_samp(score) FILTER (WHERE y = 1) AS sc,
+  stddev_samp(score) FILTER (WHERE y = 0) AS sk FROM ev GROUP BY 1)
+SELECT grp AS evaluation_set, n, cases, controls, ROUND(cases / n::DOUBLE, 5) AS prevalence, ROUND(roc_auc, 5) AS roc_auc, ROUND(average_precision, 5) AS average_precision,
+  ROUND(mc, 5) AS mean_score_case, ROUND(mk, 5) AS mean_score_control, ROUND(sc, 5) AS sd_score_case, ROUND(sk, 5) AS sd_score_control FROM dis JOIN ms USING (grp)""",
+    decimals=5,
+)
+def evaluation_sets(lens: Lens) -> DataFrame:
+    rows = clinical_input(lens).select("person_id", F.col("analysis_split").alias("evaluation_set"), F.col("analysis_case").cast("int").alias("y"), F.col("observation_days").cast("double").alias("score"))
+    return metrics.evaluation_rows(rows, ["evaluation_set"])
+
+
+_COMPARED = "n, cases, controls, roc_auc, average_precision, brier_score, log_loss, sensitivity, specificity, ppv, npv"
+
+
+@query(
+    "model_comparison",
+    CLINICAL_SQL + _FULL + metrics_sql("mm", "m_p", "analysis_split", "(SELECT cut FROM m_t)")
+    + ", sy AS (SELECT person_id, y, CAST(observation_days AS DOUBLE) AS score FROM cl WHERE analysis_split = 'test')"
+    + _auc_sql("sy", "1").replace("PARTITION BY 1 ", "")
+    + f""", cm AS (SELECT grp, {METRIC_ROW} FROM mm)
+SELECT 'Clinical only' AS model, {_COMPARED} FROM cm WHERE grp = 'test'
+UNION ALL SELECT 'Score only', n, cases, controls, ROUND(roc_auc, 4), ROUND(average_precision, 4), NULL, NULL, NULL, NULL, NULL, NULL FROM dis""",
+    decimals=4,
+)
+def compared_models(lens: Lens) -> DataFrame:
+    """The clinical model's test row beside a score's, which has no probabilities."""
+    rows = cut_lineage(clinical_input(lens))
+    clinical = models.run_model(rows, "analysis_case", CLINICAL)["metrics"]
+    score = rows.filter("analysis_split = 'test'").select("person_id", F.col("analysis_case").cast("int").alias("y"), F.col("observation_days").cast("double").alias("score"))
+    return metrics.model_comparison({"Clinical only": clinical, "Score only": metrics.discrimination(score)})
