@@ -6,13 +6,16 @@ integer ``weight`` (copies of the row, used by the bootstrap). Ties are ordered
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casewright.functions.distributions import fisher_p, two_sided_p
 from casewright.operators.ranking import exact_quantiles, global_rank, global_scan
-from casewright.session import cut_lineage, cut_union
+from casewright.session import BROADCAST_LIMIT_BYTES, cut_lineage, cut_union, parallelism
 
 
 def exact_mean(value: Column) -> Column:
@@ -371,29 +374,107 @@ def recalibrated(scored: DataFrame, fit: DataFrame) -> DataFrame:
     )
 
 
-def bootstrap_intervals(scored: DataFrame, iterations: int = 500, seed: int = 20240101) -> DataFrame:
+# The multipliers and shifts of the splitmix64 mixer, by which draws are told apart.
+MIX_STEP, MIX_FACTORS, MIX_SHIFTS = 0x9E3779B97F4A7C15, (0xBF58476D1CE4E5B9, 0x94D049BB133111EB), (30, 27, 31)
+#: Bytes of a cell in a task, and draws that it makes at once.
+CELL_BYTES, DRAWS = 64, 1 << 20
+
+
+def _draws(first: int, count: int, seed: int, n: int) -> np.ndarray:
+    """Places below ``n`` of the draws ``first`` to ``first + count``: a mix of the draw's number."""
+    with np.errstate(over="ignore"):
+        x = (np.arange(first, first + count, dtype=np.uint64) + np.uint64(seed)) * np.uint64(MIX_STEP)
+        x = (x ^ (x >> np.uint64(MIX_SHIFTS[0]))) * np.uint64(MIX_FACTORS[0])
+        x = (x ^ (x >> np.uint64(MIX_SHIFTS[1]))) * np.uint64(MIX_FACTORS[1])
+        x ^= x >> np.uint64(MIX_SHIFTS[2])
+    return (x % np.uint64(n)).astype(np.int64)
+
+
+def _harmonic(upto: np.ndarray) -> np.ndarray:
+    """Sums of 1/k to ``upto``: a table, and the asymptotic series beyond it."""
+    table = np.concatenate([[0.0], np.cumsum(1.0 / np.arange(1, 1001))])
+    x = np.maximum(upto, 1000).astype(float)
+    far = np.log(x) + np.euler_gamma + 1 / (2 * x) - 1 / (12 * x**2) + 1 / (120 * x**4)
+    return np.where(upto <= 1000, table[np.minimum(upto, 1000)], far)
+
+
+class Cells:
+    """Distinct (score, y) in order of falling score, ties by the cell's first person: all that a resample's metrics need."""
+
+    def __init__(self, score: np.ndarray, y: np.ndarray, n: np.ndarray):
+        self.score, self.y, self.bounds = score, y.astype(bool), np.cumsum(n)
+        self.blocks = np.flatnonzero(np.diff(score, prepend=np.inf) != 0)
+
+    def resample(self, iteration: int, seed: int) -> np.ndarray:
+        """How many of the draws fell into each cell."""
+        total = int(self.bounds[-1])
+        counts = np.zeros(len(self.bounds), dtype=np.int64)
+        for at in range(0, total, DRAWS):
+            places = _draws(iteration * total + at, min(DRAWS, total - at), seed, total)
+            counts += np.bincount(np.searchsorted(self.bounds, places, side="right"), minlength=len(counts))
+        return counts
+
+    def metrics(self, w: np.ndarray) -> tuple[float | None, float | None, float | None]:
+        """AUC, average precision and odds ratio per SD of the cells with weights ``w``; NULLs without both classes."""
+        pos, neg = np.where(self.y, w, 0), np.where(self.y, 0, w)
+        cases, controls = int(pos.sum()), int(neg.sum())
+        if not cases or not controls:
+            return None, None, None
+        by_score = lambda v: np.add.reduceat(v, self.blocks)
+        p, q = by_score(pos), by_score(neg)
+        area = (p * (controls - np.cumsum(q) + q / 2.0)).sum() / (cases * controls)
+        tp, fp = np.cumsum(pos), np.cumsum(neg)
+        # the j-th copy of a cell has precision (tp - w + j) / (tp + fp - w + j)
+        hits = w - fp * (_harmonic(tp + fp) - _harmonic(tp + fp - w))
+        return float(area), float(np.where(self.y, hits, 0.0).sum() / cases), self._odds_ratio(w)
+
+    def _odds_ratio(self, w: np.ndarray, most: int = 25, small: float = 1e-8) -> float | None:
+        held = w > 0
+        w, y, x = w[held].astype(float), self.y[held].astype(float), self.score[held]
+        n = w.sum()
+        x = x - (w * x).sum() / n
+        sd = math.sqrt((w * x * x).sum() / n)
+        if n <= 2 or not sd > 0:
+            return None
+        x = x / sd
+        b = np.zeros(2)
+        for _ in range(most):
+            p = 1.0 / (1.0 + np.exp(-np.clip(b[0] + b[1] * x, -40, 40)))
+            r, v = w * (y - p), w * p * (1 - p)
+            g0, g1, h00, h01, h11 = r.sum(), (r * x).sum(), v.sum(), (v * x).sum(), (v * x * x).sum()
+            det = h00 * h11 - h01 * h01
+            if not det > 1e-10 * h00 * h11:
+                return None
+            step = np.array([h11 * g0 - h01 * g1, h00 * g1 - h01 * g0]) / det
+            b = b + step
+            if np.abs(step).max() < small:
+                return float(np.exp(b[1]))
+        return None
+
+
+METRICS = ("roc_auc", "average_precision", "or_per_score_sd")
+
+
+def bootstrap_intervals(scored: DataFrame, iterations: int = 500, seed: int = 20240101, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Percentile intervals of AUC, average precision and OR per SD.
 
-    Every iteration draws n rows with replacement; draws are hashes of (seed, iteration, draw), so a
-    recomputed task draws the same rows. Single-class resamples drop out.
+    Every iteration draws n rows with replacement; a draw is a mix of (seed, iteration, draw), so a recomputed task
+    draws the same rows. Single-class resamples drop out. Rows equal in score and outcome are one cell, and a tie of
+    scores stands in the order of the cells' first people. A task counts an iteration's draws by cell and has its
+    metrics from the cells in their one order, so an iteration is one row. Cells beyond ``limit`` bytes are dealt over
+    tasks instead: rows are cells x iterations, and the grouped operators take over.
     """
-    base = _weighted(scored).drop("weight")
-    indexed = cut_lineage(global_rank(base.select("person_id", "y", "score"), [F.col("person_id")], "_i"))
-    n = indexed.count()
-    draws = indexed.sparkSession.range(iterations * n).select(
-        F.floor(F.col("id") / n).cast("int").alias("iteration"),
-        # 52 bits of a digest that every engine has
-        (F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(seed), F.col("id"))), 1, 13), 16, 10).cast("long") % n + 1).alias("_i"),
-    )
-    weights = draws.groupBy("iteration", "_i").agg(F.count(F.lit(1)).alias("weight"))
-    resampled = cut_lineage(weights.join(indexed, "_i").drop("_i"))
-    per = discrimination(resampled, ["iteration"]).filter((F.col("cases") > 0) & (F.col("controls") > 0))
-    per = _left_attach(per, effect_per_sd(resampled, ["iteration"]), ["iteration"])
-    names = {"roc_auc": "roc_auc", "average_precision": "average_precision", "or_per_score_sd": "or_per_score_sd"}
-    long = per.select(
-        "iteration",
-        F.inline(F.array(*[F.struct(F.lit(k).alias("metric"), F.col(v).alias("value")) for k, v in names.items()])),
-    ).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    base = cut_lineage(_weighted(scored).drop("weight"))
+    cells = cut_lineage(base.groupBy("score", "y").agg(F.count(F.lit(1)).alias("n"), F.min("person_id").alias("person_id")))
+    size = cells.agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("n")).first()
+    if not size["cells"]:
+        long = base.sparkSession.createDataFrame([], "iteration int, metric string, value double")
+    elif size["cells"] * CELL_BYTES <= limit:
+        per = _resampled_here(cells, iterations, seed)
+        long = per.select("iteration", F.inline(F.array(*[F.struct(F.lit(k).alias("metric"), F.col(k).alias("value")) for k in METRICS])))
+    else:
+        long = _resampled_apart(cells, int(size["n"]), iterations, seed)
+    long = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
     # one value per iteration, so an exact percentile aggregate is small
     ci = long.groupBy("metric").agg(
         F.percentile("value", F.lit(0.025)).alias("ci_low"),
@@ -402,6 +483,46 @@ def bootstrap_intervals(scored: DataFrame, iterations: int = 500, seed: int = 20
     )
     point = score_metrics(base)
     points = point.select(
-        F.inline(F.array(*[F.struct(F.lit(k).alias("metric"), F.col(v).alias("point_estimate")) for k, v in names.items()]))
+        F.inline(F.array(*[F.struct(F.lit(k).alias("metric"), F.col(k).alias("point_estimate")) for k in METRICS]))
     )
     return points.join(ci, "metric", "left").withColumn("iterations_requested", F.lit(iterations))
+
+
+def _resampled_here(cells: DataFrame, iterations: int, seed: int) -> DataFrame:
+    """(iteration, metrics): one row for each iteration, from cells whose size was checked."""
+    spark = cells.sparkSession
+    frame = cells.orderBy(F.col("score").desc(), "person_id").toPandas()
+    shared = spark.sparkContext.broadcast(Cells(frame["score"].to_numpy(float), frame["y"].to_numpy(), frame["n"].to_numpy()))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = [(i, *shared.value.metrics(shared.value.resample(int(i), seed))) for i in frame["id"]]
+            yield pd.DataFrame(rows, columns=["iteration", *METRICS]).astype({m: float for m in METRICS})
+
+    tasks = min(iterations, parallelism(spark))
+    return spark.range(0, iterations, 1, tasks).mapInPandas(run, "iteration int, " + ", ".join(f"{m} double" for m in METRICS))
+
+
+def _resampled_apart(cells: DataFrame, n: int, iterations: int, seed: int) -> DataFrame:
+    """(iteration, metric, value), from counts by (iteration, cell) that are summed over the tasks of a chunk of draws."""
+    spark = cells.sparkSession
+    placed = global_scan(cells, [F.col("score").desc(), F.col("person_id")], {"upto": (F.col("n"), "sum")})
+    placed = cut_lineage(placed.select("score", "y", "person_id", (F.col("upto") - F.col("n")).alias("since"), "upto"))
+    chunks = -(-n // DRAWS)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for job in frame["id"]:
+                iteration, at = int(job) // chunks, int(job) % chunks * DRAWS
+                place, times = np.unique(_draws(iteration * n + at, min(DRAWS, n - at), seed, n), return_counts=True)
+                yield pd.DataFrame({"iteration": iteration, "place": place, "times": times}).astype({"iteration": "int32"})
+
+    drawn = spark.range(0, iterations * chunks).repartition(parallelism(spark)).mapInPandas(run, "iteration int, place bigint, times bigint")
+    # places and cells meet in ranges of places
+    width = max(1, n // (64 * parallelism(spark)))
+    bins = placed.withColumn("bin", F.explode(F.sequence(F.floor(F.col("since") / width), F.floor((F.col("upto") - 1) / width))))
+    met = drawn.withColumn("bin", F.floor(F.col("place") / width)).join(bins, "bin").filter((F.col("place") >= F.col("since")) & (F.col("place") < F.col("upto")))
+    resampled = cut_lineage(met.groupBy("iteration", "score", "y", "person_id").agg(F.sum("times").alias("weight")))
+    per = discrimination(resampled, ["iteration"]).filter((F.col("cases") > 0) & (F.col("controls") > 0))
+    per = _left_attach(per, effect_per_sd(resampled, ["iteration"]), ["iteration"])
+    return per.select("iteration", F.inline(F.array(*[F.struct(F.lit(k).alias("metric"), F.col(k).alias("value")) for k in METRICS])))

@@ -841,9 +841,14 @@ def recalibrated(lens: Lens) -> DataFrame:
 @query(
     "bootstrap_intervals",
     RISK_SQL
-    + """, bi AS (SELECT *, ROW_NUMBER() OVER (ORDER BY person_id) AS i, COUNT(*) OVER () AS n FROM risk), bn AS (SELECT MAX(n) AS n FROM bi),
-bd AS (SELECT id // n AS iteration, CAST('0x' || substr(md5('20240101-' || id), 1, 13) AS BIGINT) % n + 1 AS i FROM (SELECT UNNEST(range(500 * n)) AS id, n FROM bn)),
-bs AS (SELECT iteration, person_id, y, score FROM bd JOIN bi USING (i))
+    # rows in the order of their cells; a draw's place is the mix of its number
+    + """, bc AS (SELECT *, MIN(person_id) OVER (PARTITION BY score, y) AS first FROM risk),
+bi AS (SELECT score, y, first, ROW_NUMBER() OVER (ORDER BY score DESC, first, person_id) - 1 AS i, COUNT(*) OVER () AS n FROM bc), bn AS (SELECT MAX(n) AS n FROM bi),
+bx AS (SELECT id, n, ((id + 20240101)::UHUGEINT * 11400714819323198485::UHUGEINT) % 18446744073709551616::UHUGEINT AS x FROM (SELECT UNNEST(range(500 * n)) AS id, n FROM bn)),
+by1 AS (SELECT id, n, (xor(x::UBIGINT, x::UBIGINT >> 30)::UHUGEINT * 13787848793156543929::UHUGEINT) % 18446744073709551616::UHUGEINT AS x FROM bx),
+by2 AS (SELECT id, n, ((xor(x::UBIGINT, x::UBIGINT >> 27))::UHUGEINT * 10723151780598845931::UHUGEINT) % 18446744073709551616::UHUGEINT AS x FROM by1),
+bd AS (SELECT id // n AS iteration, (xor(x::UBIGINT, x::UBIGINT >> 31) % n::UBIGINT)::BIGINT AS i FROM by2),
+bs AS (SELECT iteration, first AS person_id, y, score FROM bd JOIN bi USING (i))
 """
     + _auc_sql("bs", "iteration")
     + _per_sd_sql("bs", ["iteration"])

@@ -177,3 +177,42 @@ def test_parameter_helpers():
     with pytest.raises(ValueError):
         S.autosomes(["X"])
     assert S.parameter_hash({"b": 1, "a": 2}) == S.parameter_hash({"a": 2, "b": 1})
+
+
+def test_bootstrap_by_cells_equals_one_by_copies(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows = [(f"p{i:03}", int(rng.random() < 0.4), float(rng.integers(0, 6))) for i in range(90)]
+    df = spark.createDataFrame(rows, "person_id string, y int, score double")
+    near = {r["metric"]: r for r in metrics.bootstrap_intervals(df, iterations=12, seed=5).collect()}
+    far = {r["metric"]: r for r in metrics.bootstrap_intervals(df, iterations=12, seed=5, limit=0).collect()}
+    # copies of rows, drawn and ranked one by one
+    first = {}
+    for p, y, s in sorted(rows):
+        first.setdefault((s, y), p)
+    ordered = sorted(rows, key=lambda r: (-r[2], first[r[2], r[1]], r[0]))
+    values = {"roc_auc": [], "average_precision": []}
+    for i in range(12):
+        drawn = [ordered[k] for k in metrics._draws(i * 90, 90, 5, 90)]
+        drawn.sort(key=lambda r: (-r[2], first[r[2], r[1]]))
+        y, s = np.array([r[1] for r in drawn]), np.array([r[2] for r in drawn])
+        one, none = s[y == 1], s[y == 0]
+        values["roc_auc"].append(np.mean((one[:, None] > none[None, :]) + 0.5 * (one[:, None] == none[None, :])))
+        values["average_precision"].append((np.cumsum(y) / np.arange(1, 91))[y == 1].mean())
+    for name in ("roc_auc", "average_precision", "or_per_score_sd"):
+        assert near[name]["iterations_used"] == far[name]["iterations_used"] == 12
+        for end, q in (("ci_low", 0.025), ("ci_high", 0.975)):
+            assert near[name][end] == pytest.approx(far[name][end], abs=1e-7)
+            if name in values:
+                assert near[name][end] == pytest.approx(np.quantile(values[name], q), abs=1e-9)
+
+
+def test_harmonic_sums():
+    import numpy as np
+
+    exact = np.cumsum(1.0 / np.arange(1, 200001))
+    at = np.array([1, 2, 999, 1000, 1001, 5000, 200000])
+    assert np.allclose(metrics._harmonic(at), exact[at - 1], rtol=1e-14) and metrics._harmonic(np.array([0]))[0] == 0
+    cells = metrics.Cells(np.array([3.0, 2.0, 2.0]), np.array([1, 0, 1]), np.array([2, 1, 1]))
+    assert cells.metrics(np.array([0, 5, 0])) == (None, None, None)
