@@ -6,14 +6,15 @@ of the sum with a heap, until the cells seen hold ``share`` of all entries and m
 reranked with the inner product of the original vectors, in double precision.
 
 Centroids are fit on ``FIT_ROWS`` vectors in expectation, taken by a hash of the id; every vector is indexed.
-Cells are gathered into units of about ``UNIT`` vectors, a cell larger than that is spread over several, and queries
-into blocks of about ``BLOCK``, so a task holds one unit and one block whatever a cell or the query set holds. Only
-cell sizes, at most ``codes``² numbers, reach the driver.
+Cells are gathered into units of about ``UNIT`` vectors, and a cell larger than that is spread over several. A vector is
+sent once, to its unit; a query is sent to the units that it visits, and streams past the unit's vectors in blocks of
+``BLOCK``, so a task holds one unit and one block whatever a cell or the query set holds. Only cell sizes, at most
+``codes``² numbers, reach the driver.
 
 Defined results: vectors that are null, empty, zero or hold a null or non-finite component, and rows with a null id,
-take no part, and neither do vectors of another than the most frequent length (the greater of equals); rows of the
-query's own id are no candidates; a repeated query id is one query, by its first vector in order; repeated rows of
-another id are candidates each; ties go to the smaller id; fewer candidates than ``k`` give all that there are; an
+take no part, and neither do vectors of another than the most frequent length (the greater of equals), which have no inner
+product with the others; rows of one id are rows like any other: each is a query of its own, and a candidate of the
+other's; ties go to the smaller id; fewer candidates than ``k`` give all that there are; an
 empty table gives an empty result; other columns are not read.
 """
 
@@ -109,9 +110,10 @@ def search(vectors: DataFrame, every: int, k: int, vec_id: str = "vec_id", embed
         for batch in batches:
             x = np.array(batch["v"].tolist()).reshape(len(batch), size)
             cell = nearest(x[:, :half], one) * len(two) + nearest(x[:, half:], two)
-            yield pd.DataFrame({"id": batch["id"], "v": batch["v"], "cell": cell.astype("i8")})
+            yield pd.DataFrame({"row": batch["row"], "id": batch["id"], "v": batch["v"], "cell": cell.astype("i8")})
 
-    index = cut_lineage(good.mapInPandas(encode, "id bigint, v array<double>, cell bigint"))
+    numbered = good.withColumn("row", F.monotonically_increasing_id())  # settled by being written
+    index = cut_lineage(numbered.select("row", "id", "v").mapInPandas(encode, "row bigint, id bigint, v array<double>, cell bigint"))
     sizes = np.zeros(len(one) * len(two), dtype=np.int64)
     for r in index.groupBy("cell").count().collect():
         sizes[r["cell"]] = r["count"]
@@ -120,40 +122,50 @@ def search(vectors: DataFrame, every: int, k: int, vec_id: str = "vec_id", embed
     enough = max(int(np.ceil(share * total)), k + 1)
 
     def probe():
-        def each(key, v):
+        def each(row, key, v):
             q = np.array(v)
             cells = walk(one @ q[:half], two @ q[half:], sizes, enough)
             units: dict[int, list[int]] = {}
             for c in cells:
                 for u in range(unit_of[c], unit_of[c] + spread[c]):
                     units.setdefault(u, []).append(c)
-            return [(key, v, u, cs) for u, cs in units.items()]
+            return [(row, key, v, u, cs) for u, cs in units.items()]
 
         return each
 
-    asked = index.where(F.pmod("id", F.lit(every)) == 0).groupBy("id").agg(F.min("v").alias("v"))
-    blocks = max(1, -(-asked.count() // BLOCK))
-    asked = by_rows(asked, probe, "query_id bigint, q array<double>, unit bigint, cells array<bigint>").withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+    asked = index.where(F.pmod("id", F.lit(every)) == 0).select("row", "id", "v")
+    asked = cut_lineage(by_rows(asked, probe, "row bigint, id bigint, v array<double>, unit bigint, cells array<bigint>"))
     begin, width = F.array(*(F.lit(int(u)) for u in unit_of)), F.array(*(F.lit(int(s)) for s in spread))
     cell = F.col("cell").cast("int") + 1
-    entries = index.withColumn("unit", (F.element_at(begin, cell) + F.pmod(F.xxhash64("id", "v"), F.element_at(width, cell))).cast("bigint"))
-    entries = entries.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-
-    def rerank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
-        if len(left) and len(right):
-            ids, cells, x = left["id"].to_numpy(), left["cell"].to_numpy(), np.array(left["v"].tolist())
-            q = np.array(right["q"].tolist())
-            scores = q @ x.T
-            for i, (key, own, least) in enumerate(zip(right["query_id"], right["cells"], right["least"])):
-                near = _best(ids, x, q[i], scores[i], np.isin(cells, own) & (ids != key), k, least)
-                out.extend((key, *pair) for pair in zip(*near))
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+    entries = cut_lineage(index.withColumn("unit", (F.element_at(begin, cell) + F.pmod(F.xxhash64("id", "v"), F.element_at(width, cell))).cast("bigint")))
+    nothing = lambda kind: F.lit(None).cast(kind)
+
+    def rerank(frames):
+        unit, ids, rows, cells, x, parts = None, None, None, None, None, []
+        for frame in frames:
+            for now, group in frame.groupby("unit", sort=False):
+                if now != unit:
+                    unit, parts, x = now, [], None
+                stored, queries = group[group["kind"] == 0], group[group["kind"] == 1]
+                if len(stored):
+                    parts.append(stored)
+                if not len(queries) or not parts:
+                    continue
+                if x is None:  # all of the unit's vectors have come
+                    whole = pd.concat(parts)
+                    ids, rows, cells, x = whole["id"].to_numpy(), whole["row"].to_numpy(), whole["cell"].to_numpy(), np.array(whole["v"].tolist())
+                for at in range(0, len(queries), BLOCK):
+                    block, out = queries.iloc[at : at + BLOCK], []
+                    q = np.array(block["v"].tolist())
+                    scores = q @ x.T
+                    for i, (row, key, own, least) in enumerate(zip(block["row"], block["id"], block["cells"], block["least"])):
+                        near = _best(ids, x, q[i], scores[i], np.isin(cells, own) & (rows != row), k, least)
+                        out.extend((row, key, *pair) for pair in zip(*near))
+                    yield pd.DataFrame(out, columns=["row", "query_id", "vec_id", "score"])
 
     # Units go in rounds, one first and then four times as many as before. Each round begins with the k-th best scores
     # of the ones before, so few entries leave a unit for nothing, however many units there are.
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    asked, entries = cut_lineage(asked), cut_lineage(entries)
+    order = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
     near, done, upto = None, 0, 1
     while done < units:
         here = (F.col("unit") >= done) & (F.col("unit") < upto)
@@ -161,11 +173,15 @@ def search(vectors: DataFrame, every: int, k: int, vec_id: str = "vec_id", embed
         if near is None:
             now = now.withColumn("least", F.lit(-float("inf")))
         else:
-            least = near.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(-float("inf")).alias("least"))
-            now = now.join(least, "query_id", "left").na.fill(-float("inf"), ["least"])
-        found = entries.where(here).groupBy("unit", "block").cogroup(now.groupBy("unit", "block")).applyInPandas(rerank, "query_id bigint, vec_id bigint, score double")
+            least = near.groupBy("row").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(-float("inf")).alias("least"))
+            now = now.join(least, "row", "left").na.fill(-float("inf"), ["least"])
+        held = entries.where(here).select("unit", F.lit(0).alias("kind"), "row", "id", "v", "cell", nothing("array<bigint>").alias("cells"), nothing("double").alias("least"))
+        sent = now.select("unit", F.lit(1).alias("kind"), "row", "id", "v", nothing("bigint").alias("cell"), "cells", "least")
+        tasks = min(upto - done, units - done)
+        met = held.unionByName(sent).repartitionById(tasks, (F.col("unit") - done).cast("int")).sortWithinPartitions("unit", "kind")
+        found = met.mapInPandas(rerank, "row bigint, query_id bigint, vec_id bigint, score double")
         near = found if near is None else near.unionByName(found)
-        near = cut_lineage(near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "vec_id", "score"))
+        near = cut_lineage(near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("row", "query_id", "vec_id", "score"))
         done, upto = upto, 4 * upto
     return near.withColumn("rank", F.row_number().over(order)).select("query_id", "rank", "vec_id", "score")
 

@@ -54,6 +54,20 @@ def test_few_or_no_vectors(spark):
     assert [r["rank"] for r in sorted(few, key=lambda r: r["rank"])] == [1, 2]
 
 
+def test_rows_of_one_id_are_rows_like_any_other(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(60, 8))
+    ids = [20 if i < 3 else i for i in range(60)]
+    df = spark.createDataFrame([(ids[i], x[i].tolist(), 0) for i in range(60)], "vec_id bigint, embedding array<double>, label int")
+    got = ann.search(df, 20, 5, share=1.0).where("query_id = 20").collect()
+    want = []
+    for q in [i for i in range(60) if ids[i] == 20]:
+        s = (x * x[q]).sum(axis=1)
+        near = sorted((-s[i], ids[i]) for i in range(60) if i != q)[:5]
+        want += [(20, k + 1, v) for k, (_, v) in enumerate(near)]
+    assert len(want) == 20 and sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got) == sorted(want)
+
+
 def _bm25(texts, every, k):
     words = [re.findall(r"[^\W_]+", (t or "").lower()) for t in texts]
     tfs = [Counter(w) for w in words]
