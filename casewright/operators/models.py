@@ -13,14 +13,12 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casewright.functions.scalars import lenient_double, normalised_category, sigmoid
-from casewright.operators.genotypes import mean_imputed
-from casewright.operators.metrics import discrimination, model_metrics, youden_threshold
-from casewright.operators.ranking import exact_quantiles, global_rank
-from casewright.session import cut_lineage, intermediate_path
+from casewright.operators.metrics import model_metrics, youden_threshold
+from casewright.operators.ranking import exact_quantiles
+from casewright.session import cut_lineage
 
 # Preferred category orders; the first observed category is the reference.
 CATEGORY_ORDER = {
@@ -346,86 +344,3 @@ def heldout_comparison(predictions: DataFrame, scores: DataFrame) -> DataFrame:
         F.struct(F.lit("prs_only").alias("model"), F.col("_s").alias("score")),
     )
     return both.select("person_id", "threshold_label", F.col("analysis_case").cast("int").alias("y"), F.inline(pair))
-
-
-# Sparse penalised genotype model -----------------------------------------------------------------
-
-def sparse_genotype_model(
-    calls: DataFrame, people: DataFrame, covariates: Sequence[str], alphas: Sequence[float], penalties: Sequence[float],
-    outcome: str = "analysis_case", fold: str = "cv_fold",
-) -> tuple[DataFrame, DataFrame, dict]:
-    """Elastic-net logistic model on sparse genotypes with unpenalised covariates.
-
-    Calls are sparse: an absent row is dosage 0, a NULL ``n_alt`` is missing and takes the variant's mean over the
-    train people who have a call, rounded to two decimals; the caller's variants should be judged on train people too. MLlib cannot leave single features out of the penalty, so the
-    covariates are fitted first without one and enter as a linear predictor scaled by ``BOOST``: its penalty is
-    smaller by that factor, and its weight may shrink by less than 1 % (tests hold it to that). (α, λ) is chosen by
-    mean AUC over the folds. A person's row is as wide as the calls other than 0 that the person has.
-    """
-    usable = cut_lineage(people.dropna(subset=list(covariates)))
-    held = calls.join(usable.select("person_id").distinct(), "person_id", "left_semi")
-    dosages = cut_lineage(mean_imputed(held, usable, decimals=2, means_of=usable.filter("analysis_split = 'train'")))
-    variants = cut_lineage(global_rank(dosages.select("variant_id").distinct(), [F.col("variant_id")], "_v"))
-    n_variants = variants.count()
-    train = usable.filter("analysis_split = 'train'")
-    base = fit_logistic(train, tuple(Scaled(c, c, False, 0.0, 0.0, 1.0) for c in covariates), outcome, 0.0)
-    linear = reduce(add, [e.column() * F.lit(b) for e, b in zip(base.encoders, base.betas, strict=True)], F.lit(base.intercept))
-    rows = cut_lineage(_sparse_rows(dosages, variants, usable.withColumn("_o", linear), n_variants, ["analysis_split", fold, outcome]))
-    rows = rows.withColumn("label", F.col(outcome).cast("double"))
-    train_rows = rows.filter("analysis_split = 'train'")
-    folds = [r[0] for r in train_rows.select(fold).distinct().collect() if r[0] is not None]
-
-    def fit(df: DataFrame, a: float, lam: float):
-        return LogisticRegression(
-            regParam=lam, elasticNetParam=a, standardization=False, maxIter=100, tol=1e-6
-        ).fit(df.select("label", "features"))
-
-    def scored(model, df: DataFrame) -> DataFrame:
-        out = model.transform(df)
-        return out.select(
-            "person_id", "analysis_split", F.col("label").cast("int").alias("y"), F.get(vector_to_array("probability"), F.lit(1)).alias("score")
-        )
-
-    best = (-1.0, (alphas[0], penalties[0]))
-    for a in alphas:
-        for lam in penalties:
-            held_out = None
-            for k in folds:
-                part = scored(fit(train_rows.filter(F.col(fold) != k), a, lam), train_rows.filter(F.col(fold) == k)).withColumn("_k", F.lit(k))
-                held_out = part if held_out is None else held_out.unionByName(part)
-            auc = discrimination(held_out, ["_k"]).agg(F.avg("roc_auc")).first()[0] if held_out is not None else 0.0
-            if (auc or 0.0) > best[0]:
-                best = (auc or 0.0, (a, lam))
-    model = fit(train_rows, *best[1])
-    # only the non-zero weights are worth a table
-    coefficients = model.coefficients.toArray()
-    active = [(int(i), float(coefficients[i])) for i in np.flatnonzero(coefficients) if i > 0]
-    weights = rows.sparkSession.createDataFrame(active, "_v long, weight double").join(variants, "_v").select("variant_id", "weight")
-    return scored(model, rows), weights, {"alpha": best[1][0], "penalty": best[1][1], "cv_auc": best[0], "n_variants": n_variants}
-
-
-# The covariates' linear predictor is multiplied by this, so that its penalty hardly counts.
-BOOST = 100.0
-
-
-def _sparse_rows(dosages: DataFrame, variants: DataFrame, people: DataFrame, n_variants: int, carry: Sequence[str]) -> DataFrame:
-    """(person_id, carried columns, features): sparse vectors made by MLlib's own reader, without a Python row.
-
-    A row is written as a libsvm line, the person's number as its label, index 1 the linear predictor, and read back.
-    """
-    numbered = cut_lineage(global_rank(people.select("person_id", "_o", *carry), [F.col("person_id")], "_row"))
-    cells = (
-        dosages.join(variants, "variant_id")
-        .groupBy("person_id")  # at most one entry per variant of the panel
-        .agg(F.array_sort(F.collect_list(F.struct((F.col("_v") + 1).alias("at"), F.col("dosage").alias("x")))).alias("_e"))
-    )
-    offset = F.concat_ws(":", F.lit("1"), (F.col("_o") * BOOST).cast("string"))
-    entries = F.transform(F.coalesce("_e", F.array().cast("array<struct<at:bigint,x:double>>")), lambda e: F.concat_ws(":", e["at"].cast("string"), e["x"].cast("string")))
-    lines = numbered.join(cells, "person_id", "left").select(
-        F.concat_ws(" ", F.col("_row").cast("string"), F.array_join(F.concat(F.array(offset), entries), " ")).alias("value")
-    )
-    path = intermediate_path(people.sparkSession, "svm")
-    lines.write.text(path)
-    read = people.sparkSession.read.format("libsvm").option("numFeatures", str(n_variants + 1)).load(path)
-    vectors = read.select(F.col("label").cast("long").alias("_row"), "features")
-    return numbered.join(vectors, "_row").drop("_row", "_o")

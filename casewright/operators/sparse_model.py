@@ -180,14 +180,14 @@ class Path:
         row = self._by_variant(list(every)).agg(*[F.max(F.abs(F.col(f"g{f}"))).alias(f"g{f}") for f in every]).first()
         return {f: row[f"g{f}"] or 0.0 for f in every}
 
-    def _reaching(self, chosen: list[int], least: dict[int, float]) -> set[str]:
-        """Variants whose mean gradient reaches ``least`` in any chosen fit."""
+    def _reaching(self, chosen: list[int], least: dict[int, float]) -> pd.DataFrame:
+        """(variant_id, g{fit}) of the variants whose mean gradient reaches ``least`` in any chosen fit."""
         hit = reduce(or_, [F.abs(F.col(f"g{f}")) >= F.lit(least[f]) for f in chosen])
         most = int((BROADCAST_LIMIT_BYTES / 8) ** 0.5)  # the sums of a step hold the square of their number
-        rows = self._by_variant(chosen).filter(hit).select("variant_id").limit(most + 1).collect()
+        rows = self._by_variant(chosen).filter(hit).limit(most + 1).toPandas()
         if len(rows) > most:
             raise ValueError(f"more than {most} variants in play; raise the least penalty")
-        return {r["variant_id"] for r in rows}
+        return rows
 
     def run(self, lambdas: Sequence[float] | None = None) -> None:
         """Fill every fit's path. ``lambdas`` are fractions of the fit's own top λ; by default ``steps`` of them, evenly in logs."""
@@ -196,31 +196,34 @@ class Path:
         every = range(len(self.fits))
         for f, top in self._tops().items():
             self.fits[f].top = top / self.fits[f].alpha
-        last = {f: 1.0 for f in every}
-        for fraction in fractions:
+        wanted: set[str] = set()
+        for fraction, after in zip(fractions, [*fractions[1:], None]):
             chosen = [f for f in every if self.fits[f].open]
             if not chosen:
                 break
             lams = {f: fraction * self.fits[f].top for f in chosen}
-            least = {f: self.fits[f].alpha * max(2 * lams[f] - last[f] * self.fits[f].top, 0.0) if fraction < last[f] else self.fits[f].alpha * lams[f] for f in chosen}
-            wanted = self._reaching(chosen, least)
+            # a weight of zero is right where the gradient stays within the penalty
+            limit = {f: self.fits[f].alpha * lams[f] * (1 + 1e-6) + 1e-12 for f in chosen}
+            # the strong rule: who may come in at the next λ
+            strong = {f: limit[f] if after is None else self.fits[f].alpha * max(2 * after - fraction, 0.0) * self.fits[f].top for f in chosen}
             while True:
                 play = sorted(wanted.union(*(self.fits[f].weights for f in chosen)))
                 if play != self.names:
                     self._gather(play)
                 losses = self._solve(chosen, lams)
-                # weights of zero are right where the gradient stays within the penalty
-                limit = {f: self.fits[f].alpha * lams[f] * (1 + 1e-6) + 1e-12 for f in chosen}
-                missed = self._reaching(chosen, limit) - set(play)
+                # one pass says both who was wrongly left out and who may come in next
+                found = self._reaching(chosen, {f: min(strong[f], limit[f]) for f in chosen})
+                over = reduce(or_, [found[f"g{f}"].abs() >= limit[f] for f in chosen])
+                missed = set(found.loc[over, "variant_id"]) - set(play)
                 if not missed:
                     break
                 wanted |= missed
+            wanted = set(found["variant_id"])
             for f in chosen:
                 fit = self.fits[f]
                 fit.losses.append(losses[f])
                 fit.path.append((lams[f], fit.dense.copy(), dict(fit.weights)))
                 fit.open = lambdas is not None or len(fit.losses) - 1 - fit.best() < self.patience
-                last[f] = fraction
 
 
 def fit_path(
