@@ -84,7 +84,7 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.classes(table(spark, folder, "documents")).select("doc_id", "class_id")
 
 
-# the Spark side rounds every score to six decimals, so does this
+# the Spark side rounds every score to six decimals, so does this; every distinct term of a query row counts
 BM25 = """
 WITH words AS (
   SELECT doc_id, text, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')) AS term FROM documents
@@ -93,9 +93,7 @@ WITH words AS (
 ), totals AS (SELECT count(*)::DOUBLE AS docs, sum(n)::DOUBLE / count(*) AS mean FROM lengths),
 tfs AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
 idfs AS (SELECT term, ln(1 + (any_value(docs) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tfs, totals GROUP BY 1),
-asked AS (
-  SELECT doc_id AS query_id, term, idf FROM tfs JOIN idfs USING (term) WHERE doc_id % 100 = 0
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(tf * idf, 9) DESC, term) <= 25
+asked AS (SELECT doc_id AS query_id, term, idf FROM tfs JOIN idfs USING (term) WHERE doc_id % 100 = 0
 ), scored AS (
   SELECT query_id, t.doc_id, round(sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l.n / mean))), 6) AS score
   FROM asked a JOIN tfs t USING (term) JOIN lengths l ON l.doc_id = t.doc_id, totals
@@ -111,31 +109,6 @@ def bm25_search(spark: SparkSession, folder: str) -> DataFrame:
     return search.search(table(spark, folder, "documents"), every=100, k=10)
 
 
-# as above, with every distinct term of a query row
-BM25_WHOLE = """
-WITH words AS (
-  SELECT doc_id, text, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')) AS term FROM documents
-), lengths AS (
-  SELECT d.doc_id, coalesce(w.n, 0) AS n FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM words GROUP BY 1) w USING (doc_id)
-), totals AS (SELECT count(*)::DOUBLE AS docs, sum(n)::DOUBLE / count(*) AS mean FROM lengths),
-tfs AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
-idfs AS (SELECT term, ln(1 + (any_value(docs) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tfs, totals GROUP BY 1),
-asked AS (SELECT doc_id AS query_id, term, idf FROM tfs JOIN idfs USING (term) WHERE doc_id % 100 = 0
-), scored AS (
-  SELECT query_id, t.doc_id, round(sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l.n / mean))), 6) AS score
-  FROM asked a JOIN tfs t USING (term) JOIN lengths l ON l.doc_id = t.doc_id, totals
-  WHERE t.doc_id <> query_id GROUP BY ALL
-)
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
-FROM scored QUALIFY rank <= 10
-"""
-
-
-@query("op6_bm25_whole_rows", BM25_WHOLE)
-def bm25_whole_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return search.search(table(spark, folder, "documents"), every=100, k=10, terms=None)
-
-
 # between the matches of a pattern lie the pieces of a split by it, so running lengths give the offsets
 SECRETS = """
 WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),

@@ -10,8 +10,8 @@ terms are walked once, and only lists that some query asks for leave the table.
 which starts from the k-th best scores found before it. Queries go to the executors in blocks of ``QUERY_BLOCK``, so
 that no row is made for each query and shard.
 
-A query is the text of a row: all of its distinct terms with ``terms=None``, which is BM25 of the whole text, else, as
-a more-like-this search, the ``terms`` distinct ones of the highest tf·idf (``TERMS`` by default; ties go to the smaller
+A query is the text of a row, with all of its distinct terms: BM25 of the whole text. A caller can ask for a
+more-like-this search instead, by the ``terms`` distinct ones of the highest tf·idf (ties go to the smaller
 term), which ranks and scores a longer text by that part of it alone. Scores are rounded to six decimals before they
 are ranked.
 
@@ -257,7 +257,7 @@ def _walked(asks, least, mean: float, k: int):
     return run
 
 
-def search(docs: DataFrame, every: int, k: int, doc_id: str = "doc_id", text: str = "text", terms: int | None = TERMS) -> DataFrame:
+def search(docs: DataFrame, every: int, k: int, doc_id: str = "doc_id", text: str = "text", terms: int | None = None) -> DataFrame:
     """For each row whose id is divisible by ``every``: ``(query_id, rank, doc_id, score)`` of its ``k`` best others."""
     postings = index(docs, doc_id, text)
     totals = postings.where("term = ''").agg(F.count(F.lit(1)).alias("shards"), F.sum(F.size("ids")).alias("n"), F.sum(F.aggregate("tfs", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("words")).head()

@@ -92,7 +92,7 @@ def test_search_equals_a_full_scan(make_docs, odd_texts, monkeypatch, spark):
     vocabulary = [f"t{i}" for i in range(120)]
     texts = odd_texts + [" ".join(rng.choices(vocabulary, weights=[1 / (i + 1) for i in range(120)], k=rng.randrange(1, 80))) for _ in range(400)] + ["t1 t5 t9"] * 40
     got = defaultdict(list)
-    for r in search.search(make_docs(texts).coalesce(2), 10, 7).collect():
+    for r in search.search(make_docs(texts).coalesce(2), 10, 7, terms=search.TERMS).collect():
         got[r.query_id].append((r["rank"], r.doc_id, r.score))
     want = _bm25(texts, 10, 7)
     for q, rows in want.items():
@@ -110,7 +110,7 @@ def test_whole_rows_search_with_every_term(make_docs, monkeypatch):
         got.clear()
         with monkeypatch.context() as m:
             m.setattr(search, "QUERY_BLOCK", block)
-            for r in search.search(make_docs(texts).coalesce(2), 10, 7, terms=None).collect():
+            for r in search.search(make_docs(texts).coalesce(2), 10, 7).collect():
                 got[r.query_id].append((r["rank"], r.doc_id, r.score))
         with monkeypatch.context() as m:
             m.setattr(search, "TERMS", 10**6)
