@@ -63,15 +63,18 @@ _FIRST = np.array([s[0] for s in SCRIPTS])
 # The category classes take numbers such as superscripts, fractions and Roman numerals for word characters. A text that
 # has any, which one fast search tells, is split by a pattern that names them all.
 _NUMBERS = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_HAS_NUMBER, _WORD_BESIDE_NUMBERS = re.compile(f"[{_NUMBERS}]"), re.compile(rf"[^\W\d_{_NUMBERS}]+")
+_HAS_NUMBER = re.compile("[" + "".join(c for c in _NUMBERS if c < "\U00010000") + "]")  # a table, where characters beyond it would not be
+_HAS_ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+_WORD_BESIDE_NUMBERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 _WORD, _ASCII_WORD = re.compile(r"[^\W\d_]+"), re.compile("[A-Za-z]+")
+PREDICTED = "doc_id bigint, lang_pred string, score double, spans array<struct<start:bigint,end:bigint,lang:string>>"
 
 
 def words_in(text: str) -> re.Pattern:
     """The pattern of the text's words, runs of letters."""
     if text.isascii():
         return _ASCII_WORD
-    return _WORD_BESIDE_NUMBERS if _HAS_NUMBER.search(text) else _WORD
+    return _WORD_BESIDE_NUMBERS if _HAS_NUMBER.search(text) or _HAS_ASTRAL.search(text) else _WORD
 
 
 def script_of(word: str) -> str:
