@@ -39,7 +39,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from casewright.llm.shared import by_rows, components, cut_lineage
+from casewright.llm.shared import SEEDS as _SEEDS, by_rows, components, cut_lineage, mix as _mix
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -52,13 +52,6 @@ BROADCAST_ROWS = 500_000
 REMEMBERED = 300_000
 
 _WORD = re.compile(r"\w+")
-_SEEDS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -200,11 +193,6 @@ def _as_floats(found: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.nda
     return found[0], found[1].astype(float)
 
 
-def _buckets(signed: DataFrame) -> DataFrame:
-    bands = F.array(*(F.xxhash64(F.lit(b), *(F.element_at("signature", b * ROWS + r + 1) for r in range(ROWS))) for b in range(BANDS)))
-    return signed.select("node", F.explode(bands).alias("bucket"))
-
-
 def _agreeing(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """Pairs whose sketches agree in ``LEAST_SHARE`` of the coordinates."""
     one = signed.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -11,11 +12,20 @@ from pyspark.sql.types import StructType
 
 from casewright.session import cut_lineage
 
-__all__ = ["arrow_fields", "by_rows", "components", "cut_lineage", "table", "table_of"]
+__all__ = ["SEEDS", "arrow_fields", "by_rows", "components", "cut_lineage", "mix", "table", "table_of"]
 
 #: Rows that a Python task hands back at once.
 OUT_ROWS = 2048
 
+SEEDS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Hash of 64-bit integers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -170,15 +170,69 @@ def test_host_counts_runs_over_all_its_pages(spark):
     assert len(got) == len(rows) and all(got[i] == f"{own[5]}\n\n{pair}" for i in (5, *range(640, 645))) and got[6] == f"{own[6]}\n\n{pair}"
 
 
-def test_repeated_tokens_are_those_of_a_plain_count():
+def _extracted(spark, htmls, url="http://h.example/{}"):
+    rows = [(i, url.format(i), h) for i, h in enumerate(htmls)]
+    return [r.text for r in html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).orderBy("page_id").collect()]
+
+
+def test_a_teaser_marks_no_page(spark):
+    page = '<div class="story"><p>Main text here</p></div><article class="card"><p>Teaser</p></article>'
+    assert _extracted(spark, [page]) == ["Main text here\n\nTeaser"]
+    links = '<div class="x1"><a href="/">A long list</a> <a href="/b">of many other links beside it</a></div>'
+    assert html.blocks_of(f"{links}<article><p>Short text</p></article>") == (["Short text"], True)
+
+
+def test_names_inside_an_article_count_whole():
+    keep = '<article><div class="social-history">One</div><p class="share-capital">Two</p><p id="notice">Three</p><h2 id="comments">Four</h2><div class="menu-prices">Five</div>'
+    drop = '<div class="share-buttons">x</div><div id="relatedPosts">x</div><p class="notice">x</p><div class="ad-slot-2">x</div><ul class="comment__list">x</ul></article>'
+    assert html.blocks_of(keep + drop) == (["One", "Two", "Three", "Four", "Five"], True)
+    assert html.blocks_of('<div class="social-history">One</div><div class="left-sidebar-x">x</div>') == (["One"], False)
+
+
+def test_copies_of_an_article_are_one_page(spark):
+    rng = random.Random(11)
+    article = " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))
+    own = [" ".join(f"v{rng.randrange(10**6)}" for _ in range(8)) for _ in range(3)]
+    got = _extracted(spark, [f"<div>{article}</div><div>{t}</div>" for t in own])
+    assert got == [f"{article}\n\n{t}" for t in own]
+    # versions whose bodies differ: what would leave less than half of a page stays, short lines go
+    parts = [" ".join(f"u{rng.randrange(10**6)}" for _ in range(30)) for _ in range(3)]
+    line = "This line stands on all of our pages"
+    pages = ["".join(f"<div>{p}</div>" for p in parts) + f"<div>{t} {' '.join(map(str, range(30)))} {t}</div><div>{line}</div>" for t in own]
+    for text, t in zip(_extracted(spark, pages), own):
+        assert text.split("\n\n")[:3] == parts and t in text and line not in text
+
+
+def test_a_line_in_every_article_goes(spark):
+    rng = random.Random(12)
+    line, passage = "Get our letter into your box every week", "A passage that some of the pages quote word by word"
+    own = [[" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(3)] for _ in range(20)]
+    htmls = [f'<main><p>{a}</p><p>{b}</p><div class="css-1x2y">{line}</div>' + (f"<p>{passage}</p>" if i < 6 else "") + f"<p>{c}</p></main>" for i, (a, b, c) in enumerate(own)]
+    want = ["\n\n".join([a, b, *([passage] if i < 6 else []), c]) for i, (a, b, c) in enumerate(own)]
+    assert _extracted(spark, htmls) == want
+    # copies of one article at many addresses lose nothing, nor do pages of hosts of their own
+    assert _extracted(spark, htmls[:1] * 20) == [f"{own[0][0]}\n\n{own[0][1]}\n\n{line}\n\n{passage}\n\n{own[0][2]}"] * 20
+    assert all(line in t for t in _extracted(spark, htmls, "http://h{}.example/"))
+
+
+def test_unmarked_pages_are_those_of_a_plain_count(spark):
     rng = random.Random(8)
-    for _ in range(30):
-        streams = [[rng.randrange(3) for _ in range(rng.randrange(25))] for _ in range(rng.randrange(1, 9))]
-        got = html.repeated_tokens(streams, 4, 3)
-        owners = defaultdict(set)
-        for s in streams:
-            for i in range(len(s) - 3):
-                owners[tuple(s[i : i + 4])].add(tuple(s))
-        for s, cover in zip(streams, got):
-            want = [any(len(owners[tuple(s[i : i + 4])]) >= 3 for i in range(max(0, j - 3), min(j, len(s) - 4) + 1)) for j in range(len(s))]
-            assert cover.tolist() == want
+    pages = []
+    for i in range(240):
+        blocks = [[rng.choice("abc") for _ in range(rng.randrange(1, 9))] for _ in range(rng.randrange(1, 4))]
+        pages.append([[f"p{rng.randrange(200)}" for _ in range(25)], *blocks])
+    pages += pages[:9]
+    got = _extracted(spark, ["".join(f"<div>{' '.join(b)}</div>" for b in p) for p in pages])
+    bodies = defaultdict(set)
+    streams = [[t for b in p for t in ("\n", *b)] for p in pages]
+    for s, p in zip(streams, pages):
+        for i in range(len(s) - html.RUN + 1):
+            bodies[tuple(s[i : i + html.RUN])].add(tuple(p[0]))
+    for s, text in zip(streams, got):
+        gone = set()
+        for i in range(len(s) - html.RUN + 1):
+            if len(bodies[tuple(s[i : i + html.RUN])]) >= html.PAGES:
+                gone.update(range(i, i + html.RUN))
+        left = "".join("\n\n" if t == "\n" else f" {t} " for i, t in enumerate(s) if t == "\n" or i not in gone)
+        assert text == "\n\n".join(" ".join(b.split()) for b in left.split("\n\n") if b.strip())
+    assert sum(t.count(" ") for t in got) < sum(len(s) for s in streams) - 300
