@@ -9,6 +9,10 @@ distance, index distance, person id). Strata are independent.
   their first k open candidates, a control keeps its earliest case, the others are rejected and move on.
   With all controls ranking cases by one global order this ends in the sequential greedy's result. A case
   that runs out of listed candidates gets a fresh list without the controls it can no longer have.
+* Where a case below the minimum takes nobody, which cases fall short is itself settled in rounds: given the ones
+  assumed so far, who hold nothing but still list what earlier cases leave them, all cases are judged again at once.
+  A judgement is right as soon as those of the earlier cases that it depends on are, so cases that cannot affect each
+  other are all released in one round, and a round leaves the earliest wrong one right for good.
 * With reuse allowed there is no contention, so the candidate step alone is the answer.
 """
 
@@ -77,22 +81,27 @@ def match_inputs(cohort: DataFrame, rules: Matching) -> tuple[DataFrame, DataFra
     return cases, controls
 
 
-def _candidates(case, c: dict[str, np.ndarray], free: np.ndarray, window: int, tolerance: float) -> tuple[np.ndarray, ...]:
-    """Indices of admissible controls with (age distance, index distance, age at the case's index date)."""
+def _candidates(case, c: dict[str, np.ndarray], free, window: int, tolerance: float) -> tuple[np.ndarray, ...]:
+    """Indices of admissible controls with (age distance, index distance, age at the case's index date).
+
+    ``c`` is sorted by anchor; ``free`` tells which controls of a slice are free.
+    """
     if np.isnan(case.age):
         return np.empty(0, int), np.empty(0), np.empty(0), np.empty(0)
     if np.isnan(case.index_day):
-        at = np.flatnonzero(free)
+        at = np.flatnonzero(free(slice(None)))
         age, distance = c["age"][at], np.full(len(at), float(window))
     else:
+        low = np.searchsorted(c["anchor"], case.index_day - window - 1)
+        near = slice(low, np.searchsorted(c["anchor"], case.index_day + window + 1, side="right"))
         with np.errstate(invalid="ignore"):
             ok = (
-                free
-                & ~(c["start_day"] > case.index_day)
-                & ~(c["end_day"] < case.index_day)
-                & (np.floor(np.abs(c["anchor"] - case.index_day)) <= window)
+                ~(c["start_day"][near] > case.index_day)
+                & ~(c["end_day"][near] < case.index_day)
+                & (np.floor(np.abs(c["anchor"][near] - case.index_day)) <= window)
+                & free(near)
             )
-        at = np.flatnonzero(ok)
+        at = low + np.flatnonzero(ok)
         distance = np.floor(np.abs(c["anchor"][at] - case.index_day))
         age = np.where(
             ~np.isnan(c["yob"][at]),
@@ -109,8 +118,11 @@ _NUMERIC = ("start_day", "end_day", "anchor", "yob", "birth_day", "age")
 
 
 def _arrays(controls: pd.DataFrame) -> dict[str, np.ndarray]:
+    controls = controls.sort_values("anchor")
     out = {name: controls[name].to_numpy(float) for name in _NUMERIC}
     out["id"] = controls["control_id"].to_numpy(str)
+    if "held_by" in controls:
+        out["held"] = controls["held_by"].fillna("~").to_numpy(str)  # "~" sorts after every order key
     return out
 
 
@@ -134,7 +146,7 @@ def greedy_in_task(rules: Matching):
         free = np.ones(len(controls), dtype=bool)
         rows = []
         for case in cases.sort_values("case_order").itertuples(index=False):
-            found = _candidates(case, c, free, rules.within.days, rules.within.years)
+            found = _candidates(case, c, lambda part: free[part], rules.within.days, rules.within.years)
             if not len(found[0]):
                 continue
             chosen = _best(c, found, rules.controls.wanted)
@@ -235,10 +247,10 @@ def top_candidates(cases: DataFrame, controls: DataFrame, rules: Matching, k: in
         if lc.empty or rc.empty:
             return pd.DataFrame(columns=names)
         c = _arrays(rc)
-        held = rc["held_by"].fillna("~").to_numpy(str)  # "~" sorts after every order key
         out = []
         for case in lc.itertuples(index=False):
-            found = _candidates(case, c, held >= case.case_order, window, tolerance)
+            order = case.case_order
+            found = _candidates(case, c, lambda part: c["held"][part] >= order, window, tolerance)
             if len(found[0]):
                 best = _best(c, found, k)
                 out.append(
@@ -271,7 +283,7 @@ def _rounds(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int)
     list_len = k * LIST_SLACK
     cases = cut_lineage(cases)
     controls = cut_lineage(controls)
-    dropped = None
+    released = None  # cases assumed to fall short
     edge_cols = ["case_id", "case_order", "stratum", "control_id", "gap", "distance", "age_at_case_index"]
 
     def listed(for_cases: DataFrame, held: DataFrame | None) -> DataFrame:
@@ -279,20 +291,33 @@ def _rounds(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int)
         rows = top_candidates(for_cases, pool, rules, list_len, chunk)
         return rows.join(for_cases.select("case_id", "case_order", "stratum"), "case_id").select(*edge_cols)
 
+    preference = Window.partitionBy("case_id").orderBy("gap", "distance", "control_id")
+
+    def holders(rows: DataFrame) -> DataFrame:
+        """Each control with the earliest case that holds it; released cases hold nobody."""
+        active = rows.withColumn("_pos", F.row_number().over(preference)).filter(F.col("_pos") <= k)
+        active = active if released is None else active.join(released, "case_id", "left_anti")
+        return active.groupBy("control_id").agg(F.min("case_order").alias("held_by"))
+
+    def replaced(of_cases: DataFrame, rest: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Edges and list ends with fresh lists for some cases."""
+        fresh = cut_lineage(listed(of_cases, held))
+        refilled = fresh.groupBy("case_id").agg((F.count(F.lit(1)) >= list_len).alias("more"))
+        ends = of_cases.select("case_id").join(refilled, "case_id", "left").na.fill(False, ["more"])
+        return cut_union(rest, fresh), cut_union(full.join(of_cases, "case_id", "left_anti"), ends)
+
     edges = cut_lineage(listed(cases, None))
     full = cut_lineage(edges.groupBy("case_id").agg((F.count(F.lit(1)) >= list_len).alias("more")))
-    preference = Window.partitionBy("case_id").orderBy("gap", "distance", "control_id")
+    left = edges.count()
     while True:
         # settle: drop every edge whose control is held by an earlier active proposer
         while True:
-            ranked = edges.withColumn("_pos", F.row_number().over(preference))
-            best = ranked.filter(F.col("_pos") <= k).groupBy("control_id").agg(F.min("case_order").alias("held_by"))
-            kept = ranked.join(best, "control_id", "left").filter(
+            kept = edges.join(holders(edges), "control_id", "left").filter(
                 F.col("held_by").isNull() | (F.col("case_order") <= F.col("held_by"))
             )
-            before = edges.count()
             edges = cut_lineage(kept.select(*edge_cols))
-            if edges.count() == before:
+            before, left = left, edges.count()
+            if left == before:
                 break
         counts = edges.groupBy("case_id").agg(F.count(F.lit(1)).alias("n"))
         short = (
@@ -301,48 +326,33 @@ def _rounds(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int)
             .filter(F.coalesce("n", F.lit(0)) < k)
             .drop("n")
         )
-        if dropped is not None:
-            short = short.join(dropped, "case_id", "left_anti")
         short = cut_lineage(short)
         if not short.isEmpty():
-            active = edges.withColumn("_pos", F.row_number().over(preference)).filter(F.col("_pos") <= k)
-            held = active.groupBy("control_id").agg(F.min("case_order").alias("held_by"))
-            fresh = cut_lineage(listed(short, held))
-            refilled = fresh.groupBy("case_id").agg((F.count(F.lit(1)) >= list_len).alias("more"))
-            edges = cut_union(edges.join(short, "case_id", "left_anti"), fresh)
-            full = cut_union(
-                full.join(short, "case_id", "left_anti"),
-                short.select("case_id").join(refilled, "case_id", "left").na.fill(False, ["more"]),
-            )
+            edges, full = replaced(short, edges.join(short, "case_id", "left_anti"), holders(edges))
+            left = edges.count()
             continue
         if not (rules.controls.whole and rules.controls.least > 1):
             break
-        # The earliest case below the minimum is final: nobody after it can matter to it. Release its
-        # controls, and let later cases list again because they may now reach them.
-        failing = (
-            counts.filter(F.col("n") < rules.controls.least)
-            .join(cases, "case_id")
-            .groupBy("stratum")
-            .agg(F.min_by("case_id", "case_order").alias("case_id"), F.min("case_order").alias("cut"))
-        )
-        failing = cut_lineage(failing)
-        if failing.isEmpty():
+        # judge all cases again; what lies behind the earliest changed judgement of a stratum lists anew
+        judged = cases.select("case_id", "case_order", "stratum").join(counts, "case_id")
+        if released is None:
+            judged = judged.withColumn("was", F.lit(False))
+        else:
+            judged = judged.join(released.withColumn("was", F.lit(True)), "case_id", "left").na.fill(False, ["was"])
+        judged = cut_lineage(judged.withColumn("fails", F.col("n") < rules.controls.least))
+        cut = cut_lineage(judged.filter("fails != was").groupBy("stratum").agg(F.min("case_order").alias("cut")))
+        if cut.isEmpty():
             break
-        gone = failing.select("case_id")
-        dropped = gone if dropped is None else cut_union(dropped, gone)
-        later = cases.join(failing.select("stratum", "cut"), "stratum").filter(F.col("case_order") > F.col("cut")).drop("cut")
-        later = cut_lineage(later.join(dropped, "case_id", "left_anti"))
-        settled = edges.join(dropped, "case_id", "left_anti").join(later, "case_id", "left_anti")
-        active = settled.withColumn("_pos", F.row_number().over(preference)).filter(F.col("_pos") <= k)
-        held = active.groupBy("control_id").agg(F.min("case_order").alias("held_by"))
-        fresh = cut_lineage(listed(later, held))
-        refilled = fresh.groupBy("case_id").agg((F.count(F.lit(1)) >= list_len).alias("more"))
-        edges = cut_union(settled, fresh)
-        full = cut_union(
-            full.join(later, "case_id", "left_anti"),
-            later.select("case_id").join(refilled, "case_id", "left").na.fill(False, ["more"]),
-        )
-    final = edges.withColumn("match_rank", F.row_number().over(preference)).filter(F.col("match_rank") <= k)
+        failing = judged.filter("fails").select("case_id")
+        if released is not None:  # one that lists nobody has no judgement, and stays
+            failing = failing.unionByName(released.join(judged, "case_id", "left_anti"))
+        released = cut_lineage(failing)
+        later = cut_lineage(cases.join(cut, "stratum").filter(F.col("case_order") > F.col("cut")).drop("cut"))
+        settled = edges.join(later, "case_id", "left_anti")
+        edges, full = replaced(later, settled, holders(settled))
+        left = edges.count()
+    final = edges if released is None else edges.join(released, "case_id", "left_anti")
+    final = final.withColumn("match_rank", F.row_number().over(preference)).filter(F.col("match_rank") <= k)
     return final.select("case_id", "control_id", "match_rank", "age_at_case_index")
 
 

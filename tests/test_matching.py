@@ -101,6 +101,38 @@ def test_all_paths_equal_plain_greedy(spark, monkeypatch, rules, seed, tight, li
     assert got == plain_greedy(rows, rules)
 
 
+def test_cases_that_cannot_affect_each_other_are_released_together(spark, monkeypatch):
+    rules = Matching(same=("is_female",), controls=Controls(wanted=2, least=2, whole=True))
+    rows = []
+    for i in range(45):  # every third case finds one control in its own time
+        day = DAY0 + dt.timedelta(days=1500 * i)
+        span = (day - dt.timedelta(days=100), day + dt.timedelta(days=100))
+        rows.append((f"c{i:02}", "broad", 1, False, day, *span, None, None, None, 40.0, 1.0))
+        rows += [(f"k{i:02}-{j}", "control", 0, True, None, *span, day, None, None, 40.0, 1.0) for j in range(1 if i % 3 == 0 else 3)]
+    lists = []
+    listed = matching.top_candidates
+    monkeypatch.setattr(matching, "top_candidates", lambda *a, **b: lists.append(1) or listed(*a, **b))
+    cases, controls = matching.match_inputs(spark.createDataFrame(rows, SCHEMA), rules)
+    got = matching.assign_controls(cases, controls, rules, stratum_limit=0, chunk=50).collect()
+    assert {(r.case_id, r.control_id, r.match_rank) for r in got} == plain_greedy(rows, rules)
+    assert len({r.case_id for r in got}) == 30 and len(lists) <= 3
+
+
+def test_released_controls_pass_down_a_chain(spark):
+    """Each failing case sets free what the next one takes, so judgements turn more than once."""
+    rules = Matching(same=("is_female",), controls=Controls(wanted=2, least=2, whole=True))
+    rows = []
+    for i in range(12):
+        day = DAY0 + dt.timedelta(days=200 * i)
+        rows.append((f"c{i:02}", "broad", 1, False, day, *[DAY0 + dt.timedelta(days=x) for x in (-9999, 9999)], None, None, None, 40.0, 1.0))
+        if i % 4 != 3:
+            anchor = day + dt.timedelta(days=100)
+            rows.append((f"k{i:02}", "control", 0, True, None, *[DAY0 + dt.timedelta(days=x) for x in (-9999, 9999)], anchor, None, None, 40.0, 1.0))
+    cases, controls = matching.match_inputs(spark.createDataFrame(rows, SCHEMA), rules)
+    got = matching.assign_controls(cases, controls, rules, stratum_limit=0, chunk=50).collect()
+    assert {(r.case_id, r.control_id, r.match_rank) for r in got} == plain_greedy(rows, rules)
+
+
 def test_control_inherits_index_date_and_age(spark):
     rows = [
         ("c1", "broad", 1, False, dt.date(2020, 1, 1), dt.date(2018, 1, 1), dt.date(2022, 1, 1), None, None, 1980.0, 40.0, 1.0),
