@@ -306,10 +306,6 @@ MASK_COLUMNS = {
 }
 
 
-def mask_column(name: str) -> str:
-    return MASK_COLUMNS.get(name, "mask_primary")
-
-
 # Transcript-annotation input columns, all read as text.
 ANNOTATION_COLUMNS = (
     "vid", "contig", "position", "ref_allele", "alt_allele", "gene_symbol", "consequence", "revel",

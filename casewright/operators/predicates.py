@@ -71,10 +71,6 @@ def tag_events(events: DataFrame, rules: Sequence[Concepts], tag: str = "event")
     return events.withColumn(tag, F.explode(names))
 
 
-def empty_relation(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def select_available(df: DataFrame, preferred: Sequence[str]) -> DataFrame:
     """Preferred columns in order, silently skipping the ones the frame lacks."""
     return df.select(*[c for c in preferred if c in df.columns])
@@ -91,10 +87,6 @@ def project_annotation(df: DataFrame, mapping: dict[str, str], types: dict[str,
     )
 
 
-def flag_columns(names: Sequence[str]) -> list[Column]:
-    return [F.coalesce(F.col(n), F.lit(0)).cast("int").alias(n) for n in names]
-
-
 def complete_cases(df: DataFrame, required: Sequence[str], numeric: Sequence[str]) -> DataFrame:
     """Numeric coercion first, then drop rows with any NULL in the required or numeric columns."""
     require_columns(df, [*required, *numeric])

@@ -44,6 +44,15 @@ def group_splits(matched: DataFrame, train_fraction: float = 0.8, folds: int = 5
     return keyed.join(labels, "_split_group").drop("_split_group")
 
 
+def incident_model_input(built: DataFrame) -> DataFrame:
+    """Eligible rows of an incident cohort with splits and the model's categories, blank ones as ``missing``."""
+    named = lambda c: F.when(F.trim(c) != "", F.trim(c)).otherwise("missing") if c in built.columns else F.lit("missing")
+    rows = cut_lineage(built.filter(F.coalesce(F.col("case_control_eligible").cast("int"), F.lit(0)) == 1))
+    return stratified_splits(rows).withColumns(
+        {"model_sex_category": named("sex_category"), "model_ancestry_pred": F.lower(named("ancestry_pred"))}
+    )
+
+
 def stratified_splits(
     people: DataFrame, outcome: str = "analysis_case", train_fraction: float = 0.8, folds: int = 5
 ) -> DataFrame:

@@ -34,6 +34,8 @@ ORDERED = {
     "cohort": COHORT_ORDER,
     "variant_association": (*ASSOCIATION_ORDER, "variant_id"),
     "gene_association": (*ASSOCIATION_ORDER, "gene"),
+    "prior_association": (*ASSOCIATION_ORDER, "variant_id"),
+    "gene_burden": ("regression_p", "mask", "gene"),
     "results": ("regression_p", "variant_id"),
 }
 
@@ -91,7 +93,7 @@ def incident_study(
 ) -> dict[str, DataFrame]:
     """Incident cohort, feasibility, splits and the suppressed characterisation tables."""
     built = cut_lineage(incident.build_incident_cohort(person, periods, conditions, measurements, rules, ancestry))
-    rows = cut_lineage(splits.stratified_splits(built.filter("case_control_eligible = 1")))
+    rows = cut_lineage(splits.incident_model_input(built))
     labs = [f"prebaseline_{lab.label}_{s}" for lab in rules.labs for s in ("last", "max")]
     binary = [*rules.history, "ck_tested_prebaseline", "ck_tested_during_horizon"]
     columns = ["age_at_baseline", "sex_category", "ancestry_pred", *labs, *binary]
@@ -278,13 +280,14 @@ def score_diagnostics(rows: DataFrame, strata: Sequence[str] = (), iterations: i
     return out
 
 
-def clinical_model(model_input: DataFrame, features: dict, eligibility: str | None = "primary_model_eligible", penalty: float = 1.0) -> dict[str, DataFrame]:
+def clinical_model(model_input: DataFrame, features: dict, eligibility: str | None = "primary_model_eligible", penalty: float = 1.0, folds: bool = True) -> dict[str, DataFrame]:
+    """Fit, evaluation and curves, and with ``folds`` the cross-validation, which is fitted at once."""
     fitted = models.run_model(model_input, "analysis_case", features, eligibility, penalty)
     predictions = fitted["predictions"]
     test = predictions.filter("analysis_split = 'test'").select(
         "person_id", F.col("analysis_case").cast("int").alias("y"), F.col("predicted_probability").alias("score")
     )
-    cv = models.cv_metrics(predictions.filter("analysis_split = 'train'"), "analysis_case", features, penalty)
+    cv = models.cv_metrics(predictions.filter("analysis_split = 'train'"), "analysis_case", features, penalty) if folds else None
     out = {k: v for k, v in fitted.items() if k != "model"} | {
         "calibration": metrics.calibration(metrics.equal_count_bins(test)),
         "roc_points": metrics.curve_points(test, "roc"),
@@ -292,3 +295,75 @@ def clinical_model(model_input: DataFrame, features: dict, eligibility: str | No
         "top_coefficients": models.top_coefficients(fitted["coefficients"]),
     }
     return out if cv is None else out | {"cv_metrics": cv}
+
+
+def incident_model(model_input: DataFrame, features: dict, penalty: float = 1.0, folds: bool = True) -> dict[str, DataFrame]:
+    """The incident study's model: the tables of ``clinical_model`` and risk deciles of the test rows, equal in size.
+
+    ``model_input``: rows of ``splits.incident_model_input``.
+    """
+    out = clinical_model(model_input, features, "case_control_eligible", penalty, folds)
+    deciles = out["calibration"].withColumnRenamed("bin", "decile")
+    keep = [c for c in ("person_id", "analysis_case", "analysis_split", "cv_fold", "baseline_date", "predicted_probability", "predicted_label") if c in out["predictions"].columns]
+    return out | {"predictions": out["predictions"].select(*keep), "risk_deciles": deciles}
+
+
+def clinical_score_model(
+    model_input: DataFrame, table: DataFrame, features: dict, threshold_label: str, eligibility: str | None = "primary_model_eligible", penalty: float = 1.0,
+    folds: bool = True,
+) -> dict[str, DataFrame]:
+    """Clinical features and one score, of people who have it; every table of ``clinical_model``.
+
+    ``table``: person_id, threshold_label, prs_score of train and test people. The weights behind train people's scores
+    may come from those people, so the test rows are the ones to read.
+    """
+    one = table.filter(F.col("threshold_label") == threshold_label).select("person_id", "threshold_label", F.col("prs_score").cast("double").alias("prs_score"))
+    rows = cut_lineage(model_input.join(one.filter("prs_score is not null and not isnan(prs_score)"), "person_id"))
+    spread = rows.filter("analysis_split = 'train'").agg(F.stddev_pop("prs_score")).first()[0]
+    if not spread:
+        raise ValueError("train scores have no variance")
+    both = features | {"continuous": [*features.get("continuous", ()), ("prs_score", "prs_score_per_sd", "identity")]}
+    out = clinical_model(rows, both, eligibility, penalty, folds)
+    keep = ["person_id", "analysis_case", "analysis_split", "cv_fold", "match_group_id", eligibility, "threshold_label", "prs_score", "predicted_probability", "predicted_label"]
+    return out | {
+        "metrics": out["metrics"].withColumn("threshold_label", F.lit(threshold_label)),
+        "predictions": out["predictions"].select(*[c for c in keep if c in out["predictions"].columns]),
+    }
+
+
+STAGES = ("prior", "panel", "burden", "gwas")
+
+
+def association_study(
+    tables: dict[str, DataFrame], rules: PhenotypeRules, match: Matching, calls: DataFrame, variants: DataFrame, annotation: DataFrame,
+    panel: DataFrame, covariates: Sequence[str], clinvar_terms: Sequence[str], plof_terms: Sequence[str], folder: str,
+    masks: Sequence[str] = ("primary",), stages: Sequence[str] = STAGES, **gwas,
+) -> dict[str, str]:
+    """Cohort, matching and the chosen association stages in one run, written with a manifest; returns the paths.
+
+    ``tables``: person, periods, conditions, measurements, optionally ancestry and universe. ``calls``: variant_id,
+    person_id, n_alt. ``panel``: variant_id, exact_test_model. Prior variants and the panel are tested in the comparison
+    sets of the whole cohort, burden and single variants in the matched one.
+    """
+    unknown = set(stages) - set(STAGES)
+    if unknown:
+        raise ValueError(f"unknown stages {sorted(unknown)}")
+    study = case_control(rules=rules, match=match, **tables)
+    out = {"cohort": study["cohort"], "matched": study["matched"], "qc": study["cohort_qc"].unionByName(study["matching_qc"])}
+    carried = calls.filter("n_alt > 0").select("person_id", "variant_id", F.col("n_alt").alias("dosage"))
+    if {"prior", "panel"} & set(stages):
+        people = cut_lineage(association.comparison_samples(study["cohort"]))
+    if "prior" in stages:
+        exposures = association.apply_exposure_model(carried, panel)
+        out["prior_association"] = association.panel_association(exposures, people, ["variant_id"], covariates, panel=panel.select("variant_id").distinct())
+    if "panel" in stages:
+        out |= plp_panel(calls, annotation, people, covariates, clinvar_terms, plof_terms)
+    if "burden" in stages:
+        named = genotypes.variant_masks(annotation, clinvar_terms, plof_terms).select("variant_id", "gene", *genotypes.MASK_COLUMNS.values())
+        rows = association.burden_exposures(carried.join(named, "variant_id"), masks, genotypes.MASK_COLUMNS)
+        out["gene_burden"] = association.gene_burden(rows, study["matched"], covariates, "analysis_case")
+    if "gwas" in stages:
+        found = variant_gwas(calls, variants, study["matched"], covariates, **gwas)
+        out |= {name: found[name] for name in ("results", "lead_hits", "lambda")}
+    config = {"stages": sorted(stages), "masks": list(masks), "covariates": list(covariates)}
+    return write_outputs(calls.sparkSession, out, folder, config)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from casewright.operators import anchors, cohort, describe, genotypes, matching, metrics, models, samples, scores, sparse_model, splits
 from casewright.operators.ranking import global_rank
+from casewright.plans import drivers
 from casewright.plans.cohort_queries import COFACTOR_SQL, TIER_SQL, _anchored_sql, tiered
 from casewright.plans.genotype_queries import QC, SAMPLE_SQL, STATS_SQL, called, fisher_sql, flagged, sample
 from casewright.plans.fit_sql import METRIC_ROW, formatted_sql, greedy_sql, metrics_sql, model_sql, newton_sql, tail_sql, two_group_sql
@@ -997,16 +998,12 @@ def incident_table1(lens: Lens) -> DataFrame:
     decimals=4,
 )
 def incident_model(lens: Lens) -> DataFrame:
-    people = cut_lineage(incident_cohort(lens).filter("case_control_eligible = 1"))
-    rows = splits.stratified_splits(people).withColumns(
-        {"model_sex_category": F.col("sex_category"), "model_ancestry_pred": F.lower("ancestry_pred")}
-    )
     features = dict(
         continuous=[(c, f"{c}_per_sd", "identity") for c in INCIDENT_NUMBERS],
         binary=INCIDENT_FLAGS,
         min_observed=5,
     )
-    return models.run_model(rows, "analysis_case", features)["metrics"].drop("threshold")
+    return drivers.incident_model(splits.incident_model_input(incident_cohort(lens)), features, folds=False)["metrics"].drop("threshold")
 
 
 _SCORES_SQL = WEIGHT_SQL.removeprefix(TIER_SQL)
@@ -1048,9 +1045,8 @@ def heldout(lens: Lens) -> DataFrame:
 def clinical_score_model(lens: Lens) -> DataFrame:
     """Clinical features plus one score feature, people with a score only."""
     rows = cut_lineage(clinical_input(lens))
-    table = scores.person_scores(called(lens), _weights(lens), rows, [1.0]).select("person_id", "prs_score")
-    features = dict(continuous=[*CLINICAL["continuous"], ("prs_score", "prs_score_per_sd", "identity")], binary=CLINICAL["binary"])
-    return models.run_model(rows.join(table, "person_id"), "analysis_case", features)["metrics"].drop("threshold")
+    table = scores.person_scores(called(lens), _weights(lens), rows, [1.0])
+    return drivers.clinical_score_model(rows, table, CLINICAL, "p1", None, folds=False)["metrics"].drop("threshold", "threshold_label")
 
 
 # The first steps of the path, as fractions of each fold's own top λ; oracle and query share them.

@@ -9,7 +9,7 @@ from casewright.plans import drivers
 from casewright.plans.cohort_queries import tiered
 from casewright.plans.fit_sql import newton_sql
 from casewright.plans.genotype_queries import (
-    BURDEN_SQL, COMPARISON_SQL, COVARIATES, DESIGN_SQL, MASK_SQL, SAMPLE_SQL, _bh_sql, _burden_rows, _wald_sql, called, fisher_sql, sample,
+    BURDEN_SQL, COMPARISON_SQL, COVARIATES, DESIGN_SQL, MASK_SQL, SAMPLE_SQL, _bh_sql, _burden_rows, _wald_sql, called, fisher_sql, masked_calls, sample,
 )
 from casewright.plans.model_queries import MATCH_SQL
 from casewright.plans.registry import query
@@ -148,3 +148,47 @@ def burden_in_blocks(lens: Lens) -> DataFrame:
     exposures = genotypes.max_dosage(kept, "mask", "gene")
     fits = association.logistic_per_unit(exposures, people, ["mask", "gene"], COVARIATES, broadcast_limit=0)
     return fits.select("mask", "gene", "beta", "se", "regression_p", "n_samples")
+
+
+GENES = ("Brand#13", "Brand#25", "Brand#42")
+
+
+@query(
+    "targeted_gene_burden",
+    BURDEN_SQL
+    + f"""SELECT replace(mask, 'primary', 'unheard_of') AS mask, gene, n_variants_in_mask, a AS case_carriers, c AS control_carriers, ROUND(p, 6) AS fisher_p
+  FROM cells JOIN fish USING (id) WHERE gene IN {GENES} AND mask <> 'pLoF'""",
+)
+def targeted_burden(lens: Lens) -> DataFrame:
+    """The burden of listed genes alone; a mask of an unknown name is the primary one."""
+    people = sample(lens)
+    rows = association.burden_exposures(masked_calls(lens), ["unheard_of", "pLoF_or_REVEL_0_8"], genotypes.MASK_COLUMNS, GENES)
+    kept = cut_lineage(rows.join(people.select("person_id"), "person_id", "left_semi"))
+    n = kept.groupBy("mask", "gene").agg(F.count_distinct("variant_id").alias("n_variants_in_mask"))
+    tests = association.carrier_tests(genotypes.max_dosage(kept, "mask", "gene"), people, ["mask", "gene"])
+    return n.join(tests, ["mask", "gene"]).select("mask", "gene", "n_variants_in_mask", "case_carriers", "control_carriers", "fisher_p")
+
+
+@query(
+    "smallest_p_preview",
+    """, r AS (SELECT variant_id, CASE WHEN position % 7 <> 0 THEN max_af END AS regression_p FROM annotation)
+SELECT variant_id, ROUND(regression_p, 6) AS regression_p FROM r WHERE regression_p IS NOT NULL ORDER BY r.regression_p, variant_id LIMIT 25""",
+)
+def smallest_p(lens: Lens) -> DataFrame:
+    """The report of the smallest defined p-values, a top-k one."""
+    p = F.when(F.col("position") % 7 != 0, F.col("max_af"))
+    return association.preview(lens.annotation.select("variant_id", p.alias("regression_p")), 25)
+
+
+@query(
+    "covariate_stability",
+    SAMPLE_SQL
+    + """, v AS (SELECT outcome, UNNEST(['pc1', 'pc2', 'is_female', 'one_value', 'cases_only']) AS covariate, UNNEST([pc1, pc2, CAST(is_female AS DOUBLE), 1.0::DOUBLE, CAST(outcome AS DOUBLE)]) AS x FROM sampl)
+SELECT covariate, CASE WHEN COUNT(DISTINCT x) > 1 AND NOT (bool_and(x IS NULL OR x IN (0, 1)) AND (COUNT(*) FILTER (x = 1 AND outcome = 1) = 0 OR COUNT(*) FILTER (x = 1 AND outcome = 0) = 0)) THEN 'kept' ELSE 'dropped' END AS status
+FROM v GROUP BY 1""",
+)
+def covariate_stability(lens: Lens) -> DataFrame:
+    """Which covariates a regression keeps, one constant column and one that only cases have among them."""
+    people = sample(lens).withColumns({"one_value": F.lit(1.0), "cases_only": F.col("outcome").cast("double")})
+    kept, dropped = association.stable_covariates(people, ["pc1", "pc2", "is_female", "one_value", "cases_only"])
+    return people.sparkSession.createDataFrame([(c, "kept") for c in kept] + [(c, "dropped") for c in dropped], "covariate string, status string")
