@@ -364,8 +364,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
 
 
 def kept(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one row of each class, the smallest by id and then by hash of the text; of rows equal in id and text, one."""
+    """``docs`` with one row of each class, the smallest by id and then by hash of the text; of rows equal in id and text, the one of smallest hash of all columns."""
     _, firsts = _classed(docs, doc_id, text, threshold)
     chosen = cut_lineage(firsts.withColumnRenamed("doc_id", "id"))
     keyed = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63))).alias("id"), F.xxhash64(F.col(text)).alias("body"))
-    return keyed.join(chosen, ["id", "body"]).dropDuplicates(["id", "body"]).select("row.*")
+    # maps have no hash; they are the only columns that may differ between equal choices
+    told = [F.col("row")[f.name] for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    return keyed.join(chosen, ["id", "body"]).groupBy("id", "body").agg(F.min_by("row", F.xxhash64(*told)).alias("row")).select("row.*")

@@ -82,6 +82,13 @@ def test_classes_that_share_their_smallest_id_stay_apart(make_docs, spark):
         assert len(bodies) == len(set(bodies.values())) == 5
 
 
+def test_the_row_kept_of_equal_texts_does_not_depend_on_their_order(make_docs, spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = make_docs([text]).drop("source").crossJoin(spark.createDataFrame([(f"s{i}", {"k": i % 2}) for i in range(40)], "source string, more map<string,int>"))
+    got = {r.source for n in (1, 3, 7) for order in ("asc", "desc") for r in neardup.kept(docs.orderBy(getattr(docs.source, order)()).repartition(n)).collect()}
+    assert len(got) == 1 and got <= {f"s{i}" for i in range(40)}
+
+
 def test_dart_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(2)
     elements = rng.integers(1, 2**63, 400).astype(np.uint64)
