@@ -1,7 +1,7 @@
 """Stored genotypes that are read in part: by interval, or joined without an exchange.
 
-``write_ranges`` lays long genotypes out by contig and by bins of positions, sorted inside the files. ``read_intervals``
-then opens only what intervals need: few of them become literal predicates, which prune partitions, files and row groups
+``write_ranges`` lays long genotypes out by contig and by bins of positions, sorted inside the files. A bin is a folder, so
+bins widen where the positions would make too many of them; the width is kept with the rows. ``read_intervals`` then opens only what intervals need: few of them become literal predicates, which prune partitions, files and row groups
 before anything runs; many become a join on the partition columns, by whose keys Spark prunes partitions while it runs.
 
 ``write_bucketed`` keeps a table in buckets of one key, sorted by it. Two tables in as many buckets of the same key join,
@@ -21,7 +21,9 @@ from casewright.session import BROADCAST_LIMIT_BYTES, cut_lineage
 
 #: Positions of a bin, and how many intervals are written out as literals.
 BIN_POSITIONS, FEW_INTERVALS = 10_000_000, 64
-BIN = "position_bin"
+BIN, BIN_WIDTH = "position_bin", "bin_width"
+#: Bins, that is folders, of a store, at most about.
+BIN_LIMIT = 2048
 #: A bin's row in a broadcast, at most about.
 BIN_ROW_BYTES = 96
 
@@ -32,11 +34,19 @@ def _bin_name(contig: Column, number: Column) -> Column:
 
 
 def write_ranges(genotypes: DataFrame, path: str, contig: str = "chromosome", bin_positions: int = BIN_POSITIONS) -> str:
-    """Genotypes by contig and bin of positions. Range partitioning cuts a large bin into many files, sorted by position."""
-    binned = genotypes.withColumn(BIN, _bin_name(F.col(contig), F.floor(F.col("position") / bin_positions)))
+    """Genotypes by contig and bin of positions. Range partitioning cuts a large bin into many files, sorted by position.
+
+    A bin covers ``bin_positions``, or a multiple of it where the contigs' ranges hold more than ``BIN_LIMIT`` such bins.
+    """
+    genotypes = cut_lineage(genotypes)  # read for its ranges, for the cuts and for the rows
+    number = F.floor(F.col("position") / bin_positions)
+    ranges = genotypes.groupBy(contig).agg((F.max(number) - F.min(number) + 1).alias("n"))
+    bins = ranges.agg(F.sum("n").alias("n")).first()["n"] or 0
+    width = bin_positions * max(1, -(-bins // BIN_LIMIT))
+    binned = genotypes.withColumns({BIN_WIDTH: F.lit(width).cast("bigint"), BIN: _bin_name(F.col(contig), F.floor(F.col("position") / width))})
     order = [c for c in (contig, "position", "person_id") if c in binned.columns]
     ranged = binned.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.write.mode("overwrite").partitionBy(contig, BIN).parquet(path)
+    ranged.write.mode("overwrite").partitionBy(BIN_WIDTH, contig, BIN).parquet(path)
     return path
 
 
@@ -49,21 +59,24 @@ def read_intervals(
     """
     # a contig's name must stay text, whatever the folder names look like
     stored = _read_text_contig(spark, path, contig)
+    first = stored.select(BIN_WIDTH).first()
+    width = first[BIN_WIDTH] if first else bin_positions
+    stored = stored.drop(BIN_WIDTH)
     asked = intervals.select(F.col("contig").cast("string").alias("contig"), F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"))
     asked = asked.filter("start <= end").distinct()
     literal = asked.limit(few + 1).collect()
     if len(literal) <= few:
-        return stored.filter(_literal(literal, contig, bin_positions)).drop(BIN)
-    bins = cut_lineage(
-        asked.select(
-            "contig", "start", "end", F.explode(F.sequence(F.floor(F.col("start") / bin_positions), F.floor(F.col("end") / bin_positions))).alias("number")
-        ).select(_bin_name(F.col("contig"), F.col("number")).alias("_bin"), "start", "end")
-    )
+        return stored.filter(_literal(literal, contig, width)).drop(BIN)
+    # a row meets the intervals of its own cell of ``bin_positions`` alone, however wide the bins are
+    cell = lambda c: F.floor(F.col(c) / bin_positions)
+    cells = asked.select("contig", "start", "end", F.explode(F.sequence(cell("start"), cell("end"))).alias("_cell"))
+    number = F.floor(F.col("_cell") * bin_positions / width)
+    bins = cut_lineage(cells.select(_bin_name(F.col("contig"), number).alias("_bin"), "_cell", "start", "end"))
     # Spark prunes partitions by the keys of a join's other side where that side is broadcast, and looks for a filter there
     side = bins.filter("end >= start")
     if bins.count() * BIN_ROW_BYTES <= BROADCAST_LIMIT_BYTES:
         side = F.broadcast(side)
-    on = (F.col(BIN) == F.col("_bin")) & F.col("position").between(F.col("start"), F.col("end"))
+    on = (F.col(BIN) == F.col("_bin")) & (cell("position") == F.col("_cell")) & F.col("position").between(F.col("start"), F.col("end"))
     met = stored.join(side, on, "left_semi")
     return met.drop(BIN)
 

@@ -75,6 +75,19 @@ def test_no_interval_and_many_of_them(spark, stored):
     assert got.count() == sum(r[0] == "1" and r[1] % 7 == 0 for r in rows)
 
 
+@pytest.mark.parametrize("few", [64, 0])
+def test_long_ranges_make_few_folders(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(genotype_store, "BIN_LIMIT", 12)
+    rows = [(str(1 + i % 2), 1000 * i, f"p{i}", 1) for i in range(400)]
+    df = spark.createDataFrame(rows, "chromosome string, position long, person_id string, dosage int")
+    path = genotype_store.write_ranges(df, f"file://{tmp_path}/g", bin_positions=1000)
+    assert spark.read.parquet(path).select("position_bin").distinct().count() <= 12 + 2
+    asked = [("1", 3500, 9000), ("2", 0, 1000), ("1", 8000, 8000), ("2", 396_500, 900_000), ("3", 1, 10**6)]
+    got = genotype_store.read_intervals(spark, path, spark.createDataFrame(asked, "contig string, start long, end long"), bin_positions=1000, few=few)
+    want = sorted(r for r in rows if any(c == r[0] and s <= r[1] <= e for c, s, e in asked))
+    assert sorted(map(tuple, got.select("chromosome", "position", "person_id", "dosage").collect())) == want
+
+
 def test_contigs_stay_text(spark, tmp_path):
     df = spark.createDataFrame([("07", 5, "p"), ("7", 6, "q")], "contig string, position long, person_id string")
     path = genotype_store.write_ranges(df, f"file://{tmp_path}/g", "contig")
