@@ -8,7 +8,9 @@ distance, index distance, person id). Strata are independent.
   of controls (age band × time band × salt; only the best of a chunk leave the task). Cases propose to
   their first k open candidates, a control keeps its earliest case, the others are rejected and move on.
   With all controls ranking cases by one global order this ends in the sequential greedy's result. A case
-  that runs out of listed candidates gets a fresh list without the controls it can no longer have.
+  that runs out of listed candidates gets a fresh list without the controls it can no longer have. Between rounds, cases of
+  neighbouring index dates settle among themselves inside tasks, in blocks of bounded size, so that a chain of rejections
+  does not take a round for each link. Where controls are dense, lists are sought nearby first (``_reaches``).
 * Where a case below the minimum takes nobody, which cases fall short is itself settled in rounds: given the ones
   assumed so far, who hold nothing but still list what earlier cases leave them, all cases are judged again at once.
   A judgement is right as soon as those of the earlier cases that it depends on are, so cases that cannot affect each
@@ -19,6 +21,8 @@ distance, index distance, person id). Strata are independent.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -31,6 +35,7 @@ from casewright.session import cut_lineage, cut_union
 STRATUM_LIMIT = 100_000  # people of one stratum matched inside one task
 CHUNK_LIMIT = 20_000  # controls, and cases, of one chunk
 LIST_SLACK = 8  # candidates listed per needed control
+BLOCK_CASES = 20_000  # cases that settle among themselves in one task
 
 ASSIGNMENT = "case_id string, control_id string, match_rank int, age_at_case_index double"
 
@@ -174,13 +179,15 @@ def _cells(cases: DataFrame, controls: DataFrame, rules: Matching) -> tuple[Data
     """
     width = max(rules.within.years, 1.0)
     span = max(rules.within.days, 1)
+    # whole years lie in the middle of a band, so that a tolerance of 0 reaches one
+    band = lambda c: F.floor(c / width + 0.5)
     kind = F.when(F.col("yob").isNotNull(), "yob").when(F.col("birth_day").isNotNull(), "birth").otherwise("age")
     value = F.coalesce(F.col("yob"), F.col("birth_day") / 365.25, F.col("age"))
     dated = controls.filter(F.col("anchor").isNotNull()).select(
-        "*", kind.alias("kind"), F.floor(value / width).alias("age_band"), F.floor(F.col("anchor") / span).alias("time_band")
+        "*", kind.alias("kind"), band(value).alias("age_band"), F.floor(F.col("anchor") / span).alias("time_band")
     )
     undated = controls.select(
-        "*", F.lit("undated").alias("kind"), F.floor(F.col("age") / width).alias("age_band"),
+        "*", F.lit("undated").alias("kind"), band(F.col("age")).alias("age_band"),
         F.lit(0).cast("long").alias("time_band"),
     )
     controls = dated.unionByName(undated).filter(F.col("age_band").isNotNull())
@@ -195,7 +202,7 @@ def _cells(cases: DataFrame, controls: DataFrame, rules: Matching) -> tuple[Data
     slack = rules.within.years + 1e-6
     cases = cases.filter(F.col("age").isNotNull()).select("*", F.inline(targets))
     cases = cases.withColumn(
-        "age_band", F.explode(F.sequence(F.floor((F.col("t") - slack) / width), F.floor((F.col("t") + slack) / width)))
+        "age_band", F.explode(F.sequence(band(F.col("t") - slack), band(F.col("t") + slack)))
     )
     first = F.floor((F.col("index_day") - span - 1) / span)
     last = F.floor((F.col("index_day") + span + 1) / span)
@@ -208,6 +215,34 @@ def _cells(cases: DataFrame, controls: DataFrame, rules: Matching) -> tuple[Data
 _CELL = ["stratum", "kind", "age_band", "time_band"]
 
 
+def _parts(n: str, chunk: int) -> Column:
+    return F.greatest(F.lit(1), F.ceil(F.col(n) / chunk)).cast("int")
+
+
+def _cell_sizes(case_cells: DataFrame, control_cells: DataFrame, chunk: int) -> DataFrame:
+    counted = case_cells.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_nc"))
+    joined = counted.join(control_cells.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_nk")), _CELL)
+    return cut_lineage(joined.select(*_CELL, _parts("_nc", chunk).alias("_case_parts"), _parts("_nk", chunk).alias("_control_parts")))
+
+
+def _reaches(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int) -> list[tuple[Matching, DataFrame]]:
+    """Tolerances to seek within, widest first, with the sizes of their cells; narrower ones while a cell has several chunks.
+
+    Candidates order by age distance, then index distance. So a case that finds its whole list within a tolerance, or with
+    no age distance at all within fewer days, has its best ones.
+    """
+    days = rules.within.days
+    tolerances = [rules.within, replace(rules.within, years=0), replace(rules.within, years=0, days=days // 16)]
+    out: list[tuple[Matching, DataFrame]] = []
+    for within in dict.fromkeys(tolerances):
+        narrow = replace(rules, within=within)
+        sizes = _cell_sizes(*_cells(cases, controls, narrow), chunk)
+        out.append((narrow, sizes))
+        if sizes.filter("_control_parts > 1").isEmpty():
+            break
+    return out
+
+
 def top_candidates(cases: DataFrame, controls: DataFrame, rules: Matching, k: int, chunk: int = CHUNK_LIMIT) -> DataFrame:
     """The best ``k`` admissible controls of each case as rows (pos from 1), never all pairs.
 
@@ -215,14 +250,25 @@ def top_candidates(cases: DataFrame, controls: DataFrame, rules: Matching, k: in
     """
     if "held_by" not in controls.columns:
         controls = controls.withColumn("held_by", F.lit(None).cast("string"))
+    *wider, (narrow, sizes) = _reaches(cases, controls, rules, chunk)
+    out, left = None, cases
+    while True:
+        found = _top_within(left, controls, narrow, sizes, k, chunk)
+        if not wider:
+            return found if out is None else out.unionByName(found)
+        found = cut_lineage(found)
+        full = found.filter(F.col("pos") == k).select("case_id")
+        whole = found.join(full, "case_id", "left_semi")
+        out = whole if out is None else out.unionByName(whole)
+        left = cut_lineage(left.join(full, "case_id", "left_anti"))
+        if left.isEmpty():
+            return out
+        narrow, _ = wider.pop()
+        sizes = _cell_sizes(*_cells(left, controls, narrow), chunk)
+
+
+def _top_within(cases: DataFrame, controls: DataFrame, rules: Matching, sizes: DataFrame, k: int, chunk: int) -> DataFrame:
     case_cells, control_cells = _cells(cases, controls, rules)
-    parts = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / chunk)).cast("int")
-    sizes = cut_lineage(
-        case_cells.groupBy(*_CELL)
-        .agg(F.count(F.lit(1)).alias("_nc"))
-        .join(control_cells.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_nk")), _CELL)
-        .select(*_CELL, parts("_nc").alias("_case_parts"), parts("_nk").alias("_control_parts"))
-    )
     salt = lambda column, n: F.pmod(F.xxhash64(column), F.col(n)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
@@ -253,18 +299,8 @@ def top_candidates(cases: DataFrame, controls: DataFrame, rules: Matching, k: in
             found = _candidates(case, c, lambda part: c["held"][part] >= order, window, tolerance)
             if len(found[0]):
                 best = _best(c, found, k)
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "case_id": case.case_id,
-                            "control_id": c["id"][found[0][best]],
-                            "gap": found[1][best],
-                            "distance": found[2][best],
-                            "age_at_case_index": found[3][best],
-                        }
-                    )
-                )
-        return pd.concat(out) if out else pd.DataFrame(columns=names)
+                out.append(([case.case_id] * len(best), c["id"][found[0][best]], *(column[best] for column in found[1:])))
+        return pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*out))))) if out else pd.DataFrame(columns=names)
 
     key = [*_CELL, "_a", "_b"]
     found = (
@@ -277,19 +313,47 @@ def top_candidates(cases: DataFrame, controls: DataFrame, rules: Matching, k: in
     return found.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= k)
 
 
+def _blocked(cases: DataFrame) -> DataFrame:
+    """Cases with a ``block`` of their stratum's neighbouring index dates; a crowded date is dealt over several."""
+    days = cases.groupBy("stratum", "index_day").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("stratum").orderBy("index_day"))  # a row for each date
+    ends = days.select("stratum", F.col("index_day").alias("_day"), F.floor(before / BLOCK_CASES).alias("_at"), _parts("_n", BLOCK_CASES).alias("_deal"))
+    joined = cases.join(ends.withColumnRenamed("stratum", "_stratum"), (F.col("stratum") == F.col("_stratum")) & F.col("index_day").eqNullSafe(F.col("_day")))
+    deal = F.pmod(F.xxhash64("case_id"), F.col("_deal"))
+    block = F.when(F.col("_deal") > 1, F.concat_ws("|", "stratum", F.lit("day"), F.col("_day").cast("string"), deal.cast("string"))).otherwise(F.concat_ws("|", "stratum", F.col("_at").cast("string")))
+    return joined.withColumn("block", block).drop("_stratum", "_day", "_at", "_deal")
+
+
+def _settled_in_block(k: int, edges: pd.DataFrame) -> pd.DataFrame:
+    """Listed candidates without those that an earlier case of the block takes; what a case takes here, it or an earlier one holds in the end."""
+    edges = edges.sort_values(["case_order", "gap", "distance", "control_id"], ignore_index=True)
+    keep = np.ones(len(edges), dtype=bool)
+    taken: dict[str, str] = {}
+    case, got = None, 0
+    for i, (order, control, active) in enumerate(zip(edges["case_order"], edges["control_id"], edges["active"])):
+        if order != case:
+            case, got = order, 0
+        if taken.get(control, case) != case:
+            keep[i] = False
+        elif active and got < k:
+            taken[control] = case
+            got += 1
+    return edges[keep].drop(columns="active")
+
+
 def _rounds(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int) -> DataFrame:
     """Deferred acceptance over listed candidates; lists are refilled until nobody can move."""
     k = rules.controls.wanted
     list_len = k * LIST_SLACK
-    cases = cut_lineage(cases)
+    cases = cut_lineage(_blocked(cases))
     controls = cut_lineage(controls)
     released = None  # cases assumed to fall short
-    edge_cols = ["case_id", "case_order", "stratum", "control_id", "gap", "distance", "age_at_case_index"]
+    edge_cols = ["case_id", "case_order", "stratum", "block", "control_id", "gap", "distance", "age_at_case_index"]
 
-    def listed(for_cases: DataFrame, held: DataFrame | None) -> DataFrame:
+    def listed(for_cases: DataFrame, held: DataFrame | None, length: int) -> DataFrame:
         pool = controls if held is None else controls.join(held, "control_id", "left")
-        rows = top_candidates(for_cases, pool, rules, list_len, chunk)
-        return rows.join(for_cases.select("case_id", "case_order", "stratum"), "case_id").select(*edge_cols)
+        rows = top_candidates(for_cases, pool, rules, length, chunk)
+        return rows.join(for_cases.select("case_id", "case_order", "stratum", "block"), "case_id").select(*edge_cols)
 
     preference = Window.partitionBy("case_id").orderBy("gap", "distance", "control_id")
 
@@ -299,25 +363,32 @@ def _rounds(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int)
         active = active if released is None else active.join(released, "case_id", "left_anti")
         return active.groupBy("control_id").agg(F.min("case_order").alias("held_by"))
 
-    def replaced(of_cases: DataFrame, rest: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def in_blocks(rows: DataFrame) -> DataFrame:
+        active = F.lit(True)
+        if released is not None:
+            rows, active = rows.join(released.withColumn("_out", F.lit(True)), "case_id", "left"), F.col("_out").isNull()
+        rows = rows.select(*edge_cols, active.alias("active"))
+        return rows.groupBy("block").applyInPandas(partial(_settled_in_block, k), rows.drop("active").schema)
+
+    def replaced(of_cases: DataFrame, rest: DataFrame, held: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
         """Edges and list ends with fresh lists for some cases."""
-        fresh = cut_lineage(listed(of_cases, held))
-        refilled = fresh.groupBy("case_id").agg((F.count(F.lit(1)) >= list_len).alias("more"))
+        fresh = cut_lineage(listed(of_cases, held, length))
+        refilled = fresh.groupBy("case_id").agg((F.count(F.lit(1)) >= length).alias("more"))
         ends = of_cases.select("case_id").join(refilled, "case_id", "left").na.fill(False, ["more"])
         return cut_union(rest, fresh), cut_union(full.join(of_cases, "case_id", "left_anti"), ends)
 
-    edges = cut_lineage(listed(cases, None))
+    edges, length = cut_lineage(listed(cases, None, list_len)), list_len
     full = cut_lineage(edges.groupBy("case_id").agg((F.count(F.lit(1)) >= list_len).alias("more")))
-    left = edges.count()
     while True:
         # settle: drop every edge whose control is held by an earlier active proposer
         while True:
+            edges = cut_lineage(in_blocks(edges))
+            before = edges.count()
             kept = edges.join(holders(edges), "control_id", "left").filter(
                 F.col("held_by").isNull() | (F.col("case_order") <= F.col("held_by"))
             )
             edges = cut_lineage(kept.select(*edge_cols))
-            before, left = left, edges.count()
-            if left == before:
+            if edges.count() == before:
                 break
         counts = edges.groupBy("case_id").agg(F.count(F.lit(1)).alias("n"))
         short = (
@@ -328,8 +399,9 @@ def _rounds(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int)
         )
         short = cut_lineage(short)
         if not short.isEmpty():
-            edges, full = replaced(short, edges.join(short, "case_id", "left_anti"), holders(edges))
-            left = edges.count()
+            # ever fewer cases ask, each for more, so that the number of refills grows little with the density of controls
+            length *= 2
+            edges, full = replaced(short, edges.join(short, "case_id", "left_anti"), holders(edges), length)
             continue
         if not (rules.controls.whole and rules.controls.least > 1):
             break
@@ -349,8 +421,8 @@ def _rounds(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int)
         released = cut_lineage(failing)
         later = cut_lineage(cases.join(cut, "stratum").filter(F.col("case_order") > F.col("cut")).drop("cut"))
         settled = edges.join(later, "case_id", "left_anti")
-        edges, full = replaced(later, settled, holders(settled))
-        left = edges.count()
+        length = list_len
+        edges, full = replaced(later, settled, holders(settled), length)
     final = edges if released is None else edges.join(released, "case_id", "left_anti")
     final = final.withColumn("match_rank", F.row_number().over(preference)).filter(F.col("match_rank") <= k)
     return final.select("case_id", "control_id", "match_rank", "age_at_case_index")

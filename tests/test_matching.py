@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +150,21 @@ def test_control_inherits_index_date_and_age(spark):
     assert {r.metric: r.n for r in matching.matching_qc(matched).collect()} == {
         "matched_cases": 1, "matched_controls": 1, "match_groups": 1,
     }
+
+
+def test_a_chain_of_rejections_settles_in_one_block():
+    """Case i wants control i - 1, which an earlier case takes, then control i: one link a round before."""
+    rows = [(f"c{i:03}", f"o{i:03}", "s", "b", f"k{j:03}", float(j - i), 0.0, 40.0, i != 50) for i in range(99) for j in (max(i - 1, 0), i)]
+    edges = pd.DataFrame(rows, columns=["case_id", "case_order", "stratum", "block", "control_id", "gap", "distance", "age_at_case_index", "active"]).drop_duplicates()
+    kept = matching._settled_in_block(1, edges.sample(frac=1, random_state=1))
+    held = kept.sort_values(["case_order", "gap"]).drop_duplicates("case_id").set_index("case_id")["control_id"]
+    # case 50 only looks on, so the next one takes its control 50 and nobody after it is rejected
+    assert [held[f"c{i:03}"] for i in range(99)] == [f"k{i if i <= 50 else i - 1:03}" for i in range(99)]
+
+
+def test_dense_controls_are_sought_nearby_first(spark):
+    controls, rules = spark.range(900).selectExpr("'s' AS stratum", "concat('k', id) AS control_id", "-9000D AS start_day", "9000D AS end_day", "double(id) AS anchor", "double(1950 + id % 9) AS yob", "double(NULL) AS birth_day", "double(NULL) AS age"), Matching()
+    cases = spark.range(12).selectExpr("'s' AS stratum", "concat('c', id) AS case_id", "concat('c', id) AS case_order", "double(70 * id) AS index_day", "1971D AS index_year", "double(18 + id % 5) AS age")
+    assert len(matching._reaches(cases, controls, rules, 25)) == 3 and len(matching._reaches(cases, controls, rules, 900)) == 1
+    one = sorted(map(tuple, matching.top_candidates(cases, controls, rules, 6, 25).collect()))
+    assert one == sorted(map(tuple, matching.top_candidates(cases, controls, rules, 6, 900).collect())) and len(one) == 72
