@@ -175,10 +175,12 @@ def variant_gwas(
 
 def plp_panel(
     calls: DataFrame, annotation: DataFrame, samples_: DataFrame, covariates: Sequence[str], clinvar_terms: Sequence[str], plof_terms: Sequence[str],
-    manifest: DataFrame | None = None,
+    manifest: DataFrame | None = None, parts: Sequence[str] = ("variant_association", "gene_association", "person_summary"),
 ) -> dict[str, DataFrame]:
     """Primary-mask panel: variant and gene associations in every comparison set, and one row for each carrier.
 
+    Only the asked ``parts`` are worked out.
+
     ``calls``: variant_id, person_id, n_alt. ``samples_``: comparison, person_id, outcome, covariates. A ``manifest``
     restricts the calls to its people, and must hold some.
     """
@@ -187,7 +189,12 @@ def plp_panel(
     carried = held.filter("n_alt > 0").select("person_id", "variant_id", F.col("n_alt").alias("dosage"))
     masked = cut_lineage(carried.join(masks, "variant_id"))
     associate = lambda unit: association.panel_association(genotypes.max_dosage(masked, unit), samples_, [unit], covariates)
-    return {"variant_association": associate("variant_id"), "gene_association": associate("gene"), "person_summary": genotypes.panel_person_summary(masked)}
+    makers = {
+        "variant_association": lambda: associate("variant_id"),
+        "gene_association": lambda: associate("gene"),
+        "person_summary": lambda: genotypes.panel_person_summary(masked),
+    }
+    return {part: makers[part]() for part in parts}
 
 
 def candidate_genotypes(

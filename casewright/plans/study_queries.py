@@ -46,9 +46,10 @@ cells AS (SELECT ctot.comparison || '|' || pan.unit AS id, ctot.comparison, pan.
     )
 
 
-def _panel(lens: Lens) -> dict[str, DataFrame]:
+def _panel(lens: Lens, part: str) -> DataFrame:
     people = sample(lens)
-    return drivers.plp_panel(called(lens), lens.annotation, association.comparison_samples(people), ["pc1"], CLINVAR_TERMS, PLOF_TERMS)
+    compared = association.comparison_samples(people)
+    return drivers.plp_panel(called(lens), lens.annotation, compared, ["pc1"], CLINVAR_TERMS, PLOF_TERMS, parts=[part])[part]
 
 
 PANEL_COLUMNS = ["case_carriers", "control_carriers", "fisher_p", "fdr_q", "beta", "regression_p", "regression_fdr_q"]
@@ -56,12 +57,12 @@ PANEL_COLUMNS = ["case_carriers", "control_carriers", "fisher_p", "fdr_q", "beta
 
 @query("plp_panel_variants", _panel_sql("variant_id"), decimals=4)
 def panel_variants(lens: Lens) -> DataFrame:
-    return _panel(lens)["variant_association"].select("comparison", "variant_id", *PANEL_COLUMNS)
+    return _panel(lens, "variant_association").select("comparison", "variant_id", *PANEL_COLUMNS)
 
 
 @query("plp_panel_genes", _panel_sql("gene"), decimals=4)
 def panel_genes(lens: Lens) -> DataFrame:
-    return _panel(lens)["gene_association"].select("comparison", "gene", *PANEL_COLUMNS)
+    return _panel(lens, "gene_association").select("comparison", "gene", *PANEL_COLUMNS)
 
 
 @query(
