@@ -18,6 +18,7 @@ from casewright.operators.cohort import _is_icd, baseline_frame, observation_win
 from casewright.operators.describe import long_counts
 from casewright.operators.predicates import any_rule_matches, rule_matches
 from casewright.rules import Concepts, IncidentRules
+from casewright.session import cut_lineage
 
 
 def _bit(i: int) -> Column:
@@ -255,6 +256,18 @@ def _outcomes(frame: DataFrame) -> DataFrame:
     )
 
 
+def case_control_rows(built: DataFrame, *columns: str) -> DataFrame:
+    """The eligible rows of a built cohort, all columns or the given ones, read from a written table.
+
+    Written before the filter: a filter on the outcome would move below the columns that make it up, and work the baseline
+    date out once more for every day of every person.
+    """
+    flag = "case_control_eligible"
+    stored = cut_lineage(built.select(*columns, flag) if columns else built)
+    kept = stored.filter(F.coalesce(F.col(flag).cast("int"), F.lit(0)) == 1)
+    return kept.select(*columns) if columns else kept
+
+
 def incident_consort(cohort: DataFrame) -> DataFrame:
     """17-step flow counts in one pass."""
     total = lambda c: F.sum(F.col(c).cast("long"))

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from casewright.operators import association, ranking, sparse_regression
+from casewright.operators import association, ranking, sparse_regression, splits
 
 
 def counted(spark, df):
@@ -46,3 +46,10 @@ def test_units_fitted_together(spark):
         assert association.wald(*fitted, 3)[:2] == pytest.approx((beta[i], se[i]), abs=1e-5)
         assert sparse_regression.fit_carriers(null, base[at[own]], y[at[own]], x[own])[1] == pytest.approx(beta[i], abs=1e-12)
     assert [(s.start, s.stop) for s in sparse_regression.unit_chunks(np.array([60_000, 60_000, 300_000, 5]))] == [(0, 1), (1, 2), (2, 3), (3, 4)]
+
+
+def test_stratified_splits_read_once(spark):
+    df, rows = counted(spark, spark.range(40).select(F.col("id").cast("string").alias("person_id"), (F.col("id") % 4 == 0).cast("int").alias("analysis_case")))
+    got = splits.stratified_splits(df).collect()
+    assert sum(r.analysis_split == "test" for r in got) == 8 and {r.cv_fold for r in got} == {None, 1, 2, 3, 4, 5}
+    assert rows.value == 40
