@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from casewright.operators import association, ranking, sparse_regression, splits
+from casewright.operators import association, incident, leads, ranking, sparse_regression, splits
 
 
 def counted(spark, df):
@@ -53,3 +53,9 @@ def test_stratified_splits_read_once(spark):
     got = splits.stratified_splits(df).collect()
     assert sum(r.analysis_split == "test" for r in got) == 8 and {r.cv_fold for r in got} == {None, 1, 2, 3, 4, 5}
     assert rows.value == 40
+
+
+def test_qq_points_read_once(spark):
+    df, rows = counted(spark, spark.range(1, 41).select(F.col("id").cast("string").alias("variant_id"), (F.col("id") / 40).alias("regression_p")))
+    assert association.qq_points(df).count() == 40
+    assert rows.value == 40
