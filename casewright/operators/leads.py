@@ -26,8 +26,9 @@ def lead_hits(results: DataFrame, window_bp: int = 250_000, p: str = "regression
     nothing is open. While the widened chunks stay small they grow fourfold from round to round, so a chain of
     falling p along a chromosome takes a logarithmic number of rounds.
     """
+    results = cut_lineage(results.filter(F.col(p).isNotNull()))  # read again for the leads' rows
     best = (
-        results.filter(F.col(p).isNotNull())
+        results
         .groupBy("chromosome", "position")
         .agg(F.min(F.struct(F.col(p).alias("p"), F.col("variant_id").alias("id"))).alias("_b"))
         .select("chromosome", F.col("position").cast("long").alias("position"), F.col("_b.p").alias("p"), F.col("_b.id").alias("id"), F.lit(0).alias("state"))
@@ -75,4 +76,4 @@ def lead_hits(results: DataFrame, window_bp: int = 250_000, p: str = "regression
         if wider.agg(F.max("count")).first()[0] <= CHUNK_ROWS:
             width *= 4
     kept = state.filter("state = 1").select(F.col("id").alias("variant_id"))
-    return results.filter(F.col(p).isNotNull()).join(kept, "variant_id", "left_semi")
+    return results.join(kept, "variant_id", "left_semi")

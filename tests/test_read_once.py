@@ -59,3 +59,10 @@ def test_qq_points_read_once(spark):
     df, rows = counted(spark, spark.range(1, 41).select(F.col("id").cast("string").alias("variant_id"), (F.col("id") / 40).alias("regression_p")))
     assert association.qq_points(df).count() == 40
     assert rows.value == 40
+
+
+def test_lead_hits_read_once(spark):
+    base = spark.createDataFrame([(f"v{i}", "1", i * 60, (i * 37 % 50 + 1) / 100) for i in range(50)], "variant_id string, chromosome string, position long, regression_p double")
+    df, rows = counted(spark, base)
+    assert leads.lead_hits(df, 100).count() > 5
+    assert rows.value == 50
