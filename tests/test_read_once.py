@@ -66,3 +66,10 @@ def test_lead_hits_read_once(spark):
     df, rows = counted(spark, base)
     assert leads.lead_hits(df, 100).count() > 5
     assert rows.value == 50
+
+
+def test_carrier_tests_read_exposures_once(spark):
+    people = spark.range(20).select(F.col("id").cast("string").alias("person_id"), (F.col("id") % 2).alias("outcome"))
+    df, rows = counted(spark, spark.range(60).select((F.col("id") % 20).cast("string").alias("person_id"), F.concat(F.lit("v"), (F.col("id") % 6).cast("string")).alias("variant_id"), F.lit(1.0).alias("dosage")))
+    assert association.carrier_tests(df, people, ["variant_id"]).count() == 6
+    assert rows.value == 60
