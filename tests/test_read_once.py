@@ -73,3 +73,14 @@ def test_carrier_tests_read_exposures_once(spark):
     df, rows = counted(spark, spark.range(60).select((F.col("id") % 20).cast("string").alias("person_id"), F.concat(F.lit("v"), (F.col("id") % 6).cast("string")).alias("variant_id"), F.lit(1.0).alias("dosage")))
     assert association.carrier_tests(df, people, ["variant_id"]).count() == 6
     assert rows.value == 60
+
+
+def test_gene_burden_reads_once(spark):
+    people = spark.range(60).select(F.col("id").cast("string").alias("person_id"), (F.col("id") % 3 == 0).cast("int").alias("outcome"))
+    masked = spark.range(90).select(
+        F.lit("primary").alias("mask"), F.concat(F.lit("g"), (F.col("id") % 2).cast("string")).alias("gene"), (F.col("id") * 7 % 60).cast("string").alias("person_id"),
+        F.concat(F.lit("v"), (F.col("id") % 9).cast("string")).alias("variant_id"), F.lit(1).alias("dosage"),
+    )
+    df, rows = counted(spark, masked)
+    assert association.gene_burden(df, people, []).count() == 2
+    assert rows.value == 90
