@@ -84,3 +84,12 @@ def test_gene_burden_reads_once(spark):
     df, rows = counted(spark, masked)
     assert association.gene_burden(df, people, []).count() == 2
     assert rows.value == 90
+
+
+def test_case_control_rows_stop_the_filter(spark):
+    """The filter reads a table: it does not move below the columns that make the cohort up."""
+    df, rows = counted(spark, spark.range(30).select(F.col("id").cast("string").alias("person_id"), (F.col("id") % 3).cast("int").alias("case_control_eligible"), F.lit(1).alias("other")))
+    kept = incident.case_control_rows(df, "person_id")
+    assert kept.columns == ["person_id"] and kept.count() == 10 and kept.count() == 10
+    assert incident.case_control_rows(df).columns == ["person_id", "case_control_eligible", "other"]
+    assert rows.value == 60
