@@ -93,3 +93,9 @@ def test_case_control_rows_stop_the_filter(spark):
     assert kept.columns == ["person_id"] and kept.count() == 10 and kept.count() == 10
     assert incident.case_control_rows(df).columns == ["person_id", "case_control_eligible", "other"]
     assert rows.value == 60
+
+
+def test_exact_quantiles_read_once(spark):
+    df, rows = counted(spark, spark.range(41).select((F.col("id") / 2).alias("v")))
+    assert ranking.exact_quantiles(df, "v", {"m": 0.5}).first().m == 10.0
+    assert rows.value == 41
