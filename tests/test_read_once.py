@@ -1,10 +1,19 @@
 """Operators that need their input several times work it out once, and units fitted together are fitted as one by one."""
 
+import math
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from casewright.operators import association, incident, leads, ranking, sparse_regression, splits
+from casewright.functions import distributions
+from casewright.operators import association, incident, leads, profile, ranking, skew, sparse_regression, splits
+from casewright.plans import genotype_queries, model_queries, study_queries
+from casewright.sources import genotype_store
+from casewright.sources.lens import Lens
+
+SMALL = "/root/testdata/sf0.001"
 
 
 def counted(spark, df):
@@ -99,3 +108,19 @@ def test_exact_quantiles_read_once(spark):
     df, rows = counted(spark, spark.range(41).select((F.col("id") / 2).alias("v")))
     assert ranking.exact_quantiles(df, "v", {"m": 0.5}).first().m == 10.0
     assert rows.value == 41
+
+
+def test_salted_lookup_reads_once(spark):
+    df, rows = counted(spark, spark.range(40).select((F.col("id") % 4).alias("k"), "id"))
+    assert skew.salted_lookup(df, spark.range(3).select(F.col("id").alias("k")), "k", "id").count() == 30
+    assert rows.value == 40
+
+
+@pytest.mark.parametrize("run", [genotype_queries._gwas, model_queries.ld_pruned], ids=["gwas", "ld_pruned"])
+def test_calls_read_once(spark, monkeypatch, run):
+    lens = Lens(spark, SMALL)
+    df, rows = counted(spark, genotype_queries.called(lens).select("variant_id", "person_id", "n_alt"))
+    for module in (genotype_queries, model_queries):
+        monkeypatch.setattr(module, "called", lambda _: df)
+    run(lens).count()
+    assert rows.value == lens.genotype.count()
