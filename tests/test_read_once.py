@@ -136,6 +136,13 @@ def test_calls_read_once(spark, monkeypatch, run):
     assert rows.value == lens.genotype.count()
 
 
+def test_logistic_reads_exposures_once(spark):
+    people = spark.range(60).select(F.col("id").cast("string").alias("person_id"), (F.col("id") % 3 == 0).cast("int").alias("outcome"))
+    df, rows = counted(spark, spark.range(50).select(F.concat(F.lit("v"), (F.col("id") % 2).cast("string")).alias("v"), F.col("id").cast("string").alias("person_id"), F.lit(1.0).alias("dosage")))
+    assert association.logistic_per_unit(df, people, ["v"], [], broadcast_limit=0).count() == 2
+    assert rows.value == 50
+
+
 def test_equal_rows_worked_out_once():
     asked = []
     out = distributions._rows(lambda a, b: asked.append((a, b)) or a + b, pd.Series([1, 2, 1, 1]), pd.Series([5.0, math.nan, 5.0, 6.0]))
