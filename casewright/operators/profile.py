@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casewright.operators.ranking import exact_quantiles
+from casewright.session import cut_lineage
 
 Windows = Sequence[tuple[str, int | None]]
 
@@ -157,9 +158,11 @@ def biomarker_availability(
             ]
         )
     )
-    tagged = measurements.withColumn("biomarker", F.explode(tags)).withColumn(
-        "window", F.explode(window_labels(windows, F.col("days_before")))
-    )
+    labelled = measurements.select("person_id", "value", "n", tags.alias("_tags"), window_labels(windows, F.col("days_before")).alias("_windows"))
+    # written once: the counts and the medians read it; rows without a tag go at the explode, since a filter on tags would
+    # move below the join and match terms on every event
+    held = cut_lineage(labelled)
+    tagged = held.withColumn("biomarker", F.explode("_tags")).withColumn("window", F.explode("_windows")).drop("_tags", "_windows")
     agg = tagged.groupBy("biomarker", "window").agg(
         F.count_distinct("person_id").alias("_people"), F.sum("n").alias("_rows")
     )

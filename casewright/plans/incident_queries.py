@@ -8,6 +8,7 @@ from casewright.operators import incident, profile
 from casewright.operators.describe import suppress_small_counts
 from casewright.plans.cohort_queries import TIER_SQL, tiered
 from casewright.plans.registry import query
+from casewright.session import cut_lineage
 from casewright.sources.lens import INCIDENT, Lens
 
 HISTORY = list(INCIDENT.history)
@@ -331,7 +332,7 @@ SELECT m.biomarker, w.win AS "window", n_cases, COALESCE(people, 0) AS n_cases_w
 FROM markers m CROSS JOIN wins w CROSS JOIN ncs LEFT JOIN g ON g.biomarker = m.biomarker AND g.win = w.win""",
 )
 def biomarkers(lens: Lens) -> DataFrame:
-    cases = _cases(lens)
+    cases = cut_lineage(_cases(lens))  # read by the events and by the total
     events = profile.preindex_events(lens.measurement, cases, "value")
     return profile.biomarker_availability(events, cases, WINDOWS, LENS_BIOMARKERS)
 

@@ -143,6 +143,14 @@ def test_logistic_reads_exposures_once(spark):
     assert rows.value == 50
 
 
+def test_biomarkers_read_once(spark):
+    base = spark.range(30).select(F.col("id").cast("string").alias("person_id"), F.lit("serum sodium").alias("concept_name"), F.col("id").cast("double").alias("value"), F.lit(2).alias("days_before"), F.lit(1).cast("long").alias("n"))
+    df, rows = counted(spark, base)
+    got = profile.biomarker_availability(df, base, [("3d", 3), ("any_prior", None)], {"sodium": ("sodium",)}).collect()
+    assert {(r.window, r.total_measurements, r.median_value) for r in got} == {("3d", 30, 14.5), ("any_prior", 30, 14.5)}
+    assert rows.value == 30
+
+
 def test_equal_rows_worked_out_once():
     asked = []
     out = distributions._rows(lambda a, b: asked.append((a, b)) or a + b, pd.Series([1, 2, 1, 1]), pd.Series([5.0, math.nan, 5.0, 6.0]))
