@@ -74,7 +74,7 @@ def candidate_genotypes(lens: Lens) -> DataFrame:
     """Calls of the candidate variants: of the stored calls only the files in the candidates' merged intervals are read."""
     wide = lens.annotation.withColumns({"vid": F.col("variant_id"), "contig": F.col("chromosome"), "ref_allele": F.lit("A"), "alt_allele": F.lit("C"), "gene_symbol": F.col("gene")})
     raw = wide.withColumns({"gnomad_max_af": F.col("max_af"), "clinvar_classification": F.col("clinvar_significance")})
-    calls = called(lens).withColumnRenamed("chromosome", "contig")
+    calls = called(lens).select("person_id", "variant_id", F.col("chromosome").alias("contig"), "position", "n_alt")
     stored = genotype_store.write_ranges(calls, intermediate_path(lens.spark, "genotypes"), "contig")
     found = drivers.candidate_genotypes(raw, stored, ["Brand#13", "Brand#25", "Brand#42"], CLINVAR_TERMS, PLOF_TERMS)
     return found.select("person_id", "variant_id", "gene", "dosage")

@@ -151,6 +151,14 @@ def test_biomarkers_read_once(spark):
     assert rows.value == 30
 
 
+def test_candidate_store_holds_the_read_columns(spark, monkeypatch):
+    seen = []
+    write = genotype_store.write_ranges
+    monkeypatch.setattr(genotype_store, "write_ranges", lambda df, *rest: seen.append(df.columns) or write(df, *rest))
+    study_queries.candidate_genotypes(Lens(spark, SMALL))
+    assert seen == [["person_id", "variant_id", "contig", "position", "n_alt"]]
+
+
 def test_equal_rows_worked_out_once():
     asked = []
     out = distributions._rows(lambda a, b: asked.append((a, b)) or a + b, pd.Series([1, 2, 1, 1]), pd.Series([5.0, math.nan, 5.0, 6.0]))
