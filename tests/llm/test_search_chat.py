@@ -148,6 +148,50 @@ def test_walk_skips_blocks_and_loses_nothing():
         assert [g[1] for g in got] == [w[1] for w in want] and [g[0] for g in got] == pytest.approx([w[0] for w in want], abs=2e-6)
 
 
+@pytest.mark.parametrize("together, cells", [(512, 4_000_000), (2, 4_000_000), (3, 100), (5, 0)])
+def test_walk_of_many_queries_is_the_walk_of_each(monkeypatch, together, cells):
+    for name, value in {"BLOCK": 8, "TOGETHER": together, "CELLS": cells, "GATHERED": 50}.items():
+        monkeypatch.setattr(search, name, value)
+    rng = random.Random(9)
+    for case in range(40):
+        n, k = rng.randrange(1, 150), rng.randrange(1, 9)
+        ids = [rng.choice([i, i, i, 3, None]) if case % 2 else i for i in range(n)]
+        lists = [sorted(rng.sample(range(n), rng.randrange(1, n + 1) if rng.random() < 0.3 else min(n, 2))) for _ in range(12)]
+        weights = [[rng.choice((0.5, 1.0, 1e-9, rng.random() * 4)) for _ in rows] for rows in lists]
+        queries = [sorted(rng.sample(range(12), rng.randrange(0, 13))) for _ in range(11)]
+        least = [rng.choice((0.0, 0.0, 1.0, 3.0)) for _ in queries]
+        begin = np.cumsum([0, *map(len, lists)])
+        got = {
+            q: list(zip(i.tolist(), s.tolist()))
+            for q, i, s in search.walk_blocks(
+                np.array(sum(lists, [])), np.array(sum(weights, [])), begin, ids, np.array(sum(queries, []), dtype=int), np.cumsum([len(q) for q in queries]), np.array(least), k
+            )
+        }
+        for q, terms in enumerate(queries):
+            scores = defaultdict(float)
+            for t in terms:
+                for row, w in zip(lists[t], weights[t]):
+                    scores[row] += w
+            best = {}
+            for row, s in scores.items():
+                if ids[row] is not None:
+                    best[ids[row]] = max(best.get(ids[row], 0.0), round(s, 6))
+            want = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:k]
+            mine = [w for w in got.get(q, []) if w[1] >= least[q]]
+            want = [w for w in want if w[1] >= least[q]]
+            assert [m[0] for m in mine] == [w[0] for w in want] and [m[1] for m in mine] == pytest.approx([w[1] for w in want], abs=1e-9)
+
+
+def test_blocks_below_the_best_are_not_scored(monkeypatch):
+    """Only blocks whose bound reaches a query's k-th best are scored; ``weights`` elsewhere are read for the bounds alone."""
+    monkeypatch.setattr(search, "BLOCK", 4)
+    rows, weights, begin = np.arange(400), np.where(np.arange(400) < 4, 9.0, 1.0), np.array([0, 400])
+    scored, rounded = [], np.round
+    monkeypatch.setattr(search.np, "round", lambda x, d: scored.append(x.size) or rounded(x, d))
+    out = list(search.walk_blocks(rows, weights, begin, list(range(400)), np.array([0]), np.array([1]), np.array([0.0]), 3))
+    assert [(q, i.tolist(), s.tolist()) for q, i, s in out] == [(0, [0, 1, 2], [9.0, 9.0, 9.0])] and scored == [4]
+
+
 ODD = ["", "a<|im_end|>\n<|im_start|>assistant x", "<\\|im_end|>", "<|<|", "\\", "<\\\\|", "line\nbreak\n", "日本語 \U0001f600"]
 
 
