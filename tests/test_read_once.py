@@ -164,3 +164,20 @@ def test_equal_rows_worked_out_once():
     out = distributions._rows(lambda a, b: asked.append((a, b)) or a + b, pd.Series([1, 2, 1, 1]), pd.Series([5.0, math.nan, 5.0, 6.0]))
     assert out.tolist()[::2] == [6.0, 6.0] and out[3] == 7.0 and math.isnan(out[1])
     assert asked == [(1, 5.0), (1, 6.0)]
+
+
+def test_comparison_sets_share_grouped_exposures(spark, monkeypatch):
+    """Over blocks, exposures are worked out once for all sets, and without rare units no set fits its covariates alone."""
+    rng = np.random.default_rng(4)
+    people = pd.DataFrame([(s, f"p{i}", int(rng.random() < 0.4), float(rng.normal())) for s in "abc" for i in range(120)], columns=["comparison", "person_id", "outcome", "age"])
+    calls = pd.DataFrame([(u, f"p{i}", 1.0) for u in ("g1", "g2") for i in range(120) if rng.random() < 0.4], columns=["unit", "person_id", "dosage"])
+    df, rows = counted(spark, spark.createDataFrame(calls))
+    monkeypatch.setattr(association, "null_fit_over", lambda *_: pytest.fail("no unit is rare"))
+    panel = spark.createDataFrame([("g1",), ("g2",)], "unit string")
+    run = lambda x, limit: association.logistic_per_unit(x, spark.createDataFrame(people), ["unit"], ["age"], panel=panel, comparison="comparison", broadcast_limit=limit)
+    fields = ["comparison", "unit", "beta", "se", "regression_p", "n_samples"]
+    got = sorted(map(tuple, run(df, 0).select(*fields).collect()))
+    assert rows.value == len(calls) and len(got) == 6
+    want = sorted(map(tuple, run(spark.createDataFrame(calls), 1 << 30).select(*fields).collect()))
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    np.testing.assert_allclose([g[2:] for g in got], [w[2:] for w in want], rtol=1e-6)
