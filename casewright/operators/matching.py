@@ -10,7 +10,9 @@ distance, index distance, person id). Strata are independent.
   With all controls ranking cases by one global order this ends in the sequential greedy's result. A case
   that runs out of listed candidates gets a fresh list without the controls it can no longer have. Between rounds, cases of
   neighbouring index dates settle among themselves inside tasks, in blocks of bounded size, so that a chain of rejections
-  does not take a round for each link. Where controls are dense, lists are sought nearby first (``_reaches``).
+  does not take a round for each link. Where the controls in reach of a block fit a task, the lists of its cases that run out are
+  made anew there, of what earlier cases of the block leave, so that cases that want the same controls do not list them again
+  and again. Where controls are dense, lists are sought nearby first (``_reaches``).
 * Where a case below the minimum takes nobody, which cases fall short is itself settled in rounds: given the ones
   assumed so far, who hold nothing but still list what earlier cases leave them, all cases are judged again at once.
   A judgement is right as soon as those of the earlier cases that it depends on are, so cases that cannot affect each
@@ -26,6 +28,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casewright.functions.scalars import age_at, lenient_date, lenient_double, observation_midpoint, truthy
@@ -36,6 +39,7 @@ STRATUM_LIMIT = 100_000  # people of one stratum matched inside one task
 CHUNK_LIMIT = 20_000  # controls, and cases, of one chunk
 LIST_SLACK = 8  # candidates listed per needed control
 BLOCK_CASES = 20_000  # cases that settle among themselves in one task
+BLOCK_CONTROLS = 200_000  # controls in reach of a block, about, with which its task can make fresh lists
 
 ASSIGNMENT = "case_id string, control_id string, match_rank int, age_at_case_index double"
 
@@ -126,8 +130,6 @@ def _arrays(controls: pd.DataFrame) -> dict[str, np.ndarray]:
     controls = controls.sort_values("anchor")
     out = {name: controls[name].to_numpy(float) for name in _NUMERIC}
     out["id"] = controls["control_id"].to_numpy(str)
-    if "held_by" in controls:
-        out["held"] = controls["held_by"].fillna("~").to_numpy(str)  # "~" sorts after every order key
     return out
 
 
@@ -222,7 +224,8 @@ def _parts(n: str, chunk: int) -> Column:
 def _cell_sizes(case_cells: DataFrame, control_cells: DataFrame, chunk: int) -> DataFrame:
     counted = case_cells.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_nc"))
     joined = counted.join(control_cells.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_nk")), _CELL)
-    return cut_lineage(joined.select(*_CELL, _parts("_nc", chunk).alias("_case_parts"), _parts("_nk", chunk).alias("_control_parts")))
+    sizes = joined.select(*_CELL, _parts("_nc", chunk).alias("_case_parts"), _parts("_nk", chunk).alias("_control_parts"))
+    return cut_lineage(sizes.withColumn("cell", F.monotonically_increasing_id()))
 
 
 def _reaches(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int) -> list[tuple[Matching, DataFrame]]:
@@ -243,13 +246,16 @@ def _reaches(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int)
     return out
 
 
-def top_candidates(cases: DataFrame, controls: DataFrame, rules: Matching, k: int, chunk: int = CHUNK_LIMIT) -> DataFrame:
+def top_candidates(cases: DataFrame, controls: DataFrame, rules: Matching, k: int, chunk: int = CHUNK_LIMIT, nearby: bool = True) -> DataFrame:
     """The best ``k`` admissible controls of each case as rows (pos from 1), never all pairs.
 
-    ``controls`` may carry ``held_by``: a control held by an earlier case is not admissible.
+    ``controls`` may carry ``held_by``: a control held by an earlier case is not admissible. Without ``nearby``, which is for
+    lists too long to be full within a narrower tolerance, lists are sought in one step.
     """
     if "held_by" not in controls.columns:
         controls = controls.withColumn("held_by", F.lit(None).cast("string"))
+    if not nearby:
+        return _top_within(cases, controls, rules, _cell_sizes(*_cells(cases, controls, rules), chunk), k, chunk)
     *wider, (narrow, sizes) = _reaches(cases, controls, rules, chunk)
     out, left = None, cases
     while True:
@@ -267,47 +273,105 @@ def top_candidates(cases: DataFrame, controls: DataFrame, rules: Matching, k: in
         sizes = _cell_sizes(*_cells(left, controls, narrow), chunk)
 
 
+def _best_pairs(cases: dict[str, np.ndarray], controls: dict[str, np.ndarray], k: int, window: int, tolerance: float) -> tuple[np.ndarray, ...]:
+    """The best ``k`` admissible controls of each case: places in ``cases`` and ``controls``, age distance, index distance, age.
+
+    ``controls`` are sorted by id; their ``until`` counts the cases, by place in time, that come before the holder or are it.
+    """
+    column = lambda name: cases[name][:, None]
+    ok = column("place") < controls["until"]
+    if np.isnan(cases["index_day"][0]):  # the cases of a cell have dates, or none has
+        age, distance = controls["age"][None, :], np.full(ok.shape, float(window))
+    else:
+        day = column("index_day")
+        with np.errstate(invalid="ignore"):
+            distance = np.floor(np.abs(controls["anchor"] - day))
+            ok &= (distance <= window) & ~(controls["start_day"] > day) & ~(controls["end_day"] < day)
+        age = column("index_year") - controls["yob"]
+        if np.isnan(controls["yob"]).any():
+            otherwise = np.where(~np.isnan(controls["birth_day"]), (day - controls["birth_day"]) / 365.25, controls["age"])
+            age = np.where(~np.isnan(controls["yob"]), age, otherwise)
+    gap = np.abs(age - column("age"))
+    with np.errstate(invalid="ignore"):
+        ok &= gap <= tolerance
+    if ok.shape[1] > k:
+        # what may be among the best: a smaller age distance than the k-th, or the same and an index distance up to the k-th
+        gap = np.where(ok, gap, np.inf)
+        cut = np.partition(gap, k - 1, axis=1)[:, k - 1 : k]
+        tied = np.where(gap < cut, -1.0, np.where((gap == cut) & ok, distance, np.inf))
+        ok &= tied <= np.partition(tied, k - 1, axis=1)[:, k - 1 : k]
+    case, control = np.nonzero(ok)
+    gap, distance, age = gap[case, control], distance[case, control], np.broadcast_to(age, ok.shape)[case, control]
+    order = np.lexsort((control, distance, gap, case))
+    starts = np.searchsorted(case, np.arange(len(ok)))
+    order = order[np.arange(len(case)) - starts[case] < k]
+    return case[order], control[order], gap[order], distance[order], age[order]
+
+
+_CHUNK = ["cell", "_a", "_b"]
+_CANDIDATE = "case_id string, control_id string, gap double, distance double, age_at_case_index double"
+PAIRS = 1 << 18  # pairs of a case and a control that a task holds at once, at least one case's
+
+
+def _pick(k: int, window: int, tolerance: float):
+    """From the rows of chunks, sorted, a chunk's controls first, the best ``k`` controls that a chunk has for each of its cases."""
+    schema = pa.schema([("case_id", pa.string()), ("control_id", pa.string()), *[(c, pa.float64()) for c in ("gap", "distance", "age_at_case_index")]])
+
+    def run(batches):
+        at, held = None, []  # the chunk's controls so far
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            keys = [table[c].to_numpy() for c in (*_CHUNK, "side")]
+            ends = np.flatnonzero(np.any([x[1:] != x[:-1] for x in keys], axis=0)) + 1
+            out = []
+            for lo, hi in zip([0, *ends], [*ends, len(keys[0])] if len(keys[0]) else []):
+                key, rows = tuple(x[lo] for x in keys[:3]), table.slice(lo, hi - lo)
+                if key != at:
+                    at, held = key, []
+                if keys[3][lo] == 0:
+                    held.append(rows)
+                    continue
+                if not held:
+                    continue
+                controls = pa.concat_tables(held).combine_chunks()
+                held = [controls]
+                ids = controls["id"]
+                numbers = {name: controls[name].to_numpy() for name in _NUMERIC}
+                cases = {name: rows[name].to_numpy() for name in ("index_day", "index_year", "age")}
+                orders = np.array(rows["case_order"].to_pylist(), dtype=str)
+                some = np.sort(orders)
+                cases["place"] = np.searchsorted(some, orders)
+                holders = controls["held_by"]
+                numbers["until"] = np.full(len(ids), len(some))
+                if holders.null_count < len(ids):
+                    is_held = holders.is_valid().to_numpy()
+                    numbers["until"][is_held] = np.searchsorted(some, np.array(holders.drop_null().to_pylist(), dtype=str), "right")
+                step = max(1, PAIRS // len(ids))
+                for first in range(0, len(rows), step):
+                    case, control, *found = _best_pairs({c: v[first : first + step] for c, v in cases.items()}, numbers, k, window, tolerance)
+                    if len(case):
+                        out.append(pa.table([rows["id"].take(pa.array(first + case)), ids.take(pa.array(control)), *map(pa.array, found)], schema=schema))
+            if out:
+                yield from pa.concat_tables(out).combine_chunks().to_batches()
+
+    return run
+
+
 def _top_within(cases: DataFrame, controls: DataFrame, rules: Matching, sizes: DataFrame, k: int, chunk: int) -> DataFrame:
     case_cells, control_cells = _cells(cases, controls, rules)
     salt = lambda column, n: F.pmod(F.xxhash64(column), F.col(n)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-
-    def sized(side: str) -> DataFrame:
-        # fresh column identities, because both sides of the cogroup read the same sizes
-        return sizes.select(*[F.col(c).alias(c) for c in _CELL], *[F.col(c).alias(f"{side}{c}") for c in ("_case_parts", "_control_parts")])
-
-    left = (
-        case_cells.join(sized("l"), _CELL)
-        .withColumn("_a", salt("case_id", "l_case_parts"))
-        .withColumn("_b", spread("l_control_parts"))
-    )
-    right = (
-        control_cells.join(sized("r"), _CELL)
-        .withColumn("_b", salt("control_id", "r_control_parts"))
-        .withColumn("_a", spread("r_case_parts"))
+    # both kinds of rows go through one sorted exchange, chunk after chunk, so that a small chunk costs little
+    left = case_cells.join(sizes, _CELL).select(
+        "cell", salt("case_id", "_case_parts").alias("_a"), spread("_control_parts").alias("_b"), F.lit(1).alias("side"),
+        F.col("case_id").alias("id"), "case_order", "index_day", "index_year", "age",
     )
-    window, tolerance = rules.within.days, rules.within.years
-
-    def pick(lc: pd.DataFrame, rc: pd.DataFrame) -> pd.DataFrame:
-        names = ["case_id", "control_id", "gap", "distance", "age_at_case_index"]
-        if lc.empty or rc.empty:
-            return pd.DataFrame(columns=names)
-        c = _arrays(rc)
-        out = []
-        for case in lc.itertuples(index=False):
-            order = case.case_order
-            found = _candidates(case, c, lambda part: c["held"][part] >= order, window, tolerance)
-            if len(found[0]):
-                best = _best(c, found, k)
-                out.append(([case.case_id] * len(best), c["id"][found[0][best]], *(column[best] for column in found[1:])))
-        return pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*out))))) if out else pd.DataFrame(columns=names)
-
-    key = [*_CELL, "_a", "_b"]
-    found = (
-        left.groupBy(*key)
-        .cogroup(right.groupBy(*key))
-        .applyInPandas(pick, "case_id string, control_id string, gap double, distance double, age_at_case_index double")
+    right = control_cells.join(sizes, _CELL).select(
+        "cell", spread("_case_parts").alias("_a"), salt("control_id", "_control_parts").alias("_b"), F.lit(0).alias("side"),
+        F.col("control_id").alias("id"), "held_by", *_NUMERIC,
     )
+    rows = left.unionByName(right, allowMissingColumns=True).repartition(*_CHUNK).sortWithinPartitions(*_CHUNK, "side", "id")
+    found = rows.mapInArrow(_pick(k, rules.within.days, rules.within.years), _CANDIDATE)
     # one short list per chunk, so a case's group holds at most chunks × k rows
     w = Window.partitionBy("case_id").orderBy("gap", "distance", "control_id")
     return found.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= k)
@@ -341,6 +405,54 @@ def _settled_in_block(k: int, edges: pd.DataFrame) -> pd.DataFrame:
     return edges[keep].drop(columns="active")
 
 
+def _relisted_in_block(k: int, length: int, window: int, tolerance: float, rows: pd.DataFrame, controls: pd.DataFrame) -> pd.DataFrame:
+    """As ``_settled_in_block``, and a case with a row without a control, which may have more than its list, gets a fresh list
+    of what earlier cases leave when its own falls short. One without a control in the result has no more than its list."""
+    asks = rows[rows["control_id"].isna()].sort_values("case_order").drop_duplicates("case_order")
+    edges = rows[rows["control_id"].notna()].sort_values(["case_order", "gap", "distance", "control_id"], ignore_index=True)
+    orders = edges["case_order"].to_numpy(str)
+    names, starts = np.unique(orders, return_index=True)
+    lists = dict(zip(names.tolist(), zip(starts.tolist(), [*starts[1:].tolist(), len(orders)])))
+    orders = asks["case_order"].to_numpy(str)
+    places = dict(zip(orders.tolist(), range(len(orders))))
+    names = np.unique(controls["control_id"].to_numpy(str))
+    numbers = dict(zip(names.tolist(), range(len(names))))
+    c = _arrays(controls)
+    holders = controls.sort_values("anchor")["held_by"]
+    c["until"] = np.where(holders.isna(), len(orders), np.searchsorted(orders, holders.fillna("").to_numpy(str), "right"))
+    c["id"] = np.searchsorted(names, c["id"])  # numbers in the order of the ids
+    listed, active = edges["control_id"].tolist(), edges["active"].tolist()
+    taken, gone = set(), np.zeros(len(names) + 1, dtype=bool)
+    keep, fresh, asked = np.ones(len(edges), dtype=bool), [], 0
+    people = list(asks.itertuples(index=False))
+    for order in sorted({*lists, *places}):
+        lo, hi = lists.get(order, (0, 0))
+        own = [i for i in range(lo, hi) if listed[i] not in taken]
+        n = places.get(order)
+        if len(own) < k and n is not None:
+            keep[lo:hi] = False
+            if asked % 256 == 0:  # nobody who follows can have these
+                left = ~gone[c["id"]] & (c["until"] > n)
+                c = {name: values[left] for name, values in c.items()}
+            asked += 1
+            found = _candidates(people[n], c, lambda part: ~gone[c["id"][part]] & (c["until"][part] > n), window, tolerance)
+            best = _best(c, found, length)
+            ids = c["id"][found[0][best]]
+            fresh.append((np.full(len(ids), n), ids, *(column[best] for column in found[1:])))
+            if len(ids) < length:
+                fresh.append((np.array([n]), np.array([len(names)]), *[np.array([np.nan])] * 3))
+            takes = names[ids[:k]].tolist() if people[n].active else []
+        else:
+            keep[lo:hi] = False
+            keep[own] = True
+            takes = [listed[i] for i in own[:k] if active[i]]
+        taken.update(takes)
+        gone[[numbers.get(x, -1) for x in takes]] = True
+    of, ids, gap, distance, age = (np.concatenate(x) for x in zip(*fresh)) if fresh else (np.empty(0, int), np.empty(0, int), *[np.empty(0)] * 3)
+    new = asks.iloc[of].assign(control_id=np.array([*names.tolist(), None], dtype=object)[ids], gap=gap, distance=distance, age_at_case_index=age)
+    return pd.concat([edges[keep], new])[["case_id", "case_order", "stratum", "block", "control_id", "gap", "distance", "age_at_case_index"]]
+
+
 def _rounds(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int) -> DataFrame:
     """Deferred acceptance over listed candidates; lists are refilled until nobody can move."""
     k = rules.controls.wanted
@@ -352,7 +464,7 @@ def _rounds(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int)
 
     def listed(for_cases: DataFrame, held: DataFrame | None, length: int) -> DataFrame:
         pool = controls if held is None else controls.join(held, "control_id", "left")
-        rows = top_candidates(for_cases, pool, rules, length, chunk)
+        rows = top_candidates(for_cases, pool, rules, length, chunk, nearby=held is None)
         return rows.join(for_cases.select("case_id", "case_order", "stratum", "block"), "case_id").select(*edge_cols)
 
     preference = Window.partitionBy("case_id").orderBy("gap", "distance", "control_id")
@@ -377,13 +489,54 @@ def _rounds(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int)
         ends = of_cases.select("case_id").join(refilled, "case_id", "left").na.fill(False, ["more"])
         return cut_union(rest, fresh), cut_union(full.join(of_cases, "case_id", "left_anti"), ends)
 
+    window = rules.within.days
+    band = lambda day: F.floor(day / max(window, 1))
+    per_band = cut_lineage(controls.groupBy(F.col("stratum").alias("_stratum"), band(F.col("anchor")).alias("_band")).agg(F.count(F.lit(1)).alias("_n")))
+
+    def roomy(asks: DataFrame) -> DataFrame:
+        """Blocks whose cases have no more controls in reach than one task can hold, with the days of that reach."""
+        undated = F.count_if(F.col("index_day").isNull()) > 0
+        spans = asks.groupBy("block", F.col("stratum").alias("_stratum")).agg(
+            F.when(~undated, F.min("index_day") - window - 1).alias("_low"), F.when(~undated, F.max("index_day") + window + 1).alias("_high"),
+            F.min("case_order").alias("_first"),
+        )
+        near = F.col("_low").isNull() | F.col("_band").between(band(F.col("_low")), band(F.col("_high")))
+        crowded = spans.join(per_band, "_stratum").filter(near).groupBy("block").agg(F.sum("_n").alias("_n")).filter(F.col("_n") > BLOCK_CONTROLS)
+        return cut_lineage(spans.join(crowded, "block", "left_anti"))
+
+    def relisted(asks: DataFrame, blocks: DataFrame, edges: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Edges and list ends with fresh lists in some blocks for the cases that fall short, made where the block settles."""
+        rows = edges.unionByName(asks, allowMissingColumns=True).join(blocks, "block", "left_semi")
+        if released is None:
+            rows = rows.withColumn("active", F.lit(True))
+        else:
+            rows = rows.join(released.withColumn("_out", F.lit(True)), "case_id", "left").withColumn("active", F.col("_out").isNull()).drop("_out")
+        # a row for each block of up to BLOCK_CASES cases is broadcast
+        pool = controls.join(held, "control_id", "left").join(
+            F.broadcast(blocks),
+            (F.col("stratum") == F.col("_stratum"))
+            & (F.col("_low").isNull() | F.col("anchor").between(F.col("_low"), F.col("_high")))
+            & (F.col("held_by").isNull() | (F.col("held_by") >= F.col("_first"))),
+        ).select("block", "control_id", "held_by", *_NUMERIC)
+        settled = partial(_relisted_in_block, k, list_len, window, rules.within.years)
+
+        def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            return settled(left, right) if len(left) else pd.DataFrame(columns=edge_cols)
+
+        found = cut_lineage(rows.groupBy("block").cogroup(pool.groupBy("block")).applyInPandas(run, edges.schema))
+        ended = found.filter(F.col("control_id").isNull()).select("case_id", F.lit(True).alias("_ended"))
+        ends = full.join(ended, "case_id", "left").select("case_id", (F.col("more") & F.col("_ended").isNull()).alias("more"))
+        rest = edges.join(blocks, "block", "left_anti")
+        return cut_union(rest, found.filter(F.col("control_id").isNotNull())), cut_lineage(ends)
+
     edges, length = cut_lineage(listed(cases, None, list_len)), list_len
     full = cut_lineage(edges.groupBy("case_id").agg((F.count(F.lit(1)) >= list_len).alias("more")))
+    settled = False
     while True:
         # settle: drop every edge whose control is held by an earlier active proposer
         while True:
-            edges = cut_lineage(in_blocks(edges))
-            before = edges.count()
+            edges = edges if settled else cut_lineage(in_blocks(edges))
+            settled, before = False, edges.count()
             kept = edges.join(holders(edges), "control_id", "left").filter(
                 F.col("held_by").isNull() | (F.col("case_order") <= F.col("held_by"))
             )
@@ -399,9 +552,18 @@ def _rounds(cases: DataFrame, controls: DataFrame, rules: Matching, chunk: int)
         )
         short = cut_lineage(short)
         if not short.isEmpty():
-            # ever fewer cases ask, each for more, so that the number of refills grows little with the density of controls
-            length *= 2
-            edges, full = replaced(short, edges.join(short, "case_id", "left_anti"), holders(edges), length)
+            # in a block with a short case, others that may have more than their lists can fall short
+            asks = cases.join(full.filter("more"), "case_id", "left_semi").join(short, "block", "left_semi")
+            asks = cut_lineage(asks.select("case_id", "case_order", "stratum", "block", "index_day", "index_year", "age"))
+            held, blocks = cut_lineage(holders(edges)), roomy(asks)
+            outside = cut_lineage(short.join(blocks, "block", "left_anti"))
+            settled = outside.isEmpty()
+            if not settled:
+                # ever fewer cases ask, each for more, so that the number of refills grows little with the density of controls
+                length *= 2
+                edges, full = replaced(outside, edges.join(outside, "case_id", "left_anti"), held, length)
+            if settled or not blocks.isEmpty():
+                edges, full = relisted(asks, blocks, edges, held)
             continue
         if not (rules.controls.whole and rules.controls.least > 1):
             break

@@ -168,3 +168,28 @@ def test_dense_controls_are_sought_nearby_first(spark):
     assert len(matching._reaches(cases, controls, rules, 25)) == 3 and len(matching._reaches(cases, controls, rules, 900)) == 1
     one = sorted(map(tuple, matching.top_candidates(cases, controls, rules, 6, 25).collect()))
     assert one == sorted(map(tuple, matching.top_candidates(cases, controls, rules, 6, 900).collect())) and len(one) == 72
+
+
+@pytest.mark.parametrize("rules,n,block_cases,block_controls", [(RULES[0], 60, 4, 10**6), (RULES[0], 60, 4, 25), (RULES[0], 60, 10**6, 0), (RULES[2], 32, 4, 10**6)])
+def test_fresh_lists_in_and_outside_of_blocks_equal_plain_greedy(spark, monkeypatch, rules, n, block_cases, block_controls):
+    for name, value in (("LIST_SLACK", 1), ("BLOCK_CASES", block_cases), ("BLOCK_CONTROLS", block_controls)):
+        monkeypatch.setattr(matching, name, value)
+    rows = people(4, n, tight=True)
+    cases, controls = matching.match_inputs(spark.createDataFrame(rows, SCHEMA), rules)
+    got = matching.assign_controls(cases, controls, rules, stratum_limit=0, chunk=7).collect()
+    assert {(r.case_id, r.control_id, r.match_rank) for r in got} == plain_greedy(rows, rules)
+
+
+def test_cases_alike_are_listed_once(spark, monkeypatch):
+    """All want the same controls, so all but the first lists run out: they are made anew in the block, not by more and more lists."""
+    rules = Matching(same=("is_female",), controls=Controls(wanted=1))
+    span = (DAY0 - dt.timedelta(days=100), DAY0 + dt.timedelta(days=100))
+    rows = [(f"c{i:03}", "broad", 1, False, DAY0, *span, None, None, None, 40.0, 1.0) for i in range(150)]
+    rows += [(f"k{i:03}", "control", 0, True, None, *span, DAY0 + dt.timedelta(days=i % 7), None, 1980.0, 40.0, 1.0) for i in range(130)]
+    lists = []
+    listed = matching.top_candidates
+    monkeypatch.setattr(matching, "top_candidates", lambda *a, **b: lists.append(1) or listed(*a, **b))
+    cases, controls = matching.match_inputs(spark.createDataFrame(rows, SCHEMA), rules)
+    got = matching.assign_controls(cases, controls, rules, stratum_limit=0, chunk=20).collect()
+    assert {(r.case_id, r.control_id, r.match_rank) for r in got} == plain_greedy(rows, rules) and len(got) == 130
+    assert len(lists) == 1
