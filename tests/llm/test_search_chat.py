@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +121,16 @@ def test_whole_rows_search_with_every_term(make_docs, monkeypatch):
             assert [g[2] for g in sorted(got[q])] == pytest.approx([r[1] for r in rows], abs=2e-6)
 
 
+def test_a_shard_is_one_row_and_is_walked_without_an_exchange(make_docs, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_ROWS", 3)
+    found = search.index(make_docs(["b a b", "a", None, "c", "c c a"]).coalesce(1)).orderBy("shard").collect()
+    assert [[d.id for d in r.documents] for r in found] == [[0, 1, 2], [3, 4]] and [[d.words for d in r.documents] for r in found] == [[3, 1, 0], [1, 3]]
+    named = [search._terms_in(pa.scalar(bytes(r.terms), pa.binary())).to_pydict() for r in found]
+    assert named == [{"term": ["b", "a"], "n": [1, 2]}, {"term": ["c", "a"], "n": [2, 1]}]
+    rows = [np.frombuffer(r.lists, "<u2").tolist() for r in found]  # rows of two bytes, then frequencies of four, list after list
+    assert rows == [[0, 2, 0, 0, 1, 1, 0, 1, 0], [0, 1, 1, 0, 2, 0, 1, 1, 0]]
+
+
 def test_search_of_nothing_and_of_repeated_ids(make_docs):
     docs = make_docs(["alpha beta", "alpha", "beta beta", None, ""])
     assert search.search(docs.where("false"), 1, 5).count() == 0
